@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nimbusframe.functions.scalars import cidr_bounds
@@ -118,11 +118,16 @@ def range_overlap_join(
     runs after the join, and each pair is kept only in the first bucket both
     ranges share, so no DISTINCT is needed.
 
+    The output is the set of overlapping pairs, so it is only bounded when
+    ranges are short relative to their density; when every range of a key
+    overlaps every other (long ranges, one hot key) use :func:`overlap_counts`.
+
     Column names of the two sides must be distinct apart from ``keys``."""
     llo, lhi = left_range
     rlo, rhi = right_range
-    lb = left.withColumn("_b", F.explode(_bucket_ids(F.col(llo), F.col(lhi), bucket_width)))
-    rb = right.withColumn("_b", F.explode(_bucket_ids(F.col(rlo), F.col(rhi), bucket_width)))
+    # empty ranges (lo > hi) overlap nothing
+    lb = left.where(F.col(llo) <= F.col(lhi)).withColumn("_b", F.explode(_bucket_ids(F.col(llo), F.col(lhi), bucket_width)))
+    rb = right.where(F.col(rlo) <= F.col(rhi)).withColumn("_b", F.explode(_bucket_ids(F.col(rlo), F.col(rhi), bucket_width)))
     joined = lb.join(rb, list(keys) + ["_b"], "inner")
     first_shared = F.greatest(F.floor(F.col(llo) / bucket_width), F.floor(F.col(rlo) / bucket_width))
     return joined.where(
@@ -145,6 +150,67 @@ def overlapping_pairs(
     return pairs.where(F.col(f"{id_col}_a") < F.col(f"{id_col}_b"))
 
 
+def count_at_most(
+    points: DataFrame,
+    queries: DataFrame,
+    keys: Sequence[str],
+    t: str,
+    qid: str,
+    block: int,
+    strict: bool = False,
+) -> DataFrame:
+    """For every query row ``(keys, qid, t)``: how many point rows ``(keys, t)``
+    of the same keys have ``t <= query t`` (``< `` when ``strict``).
+
+    No pairs are formed. Time is cut into blocks of width ``block``: the
+    number of points in earlier blocks comes from a per-(keys, block) count
+    with a running sum over blocks (one row per key and block), and the points
+    inside the query's own block from a running count over that block's rows
+    only - so one hot key is spread over its blocks instead of one task."""
+    # kind orders points and queries that share a time: points first for <=, queries first for <
+    p_kind, q_kind = (1, 0) if strict else (0, 1)
+    pts = points.select(*keys, F.col(t).alias("_t"), F.lit(p_kind).alias("_kind"), F.lit(None).cast(queries.schema[qid].dataType).alias(qid))
+    qs = queries.select(*keys, F.col(t).alias("_t"), F.lit(q_kind).alias("_kind"), F.col(qid))
+    ev = pts.unionByName(qs).withColumn("_blk", F.floor(F.col("_t") / F.lit(block)).cast("bigint"))
+    is_pt = (F.col("_kind") == p_kind).cast("bigint")
+    per_block = ev.groupBy(*keys, "_blk").agg(F.sum(is_pt).alias("_n"))
+    before = per_block.withColumn(
+        "_before",
+        F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+    ).select(*keys, "_blk", "_before")
+    within = ev.withColumn(
+        "_within",
+        F.sum(is_pt).over(Window.partitionBy(*keys, "_blk").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)),
+    ).where(F.col("_kind") == q_kind)
+    return within.join(before, list(keys) + ["_blk"]).select(
+        *keys, qid, (F.col("_before") + F.col("_within")).cast("bigint").alias("n")
+    )
+
+
+def overlap_counts(
+    df: DataFrame,
+    id_col: str,
+    lo: str,
+    hi: str,
+    keys: Sequence[str],
+    block: int,
+    name: str = "overlaps",
+) -> DataFrame:
+    """J10 without pairs: for every range, how many *other* ranges of the same
+    keys overlap it (closed ranges). ``#(lo_j <= hi_i) - #(hi_j < lo_i) - 1``
+    - each term a :func:`count_at_most`, so the cost is a few sorts and
+    aggregations, never the number of overlapping pairs (which grows
+    quadratically when ranges are long or one key is hot)."""
+    rows = df.select(*keys, id_col, lo, hi)
+    starts_le_hi = count_at_most(rows.select(*keys, F.col(lo).alias("_x")), rows.select(*keys, id_col, F.col(hi).alias("_x")),
+                                 keys, "_x", id_col, block).withColumnRenamed("n", "_a")
+    ends_lt_lo = count_at_most(rows.select(*keys, F.col(hi).alias("_x")), rows.select(*keys, id_col, F.col(lo).alias("_x")),
+                               keys, "_x", id_col, block, strict=True).withColumnRenamed("n", "_b")
+    return starts_le_hi.join(ends_lt_lo, list(keys) + [id_col]).select(
+        *keys, id_col, (F.col("_a") - F.col("_b") - 1).alias(name)
+    )
+
+
 def _prefix_expand(df: DataFrame, block_col: str, upto_own: bool) -> DataFrame:
     """Add (``_net``, ``_plen``) for every prefix length 0..32 (points) or
     0..own length (blocks): the network address of the row at that length."""

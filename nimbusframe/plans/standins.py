@@ -38,8 +38,10 @@ def security_group_docs(lineitem: DataFrame) -> DataFrame:
         .otherwise(F.array(F.struct(F.concat(F.lit("10."), F.pmod(F.col("l_suppkey"), F.lit(256)).cast("string"), F.lit(".0.0/16")).alias("CidrIp"))))
     )
     perm = F.struct(proto.alias("IpProtocol"), from_port.alias("FromPort"), to_port.alias("ToPort"), ranges.alias("IpRanges"))
-    # a group without permissions when the discount is 0
-    perms = F.filter(F.array(perm), lambda _p: F.col("l_discount") > 0)
+    # a group without permissions when the discount is 0 (typed empty array,
+    # not a higher-order filter, so the projection stays in whole-stage codegen)
+    perm_type = "array<struct<IpProtocol:string,FromPort:bigint,ToPort:bigint,IpRanges:array<struct<CidrIp:string>>>>"
+    perms = F.when(F.col("l_discount") > 0, F.array(perm)).otherwise(F.array().cast(perm_type))
     group = F.struct(
         F.concat(F.lit("sg-"), F.col("l_orderkey").cast("string")).alias("GroupId"),
         F.concat(F.lit("group-"), F.col("l_suppkey").cast("string")).alias("GroupName"),

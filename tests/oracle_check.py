@@ -87,7 +87,7 @@ def main(argv):
     from nimbusframe.session import get_session
     import __spark_entry__ as E
 
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session("local[8]", shuffle_partitions=8, conf={"spark.driver.memory": "8g"})
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0

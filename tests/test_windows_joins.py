@@ -1,0 +1,93 @@
+"""Window and join operators against brute force, including a hot key."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from nimbusframe.operators import joins as J
+from nimbusframe.operators import windows as W
+
+
+def _skewed(spark, n=3000, seed=1):
+    rnd = random.Random(seed)
+    data = []
+    for i in range(n):
+        k = 0 if rnd.random() < 0.4 else rnd.randint(1, 30)  # key 0 holds ~40% of the rows
+        data.append((i, k, rnd.choice([None] + [float(x) for x in range(50)])))
+    return spark.createDataFrame(data, "id int, k int, v double"), data
+
+
+def test_top_ranked_salted_equals_plain_rank(spark):
+    df, data = _skewed(spark)
+    for n in (1, 3):
+        salted = rows(W.top_ranked(df, ["k"], [F.col("v").desc_nulls_first()], n=n, salts=16), "id", "rank")
+        plain = rows(W.top_ranked(df, ["k"], [F.col("v").desc_nulls_first()], n=n, salts=0), "id", "rank")
+        assert salted == plain
+    # brute force for n=1: rows with the group's top value (NULL first under DESC NULLS FIRST)
+    best = {}
+    for _, k, v in data:
+        cur = best.get(k, "unset")
+        if cur == "unset" or (cur is not None and (v is None or v > cur)):
+            best[k] = v
+    expect = sorted((i,) for i, k, v in data if v == best[k])
+    assert rows(W.top_ranked(df, ["k"], [F.col("v").desc_nulls_first()], n=1), "id") == expect
+
+
+def test_overlap_counts_match_brute_force(spark):
+    rnd = random.Random(3)
+    data = []
+    for i in range(600):
+        k = 0 if rnd.random() < 0.5 else rnd.randint(1, 5)
+        lo = rnd.randint(0, 1000)
+        data.append((i, k, lo, lo + rnd.randint(0, 200)))
+    df = spark.createDataFrame(data, "id int, k int, lo long, hi long")
+    got = dict((r.id, r.overlaps) for r in J.overlap_counts(df, "id", "lo", "hi", ["k"], block=97).collect())
+    for i, k, lo, hi in data:
+        n = sum(1 for j, k2, lo2, hi2 in data if j != i and k2 == k and lo2 <= hi and lo <= hi2)
+        assert got[i] == n
+
+
+def test_overlapping_pairs_match_brute_force(spark):
+    rnd = random.Random(4)
+    data = [(i, rnd.randint(0, 3), lo, lo + rnd.randint(0, 30)) for i, lo in enumerate(rnd.randint(0, 500) for _ in range(300))]
+    df = spark.createDataFrame(data, "id int, k int, lo long, hi long")
+    got = rows(J.overlapping_pairs(df, "id", "lo", "hi", 25, ["k"]), "id_a", "id_b")
+    expect = sorted((a[0], b[0]) for a in data for b in data if a[0] < b[0] and a[1] == b[1] and a[2] <= b[3] and b[2] <= a[3])
+    assert got == expect
+
+
+def test_cidr_contains_and_overlaps(spark):
+    blocks = spark.createDataFrame([(1, "10.0.0.0/8"), (2, "10.1.0.0/16"), (3, "10.1.2.0/24"), (4, "192.168.0.0/16"),
+                                    (5, "10.1.0.0/16")], "bid int, cidr string")
+    addrs = spark.createDataFrame([("10.1.2.3",), ("10.9.9.9",), ("8.8.8.8",)], "ip string")
+    got = rows(J.cidr_contains(addrs, "ip", blocks, "cidr"), "ip", "bid")
+    assert got == [("10.1.2.3", 1), ("10.1.2.3", 2), ("10.1.2.3", 3), ("10.1.2.3", 5), ("10.9.9.9", 1)]
+    ov = rows(J.cidr_overlaps(blocks, "bid", "cidr"), "bid_a", "bid_b")
+    assert ov == [(1, 2), (1, 3), (1, 5), (2, 3), (2, 5), (3, 5)]
+
+
+def test_sync_plan_and_default_route(spark):
+    src = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, etag int")
+    dst = spark.createDataFrame([("a", 1), ("b", 9), ("d", 4)], "k string, etag int")
+    plan = rows(J.sync_plan(src, dst, ["k"], ["etag"], delete=True), "k", "action")
+    assert plan == [("a", "skip"), ("b", "update"), ("c", "upload"), ("d", "delete")]
+    recs = spark.createDataFrame([("x", "FR", "EU"), ("y", "JP", "AS"), ("z", "BR", "SA")], "id string, country string, continent string")
+    rules = spark.createDataFrame([("FR", "eu-west"), ("AS", "ap"), ("*", "default")], "k string, v string")
+    got = rows(J.match_with_default(recs, rules, ["country", "continent"], "k", "v", "route", rules_max_rows=3), "id", "route")
+    assert got == [("x", "eu-west"), ("y", "ap"), ("z", "default")]
+
+
+def test_alarm_and_health(spark):
+    ts = ["2024-01-01 00:00:00", "2024-01-01 00:01:00", "2024-01-01 00:02:00", "2024-01-01 00:04:00", "2024-01-01 00:05:00"]
+    vals = [2.0, 3.0, 0.5, 2.0, 2.5]
+    stats = spark.createDataFrame([("m", t, v) for t, v in zip(ts, vals)], "m string, t string, v double").withColumn(
+        "t", F.col("t").cast("timestamp"))
+    st = [r.state for r in W.alarm_states(stats, ["m"], "t", "v", 60, ">", 1.0, 2).orderBy("t").collect()]
+    # the gap at 00:03 breaks the run
+    assert st == ["OK", "ALARM", "OK", "OK", "ALARM"]
+    oks = [True, False, False, False, True, False, True, True, False]
+    checks = spark.createDataFrame([("t", i, ok) for i, ok in enumerate(oks)], "tgt string, seq int, ok boolean")
+    h = W.health_states(checks, ["tgt"], ["seq"], F.col("ok"), 3, 2).orderBy("seq").collect()
+    assert [r.state for r in h] == ["healthy", "healthy", "healthy", "unhealthy", "unhealthy", "unhealthy", "unhealthy", "healthy", "healthy"]
+    assert [r.seq for r in h if r.changed] == [3, 7]
