@@ -61,68 +61,92 @@ def points_mean(grade: Column | str, scale: Mapping[str, str] = GRADE_POINTS_6,
     return exact_mean(pts, digits)
 
 
-def _se(r: Roster) -> DataFrame:
-    """students JOIN enrollments."""
-    s = r.students.select(r.student_id, *r.name_cols, r.major)
-    e = r.enrollments.select(F.col(r.e_student).alias(r.student_id), F.col(r.e_course).alias("_course"), F.col(r.grade).alias("_grade"))
-    return s.join(e, r.student_id)
+def _per_student(r: Roster, scale: Mapping[str, str] | None = None) -> DataFrame:
+    """Enrolments aggregated per student *before* any join (eager
+    aggregation): the join then moves one row per student, and a student
+    with a third of all enrolments is just one partial-aggregate row per
+    input partition. Adds ``_n`` (rows) and, with ``scale``, ``_pts`` (exact
+    decimal sum of grade points)."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if scale is not None:
+        aggs.append(F.sum(grade_points(r.grade, scale).cast("decimal(12,2)")).alias("_pts"))
+    return r.enrollments.groupBy(F.col(r.e_student).alias(r.student_id)).agg(*aggs)
+
+
+def _per_course(r: Roster, scale: Mapping[str, str] | None = None) -> DataFrame:
+    """Enrolments aggregated per course before joining the course table:
+    ``_n`` rows, ``_ids`` non-null enrolment ids, ``_pts`` point sum."""
+    aggs = [F.count(F.lit(1)).alias("_n"), F.count(r.enrollment_id).alias("_ids")]
+    if scale is not None:
+        aggs.append(F.sum(grade_points(r.grade, scale).cast("decimal(12,2)")).alias("_pts"))
+    return r.enrollments.groupBy(F.col(r.e_course).alias(r.course_id)).agg(*aggs)
+
+
+def _mean2(sum_col: str, n_col: str, digits: int = 2) -> Column:
+    """Exact HALF_UP mean from a decimal sum and a count."""
+    return F.round(F.col(sum_col) / F.col(n_col), digits).cast("double")
 
 
 def course_load(r: Roster) -> DataFrame:
     """Q10: enrolments per student, most first."""
+    s = r.students.select(r.student_id, *r.name_cols)
     return (
-        _se(r).groupBy(r.student_id, *r.name_cols).agg(F.count(F.lit(1)).alias("course_load"))
+        s.join(_per_student(r), r.student_id).select(r.student_id, *r.name_cols, F.col("_n").alias("course_load"))
         .orderBy(F.desc("course_load"), r.student_id)
     )
 
 
 def calculated_gpa(r: Roster, scale: Mapping[str, str] = GRADE_POINTS_6) -> DataFrame:
     """Q11: mean grade points per student (6-grade scale, others 0), 2 digits."""
+    s = r.students.select(r.student_id, *r.name_cols, r.major)
     return (
-        _se(r).groupBy(r.student_id, *r.name_cols, r.major)
-        .agg(points_mean("_grade", scale).cast("double").alias("calculated_gpa"))
+        s.join(_per_student(r, scale), r.student_id)
+        .select(r.student_id, *r.name_cols, r.major, _mean2("_pts", "_n").alias("calculated_gpa"))
         .orderBy(F.desc("calculated_gpa"), r.student_id)
     )
 
 
-def _ce(r: Roster) -> DataFrame:
+def _courses_agg(r: Roster, scale: Mapping[str, str] | None) -> DataFrame:
     c = r.courses.select(r.course_id, r.department, r.professor, r.credits)
-    e = r.enrollments.select(F.col(r.e_course).alias(r.course_id), F.col(r.enrollment_id).alias("_eid"),
-                             F.col(r.grade).alias("_grade"), F.col(r.e_student).alias("_student"))
-    return c.join(e, r.course_id)
+    return c.join(_per_course(r, scale), r.course_id)
 
 
 def department_average(r: Roster, scale: Mapping[str, str] = GRADE_POINTS_6) -> DataFrame:
     """Q12: mean grade points and number of distinct courses per department."""
     return (
-        _ce(r).groupBy(r.department)
-        .agg(points_mean("_grade", scale).cast("double").alias("dept_avg_gpa"),
-             F.countDistinct(r.course_id).alias("course_count"))
+        _courses_agg(r, scale).groupBy(r.department)
+        .agg(F.sum("_pts").alias("_p"), F.sum("_n").alias("_m"), F.countDistinct(r.course_id).alias("course_count"))
+        .select(r.department, _mean2("_p", "_m").alias("dept_avg_gpa"), "course_count")
         .orderBy(F.desc("dept_avg_gpa"), r.department)
     )
 
 
 def cross_department(r: Roster) -> DataFrame:
     """Q13: students enrolled in more than one department, with the sorted
-    list of departments (STRING_AGG DISTINCT)."""
-    s = r.students.select(r.student_id, *r.name_cols)
-    e = r.enrollments.select(F.col(r.e_student).alias(r.student_id), F.col(r.e_course).alias(r.course_id))
+    list of departments (STRING_AGG DISTINCT). Distinct (student, course) and
+    then (student, department) pairs are formed before grouping, so the
+    per-student set is bounded by the number of departments."""
+    e = r.enrollments.select(F.col(r.e_student).alias(r.student_id), F.col(r.e_course).alias(r.course_id)).distinct()
     c = r.courses.select(r.course_id, r.department)
-    j = s.join(e, r.student_id).join(c, r.course_id)
-    return (
-        j.groupBy(r.student_id, *r.name_cols)
-        .agg(F.countDistinct(r.department).alias("department_count"), join_distinct(r.department).alias("departments"))
+    sd = e.join(c, r.course_id).select(r.student_id, r.department).distinct()
+    per = (
+        sd.groupBy(r.student_id)
+        .agg(F.count(F.lit(1)).alias("department_count"), join_distinct(r.department).alias("departments"))
         .where(F.col("department_count") > 1)
-        .orderBy(F.desc("department_count"), *[F.col(c) for c in reversed(list(r.name_cols))], r.student_id)
+    )
+    s = r.students.select(r.student_id, *r.name_cols)
+    return s.join(per, r.student_id).orderBy(
+        F.desc("department_count"), *[F.col(c) for c in reversed(list(r.name_cols))], r.student_id
     )
 
 
 def professor_load(r: Roster, scale: Mapping[str, str] = GRADE_POINTS_6) -> DataFrame:
     """Q14: per professor - distinct courses, enrolment rows, mean points."""
     return (
-        _ce(r).groupBy(r.professor)
-        .agg(F.countDistinct(r.course_id).alias("course_count"), F.count("_eid").alias("total_students"),
-             points_mean("_grade", scale).cast("double").alias("avg_student_grade"))
+        _courses_agg(r, scale).groupBy(r.professor)
+        .agg(F.countDistinct(r.course_id).alias("course_count"), F.sum("_ids").alias("total_students"),
+             F.sum("_pts").alias("_p"), F.sum("_n").alias("_m"))
+        .select(r.professor, "course_count", "total_students", _mean2("_p", "_m").alias("avg_student_grade"))
         .orderBy(F.desc("avg_student_grade"), r.professor)
     )
 
@@ -148,22 +172,18 @@ def students_per_major(r: Roster) -> DataFrame:
 
 
 def popular_courses(r: Roster) -> DataFrame:
-    """Enrolments per course, most first."""
+    """Enrolments per course, most first (aggregated before the join)."""
     c = r.courses.select(r.course_id, r.course_code, r.course_name)
-    e = r.enrollments.select(F.col(r.e_course).alias(r.course_id))
     return (
-        c.join(e, r.course_id).groupBy(r.course_id, r.course_code, r.course_name)
-        .agg(F.count(F.lit(1)).alias("enrollment_count")).orderBy(F.desc("enrollment_count"), r.course_id)
+        c.join(_per_course(r), r.course_id).select(r.course_id, r.course_code, r.course_name, F.col("_n").alias("enrollment_count"))
+        .orderBy(F.desc("enrollment_count"), r.course_id)
     )
 
 
 def course_average(r: Roster, scale: Mapping[str, str] = GRADE_POINTS_8) -> DataFrame:
     """Mean grade points per course."""
     c = r.courses.select(r.course_id, r.course_code)
-    e = r.enrollments.select(F.col(r.e_course).alias(r.course_id), F.col(r.grade).alias("_grade"))
-    return c.join(e, r.course_id).groupBy(r.course_id, r.course_code).agg(
-        points_mean("_grade", scale).cast("double").alias("avg_grade")
-    )
+    return c.join(_per_course(r, scale), r.course_id).select(r.course_id, r.course_code, _mean2("_pts", "_n").alias("avg_grade"))
 
 
 def top_in_major(r: Roster) -> DataFrame:
@@ -176,10 +196,10 @@ def top_in_major(r: Roster) -> DataFrame:
 def below_b(r: Roster, threshold: float = 3.0, scale: Mapping[str, str] = GRADE_POINTS_8) -> DataFrame:
     """Q18: students whose mean points (8-grade scale) are below ``threshold``,
     lowest first. The mean is computed once and filtered on its alias."""
-    mean = F.sum(grade_points("_grade", scale).cast("decimal(20,2)")) / F.count(F.lit(1))
+    per = _per_student(r, scale).withColumn("_avg", F.col("_pts") / F.col("_n")).where(F.col("_avg") < F.lit(threshold))
+    s = r.students.select(r.student_id, *r.name_cols)
     return (
-        _se(r).groupBy(r.student_id, *r.name_cols).agg(mean.alias("_avg"))
-        .where(F.col("_avg") < F.lit(threshold))
+        s.join(per, r.student_id)
         .select(r.student_id, *r.name_cols, F.round("_avg", 6).cast("double").alias("avg_grade"))
         .orderBy("avg_grade", r.student_id)
     )
@@ -187,16 +207,17 @@ def below_b(r: Roster, threshold: float = 3.0, scale: Mapping[str, str] = GRADE_
 
 def department_workload(r: Roster) -> DataFrame:
     """Q19: per department - courses, total credits, mean class size (2 dp).
-    A course without enrolments counts with class size 0 (LEFT JOIN + COUNT(col))."""
+    A course without enrolments counts with class size 0 (LEFT JOIN + COUNT(col));
+    enrolments are counted per course before the join."""
     c = r.courses.select(r.course_id, r.department, r.credits)
-    e = r.enrollments.select(F.col(r.e_course).alias(r.course_id), F.col(r.e_student).alias("_student"))
-    per_course = c.join(e, r.course_id, "left").groupBy(r.course_id, r.department, r.credits).agg(
-        F.count("_student").alias("num_students")
-    )
+    e = r.enrollments.where(F.col(r.e_student).isNotNull()).groupBy(F.col(r.e_course).alias(r.course_id)).agg(
+        F.count(F.lit(1)).alias("_cnt"))
+    per_course = c.join(e, r.course_id, "left").select(r.course_id, r.department, r.credits,
+                                                       F.coalesce(F.col("_cnt"), F.lit(0)).alias("num_students"))
     return (
         per_course.groupBy(r.department)
         .agg(F.count(F.lit(1)).alias("num_courses"), F.sum(r.credits).cast("bigint").alias("total_credits"),
-             exact_mean(F.col("num_students"), 2, "decimal(20,0)").cast("double").alias("avg_class_size"))
+             exact_mean(F.col("num_students"), 2, "decimal(12,0)").cast("double").alias("avg_class_size"))
         .orderBy(F.desc("total_credits"), r.department)
     )
 
