@@ -62,7 +62,7 @@ def next_ids(rows: DataFrame, state: DataFrame, id_col: str, order: Sequence[str
     from nimbusframe.functions.scalars import with_dense_id
 
     base = F.coalesce(state.agg(F.max(id_col)).scalar(), F.lit(0))
-    numbered = with_dense_id(rows.drop(id_col) if id_col in rows.columns else rows, "_seq", start=1)
+    numbered = with_dense_id(rows.drop(id_col) if id_col in rows.columns else rows, "_seq", start=1, order=order)
     return numbered.withColumn(id_col, (base + F.col("_seq")).cast(state.schema[id_col].dataType)).drop("_seq")
 
 
