@@ -82,19 +82,21 @@ def match_with_default(
     """Most specific match with a ``*`` default.
 
     ``candidates`` are the row's columns from most to least specific (country,
-    continent, ...). Each is left-joined to the rule table; the first hit wins,
-    then the ``default_key`` rule. Rule keys must be unique (one value each)."""
+    continent, ...). Each is an equi-join (left) to the rule table; the first
+    hit wins. The ``default_key`` rule is one value, read as a scalar subquery
+    (it fails if the default is not unique) - no join on a constant key, which
+    would plan as a nested loop. Rule keys must be unique."""
     r = bounded_broadcast(rules.select(F.col(rule_key).cast("string").alias("_rk"), F.col(rule_value).alias("_rv")), rules_max_rows)
     out = df
     picked = []
-    for i, c in enumerate(candidates + [None]):
+    for i, c in enumerate(candidates):
         alias = f"_rv{i}"
-        key_expr = F.lit(default_key) if c is None else F.col(c).cast("string")
-        out = out.withColumn(f"_k{i}", key_expr).join(
+        out = out.withColumn(f"_k{i}", F.col(c).cast("string")).join(
             r.withColumnRenamed("_rk", f"_k{i}").withColumnRenamed("_rv", alias), f"_k{i}", "left"
         ).drop(f"_k{i}")
         picked.append(F.col(alias))
-    return out.withColumn(out_col, F.coalesce(*picked)).drop(*[f"_rv{i}" for i in range(len(candidates) + 1)])
+    default = rules.where(F.col(rule_key).cast("string") == F.lit(default_key)).select(F.col(rule_value)).scalar()
+    return out.withColumn(out_col, F.coalesce(*picked, default)).drop(*[f"_rv{i}" for i in range(len(candidates))])
 
 
 def _bucket_ids(lo: Column, hi: Column, width: int) -> Column:
