@@ -7,7 +7,6 @@ it stays inside whole-stage codegen. Nothing calls back into Python per row.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -214,7 +213,13 @@ def element_or_null(arr: Column | str, index: int) -> Column:
     return F.try_element_at(c, F.lit(index))
 
 
-def with_dense_id(df: DataFrame, id_col: str = "row_id", start: int = 1, order: Sequence[str] | None = None) -> DataFrame:
+def with_dense_id(
+    df: DataFrame,
+    id_col: str = "row_id",
+    start: int = 1,
+    order: Sequence[str] | None = None,
+    unique_order: bool = False,
+) -> DataFrame:
     """dense consecutive ids without a global window.
 
     ``monotonically_increasing_id`` carries the partition index in its upper
@@ -227,14 +232,18 @@ def with_dense_id(df: DataFrame, id_col: str = "row_id", start: int = 1, order:
     With ``order`` the rows are first sorted (a range-partitioned global
     sort, spread over all tasks), so the ids follow that order - the same
     numbers as ``row_number() OVER (ORDER BY order)`` without its single task.
+    When ``order`` is unique (``unique_order=True``) the sorted partitions are
+    reproducible on any recomputation, so the checkpoint is skipped and the
+    numbering stays a lazy part of the plan.
     """
-    spark = df.sparkSession
     from nimbusframe.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(df.sparkSession)
     if order:
         df = df.orderBy(*order)
-    tagged = df.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
+    if not (order and unique_order):
+        tagged = tagged.checkpoint(eager=True)
     tagged = tagged.withColumn("_pid", F.shiftright(F.col("_mid"), 33)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     )

@@ -20,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nimbusframe.functions.scalars import is_truthy, now_or, row_to_json
+from nimbusframe.functions.scalars import is_truthy, now_or
 
 
 class Change(NamedTuple):
@@ -52,7 +52,8 @@ def _align(rows: DataFrame, like: DataFrame) -> DataFrame:
     )
 
 
-def next_ids(rows: DataFrame, state: DataFrame, id_col: str, order: Sequence[str] | None = None) -> DataFrame:
+def next_ids(rows: DataFrame, state: DataFrame, id_col: str, order: Sequence[str] | None = None,
+             unique_order: bool = False) -> DataFrame:
     """F21 for inserts: ids ``max(existing)+1, +2, ...`` with no gaps.
 
     The current maximum is a scalar subquery (one value); the new rows are
@@ -62,7 +63,8 @@ def next_ids(rows: DataFrame, state: DataFrame, id_col: str, order: Sequence[str
     from nimbusframe.functions.scalars import with_dense_id
 
     base = F.coalesce(state.agg(F.max(id_col)).scalar(), F.lit(0))
-    numbered = with_dense_id(rows.drop(id_col) if id_col in rows.columns else rows, "_seq", start=1, order=order)
+    numbered = with_dense_id(rows.drop(id_col) if id_col in rows.columns else rows, "_seq", start=1, order=order,
+                             unique_order=unique_order)
     return numbered.withColumn(id_col, (base + F.col("_seq")).cast(state.schema[id_col].dataType)).drop("_seq")
 
 
@@ -228,7 +230,8 @@ def upsert(
     latest = _pick_per_key(rows, keys, order)
     new_only = latest.join(state.select(*keys), list(keys), "left_anti")
     if id_col:
-        new_only = next_ids(new_only, state, id_col, list(keys))
+        # one row per key here, so the key order is unique
+        new_only = next_ids(new_only, state, id_col, list(keys), unique_order=True)
     new_aligned = _align(new_only, state)
     if stamp:
         new_aligned = new_aligned.withColumn(stamp[0], now_or(stamp[1]).cast(state.schema[stamp[0]].dataType))

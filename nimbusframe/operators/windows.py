@@ -2,9 +2,13 @@
 
 Windows are always partitioned. W1 is skew-safe by construction (a salted
 first stage); W2 runs over already aggregated periods, so its partitions are
-bounded by time span, not by data volume. W3-W5 order the rows of one key in
-one task (Spark's window buffer spills to disk, so a large key is slow but
-does not fail); see README for the trade-off.
+bounded by time span, not by data volume. W3-W5 take ``block`` (seconds):
+rows of one key are then windowed per (key, time block) and what crosses a
+block boundary (row offsets, the previous row, the open run, the last
+decisive state) is carried over from one small row per (key, block). So a
+key holding a third of all rows is spread over its time blocks instead of
+one task. Without ``block`` they use one window per key (fewer shuffles when
+keys are known to be small).
 """
 
 from __future__ import annotations
@@ -83,6 +87,10 @@ def alarm_states(
     )
 
 
+def _block_id(ts: str, block: int) -> Column:
+    return F.floor(F.col(ts).cast("timestamp").cast("double") / F.lit(block)).cast("bigint")
+
+
 def health_states(
     checks: DataFrame,
     keys: Sequence[str],
@@ -91,6 +99,7 @@ def health_states(
     unhealthy_after: int,
     healthy_after: int,
     initial: str = "healthy",
+    block: int | None = None,
 ) -> DataFrame:
     """Health state after every check. ``unhealthy_after`` consecutive
     failures make a target unhealthy, ``healthy_after`` consecutive successes
@@ -99,7 +108,12 @@ def health_states(
     Gaps-and-islands in one window pass: a run starts where ``ok`` changes; a
     check is *decisive* when its run reaches the threshold; the state is the
     last decisive value so far. Adds ``run_length``, ``state`` and ``changed``
-    (the check that flipped the state)."""
+    (the check that flipped the state).
+
+    With ``block`` (seconds; ``order[0]`` must be the timestamp) the same
+    result is computed per (key, time block) - see the module doc."""
+    if block:
+        return _health_states_blocked(checks, keys, order, ok, unhealthy_after, healthy_after, initial, block)
     w = Window.partitionBy(*keys).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     okc = F.coalesce(ok, F.lit(False))
@@ -119,19 +133,98 @@ def health_states(
     return out.drop("_ok", "_rn", "_start", "_dec")
 
 
-def noncurrent_since(df: DataFrame, keys: Sequence[str], modified: str, tie: Sequence[str] = (), name: str = "noncurrent_since") -> DataFrame:
+def noncurrent_since(df: DataFrame, keys: Sequence[str], modified: str, tie: Sequence[str] = (),
+                     name: str = "noncurrent_since", block: int | None = None) -> DataFrame:
     """A version becomes noncurrent when the next version of its key is
-    written: ``lead(modified)``; NULL for the current version."""
-    w = Window.partitionBy(*keys).orderBy(F.col(modified), *[F.col(t) for t in tie])
-    return df.withColumn(name, F.lead(modified).over(w))
-
-
-def number_versions(df: DataFrame, keys: Sequence[str], modified: str, tie: Sequence[str] = ()) -> DataFrame:
-    """``version_no`` 1 = newest, and ``is_latest``."""
-    w = Window.partitionBy(*keys).orderBy(F.col(modified).desc(), *[F.col(t).desc() for t in tie])
-    return df.withColumn("version_no", F.row_number().over(w).cast("bigint")).withColumn(
-        "is_latest", F.col("version_no") == 1
+    written: ``lead(modified)``; NULL for the current version.
+
+    With ``block`` (seconds) the lead is taken inside each (key, time block);
+    a block's last version takes the first ``modified`` of the key's next
+    non-empty block, found on one row per (key, block)."""
+    order = [F.col(modified), *[F.col(t) for t in tie]]
+    if not block:
+        return df.withColumn(name, F.lead(modified).over(Window.partitionBy(*keys).orderBy(*order)))
+    b = df.withColumn("_blk", _block_id(modified, block))
+    local = b.withColumn("_lead", F.lead(modified).over(Window.partitionBy(*keys, "_blk").orderBy(*order)))
+    firsts = b.groupBy(*keys, "_blk").agg(F.min(modified).alias("_first"))
+    nxt = firsts.withColumn("_next", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_blk"))).select(*keys, "_blk", "_next")
+    return local.join(nxt, list(keys) + ["_blk"]).withColumn(name, F.coalesce(F.col("_lead"), F.col("_next"))).drop(
+        "_blk", "_lead", "_next")
+
+
+def number_versions(df: DataFrame, keys: Sequence[str], modified: str, tie: Sequence[str] = (),
+                    block: int | None = None) -> DataFrame:
+    """``version_no`` 1 = newest, and ``is_latest``.
+
+    With ``block`` (seconds) rows are numbered inside each (key, time block)
+    and shifted by the number of versions in the key's later blocks (a running
+    sum over one row per (key, block))."""
+    order = [F.col(modified).desc(), *[F.col(t).desc() for t in tie]]
+    if not block:
+        out = df.withColumn("version_no", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+        return out.withColumn("is_latest", F.col("version_no") == 1)
+    b = df.withColumn("_blk", _block_id(modified, block))
+    local = b.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_blk").orderBy(*order)))
+    counts = b.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    later = counts.withColumn("_later", F.coalesce(F.sum("_n").over(
+        Window.partitionBy(*keys).orderBy(F.col("_blk").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).select(*keys, "_blk", "_later")
+    out = local.join(later, list(keys) + ["_blk"]).withColumn("version_no", (F.col("_later") + F.col("_rn")).cast("bigint"))
+    return out.withColumn("is_latest", F.col("version_no") == 1).drop("_blk", "_rn", "_later")
+
+
+def _health_states_blocked(checks, keys, order, ok, unhealthy_after, healthy_after, initial, block):
+    """health_states per (key, time block); three passes over the rows, each
+    a window per (key, block), with carries computed on one row per block."""
+    keys = list(keys)
+    kb = keys + ["_blk"]
+    ordc = [F.col(c) for c in order]
+    wb = Window.partitionBy(*kb).orderBy(*ordc)
+    wk = Window.partitionBy(*keys).orderBy("_blk")
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    x = checks.withColumn("_ok", F.coalesce(ok, F.lit(False))).withColumn("_blk", _block_id(order[0], block))
+    # pass A: position in block and changes inside the block
+    x = x.withColumn("_rl", F.row_number().over(wb)).withColumn("_prev", F.lag("_ok").over(wb))
+    ordering = F.struct(*ordc)
+    blocks = x.groupBy(*kb).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min_by("_ok", ordering).alias("_first_ok"),
+        F.max_by("_ok", ordering).alias("_last_ok"),
+        F.max(F.when(F.col("_prev").isNotNull() & (F.col("_prev") != F.col("_ok")), F.col("_rl"))).alias("_chg"),
+    )
+    blocks = (
+        blocks.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .withColumn("_prev_last", F.lag("_last_ok").over(wk))
+    )
+    first_is_start = F.col("_prev_last").isNull() | (F.col("_prev_last") != F.col("_first_ok"))
+    last_start_in = F.coalesce(F.col("_chg"), F.when(first_is_start, F.lit(1)))
+    blocks = blocks.withColumn("_last_start_g", F.col("_off") + last_start_in)
+    blocks = blocks.withColumn("_carry_start", F.max("_last_start_g").over(before))
+    carry = blocks.select(*kb, "_off", "_prev_last", "_carry_start")
+    # pass B: global positions, run lengths, decisive checks
+    y = x.join(carry, kb)
+    start = F.when(
+        ((F.col("_rl") == 1) & (F.col("_prev_last").isNull() | (F.col("_prev_last") != F.col("_ok"))))
+        | ((F.col("_rl") > 1) & (F.col("_prev") != F.col("_ok"))),
+        F.col("_off") + F.col("_rl"),
+    )
+    upto = wb.rowsBetween(Window.unboundedPreceding, 0)
+    y = y.withColumn("_start", start).withColumn(
+        "run_length", (F.col("_off") + F.col("_rl") - F.coalesce(F.max("_start").over(upto), F.col("_carry_start")) + 1).cast("bigint"))
+    y = y.withColumn("_dec", F.when(~F.col("_ok") & (F.col("run_length") == unhealthy_after), F.lit("unhealthy"))
+                     .when(F.col("_ok") & (F.col("run_length") == healthy_after), F.lit("healthy")))
+    decs = y.where(F.col("_dec").isNotNull()).groupBy(*kb).agg(F.max_by("_dec", ordering).alias("_last_dec"))
+    dcarry = (
+        blocks.select(*kb).join(decs, kb, "left")
+        .withColumn("_carry_dec", F.last("_last_dec", ignorenulls=True).over(before))
+        .select(*kb, "_carry_dec")
     )
+    # pass C: state = last decisive so far (in block, else carried, else initial)
+    z = y.join(dcarry, kb)
+    entering = F.coalesce(F.col("_carry_dec"), F.lit(initial))
+    z = z.withColumn("state", F.coalesce(F.last("_dec", ignorenulls=True).over(upto), entering))
+    z = z.withColumn("changed", F.col("state") != F.coalesce(F.lag("state").over(wb), entering))
+    return z.drop("_ok", "_blk", "_rl", "_prev", "_off", "_prev_last", "_carry_start", "_start", "_dec", "_carry_dec")
 
 
 def sort_by(df: DataFrame, spec: Sequence[tuple[str, str, str]]) -> DataFrame:

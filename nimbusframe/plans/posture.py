@@ -74,7 +74,7 @@ def db_instances(rds: DataFrame) -> DataFrame:
     return u.select("dbi.*")
 
 
-def _tcp_open(rules: DataFrame, ports: Iterable[int], cidr: str) -> Column:
+def _tcp_open(ports: Iterable[int], cidr: str) -> Column:
     return (F.col("IpProtocol") == "tcp") & range_covers("FromPort", "ToPort", ports) & (F.col("CidrIp") == cidr)
 
 
@@ -82,7 +82,7 @@ def open_port(rules: DataFrame, ports: int | Iterable[int], cidr: str = OPEN_CID
     """Q1-Q3: tcp rules whose port range covers any of ``ports``, open to ``cidr``.
     All-traffic rules carry no ports, so they never match here (as in SQL)."""
     pts = [ports] if isinstance(ports, int) else list(ports)
-    return rules.where(_tcp_open(rules, pts, cidr)).select(*RULE_COLUMNS)
+    return rules.where(_tcp_open(pts, cidr)).select(*RULE_COLUMNS)
 
 
 def all_traffic(rules: DataFrame, cidr: str = OPEN_CIDR) -> DataFrame:
@@ -125,9 +125,9 @@ def unencrypted_databases(dbs: DataFrame) -> DataFrame:
 
 def issue_predicates() -> dict[str, Column]:
     return {
-        ISSUE_LABELS[0]: _tcp_open(None, [SSH_PORT], OPEN_CIDR),
-        ISSUE_LABELS[1]: _tcp_open(None, [RDP_PORT], OPEN_CIDR),
-        ISSUE_LABELS[2]: _tcp_open(None, DATABASE_PORTS, OPEN_CIDR),
+        ISSUE_LABELS[0]: _tcp_open([SSH_PORT], OPEN_CIDR),
+        ISSUE_LABELS[1]: _tcp_open([RDP_PORT], OPEN_CIDR),
+        ISSUE_LABELS[2]: _tcp_open(DATABASE_PORTS, OPEN_CIDR),
         ISSUE_LABELS[3]: in_values("IpProtocol", ALL_TRAFFIC_PROTOCOLS) & (F.col("CidrIp") == OPEN_CIDR),
     }
 
@@ -166,9 +166,9 @@ DEFAULT_WEIGHTS = {
 def findings(rules: DataFrame, instances: DataFrame, dbs: DataFrame) -> DataFrame:
     """All findings as ``(resource_id, resource_type, issue)`` rows."""
     preds = {
-        "SSH_OPEN": _tcp_open(None, [SSH_PORT], OPEN_CIDR),
-        "RDP_OPEN": _tcp_open(None, [RDP_PORT], OPEN_CIDR),
-        "DB_PORT_OPEN": _tcp_open(None, DATABASE_PORTS, OPEN_CIDR),
+        "SSH_OPEN": _tcp_open([SSH_PORT], OPEN_CIDR),
+        "RDP_OPEN": _tcp_open([RDP_PORT], OPEN_CIDR),
+        "DB_PORT_OPEN": _tcp_open(DATABASE_PORTS, OPEN_CIDR),
         "ALL_TRAFFIC": in_values("IpProtocol", ALL_TRAFFIC_PROTOCOLS) & (F.col("CidrIp") == OPEN_CIDR),
     }
     # one pass over the rules: an array of the issues each rule raises, exploded

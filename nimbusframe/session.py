@@ -92,10 +92,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (parquet) lazily; column pruning and filter
-    pushdown happen when the plan is optimised."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    pushdown happen when the plan is optimised. The DataFrame (a plan, not
+    data) is reused per session and path, so the file listing and footer read
+    happen once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return df
 
 
 class Tables:

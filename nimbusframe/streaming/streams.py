@@ -135,8 +135,6 @@ def stream_alarm(
     current run of contiguous breaching periods. Output per period: ``state``
     ALARM/OK - the same as :func:`windows.alarm_states` on in-order input.
     A period older than the last one seen for its key is late and dropped."""
-    from nimbusframe.operators.windows import _OPS  # noqa: F401  (same operator names)
-
     cmp = {">": "gt", "GreaterThanThreshold": "gt", ">=": "ge", "GreaterThanOrEqualToThreshold": "ge",
            "<": "lt", "LessThanThreshold": "lt", "<=": "le", "LessThanOrEqualToThreshold": "le"}[op]
 

@@ -91,3 +91,38 @@ def test_alarm_and_health(spark):
     h = W.health_states(checks, ["tgt"], ["seq"], F.col("ok"), 3, 2).orderBy("seq").collect()
     assert [r.state for r in h] == ["healthy", "healthy", "healthy", "unhealthy", "unhealthy", "unhealthy", "unhealthy", "healthy", "healthy"]
     assert [r.seq for r in h if r.changed] == [3, 7]
+
+
+def _sequence_rows(spark, seed=11):
+    """A hot key (0) with most rows, sparse keys, runs crossing block edges, empty blocks."""
+    rnd = random.Random(seed)
+    data = []
+    t = 0
+    for i in range(1500):
+        k = 0 if rnd.random() < 0.6 else rnd.randint(1, 6)
+        t += rnd.choice([1, 1, 2, 5, 40])  # occasional long gaps leave blocks empty
+        ok = rnd.random() < (0.3 if (i // 50) % 2 else 0.8)
+        data.append((k, i, t, ok))
+    df = spark.createDataFrame(data, "k int, seq int, t long, ok boolean").withColumn(
+        "ts", F.col("t").cast("timestamp"))
+    return df
+
+
+def test_blocked_health_equals_unblocked(spark):
+    df = _sequence_rows(spark)
+    cols = ["k", "seq", "run_length", "state", "changed"]
+    plain = W.health_states(df, ["k"], ["ts", "seq"], F.col("ok"), 3, 2)
+    for block in (7, 50, 100000):
+        blocked = W.health_states(df, ["k"], ["ts", "seq"], F.col("ok"), 3, 2, block=block)
+        assert rows(blocked, *cols) == rows(plain, *cols)
+
+
+def test_blocked_versions_equal_unblocked(spark):
+    df = _sequence_rows(spark)
+    for block in (9, 64):
+        a = W.number_versions(df, ["k"], "ts", ["seq"], block=block)
+        b = W.number_versions(df, ["k"], "ts", ["seq"])
+        assert rows(a, "seq", "version_no", "is_latest") == rows(b, "seq", "version_no", "is_latest")
+        c = W.noncurrent_since(df, ["k"], "ts", ["seq"], block=block)
+        d = W.noncurrent_since(df, ["k"], "ts", ["seq"])
+        assert rows(c, "seq", "noncurrent_since") == rows(d, "seq", "noncurrent_since")
