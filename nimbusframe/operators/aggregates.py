@@ -28,9 +28,12 @@ def mapped_mean(
     dtype: str = "decimal(3,2)",
     digits: int | None = 2,
 ) -> Column:
-    """A2/A3 aggregate expression: mean of mapped values, exact decimal,
-    rounded HALF_UP to ``digits`` (the mean is kept at scale+4 first)."""
-    m = F.avg(map_values(col, mapping, default, dtype))
+    """A2/A3 aggregate expression: mean of mapped values, rounded HALF_UP to
+    ``digits``. The sum is an exact decimal divided by the count at high
+    scale (``avg`` on a decimal keeps only 4 extra digits, which can round a
+    large group's mean twice at x.xx5)."""
+    v = map_values(col, mapping, default, dtype)
+    m = F.sum(v.cast("decimal(12,2)") if dtype.startswith("decimal") else v) / F.count(v)
     return F.round(m, digits) if digits is not None else m
 
 
@@ -147,10 +150,13 @@ def metric_statistics(
     stats: Sequence[str] = ("avg", "max"),
 ) -> DataFrame:
     """Statistics per tumbling period (``'6 hours'``), windows aligned to
-    the epoch. Returns ``keys, window_start, window_end, <stat>_value...``."""
+    the epoch. Returns ``keys, window_start, window_end, <stat>_value...``.
+
+    A ``TIMESTAMP_NTZ`` column is windowed as is (wall-clock buckets, the same
+    in every session time zone); a ``TIMESTAMP`` column in UTC instants."""
     fns = {"avg": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
     aggs = [fns[s](value).alias(f"{s}_{value}") for s in stats]
-    w = F.window(F.col(ts).cast("timestamp"), period)
+    w = F.window(F.col(ts), period)
     out = df.groupBy(*keys, w.alias("_w")).agg(*aggs)
     return out.select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *[a for a in out.columns if a not in keys and a != "_w"])
 
