@@ -78,3 +78,38 @@ def test_change_stream_source_and_notification_sink(spark, tmpdir_path):
     assert rows(out, "subject") == [("[dev] Item Deleted: a2",), ("[dev] New Item Created: a1",)]
     IO.write_notifications(out, f"{tmpdir_path}/sns")
     assert spark.read.json(f"{tmpdir_path}/sns").count() == 2
+
+
+def test_version_deletes_and_markers(spark):
+    from nimbusframe.operators import changes as M
+
+    v = spark.createDataFrame([("a", "v1", "2024-01-01 00:00:00"), ("a", "v2", "2024-01-02 00:00:00"), ("b", "v1", "2024-01-01 00:00:00")],
+                              "key string, version_id string, last_modified string").withColumn(
+        "last_modified", F.col("last_modified").cast("timestamp")).withColumn("is_delete_marker", F.lit(False))
+    marked = M.mark_deleted(v, spark.createDataFrame([("a",)], "key string"), "key", "version_id", "last_modified", now="2024-01-03 00:00:00")
+    assert marked.count() == 4
+    assert rows(M.current_objects(marked, "key", "last_modified"), "key") == [("b",)]
+    # removing the marker version brings the object back
+    gone = M.delete_version(marked, "key", "version_id", marked.where("is_delete_marker"))
+    assert rows(M.current_objects(gone, "key", "last_modified"), "key", "version_id") == [("a", "v2"), ("b", "v1")]
+
+
+def test_join_chain_and_inline_rows(spark):
+    from nimbusframe.operators import joins as J
+
+    fact = IO.inline_table(spark, [(1, 10, 100), (2, 20, 200)], "e int, s int, c int")
+    s = IO.inline_table(spark, [(10, "ann")], "s int, name string")
+    c = IO.inline_table(spark, [(100, "CS101"), (200, "MATH1")], "c int, code string")
+    out = J.join_chain(fact, [(s, "s", "left"), (c, "c", "inner")])
+    assert rows(out, "e", "name", "code") == [(1, "ann", "CS101"), (2, None, "MATH1")]
+
+
+def test_small_scalars(spark):
+    df = spark.createDataFrame([("12.345", 0, "")], "t string, z int, e string")
+    r = df.select(
+        S.to_decimal("t", 10, 3).alias("d"), S.round_half_up(F.lit(2.675), 2).alias("r"),
+        S.row_to_json("z", "e").alias("j"), S.is_present("z", "truthy").alias("zt"), S.is_present("z").alias("zn"),
+        S.is_present("e", "non_empty").alias("en"), S.to_date_literal("2024-02-29").alias("day"),
+    ).first()
+    assert str(r.d) == "12.345" and r.r == 2.68 and r.j == '{"z":0,"e":""}'
+    assert (r.zt, r.zn, r.en) == (False, True, False) and str(r.day) == "2024-02-29"
