@@ -249,8 +249,11 @@ def enrolment_list(r: Roster) -> DataFrame:
 
 
 def at_risk(items: DataFrame, score: str = "Grade", below: float = 80) -> DataFrame:
-    """Items with ``score < below`` (a filtered scan)."""
-    return items.where(F.col(score) < F.lit(below))
+    """Items with ``score < below`` - a filtered scan with the bound
+    parameter passed to Spark's parser (P5/X4), never pasted into the text."""
+    from nimbusframe.operators.predicates import scan
+
+    return scan(items, f"`{score}` < :below", {"below": below})
 
 
 def course_popularity(items: DataFrame, course: str = "CourseID") -> DataFrame:

@@ -20,36 +20,33 @@ from nimbusframe.plans.reports import Roster
 # --- security inventory --------------------------------------------------------
 
 
-def _protocol(c_flag):
-    return F.when(c_flag == "R", F.lit("-1")).when(c_flag == "A", F.lit("udp")).otherwise(F.lit("tcp"))
+# The nested builders are single SQL projections: one expression tree sent to
+# the JVM at once (instead of one py4j call per Column operation).
+_SG_DOC_SQL = """
+array(named_struct(
+  'GroupId', concat('sg-', CAST(l_orderkey AS STRING)),
+  'GroupName', concat('group-', CAST(l_suppkey AS STRING)),
+  'Description', concat('rules of supplier ', CAST(l_suppkey AS STRING)),
+  'VpcId', concat('vpc-', CAST(l_suppkey AS STRING)),
+  'IpPermissions', CASE WHEN l_discount > 0 THEN array(named_struct(
+      'IpProtocol', CASE l_returnflag WHEN 'R' THEN '-1' WHEN 'A' THEN 'udp' ELSE 'tcp' END,
+      'FromPort', CASE WHEN l_returnflag = 'R' THEN CAST(NULL AS BIGINT) ELSE pmod(floor(l_extendedprice), 4000) END,
+      'ToPort', CASE WHEN l_returnflag = 'R' THEN CAST(NULL AS BIGINT)
+                     ELSE pmod(floor(l_extendedprice), 4000) + floor(l_tax * 1000) END,
+      'IpRanges', CASE WHEN l_linestatus = 'O' AND l_tax > 0.05
+                       THEN array(named_struct('CidrIp', '0.0.0.0/0'), named_struct('CidrIp', '10.0.0.0/8'))
+                       WHEN l_linestatus = 'O' THEN array(named_struct('CidrIp', '0.0.0.0/0'))
+                       ELSE array(named_struct('CidrIp', concat('10.', CAST(pmod(l_suppkey, 256) AS STRING), '.0.0/16'))) END))
+    ELSE CAST(array() AS ARRAY<STRUCT<IpProtocol: STRING, FromPort: BIGINT, ToPort: BIGINT, IpRanges: ARRAY<STRUCT<CidrIp: STRING>>>>)
+  END
+)) AS SecurityGroups"""
 
 
 def security_group_docs(lineitem: DataFrame) -> DataFrame:
     """One document per lineitem row holding one group (id ``sg-<order>``) with
     zero or one permission (none when the discount is 0) and one or two
     address ranges. All-traffic rules (protocol ``-1``) carry no ports."""
-    proto = _protocol(F.col("l_returnflag"))
-    from_port = F.when(proto == "-1", F.lit(None).cast("bigint")).otherwise(F.pmod(F.floor("l_extendedprice"), F.lit(4000)))
-    to_port = from_port + F.floor(F.col("l_tax") * 1000)
-    ranges = (
-        F.when((F.col("l_linestatus") == "O") & (F.col("l_tax") > 0.05),
-               F.array(F.struct(F.lit("0.0.0.0/0").alias("CidrIp")), F.struct(F.lit("10.0.0.0/8").alias("CidrIp"))))
-        .when(F.col("l_linestatus") == "O", F.array(F.struct(F.lit("0.0.0.0/0").alias("CidrIp"))))
-        .otherwise(F.array(F.struct(F.concat(F.lit("10."), F.pmod(F.col("l_suppkey"), F.lit(256)).cast("string"), F.lit(".0.0/16")).alias("CidrIp"))))
-    )
-    perm = F.struct(proto.alias("IpProtocol"), from_port.alias("FromPort"), to_port.alias("ToPort"), ranges.alias("IpRanges"))
-    # a group without permissions when the discount is 0 (typed empty array,
-    # not a higher-order filter, so the projection stays in whole-stage codegen)
-    perm_type = "array<struct<IpProtocol:string,FromPort:bigint,ToPort:bigint,IpRanges:array<struct<CidrIp:string>>>>"
-    perms = F.when(F.col("l_discount") > 0, F.array(perm)).otherwise(F.array().cast(perm_type))
-    group = F.struct(
-        F.concat(F.lit("sg-"), F.col("l_orderkey").cast("string")).alias("GroupId"),
-        F.concat(F.lit("group-"), F.col("l_suppkey").cast("string")).alias("GroupName"),
-        F.concat(F.lit("rules of supplier "), F.col("l_suppkey").cast("string")).alias("Description"),
-        F.concat(F.lit("vpc-"), F.col("l_suppkey").cast("string")).alias("VpcId"),
-        perms.alias("IpPermissions"),
-    )
-    return lineitem.select(F.array(group).alias("SecurityGroups"))
+    return lineitem.selectExpr(_SG_DOC_SQL)
 
 
 SG_RULES_SQL = """
@@ -70,23 +67,28 @@ sg_rules AS (
 )"""
 
 
+_INSTANCE_DOC_SQL = """
+array(named_struct(
+  'ReservationId', concat('r-', CAST(o_custkey AS STRING)),
+  'Instances', array(named_struct(
+    'InstanceId', concat('i-', CAST(o_orderkey AS STRING)),
+    'InstanceType', o_orderpriority,
+    'SubnetId', concat('subnet-', CAST(o_custkey AS STRING)),
+    'VpcId', concat('vpc-', CAST(o_custkey AS STRING)),
+    'PrivateIpAddress', concat('ip-', CAST(o_orderkey AS STRING)),
+    'PublicIpAddress', CASE WHEN o_orderstatus = 'O' THEN concat('203.0.113.', CAST(pmod(o_custkey, 256) AS STRING)) END,
+    'State', named_struct('Name', CASE WHEN o_orderstatus = 'F' THEN 'stopped' ELSE 'running' END),
+    'SecurityGroups', array(named_struct('GroupId', concat('sg-', CAST(o_orderkey AS STRING)))),
+    'Tags', CASE WHEN o_orderpriority = '1-URGENT' THEN array(named_struct('Key', 'env', 'Value', 'prod'))
+                 ELSE CAST(array() AS ARRAY<STRUCT<Key: STRING, Value: STRING>>) END
+  ))
+)) AS Reservations"""
+
+
 def instance_docs(orders: DataFrame) -> DataFrame:
     """One reservation per order row with one instance attached to group
     ``sg-<order>``; open orders have a public address; urgent ones carry a tag."""
-    inst = F.struct(
-        F.concat(F.lit("i-"), F.col("o_orderkey").cast("string")).alias("InstanceId"),
-        F.col("o_orderpriority").alias("InstanceType"),
-        F.concat(F.lit("subnet-"), F.col("o_custkey").cast("string")).alias("SubnetId"),
-        F.concat(F.lit("vpc-"), F.col("o_custkey").cast("string")).alias("VpcId"),
-        F.concat(F.lit("ip-"), F.col("o_orderkey").cast("string")).alias("PrivateIpAddress"),
-        F.when(F.col("o_orderstatus") == "O", F.concat(F.lit("203.0.113."), F.pmod(F.col("o_custkey"), F.lit(256)).cast("string"))).alias("PublicIpAddress"),
-        F.struct(F.when(F.col("o_orderstatus") == "F", F.lit("stopped")).otherwise(F.lit("running")).alias("Name")).alias("State"),
-        F.array(F.struct(F.concat(F.lit("sg-"), F.col("o_orderkey").cast("string")).alias("GroupId"))).alias("SecurityGroups"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.array(F.struct(F.lit("env").alias("Key"), F.lit("prod").alias("Value"))))
-        .otherwise(F.array().cast("array<struct<Key:string,Value:string>>")).alias("Tags"),
-    )
-    res = F.struct(F.concat(F.lit("r-"), F.col("o_custkey").cast("string")).alias("ReservationId"), F.array(inst).alias("Instances"))
-    return orders.select(F.array(res).alias("Reservations"))
+    return orders.selectExpr(_INSTANCE_DOC_SQL)
 
 
 EC2_SQL = """
