@@ -14,6 +14,7 @@ fills in settings that are not already set.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -63,6 +64,32 @@ def get_session(
     return spark
 
 
+def scale_conf(shuffle_bytes: int, total_cores: int, partition_bytes: int = 512 << 20) -> dict[str, str]:
+    """Starting settings for a large cluster run, from the expected shuffle
+    volume (after pruning and partial aggregation - usually far below the
+    input size) and the total executor cores.
+
+    * initial shuffle partitions = shuffle bytes / ``partition_bytes``, at
+      least 3 x cores and at most 100k; AQE coalesces from there to
+      ``advisoryPartitionSizeInBytes`` and splits skewed partitions;
+    * input splits of 512 MB, so a 100 TB scan is ~200k tasks, not millions;
+    * a 64 MB broadcast limit: AQE converts a join only when the measured side
+      is below it, and every side broadcast by hint has a proven row bound.
+
+    Pass the result to ``get_session(conf=...)`` or ``spark-submit --conf``."""
+    initial = min(100_000, max(3 * total_cores, math.ceil(shuffle_bytes / partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
