@@ -82,12 +82,22 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 
 def main(argv):
+    plain = "--plain" in argv
+    argv = [a for a in argv if a != "--plain"]
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv[1:] if not a.startswith("/")]
-    from nimbusframe.session import get_session
     import __spark_entry__ as E
 
-    spark = get_session("local[8]", shuffle_partitions=8, conf={"spark.driver.memory": "8g"})
+    if plain:
+        # a bare session, as a caller that never used get_session would build it
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        from nimbusframe.session import get_session
+
+        spark = get_session("local[8]", shuffle_partitions=8, conf={"spark.driver.memory": "8g"})
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
