@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,6 +120,10 @@ def _double(period: str) -> str:
 
 # --- T4: stateful alarm -------------------------------------------------------
 
+_OP_NAMES = {">": "gt", "GreaterThanThreshold": "gt", ">=": "ge", "GreaterThanOrEqualToThreshold": "ge",
+             "<": "lt", "LessThanThreshold": "lt", "<=": "le", "LessThanOrEqualToThreshold": "le"}
+_NP_OPS = {"gt": np.greater, "ge": np.greater_equal, "lt": np.less, "le": np.less_equal}
+
 
 def stream_alarm(
     stats: DataFrame,
@@ -135,24 +140,33 @@ def stream_alarm(
     current run of contiguous breaching periods. Output per period: ``state``
     ALARM/OK - the same as :func:`windows.alarm_states` on in-order input.
     A period older than the last one seen for its key is late and dropped."""
-    cmp = {">": "gt", "GreaterThanThreshold": "gt", ">=": "ge", "GreaterThanOrEqualToThreshold": "ge",
-           "<": "lt", "LessThanThreshold": "lt", "<=": "le", "LessThanOrEqualToThreshold": "le"}[op]
+    cmp = _OP_NAMES[op]
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last_ts, run = (state.get if state.exists else (None, 0))
+        last_ts, run = state.get if state.exists else (None, 0)
         rows = pd.concat(list(pdfs), ignore_index=True).sort_values(period_start, kind="stable")
-        out = []
-        for ts_v, v in zip(rows[period_start], rows[value]):
-            t = int(pd.Timestamp(ts_v).value // 10**9)
-            if last_ts is not None and t <= last_ts:
-                continue
-            breach = bool(pd.notna(v) and getattr(pd.Series([v]), cmp)(threshold).iloc[0])
-            contiguous = last_ts is not None and t - last_ts == period_seconds
-            run = (run + 1 if contiguous else 1) if breach else 0
-            last_ts = t
-            out.append((k[0], pd.Timestamp(ts_v), v, breach, "ALARM" if run >= n else "OK"))
-        state.update((last_ts, run))
-        yield pd.DataFrame(out, columns=[key, period_start, value, "breaching", "state"])
+        t = rows[period_start].astype("datetime64[ns]").astype("int64").to_numpy() // 10**9
+        keep = np.ones(len(t), dtype=bool) if last_ts is None else t > last_ts
+        rows, t = rows[keep], t[keep]
+        if len(t) == 0:
+            return
+        v = rows[value].to_numpy(dtype="float64")
+        with np.errstate(invalid="ignore"):
+            breach = _NP_OPS[cmp](v, threshold) & ~np.isnan(v)
+        prev = np.concatenate([[last_ts if last_ts is not None else -(10**18)], t[:-1]])
+        contiguous = (t - prev) == period_seconds
+        # a run of breaching, contiguous periods continues; anything else restarts it
+        reset = ~(breach & contiguous)
+        pos = np.arange(len(t))
+        last_reset = np.maximum.accumulate(np.where(reset, pos, -1))
+        base = np.where(last_reset >= 0, breach[np.maximum(last_reset, 0)].astype("int64"), run)
+        # after a reset at r: base + (pos - r); with no reset yet: carried run + pos + 1
+        runs = np.where(breach, base + pos - np.where(last_reset >= 0, last_reset, -1), 0)
+        state.update((int(t[-1]), int(runs[-1])))
+        yield pd.DataFrame({
+            key: [k[0]] * len(t), period_start: pd.to_datetime(t, unit="s"), value: v,
+            "breaching": breach, "state": np.where(runs >= n, "ALARM", "OK"),
+        })
 
     schema = f"{key} {dict(stats.dtypes)[key]}, {period_start} timestamp, {value} double, breaching boolean, state string"
     src = stats.select(key, F.col(period_start).cast("timestamp").alias(period_start), F.col(value).cast("double").alias(value))
@@ -187,23 +201,29 @@ def stream_health(
         else:
             health, run_ok, run_len, last_ts, last_tie = initial, None, 0, None, None
         rows = pd.concat(list(pdfs), ignore_index=True).sort_values([ts, tie], kind="stable")
-        out = []
-        for t_v, tie_v, ok_v in zip(rows[ts], rows[tie], rows[ok]):
-            t = int(pd.Timestamp(t_v).value // 1000)
-            if last_ts is not None and (t, tie_v) <= (last_ts, last_tie):
-                continue
-            okb = bool(ok_v) if pd.notna(ok_v) else False
-            run_len = run_len + 1 if run_ok is not None and okb == run_ok else 1
-            run_ok = okb
-            before = health
-            if not okb and run_len == unhealthy_after:
-                health = "unhealthy"
-            elif okb and run_len == healthy_after:
-                health = "healthy"
-            last_ts, last_tie = t, tie_v
-            out.append((k[0], pd.Timestamp(t_v), tie_v, okb, run_len, health, health != before))
-        state.update((health, run_ok, run_len, last_ts, last_tie))
-        yield pd.DataFrame(out, columns=[key, ts, tie, ok, "run_length", "state", "changed"])
+        t = rows[ts].astype("datetime64[ns]").astype("int64").to_numpy() // 1000
+        tie_v = rows[tie].to_numpy()
+        if last_ts is not None:
+            keep = (t > last_ts) | ((t == last_ts) & (tie_v > last_tie))
+            rows, t, tie_v = rows[keep], t[keep], tie_v[keep]
+        if len(t) == 0:
+            return
+        okb = rows[ok].fillna(False).to_numpy(dtype=bool)
+        pos = np.arange(len(okb))
+        change = np.empty(len(okb), dtype=bool)
+        change[0] = run_ok is None or bool(okb[0]) != bool(run_ok)
+        change[1:] = okb[1:] != okb[:-1]
+        start = np.maximum.accumulate(np.where(change, pos, -1))
+        # before the first change the carried run goes on
+        runs = np.where(start >= 0, pos - start + 1, run_len + pos + 1)
+        dec = np.where(~okb & (runs == unhealthy_after), "unhealthy", np.where(okb & (runs == healthy_after), "healthy", None))
+        states = pd.Series(dec, dtype="object").ffill().fillna(health).to_numpy()
+        before = np.concatenate([[health], states[:-1]])
+        state.update((str(states[-1]), bool(okb[-1]), int(runs[-1]), int(t[-1]), tie_v[-1].item() if hasattr(tie_v[-1], "item") else tie_v[-1]))
+        yield pd.DataFrame({
+            key: [k[0]] * len(t), ts: pd.to_datetime(t, unit="us"), tie: tie_v, ok: okb,
+            "run_length": runs.astype("int64"), "state": states, "changed": states != before,
+        })
 
     types = dict(checks.dtypes)
     schema = (f"{key} {types[key]}, {ts} timestamp, {tie} {types[tie]}, {ok} boolean, run_length long, "

@@ -129,3 +129,28 @@ def test_sinks_are_idempotent_per_batch_id(spark, tmpdir_path):
     assert rows(spark.read.parquet(f"{tmpdir_path}/state/v=0")) == first
     sink(ev.where("event_type = 'view'"), 1)
     assert rows(spark.read.parquet(f"{tmpdir_path}/state/v=1")) == first
+
+
+def test_stateful_streams_carry_runs_across_micro_batches(spark, tmpdir_path):
+    # one period (and one check) per file and per micro-batch: every run crosses batch edges
+    ts = [f"2024-01-01 {h:02d}:00:00" for h in range(12)]
+    vals = [2.0, 3.0, 4.0, 0.5, 2.0, 2.0, 2.0, 0.1, 5.0, 5.0, 5.0, 5.0]
+    stats = spark.createDataFrame([("m", t, v) for t, v in zip(ts, vals)], "m string, t string, v double").withColumn(
+        "t", F.col("t").cast("timestamp"))
+    for i in range(len(ts)):
+        stats.where(F.col("t") == F.lit(ts[i]).cast("timestamp")).coalesce(1).write.parquet(f"{tmpdir_path}/stats/p={i:02d}")
+    src = spark.readStream.schema(stats.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmpdir_path}/stats")
+    T.run_available_now(T.stream_alarm(src, "m", "t", "v", 3600, ">", 1.0, 3), f"{tmpdir_path}/ck1", path=f"{tmpdir_path}/a")
+    got = rows(spark.read.parquet(f"{tmpdir_path}/a"), "t", "state")
+    want = rows(W.alarm_states(stats, ["m"], "t", "v", 3600, ">", 1.0, 3), "t", "state")
+    assert got == want and [s for _, s in got].count("ALARM") == 4
+
+    oks = [True, False, False, False, True, True, False, False, False, True, False, True, True]
+    checks = spark.createDataFrame([("x", i, f"2024-01-01 00:{i:02d}:00", ok) for i, ok in enumerate(oks)],
+                                   "tgt string, seq int, ts string, ok boolean").withColumn("ts", F.col("ts").cast("timestamp"))
+    for i in range(len(oks)):
+        checks.where(F.col("seq") == i).coalesce(1).write.parquet(f"{tmpdir_path}/checks/p={i:02d}")
+    csrc = spark.readStream.schema(checks.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmpdir_path}/checks")
+    T.run_available_now(T.stream_health(csrc, "tgt", "ts", "seq", "ok", 3, 2), f"{tmpdir_path}/ck2", path=f"{tmpdir_path}/h")
+    cols = ["seq", "run_length", "state", "changed"]
+    assert rows(spark.read.parquet(f"{tmpdir_path}/h"), *cols) == rows(W.health_states(checks, ["tgt"], ["ts", "seq"], F.col("ok"), 3, 2), *cols)
