@@ -123,10 +123,10 @@ def department_average(r: Roster, scale: Mapping[str, str] = GRADE_POINTS_6) ->
 
 def cross_department(r: Roster) -> DataFrame:
     """Q13: students enrolled in more than one department, with the sorted
-    list of departments (STRING_AGG DISTINCT). Distinct (student, course) and
-    then (student, department) pairs are formed before grouping, so the
-    per-student set is bounded by the number of departments."""
-    e = r.enrollments.select(F.col(r.e_student).alias(r.student_id), F.col(r.e_course).alias(r.course_id)).distinct()
+    list of departments (STRING_AGG DISTINCT). Distinct (student, department)
+    pairs are formed before grouping (partial aggregation removes repeats
+    map-side), so the per-student set is bounded by the number of departments."""
+    e = r.enrollments.select(F.col(r.e_student).alias(r.student_id), F.col(r.e_course).alias(r.course_id))
     c = r.courses.select(r.course_id, r.department)
     sd = e.join(c, r.course_id).select(r.student_id, r.department).distinct()
     per = (
