@@ -87,10 +87,41 @@ def alarm_states(
     )
 
 
-def _block_id(ts: str, block: int) -> Column:
+def _block_id(ts: str, block: int | str) -> Column:
+    """Time block of width ``block`` seconds, or an existing block column when
+    ``block`` is a column name (e.g. from :func:`volume_blocks`)."""
+    if isinstance(block, str):
+        return F.col(block)
     return F.floor(F.col(ts).cast("timestamp").cast("double") / F.lit(block)).cast("bigint")
 
 
+def volume_blocks(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    rows_per_block: int,
+    pieces: int = 64,
+    name: str = "_vblk",
+) -> DataFrame:
+    """Add a block column that splits every key with more than
+    ``rows_per_block`` rows into about ``pieces`` blocks of similar volume
+    (cut at the key's approximate ``ts`` quantiles); other keys get block 0.
+
+    Counts and quantiles are aggregates with map-side combine, and the
+    boundaries are one row per hot key, so no step gathers a key's rows.
+    Equal timestamps always share a block, and blocks increase with ``ts``
+    within a key, which is what the blocked W3-W5 need (pass ``block=name``)."""
+    t = F.col(ts).cast("timestamp").cast("double")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
+    hot = counts.where(F.col("_cnt") > rows_per_block).select(*keys)
+    probs = [i / pieces for i in range(1, pieces)]
+    bounds = df.join(hot, list(keys), "left_semi").groupBy(*keys).agg(
+        F.percentile_approx(t, probs, 10000).alias("_bounds"))
+    out = df.join(bounds, list(keys), "left")
+    blk = F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b < t)), F.lit(0)).cast("bigint")
+    return out.withColumn(name, F.when(F.col("_bounds").isNull(), F.lit(0).cast("bigint")).otherwise(blk)).drop("_bounds")
+
+
 def health_states(
     checks: DataFrame,
     keys: Sequence[str],
@@ -99,7 +130,7 @@ def health_states(
     unhealthy_after: int,
     healthy_after: int,
     initial: str = "healthy",
-    block: int | None = None,
+    block: int | str | None = None,
 ) -> DataFrame:
     """Health state after every check. ``unhealthy_after`` consecutive
     failures make a target unhealthy, ``healthy_after`` consecutive successes
@@ -111,7 +142,8 @@ def health_states(
     (the check that flipped the state).
 
     With ``block`` (seconds; ``order[0]`` must be the timestamp) the same
-    result is computed per (key, time block) - see the module doc."""
+    result is computed per (key, time block) - see the module doc. ``block``
+    may also name a block column (:func:`volume_blocks`)."""
     if block:
         return _health_states_blocked(checks, keys, order, ok, unhealthy_after, healthy_after, initial, block)
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -134,7 +166,7 @@ def health_states(
 
 
 def noncurrent_since(df: DataFrame, keys: Sequence[str], modified: str, tie: Sequence[str] = (),
-                     name: str = "noncurrent_since", block: int | None = None) -> DataFrame:
+                     name: str = "noncurrent_since", block: int | str | None = None) -> DataFrame:
     """A version becomes noncurrent when the next version of its key is
     written: ``lead(modified)``; NULL for the current version.
 
@@ -153,7 +185,7 @@ def noncurrent_since(df: DataFrame, keys: Sequence[str], modified: str, tie: Seq
 
 
 def number_versions(df: DataFrame, keys: Sequence[str], modified: str, tie: Sequence[str] = (),
-                    block: int | None = None) -> DataFrame:
+                    block: int | str | None = None) -> DataFrame:
     """``version_no`` 1 = newest, and ``is_latest``.
 
     With ``block`` (seconds) rows are numbered inside each (key, time block)

@@ -126,3 +126,19 @@ def test_blocked_versions_equal_unblocked(spark):
         c = W.noncurrent_since(df, ["k"], "ts", ["seq"], block=block)
         d = W.noncurrent_since(df, ["k"], "ts", ["seq"])
         assert rows(c, "seq", "noncurrent_since") == rows(d, "seq", "noncurrent_since")
+
+
+def test_volume_blocks_split_hot_keys_and_keep_results(spark):
+    df = _sequence_rows(spark)
+    vb = W.volume_blocks(df, ["k"], "ts", rows_per_block=100, pieces=16)
+    sizes = {(r.k, r._vblk): r["count"] for r in vb.groupBy("k", "_vblk").count().collect()}
+    hot_total = sum(n for (k, _b), n in sizes.items() if k == 0)
+    assert max(n for (k, _b), n in sizes.items() if k == 0) <= 3 * hot_total / 16
+    assert all(b == 0 for (k, b) in sizes if k != 0 and sum(n for (k2, _), n in sizes.items() if k2 == k) <= 100)
+    cols = ["k", "seq", "run_length", "state", "changed"]
+    plain = W.health_states(df, ["k"], ["ts", "seq"], F.col("ok"), 3, 2)
+    assert rows(W.health_states(vb, ["k"], ["ts", "seq"], F.col("ok"), 3, 2, block="_vblk"), *cols) == rows(plain, *cols)
+    a = W.number_versions(vb, ["k"], "ts", ["seq"], block="_vblk")
+    assert rows(a, "seq", "version_no") == rows(W.number_versions(df, ["k"], "ts", ["seq"]), "seq", "version_no")
+    c = W.noncurrent_since(vb, ["k"], "ts", ["seq"], block="_vblk")
+    assert rows(c, "seq", "noncurrent_since") == rows(W.noncurrent_since(df, ["k"], "ts", ["seq"]), "seq", "noncurrent_since")
