@@ -149,7 +149,7 @@ def overlapping_pairs(
     a = df.select(*keys, F.col(id_col).alias(f"{id_col}_a"), F.col(lo).alias("_lo_a"), F.col(hi).alias("_hi_a"))
     b = df.select(*keys, F.col(id_col).alias(f"{id_col}_b"), F.col(lo).alias("_lo_b"), F.col(hi).alias("_hi_b"))
     pairs = range_overlap_join(a, b, ("_lo_a", "_hi_a"), ("_lo_b", "_hi_b"), bucket_width, keys)
-    return pairs.where(F.col(f"{id_col}_a") < F.col(f"{id_col}_b"))
+    return pairs.where(F.col(f"{id_col}_a") < F.col(f"{id_col}_b")).select(*keys, f"{id_col}_a", f"{id_col}_b")
 
 
 def count_at_most(
