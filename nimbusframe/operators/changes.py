@@ -104,11 +104,14 @@ def put_if_absent(state: DataFrame, rows: DataFrame, keys: Sequence[str], order:
     """M3: conditional put - only when the key is absent. The first request per
     new key succeeds; later ones for that key and all for existing keys are
     rejected (``status`` 'ConditionalCheckFailed')."""
-    first = _pick_per_key(rows, keys, order, last=False)
-    accepted = _align(first.join(state.select(*keys), list(keys), "left_anti"), state)
-    rejected = rows.join(accepted, [c for c in rows.columns if c in accepted.columns], "left_anti").withColumn(
-        "status", F.lit("ConditionalCheckFailed")
-    )
+    existing = rows.join(state.select(*keys), list(keys), "left_semi")
+    fresh = rows.join(state.select(*keys), list(keys), "left_anti")
+    first = _pick_per_key(fresh, keys, order, last=False).select(*rows.columns)
+    # every other request for a new key fails: an exact multiset difference
+    # (NULL-safe, duplicates counted), not an anti-join on all columns
+    later = fresh.exceptAll(first)
+    rejected = existing.unionByName(later).withColumn("status", F.lit("ConditionalCheckFailed"))
+    accepted = _align(first, state)
     return Change(state.unionByName(accepted), accepted=accepted, rejected=rejected)
 
 
@@ -555,7 +558,10 @@ def lifecycle_actions(
         if r.get("noncurrent_days") is not None:
             due = covers & is_nc & (nc_age >= F.lit(r["noncurrent_days"]))
             cands.append(F.when(due, F.struct(F.lit(2000).alias("s"), F.lit("DELETE_NONCURRENT").alias("a"), rid.alias("r"))))
-    best = F.greatest(*cands) if len(cands) > 1 else (cands[0] if cands else F.lit(None))
+    if not cands:
+        return objects.withColumn("age_days", age).withColumn("action", F.lit("NONE")).withColumn(
+            "rule_id", F.lit(None).cast("string"))
+    best = F.greatest(*cands) if len(cands) > 1 else cands[0]
     return (
         objects.withColumn("age_days", age)
         .withColumn("_best", best)

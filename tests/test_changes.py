@@ -156,3 +156,15 @@ def test_basket_totals(spark):
     df = df.withColumn("price", F.col("price").cast("decimal(10,2)"))
     r = A.basket_totals(df, "basket", "product", "qty", "price").first()
     assert (r.products, r.items, str(r.grand_total)) == (2, 4, "3.35")
+
+
+def test_put_if_absent_null_attributes_and_duplicates(spark):
+    s = seed(spark)
+    new = spark.createDataFrame([("S7", "X", None, 1), ("S7", "X", None, 1), ("S8", "Y", None, 2), ("S1001", "CS101", None, 3)], SCHEMA)
+    r = M.put_if_absent(s, new, KEYS)
+    assert rows(r.accepted, "StudentID") == [("S7",), ("S8",)]
+    assert rows(r.rejected, "StudentID") == [("S1001",), ("S7",)]
+    assert r.accepted.count() + r.rejected.count() == new.count()
+    none = M.lifecycle_actions(spark.createDataFrame([("a", "2024-01-01 00:00:00")], "key string, m string")
+                               .withColumn("m", F.col("m").cast("timestamp")), [], "key", "m", "2024-02-01 00:00:00")
+    assert none.first().action == "NONE"
