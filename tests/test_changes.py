@@ -168,3 +168,35 @@ def test_put_if_absent_null_attributes_and_duplicates(spark):
     none = M.lifecycle_actions(spark.createDataFrame([("a", "2024-01-01 00:00:00")], "key string, m string")
                                .withColumn("m", F.col("m").cast("timestamp")), [], "key", "m", "2024-02-01 00:00:00")
     assert none.first().action == "NONE"
+
+
+def test_evaluate_requests_statuses_and_state(spark):
+    from nimbusframe.operators.requests import evaluate_requests
+
+    stores = spark.createDataFrame([(1, "Main", "1 Road")], "store_id long, name string, address string")
+    items = spark.createDataFrame([(10, 1, "milk", 5, 1.5)], "item_id long, store_id long, item_name string, quantity int, price double")
+    prices = spark.createDataFrame([], "gas_price_id long, store_id long, fuel_type string, price double, last_updated timestamp")
+    reqs = [
+        ("r1", 1, '{"action": "addStore", "name": "North", "address": "2 Lane"}'),
+        ("r2", 2, '{"action": "addStore", "name": "Nowhere"}'),
+        ("r3", 3, '{"action": "getStore", "store_id": 99}'),
+        ("r4", 4, '{"action": "addItemToStore", "payload": {"store_id": 1, "item_name": "bread", "quantity": 3, "price": 2.25}}'),
+        ("r5", 5, '{"action": "addItemToStore", "payload": {"store_id": 7, "item_name": "eggs"}}'),
+        ("r6", 6, '{"action": "updateItemQuantity", "payload": {"item_id": 10, "quantity": 9}}'),
+        ("r7", 7, '{"action": "updateItemQuantity", "payload": {"item_id": 77, "quantity": 1}}'),
+        ("r8", 8, 'not json'),
+        ("r9", 9, '{"action": "dropStore"}'),
+        ("r10", 10, '{"action": "updateGasPrice", "payload": {"store_id": 1, "fuel_type": "diesel", "price": 3.1}}'),
+        ("r11", 11, '{"action": "updateGasPrice", "payload": {"store_id": 1, "fuel_type": "diesel", "price": 0}}'),
+        ("r12", 12, '{"action": "getStoreInventory", "payload": {"store_id": 0}}'),
+        ("r13", 13, '{"action": "listStores"}'),
+    ]
+    r = evaluate_requests(spark.createDataFrame(reqs, "request_id string, seq int, body string"), stores, items, prices,
+                          order=["seq"], now="2024-01-01 00:00:00")
+    got = {x.request_id: x.status for x in r.responses.collect()}
+    assert got == {"r1": 201, "r2": 400, "r3": 404, "r4": 200, "r5": 404, "r6": 200, "r7": 404, "r8": 400,
+                   "r9": 400, "r10": 200, "r11": 200, "r12": 400, "r13": 200}
+    assert rows(r.stores, "store_id", "name") == [(1, "Main"), (2, "North")]
+    assert rows(r.items, "item_id", "item_name", "quantity") == [(10, "milk", 9), (11, "bread", 3)]
+    # the later price request wins, and a price of 0 is accepted (``is not None``)
+    assert rows(r.prices, "gas_price_id", "store_id", "fuel_type", "price") == [(1, 1, "diesel", 0.0)]
