@@ -199,18 +199,41 @@ def overlap_counts(
     name: str = "overlaps",
 ) -> DataFrame:
     """J10 without pairs: for every range, how many *other* ranges of the same
-    keys overlap it (closed ranges). ``#(lo_j <= hi_i) - #(hi_j < lo_i) - 1``
-    - each term a :func:`count_at_most`, so the cost is a few sorts and
-    aggregations, never the number of overlapping pairs (which grows
-    quadratically when ranges are long or one key is hot)."""
+    keys overlap it (closed ranges): ``#(lo_j <= hi_i) - #(hi_j < lo_i) - 1``.
+
+    One sorted pass computes both counts: four event kinds per key - starts,
+    "<" queries (at ``lo``), "<=" queries (at ``hi``) and ends, ordered in that
+    sequence at equal times - carry a running count of starts and of ends.
+    As in :func:`count_at_most` the running counts are taken per (key, time
+    block) plus a carry from one row per earlier block, so the cost is a sort
+    and a few aggregations, never the number of overlapping pairs (which
+    grows quadratically when ranges are long or one key is hot)."""
+    keys = list(keys)
+    idt = df.schema[id_col].dataType
     rows = df.select(*keys, id_col, lo, hi)
-    starts_le_hi = count_at_most(rows.select(*keys, F.col(lo).alias("_x")), rows.select(*keys, id_col, F.col(hi).alias("_x")),
-                                 keys, "_x", id_col, block).withColumnRenamed("n", "_a")
-    ends_lt_lo = count_at_most(rows.select(*keys, F.col(hi).alias("_x")), rows.select(*keys, id_col, F.col(lo).alias("_x")),
-                               keys, "_x", id_col, block, strict=True).withColumnRenamed("n", "_b")
-    return starts_le_hi.join(ends_lt_lo, list(keys) + [id_col]).select(
-        *keys, id_col, (F.col("_a") - F.col("_b") - 1).alias(name)
+    none = F.lit(None).cast(idt)
+    # kind: 0 start, 1 "<" query at lo, 2 "<=" query at hi, 3 end
+    ev = (
+        rows.select(*keys, F.col(lo).alias("_t"), F.lit(0).alias("_k"), none.alias(id_col))
+        .unionByName(rows.select(*keys, F.col(lo).alias("_t"), F.lit(1).alias("_k"), F.col(id_col)))
+        .unionByName(rows.select(*keys, F.col(hi).alias("_t"), F.lit(2).alias("_k"), F.col(id_col)))
+        .unionByName(rows.select(*keys, F.col(hi).alias("_t"), F.lit(3).alias("_k"), none.alias(id_col)))
+        .withColumn("_blk", F.floor(F.col("_t") / F.lit(block)).cast("bigint"))
     )
+    is_s = (F.col("_k") == 0).cast("bigint")
+    is_e = (F.col("_k") == 3).cast("bigint")
+    per_block = ev.groupBy(*keys, "_blk").agg(F.sum(is_s).alias("_ns"), F.sum(is_e).alias("_ne"))
+    wk = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_block.select(*keys, "_blk", F.coalesce(F.sum("_ns").over(wk), F.lit(0)).alias("_bs"),
+                              F.coalesce(F.sum("_ne").over(wk), F.lit(0)).alias("_be"))
+    wb = Window.partitionBy(*keys, "_blk").orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, 0)
+    within = ev.select(*keys, "_blk", "_k", id_col, F.sum(is_s).over(wb).alias("_ws"), F.sum(is_e).over(wb).alias("_we")) \
+        .where(F.col("_k").isin(1, 2))
+    q = within.join(before, keys + ["_blk"])
+    starts_le_hi = F.when(F.col("_k") == 2, F.col("_bs") + F.col("_ws"))
+    ends_lt_lo = F.when(F.col("_k") == 1, F.col("_be") + F.col("_we"))
+    return q.groupBy(*keys, id_col).agg(
+        (F.max(starts_le_hi) - F.max(ends_lt_lo) - F.lit(1)).cast("bigint").alias(name))
 
 
 def _prefix_expand(df: DataFrame, block_col: str, upto_own: bool) -> DataFrame:
