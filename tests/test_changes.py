@@ -200,3 +200,38 @@ def test_evaluate_requests_statuses_and_state(spark):
     assert rows(r.items, "item_id", "item_name", "quantity") == [(10, "milk", 9), (11, "bread", 3)]
     # the later price request wins, and a price of 0 is accepted (``is not None``)
     assert rows(r.prices, "gas_price_id", "store_id", "fuel_type", "price") == [(1, 1, "diesel", 0.0)]
+
+
+def _ops(spark):
+    """(name, fn(state, changes) -> Change) for the keyed change operators."""
+    return [
+        ("put", lambda s, c: M.put(s, c, KEYS)),
+        ("put_if_absent", lambda s, c: M.put_if_absent(s, c, KEYS)),
+        ("update", lambda s, c: M.update(s, c, KEYS)),
+        ("update_if", lambda s, c: M.update_if(s, c, KEYS, F.col("Grade") < 100)),
+        ("delete", lambda s, c: M.delete(s, c, KEYS)),
+        ("insert_ignore", lambda s, c: M.insert_ignore(s, c, KEYS)),
+        ("upsert", lambda s, c: M.upsert(s, c, KEYS, ["Grade"])),
+        ("batch_write", lambda s, c: M.batch_write(s, c.withColumn("op", F.lit("PUT")), KEYS)),
+    ]
+
+
+def test_change_operators_with_empty_inputs(spark):
+    s = seed(spark)
+    empty = spark.createDataFrame([], SCHEMA)
+    for name, op in _ops(spark):
+        assert rows(op(s, empty).state) == rows(s), name  # nothing to apply: state unchanged
+        out = op(empty, s).state  # everything new (or nothing to touch)
+        expect = [] if name in ("update", "update_if", "delete") else rows(s)
+        assert rows(out) == expect, name
+
+
+def test_change_operators_with_duplicate_keys_in_batch(spark):
+    s = seed(spark)
+    dup = spark.createDataFrame([("S1001", "CS101", "a", 60, 1), ("S1001", "CS101", "a", 70, 2)], SCHEMA + ", seq int")
+    for name, op in (("put", lambda st, c: M.put(st, c, KEYS, order=["seq"])),
+                     ("update", lambda st, c: M.update(st, c, KEYS, order=["seq"])),
+                     ("upsert", lambda st, c: M.upsert(st, c, KEYS, ["Grade"], order=["seq"]))):
+        out = op(s, dup).state
+        assert out.count() == s.count(), name  # one row per key
+        assert out.where("StudentID = 'S1001' AND CourseID = 'CS101'").first().Grade == 70, name  # last by seq wins
