@@ -80,8 +80,10 @@ def alarm_states(
     frame = Window.partitionBy(*keys).orderBy(period_start).rowsBetween(-(n - 1), 0)
     first = F.min(F.col(period_start)).over(frame)
     breaching = F.count_if(F.coalesce(breach, F.lit(False))).over(frame)
-    span = F.col(period_start).cast("timestamp").cast("long") - first.cast("timestamp").cast("long")
-    in_alarm = (breaching == F.lit(n)) & (span == F.lit((n - 1) * period_seconds))
+    # subtracting two values of the column's own type gives a day-time interval:
+    # wall-clock for TIMESTAMP_NTZ, elapsed time for TIMESTAMP - no session zone
+    contiguous = (F.col(period_start) - first) == F.expr(f"INTERVAL '{(n - 1) * period_seconds}' SECOND")
+    in_alarm = (breaching == F.lit(n)) & contiguous
     return stats.withColumn("breaching", F.coalesce(breach, F.lit(False))).withColumn(
         "state", F.when(in_alarm, F.lit("ALARM")).otherwise(F.lit("OK"))
     )

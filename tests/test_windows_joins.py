@@ -142,3 +142,16 @@ def test_volume_blocks_split_hot_keys_and_keep_results(spark):
     assert rows(a, "seq", "version_no") == rows(W.number_versions(df, ["k"], "ts", ["seq"]), "seq", "version_no")
     c = W.noncurrent_since(vb, ["k"], "ts", ["seq"], block="_vblk")
     assert rows(c, "seq", "noncurrent_since") == rows(W.noncurrent_since(df, ["k"], "ts", ["seq"]), "seq", "noncurrent_since")
+
+
+def test_alarm_contiguity_ignores_session_time_zone(spark):
+    # wall-clock hours across a daylight-saving change stay contiguous for TIMESTAMP_NTZ
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([("m", f"2024-03-10 0{h}:00:00", 5.0) for h in range(5)], "m string, t string, v double") \
+            .withColumn("t", F.col("t").cast("timestamp_ntz"))
+        st = [r.state for r in W.alarm_states(df, ["m"], "t", "v", 3600, ">", 1.0, 2).orderBy("t").collect()]
+        assert st == ["OK", "ALARM", "ALARM", "ALARM", "ALARM"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
