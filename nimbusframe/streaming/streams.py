@@ -7,10 +7,11 @@ operators (W2, W3) when rows arrive in order. Sinks are idempotent per
 micro-batch id, so a retried batch after an executor or driver loss
 overwrites its own output instead of duplicating it.
 
-Event time: the driver's ``ts`` columns are ``TIMESTAMP_NTZ`` and watermarks
-need ``TIMESTAMP``, so the event-time column is cast first (session zone
-UTC). Watermark policy (not fixed by the reference): 2 x the period; later
-rows are dropped.
+Event time: the driver's ``ts`` columns are ``TIMESTAMP_NTZ``. Watermarks
+need ``TIMESTAMP``, so T3 casts the event-time column first (session zone);
+T4/T5 keep the column's own type, so their run arithmetic is in wall-clock
+time for ``TIMESTAMP_NTZ``. Watermark policy (not fixed by the reference):
+2 x the period; later rows are dropped.
 """
 
 from __future__ import annotations
@@ -168,8 +169,10 @@ def stream_alarm(
             "breaching": breach, "state": np.where(runs >= n, "ALARM", "OK"),
         })
 
-    schema = f"{key} {dict(stats.dtypes)[key]}, {period_start} timestamp, {value} double, breaching boolean, state string"
-    src = stats.select(key, F.col(period_start).cast("timestamp").alias(period_start), F.col(value).cast("double").alias(value))
+    # the period column keeps its type (TIMESTAMP_NTZ stays wall-clock time in pandas)
+    ptype = dict(stats.dtypes)[period_start]
+    schema = f"{key} {dict(stats.dtypes)[key]}, {period_start} {ptype}, {value} double, breaching boolean, state string"
+    src = stats.select(key, F.col(period_start), F.col(value).cast("double").alias(value))
     return src.groupBy(key).applyInPandasWithState(
         fn, outputStructType=schema, stateStructType="last_ts long, run long",
         outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout,
@@ -226,10 +229,10 @@ def stream_health(
         })
 
     types = dict(checks.dtypes)
-    schema = (f"{key} {types[key]}, {ts} timestamp, {tie} {types[tie]}, {ok} boolean, run_length long, "
+    schema = (f"{key} {types[key]}, {ts} {types[ts]}, {tie} {types[tie]}, {ok} boolean, run_length long, "
               f"state string, changed boolean")
     state_schema = f"health string, run_ok boolean, run_len long, last_ts long, last_tie {types[tie]}"
-    src = checks.select(key, F.col(ts).cast("timestamp").alias(ts), tie, F.col(ok).cast("boolean").alias(ok))
+    src = checks.select(key, F.col(ts), tie, F.col(ok).cast("boolean").alias(ok))
     return src.groupBy(key).applyInPandasWithState(
         fn, outputStructType=schema, stateStructType=state_schema,
         outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout,
