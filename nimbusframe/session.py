@@ -70,14 +70,14 @@ def scale_conf(shuffle_bytes: int, total_cores: int, partition_bytes: int = 512
     input size) and the total executor cores.
 
     * initial shuffle partitions = shuffle bytes / ``partition_bytes``, at
-      least 3 x cores and at most 100k; AQE coalesces from there to
+      least 3 x cores; AQE coalesces from there to
       ``advisoryPartitionSizeInBytes`` and splits skewed partitions;
     * input splits of 512 MB, so a 100 TB scan is ~200k tasks, not millions;
     * a 64 MB broadcast limit: AQE converts a join only when the measured side
       is below it, and every side broadcast by hint has a proven row bound.
 
     Pass the result to ``get_session(conf=...)`` or ``spark-submit --conf``."""
-    initial = min(100_000, max(3 * total_cores, math.ceil(shuffle_bytes / partition_bytes)))
+    initial = max(3 * total_cores, math.ceil(shuffle_bytes / partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(initial),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
@@ -94,8 +94,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator to a shared file system; it is
-    read, never overridden. Only when it is unset (local tests) a fresh
-    scratch folder is created and registered.
+    read, never overridden. Only when it is unset and the master is local
+    (tests) a fresh scratch folder is created and registered; on a cluster an
+    unset folder is an error, since node-local files are not shared.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -108,6 +109,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises in some versions
             configured = None
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster it must name a folder all executors share"
+            )
         configured = tempfile.mkdtemp(prefix="nimbus-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -119,21 +124,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table (parquet) lazily; column pruning and filter
-    pushdown happen when the plan is optimised. The DataFrame (a plan, not
-    data) is reused per session and path, so the file listing and footer read
-    happen once."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _READS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _READS[key] = df
-    return df
+    """Read one driver table (parquet file or folder of part files) lazily;
+    column pruning and filter pushdown happen when the plan is optimised. The
+    listing is read anew on each call, so a rewritten table is seen."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:
