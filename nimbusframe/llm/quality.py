@@ -25,9 +25,11 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 #: Common words of a language that have a bin of their own.
 COMMON = 40
 #: Shortest documents (words) for the character and the word comparison.
-GUARD_CHARS, GUARD_WORDS = 20, 100
-#: Greatest distances accepted; 0 is equal, 1 has nothing in common.
-MOST_CHARS, MOST_COMMON = 0.28, 0.36
+GUARD_CHARS, GUARD_WORDS = 20, 50
+#: Greatest distances accepted; 0 is equal, 1 has nothing in common. The word
+#: histogram of ``n`` words is off by chance by about 1 / sqrt(n), which is
+#: allowed for in this proportion.
+MOST_CHARS, MOST_COMMON, BY_CHANCE = 0.28, 0.30, 0.9
 #: Words of documents worked on at once in a task.
 CHUNK = 2_000_000
 
@@ -203,7 +205,7 @@ def assess(texts: list[str | None], refs: dict) -> dict[str, np.ndarray]:
     odd = np.zeros(size, dtype=bool)
     if refs:
         odd = (n_words >= GUARD_CHARS) & (far_chars > MOST_CHARS)
-        odd |= (n_words >= GUARD_WORDS) & (far_words > MOST_COMMON)
+        odd |= (n_words >= GUARD_WORDS) & (far_words > MOST_COMMON + BY_CHANCE / np.sqrt(np.maximum(n_words, 1)))
     return {
         "n_words": n_words, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": lines,
         "n_repeat_words": repeats, "base_failed": base, "kept": ~base & ~odd,
@@ -225,7 +227,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: dict |
 
     A document fails the base rules with fewer than 50 words or if more than
     half its words lie in repeated three-word windows. Else it is rejected if
-    its character classes (20 words or more) or its common words (100 or more)
+    its character classes (20 words or more) or its common words (50 or more)
     are farther than accepted from the reference of every language. References
     come from all documents with a language (``refs`` passes them in); with
     none, only the base rules hold.
