@@ -91,18 +91,18 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op8_line_dedup"] = r"""
-WITH l AS (SELECT doc_id, t.i - 1 AS at, string_split(text, chr(10))[t.i] AS line
+WITH l AS (SELECT doc_id, t.i - 1 AS pos, string_split(text, chr(10))[t.i] AS line
     FROM documents, LATERAL (SELECT unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i) t),
-marked AS (SELECT doc_id, at, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS x FROM l
+marked AS (SELECT doc_id, pos, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS x FROM l
     WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
-w AS (SELECT doc_id, at AS lo, lead(at, 2) OVER d AS hi, x AS a, lead(x, 1) OVER d AS b, lead(x, 2) OVER d AS c
-    FROM marked WINDOW d AS (PARTITION BY doc_id ORDER BY at)),
+w AS (SELECT doc_id, pos AS lo, lead(pos, 2) OVER d AS hi, x AS a, lead(x, 1) OVER d AS b, lead(x, 2) OVER d AS c
+    FROM marked WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
 ranked AS (SELECT doc_id, lo, hi, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, lo) AS r
     FROM w WHERE hi IS NOT NULL),
-gone AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS at FROM ranked WHERE r > 1),
-marks AS (SELECT l.doc_id, l.at, l.line, g.at IS NOT NULL AS cut
-    FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.at = g.at),
-done AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT cut), '') AS text,
+gone AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS pos FROM ranked WHERE r > 1),
+marks AS (SELECT l.doc_id, l.pos, l.line, g.pos IS NOT NULL AS cut
+    FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos),
+done AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT cut), '') AS text,
     count(*) AS n_lines, count(*) FILTER (WHERE cut) AS n_removed FROM marks GROUP BY doc_id)
 SELECT d.doc_id, done.text, coalesce(done.n_lines, 0) AS n_lines, coalesce(done.n_removed, 0) AS n_removed
 FROM documents d LEFT JOIN done ON d.doc_id = done.doc_id
@@ -134,10 +134,10 @@ shares AS (SELECT source, place, s, least(most::DOUBLE, coalesce(lvl.level * wei
     FROM levels LEFT JOIN lvl ON true),
 edges AS (SELECT *, round(target)::BIGINT AS words, (s + (SELECT block FROM total) - 1) // (SELECT block FROM total) AS blocks,
     sum(round(target)::BIGINT) OVER (ORDER BY place) AS hi, sum(round(target)::BIGINT) OVER () AS alls FROM shares),
-points AS (SELECT i, floor((i::DOUBLE * 0.6180339887498949::DOUBLE % 1::DOUBLE) * (SELECT max(alls)::DOUBLE FROM edges))::BIGINT AS at
+points AS (SELECT i, floor((i::DOUBLE * 0.6180339887498949::DOUBLE % 1::DOUBLE) * (SELECT max(alls)::DOUBLE FROM edges))::BIGINT AS pos
     FROM (SELECT unnest(range(0, ((n + block - 1) // block)::BIGINT)) AS i FROM total)),
 slots AS (SELECT place, blocks, row_number() OVER (PARTITION BY place ORDER BY i) - 1 AS rank
-    FROM points JOIN edges ON at >= hi - words AND at < hi),
+    FROM points JOIN edges ON pos >= hi - words AND pos < hi),
 times AS (SELECT place, rank % blocks AS block, count(*) AS times FROM slots WHERE rank < 3 * blocks GROUP BY ALL),
 streamed AS (SELECT doc_id, size, place, s, target, coalesce(sum(size) OVER (PARTITION BY place
     ORDER BY shuffle, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
