@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from nimbusframe.llm import html_text, line_dedup, mixing, piece_codec, quality, url_filter
+from nimbusframe.llm import html_text, language, line_dedup, mixing, piece_codec, quality, substring_dedup, url_filter
 from nimbusframe.session import read_table
 
 #: The public piece model the tokenizing queries use.
@@ -35,6 +36,17 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents, learned from those with a language
+    whose crc32(doc_id as text) mod 4 is not 2 (a null id is not held out)."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language.learn(docs.where(~held_out))
+    told = language.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return told.select("doc_id", "held_out", "lang_pred", "score", "n_spans")
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality features and verdicts of all documents."""
@@ -51,6 +63,27 @@ def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_texts(docs, PIECE_MODEL).select("doc_id", "n_tokens", "ids", "decodes")
 
 
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents without passages that an earlier document has."""
+    docs = read_table(spark, sf_dir, "documents")
+    return substring_dedup.dedup_substrings(docs, with_text=False)
+
+
+ORACLE["op5_substring_dedup"] = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+wins AS (SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM t)),
+firsts AS (SELECT s, min(doc_id) AS d FROM wins GROUP BY s HAVING min(doc_id) <> max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM wins JOIN firsts USING (s) WHERE doc_id > d),
+n AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x FROM t),
+kept AS (SELECT n.doc_id, count(gone.i) AS cut, string_agg(x, ' ' ORDER BY n.i) FILTER (WHERE gone.i IS NULL) AS s
+    FROM n LEFT JOIN gone ON n.doc_id = gone.doc_id AND n.i = gone.i GROUP BY n.doc_id)
+SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(cut, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM t LEFT JOIN kept ON t.doc_id = kept.doc_id
+"""
+
+
 @query
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
