@@ -12,7 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbusframe.llm import html_text, language, line_dedup, mixing, piece_codec, quality, substring_dedup, url_filter
+from nimbusframe.llm import (
+    html_text,
+    language,
+    line_dedup,
+    mixing,
+    order_minhash,
+    piece_codec,
+    quality,
+    substring_dedup,
+    url_filter,
+)
 from nimbusframe.session import read_table
 
 #: The public piece model the tokenizing queries use.
@@ -142,6 +152,12 @@ FROM documents d LEFT JOIN done ON d.doc_id = done.doc_id
 """
 
 
+@query
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near duplicates of every document."""
+    return order_minhash.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
 @query
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
