@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nimbusframe.llm.common import column, free_name
+from nimbusframe.llm.common import WORD_PATTERN, column, free_name
 
 #: Lines in a window: the method's number.
 WINDOW = 3
@@ -135,3 +135,20 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
         F.when(body.isNull(), F.lit(0)).otherwise(total).cast("long").alias(n_lines),
         F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(gone).cast("long").alias(n_removed),
     )
+
+
+def mended_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", **options) -> DataFrame:
+    """The columns of ``docs`` with repeated passages of lines removed. Rows
+    that lose all their words go; ``n_chars``, if there is such a column, is
+    counted anew for texts that lost lines."""
+    mended = dedup_lines(docs, text=text, **options)
+    cut = column(mended, mended.columns[-1]) > 0
+    left = mended.where(~cut | column(mended, text).rlike(WORD_PATTERN))
+    return left.select(
+        *[
+            F.when(cut, F.length(column(mended, text)).cast("long")).otherwise(column(mended, c)).alias(c)
+            if c == n_chars
+            else column(mended, c)
+            for c in docs.columns
+        ]
+    )

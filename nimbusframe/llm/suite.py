@@ -19,6 +19,7 @@ from nimbusframe.llm import (
     mixing,
     order_minhash,
     piece_codec,
+    pivot_index,
     quality,
     substring_dedup,
     url_filter,
@@ -73,6 +74,12 @@ def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode_texts(docs, PIECE_MODEL).select("doc_id", "n_tokens", "ids", "decodes")
 
 
+@query
+def op4_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return pivot_index.link_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents without passages that an earlier document has."""
