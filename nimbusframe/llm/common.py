@@ -64,8 +64,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", salts: int = 8) ->
     """Connected components by alternating large-star and small-star steps.
 
     ``edges`` links the values of two columns of one orderable type. Returns
-    ``(node, component)`` for every node that has an edge to another one;
-    ``component`` is the smallest node reachable. Each step is one partial
+    ``(node, component)`` for every node with an edge, but for the smallest of
+    each component, which names it: ``component`` is the smallest node reachable. Each step is one partial
     aggregation and one equi-join whose hot nodes are salted; every round is
     written to the checkpoint folder, and the driver only sees two numbers a
     round. Null ends and self links are ignored.

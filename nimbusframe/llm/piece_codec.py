@@ -449,4 +449,4 @@ def decode_ids(rows: DataFrame, model: str, ids: str = "ids", into: str = "decod
                 [*batch.columns, pa.array(got, pa.string())], names=[*batch.schema.names, name]
             )
 
-    return rows.mapInArrow(run, rows.limit(0).withColumn(name, F.lit("")).schema)
+    return rows.mapInArrow(run, rows.limit(0).withColumn(name, F.lit(None).cast("string")).schema)

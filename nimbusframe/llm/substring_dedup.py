@@ -154,7 +154,7 @@ def _by_document(keys: list[np.ndarray], place: np.ndarray, names: list[str]) ->
     for k in keys:
         new[1:] |= k[1:] != k[:-1]
     first = np.flatnonzero(new)
-    ends = np.append(first[1:], len(place))
+    ends = np.append(first[1:], len(place))[: len(first)]
     packed = [place[a:b].tobytes() for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
     return pa.table([*(pa.array(k[first]) for k in keys), pa.array(packed, pa.binary())], names=[*names, "places"])
 
