@@ -152,12 +152,17 @@ def base_name(col: Column | str, sep: str = "/") -> Column:
 
 
 def is_truthy(col: Column | str) -> Column:
-    """Falsy = NULL, empty string, 0, false (as in the reference's handlers)."""
+    """Falsy = NULL, empty text, a number equal to 0 (0.00, -0.0) or NaN, and
+    false, by the column's type: the texts ``'0'`` and ``'false'`` are truthy,
+    and so is any other value that is not NULL."""
     c = _col(col)
+    kind = F.typeof(c)
+    text = c.cast("string")
+    number = text.try_cast("double")
     return F.coalesce(
-        F.when(c.isNull(), F.lit(False))
-        .when(F.lower(c.cast("string")).isin("", "0", "false", "0.0"), F.lit(False))
-        .otherwise(F.lit(True)),
+        F.when(kind == "string", text != "")
+        .when(kind == "boolean", text == "true")
+        .otherwise(F.coalesce((number != 0) & ~F.isnan(number), c.isNotNull())),
         F.lit(False),
     )
 
@@ -175,8 +180,14 @@ def row_to_json(*cols: Column | str) -> Column:
 
 
 def iso_timestamp(col: Column | str) -> Column:
-    """timestamp -> ISO-8601 text in UTC with milliseconds and ``Z``."""
-    return F.date_format(_col(col), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """timestamp -> ISO-8601 text in UTC with milliseconds and ``Z``.
+
+    An instant (``TIMESTAMP``) is moved to UTC first, whatever the session's
+    zone; a wall-clock value (``TIMESTAMP_NTZ``) is taken to be UTC already."""
+    c = _col(col)
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
+    wall = F.when(F.typeof(c) == "timestamp_ntz", c.cast("timestamp_ntz")).otherwise(utc)
+    return F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
 def now_or(now: object = None) -> Column:
@@ -218,7 +229,6 @@ def with_dense_id(
     id_col: str = "row_id",
     start: int = 1,
     order: Sequence[str] | None = None,
-    unique_order: bool = False,
 ) -> DataFrame:
     """dense consecutive ids without a global window.
 
@@ -226,24 +236,20 @@ def with_dense_id(
     bits and the row position in the lower 33 bits. Per-partition row counts
     (one small row per partition) give each partition's offset; adding the
     offset to the position gives ids ``start, start+1, ...`` with no gaps.
-    The input is checkpointed first (to the shared checkpoint folder) so the
-    two passes see identical partitions even after an executor loss.
+    The tagged rows are checkpointed (to the shared checkpoint folder), and
+    counts and rows are both read from that one copy: planned twice, a sort
+    may cut its partitions differently each time.
 
     With ``order`` the rows are first sorted (a range-partitioned global
     sort, spread over all tasks), so the ids follow that order - the same
     numbers as ``row_number() OVER (ORDER BY order)`` without its single task.
-    When ``order`` is unique (``unique_order=True``) the sorted partitions are
-    reproducible on any recomputation, so the checkpoint is skipped and the
-    numbering stays a lazy part of the plan.
     """
     from nimbusframe.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
     if order:
         df = df.orderBy(*order)
-    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
-    if not (order and unique_order):
-        tagged = tagged.checkpoint(eager=True)
+    tagged = df.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     tagged = tagged.withColumn("_pid", F.shiftright(F.col("_mid"), 33)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     )

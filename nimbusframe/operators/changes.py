@@ -15,6 +15,8 @@ does not gather its rows into one task.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -52,19 +54,17 @@ def _align(rows: DataFrame, like: DataFrame) -> DataFrame:
     )
 
 
-def next_ids(rows: DataFrame, state: DataFrame, id_col: str, order: Sequence[str] | None = None,
-             unique_order: bool = False) -> DataFrame:
+def next_ids(rows: DataFrame, state: DataFrame, id_col: str, order: Sequence[str] | None = None) -> DataFrame:
     """F21 for inserts: ids ``max(existing)+1, +2, ...`` with no gaps.
 
     The current maximum is a scalar subquery (one value); the new rows are
     numbered by per-partition counts and offsets (:func:`with_dense_id`), so
-    no global window gathers them into one task. ``order`` is accepted for
-    API symmetry; ids follow the rows' partition order."""
+    no global window gathers them into one task. Ids follow ``order`` (any
+    orderable columns of ``rows``), else the rows' partition order."""
     from nimbusframe.functions.scalars import with_dense_id
 
     base = F.coalesce(state.agg(F.max(id_col)).scalar(), F.lit(0))
-    numbered = with_dense_id(rows.drop(id_col) if id_col in rows.columns else rows, "_seq", start=1, order=order,
-                             unique_order=unique_order)
+    numbered = with_dense_id(rows.drop(id_col) if id_col in rows.columns else rows, "_seq", start=1, order=order)
     return numbered.withColumn(id_col, (base + F.col("_seq")).cast(state.schema[id_col].dataType)).drop("_seq")
 
 
@@ -94,9 +94,12 @@ def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 
 
 def put(state: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> Change:
-    """M2: replace the whole row by key, insert when new (last write per key wins)."""
+    """M2: replace the whole row by key, insert when new (last write per key
+    wins). Keys compare NULL-safe: a NULL key is a key like any other."""
     latest = _align(_pick_per_key(rows, keys, order), state)
-    kept = state.join(latest.select(*keys), list(keys), "left_anti")
+    k = latest.select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+    same = reduce(and_, [state[c].eqNullSafe(k[f"_k_{c}"]) for c in keys])
+    kept = state.join(k, same, "left_anti")
     return Change(kept.unionByName(latest), accepted=latest)
 
 
@@ -190,8 +193,9 @@ def update_where(state: DataFrame, condition: Column, assignments: Mapping[str,
 
 def delete(state: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> Change:
     """M7: delete by key; the deleted rows are returned (``ReturnValues=ALL_OLD``).
-    Keys that match nothing are rejected with status 404."""
-    k = keys_df.select(*keys)
+    Keys that match nothing are rejected with status 404, each once however
+    often it was asked for; a NULL key matches nothing."""
+    k = keys_df.select(*keys).distinct()
     deleted = state.join(k, list(keys), "left_semi")
     rejected = k.join(state.select(*keys), list(keys), "left_anti").withColumn("status", F.lit(404))
     return Change(state.join(k, list(keys), "left_anti"), accepted=deleted, rejected=rejected)
@@ -234,7 +238,7 @@ def upsert(
     new_only = latest.join(state.select(*keys), list(keys), "left_anti")
     if id_col:
         # one row per key here, so the key order is unique
-        new_only = next_ids(new_only, state, id_col, list(keys), unique_order=True)
+        new_only = next_ids(new_only, state, id_col, list(keys))
     new_aligned = _align(new_only, state)
     if stamp:
         new_aligned = new_aligned.withColumn(stamp[0], now_or(stamp[1]).cast(state.schema[stamp[0]].dataType))
@@ -298,6 +302,7 @@ def patch(
     require_any: bool = False,
     overflow_col: str | None = None,
     stamp: tuple[str, object] | None = None,
+    order: Sequence[str] | None = None,
 ) -> Change:
     """Partial update from a request map (``map<string,string>``: absent
     and NULL are different). Per column a policy:
@@ -308,8 +313,14 @@ def patch(
 
     ``require_any`` rejects (400) a request that would set nothing;
     ``overflow_col`` receives the JSON of request fields that are not columns
-    (F20). Unknown keys are rejected with 404."""
-    ch = _pick_per_key(changes.select(*keys, fields_col), keys, None)
+    (F20). Unknown keys are rejected with 404. Request values are texts, so
+    ``truthy`` means not empty: ``"0"`` is set.
+
+    Requests for one key apply one after the other in ``order`` (without it,
+    in the order of their JSON text): every column takes the value of the last
+    request that sets it, the overflow is that of the last valid request, and
+    each request that sets nothing or has no row is rejected by itself. All
+    of it is one partial aggregation per key."""
     m = F.col(fields_col)
     sets = {}
     for c, pol in columns.items():
@@ -325,15 +336,22 @@ def patch(
     any_set = None
     for cond, _ in sets.values():
         any_set = cond if any_set is None else any_set | cond
-    ch = ch.withColumn("_valid", any_set if require_any else F.lit(True))
-    exprs = [F.col(k) for k in keys] + [F.col("_valid")]
-    for c, (cond, v) in sets.items():
-        exprs += [cond.alias(f"_s_{c}"), v.alias(f"_v_{c}")]
+    rank = F.struct(*[F.col(c) for c in order]) if order else F.to_json(m)
+    ch = changes.select(
+        *keys, rank.alias("_rank"), F.coalesce(any_set if require_any else F.lit(True), F.lit(False)).alias("_valid"),
+        m.alias("_m"), *[cond.alias(f"_s_{c}") for c, (cond, _) in sets.items()],
+        *[v.alias(f"_v_{c}") for c, (_, v) in sets.items()])
+    known = F.array(*[F.lit(k) for k in list(columns) + list(keys)])
+    rest = F.to_json(F.map_filter(F.col("_m"), lambda k, _v: ~F.array_contains(known, k)))
+    exprs = [F.max("_valid").alias("_valid")]
+    for c in sets:
+        # the struct is NULL, and skipped, for requests that do not set the column
+        hit = F.when(F.col("_valid") & F.col(f"_s_{c}"), F.struct(F.col(f"_v_{c}").alias("v")))
+        last = F.max_by(hit, F.when(hit.isNotNull(), F.col("_rank")))
+        exprs += [last.isNotNull().alias(f"_s_{c}"), last.getField("v").alias(f"_v_{c}")]
     if overflow_col:
-        known = F.array(*[F.lit(k) for k in list(columns) + list(keys)])
-        rest = F.map_filter(m, lambda k, _v: ~F.array_contains(known, k))
-        exprs.append(F.to_json(rest).alias("_overflow"))
-    prepared = ch.select(*exprs, F.lit(True).alias("_hit"))
+        exprs.append(F.max_by(rest, F.when(F.col("_valid"), F.col("_rank"))).alias("_overflow"))
+    prepared = ch.groupBy(*keys).agg(*exprs, F.lit(True).alias("_hit"))
     j = state.join(prepared, list(keys), "left")
     apply_ = F.coalesce(F.col("_hit"), F.lit(False)) & F.coalesce(F.col("_valid"), F.lit(False))
     out_cols = []

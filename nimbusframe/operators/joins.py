@@ -21,16 +21,15 @@ from pyspark.sql import functions as F
 
 from nimbusframe.functions.scalars import cidr_bounds
 
-BROADCAST_MAX_ROWS = 1_000_000
-
-
 def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
     """Hint broadcast when the caller can prove ``max_rows`` (e.g. the length
-    of a literal list). Without a proven bound the frame is returned as is and
-    AQE decides from measured sizes."""
-    if max_rows is not None and max_rows <= BROADCAST_MAX_ROWS:
-        return F.broadcast(df)
-    return df
+    of a literal list) and that many rows of the frame's types stay below the
+    session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes. Otherwise the
+    frame is returned as is and AQE decides from measured sizes."""
+    if max_rows is None:
+        return df
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(df) if max_rows * df._jdf.schema().defaultSize() <= limit else df
 
 
 def join_chain(fact: DataFrame, dims: Sequence[tuple[DataFrame, object, str]]) -> DataFrame:
@@ -207,10 +206,15 @@ def overlap_counts(
     As in :func:`count_at_most` the running counts are taken per (key, time
     block) plus a carry from one row per earlier block, so the cost is a sort
     and a few aggregations, never the number of overlapping pairs (which
-    grows quadratically when ranges are long or one key is hot)."""
+    grows quadratically when ranges are long or one key is hot).
+
+    A range with a NULL bound, or that ends before it starts, overlaps
+    nothing: its count is 0 and it does not count for others."""
     keys = list(keys)
     idt = df.schema[id_col].dataType
-    rows = df.select(*keys, id_col, lo, hi)
+    real = F.coalesce(F.col(lo) <= F.col(hi), F.lit(False))
+    rows = df.where(real).select(*keys, id_col, lo, hi)
+    unreal = df.where(~real).select(*keys, id_col, F.lit(0).cast("bigint").alias(name))
     none = F.lit(None).cast(idt)
     # kind: 0 start, 1 "<" query at lo, 2 "<=" query at hi, 3 end
     ev = (
@@ -233,16 +237,19 @@ def overlap_counts(
     starts_le_hi = F.when(F.col("_k") == 2, F.col("_bs") + F.col("_ws"))
     ends_lt_lo = F.when(F.col("_k") == 1, F.col("_be") + F.col("_we"))
     return q.groupBy(*keys, id_col).agg(
-        (F.max(starts_le_hi) - F.max(ends_lt_lo) - F.lit(1)).cast("bigint").alias(name))
+        (F.max(starts_le_hi) - F.max(ends_lt_lo) - F.lit(1)).cast("bigint").alias(name)).unionByName(unreal)
 
 
-def _prefix_expand(df: DataFrame, block_col: str, upto_own: bool) -> DataFrame:
-    """Add (``_net``, ``_plen``) for every prefix length 0..32 (points) or
-    0..own length (blocks): the network address of the row at that length."""
+#: Shares that addresses are dealt to at prefix lengths below 8.
+SHORT_PREFIX_SALTS = 64
+
+
+def _prefix_expand(df: DataFrame, block_col: str) -> DataFrame:
+    """Add (``_net``, ``_plen``) for every prefix length from 0 to the block's
+    own: the network address of the row at that length."""
     lo, _ = cidr_bounds(block_col)
     own = F.coalesce(F.get(F.split(F.col(block_col), "/"), F.lit(1)).cast("int"), F.lit(32))
-    top = own if upto_own else F.lit(32)
-    out = df.withColumn("_addr", lo).withColumn("_plen", F.explode(F.sequence(F.lit(0), top)))
+    out = df.withColumn("_addr", lo).withColumn("_plen", F.explode(F.sequence(F.lit(0), own)))
     size = F.pow(F.lit(2), F.lit(32) - F.col("_plen")).cast("bigint")
     return out.withColumn("_net", F.col("_addr") - F.pmod(F.col("_addr"), size)).drop("_addr")
 
@@ -250,13 +257,23 @@ def _prefix_expand(df: DataFrame, block_col: str, upto_own: bool) -> DataFrame:
 def cidr_contains(addrs: DataFrame, addr_col: str, blocks: DataFrame, block_col: str) -> DataFrame:
     """(address row, block row) for every block containing the address.
 
-    Exact equi-join: each address is expanded to its 33 network prefixes and
-    joined on (network, prefix length) with the blocks' own (network, length)."""
-    a = _prefix_expand(addrs, addr_col, upto_own=False)
+    Exact equi-join: each address is expanded to its networks of the prefix
+    lengths that occur among the blocks (a scalar subquery of at most 33
+    numbers, nothing is collected) and joined on (network, length) with the
+    blocks. Lengths below 8 have few networks, so that all addresses meet in a
+    few keys; there the addresses are salted and the few blocks repeated."""
     lo, _ = cidr_bounds(block_col)
     own = F.coalesce(F.get(F.split(F.col(block_col), "/"), F.lit(1)).cast("int"), F.lit(32))
     b = blocks.withColumn("_net", lo).withColumn("_plen", own)
-    return a.join(b, ["_net", "_plen"]).drop("_net", "_plen")
+    lengths = b.agg(F.collect_set("_plen")).scalar()
+    addr, _ = cidr_bounds(addr_col)
+    a = addrs.withColumn("_addr", addr).withColumn("_plen", F.explode(lengths))
+    size = F.pow(F.lit(2), F.lit(32) - F.col("_plen")).cast("bigint")
+    a = a.withColumn("_net", F.col("_addr") - F.pmod(F.col("_addr"), size)).withColumn(
+        "_salt", F.when(F.col("_plen") < 8, F.pmod(F.xxhash64("_addr"), F.lit(SHORT_PREFIX_SALTS))).otherwise(0).cast("int"))
+    b = b.withColumn("_salt", F.explode(F.sequence(
+        F.lit(0), F.when(F.col("_plen") < 8, F.lit(SHORT_PREFIX_SALTS - 1)).otherwise(0))))
+    return a.drop("_addr").join(b, ["_net", "_plen", "_salt"]).drop("_net", "_plen", "_salt")
 
 
 def cidr_overlaps(blocks: DataFrame, id_col: str, block_col: str) -> DataFrame:
@@ -266,7 +283,7 @@ def cidr_overlaps(blocks: DataFrame, id_col: str, block_col: str) -> DataFrame:
     networks of its own prefixes - an exact equi-join, at most 33 rows per block."""
     own = F.coalesce(F.get(F.split(F.col(block_col), "/"), F.lit(1)).cast("int"), F.lit(32))
     anc = _prefix_expand(
-        blocks.select(F.col(id_col).alias("_id_c"), F.col(block_col).alias("_blk_c"), own.alias("_own")), "_blk_c", True
+        blocks.select(F.col(id_col).alias("_id_c"), F.col(block_col).alias("_blk_c"), own.alias("_own")), "_blk_c"
     )
     lo, _ = cidr_bounds(block_col)
     par = blocks.select(F.col(id_col).alias("_id_p"), lo.alias("_net"), own.alias("_plen"))

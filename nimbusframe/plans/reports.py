@@ -224,7 +224,7 @@ def department_workload(r: Roster) -> DataFrame:
 
 def academic_profile(r: Roster, student: object = None) -> DataFrame:
     """Q20: every student with their enrolments and courses (LEFT JOINs, so a
-    student without enrolments keeps one row of NULLs)."""
+    student without enrolments keeps one row of NULLs), ordered by name and course."""
     cols = [r.student_id, *r.name_cols] + ([r.email] if r.email else []) + [r.major]
     s = r.students.select(*cols, F.col(r.gpa).alias("overall_gpa"))
     if student is not None:
@@ -234,7 +234,7 @@ def academic_profile(r: Roster, student: object = None) -> DataFrame:
     c = r.courses.select(r.course_id, r.course_code, r.course_name, r.credits)
     return s.join(e, r.student_id, "left").join(c, r.course_id, "left").select(
         *cols, "overall_gpa", r.course_code, r.course_name, r.credits, "grade", "enrollment_date"
-    )
+    ).orderBy(*[F.col(x).asc_nulls_last() for x in (*reversed(r.name_cols), r.course_code)])
 
 
 def enrolment_list(r: Roster) -> DataFrame:
@@ -242,7 +242,8 @@ def enrolment_list(r: Roster) -> DataFrame:
     s = r.students.select(r.student_id, *r.name_cols)
     e = r.enrollments.select(F.col(r.e_student).alias(r.student_id), F.col(r.e_course).alias(r.course_id), F.col(r.grade).alias("grade"))
     c = r.courses.select(r.course_id, r.course_code, r.course_name)
-    return s.join(e, r.student_id).join(c, r.course_id).select(r.student_id, *r.name_cols, r.course_code, r.course_name, "grade")
+    out = s.join(e, r.student_id).join(c, r.course_id).select(r.student_id, *r.name_cols, r.course_code, r.course_name, "grade")
+    return out.orderBy(*[F.col(c).asc_nulls_last() for c in (*reversed(r.name_cols), r.course_code)])
 
 
 # --- Q22: key-value challenges -------------------------------------------------

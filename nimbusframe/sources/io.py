@@ -86,19 +86,29 @@ def read_changes(spark: SparkSession, path: str, schema: StructType | str, fmt:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Log text source, one row per line with its file and position.
-    Positions come from ``monotonically_increasing_id`` - unique and ordered
-    within a file split, enough for newest/first N per file."""
+    """Log text source, one row per line with its file, the file's
+    modification time, where in the file its split starts, and ``pos``, which
+    orders the lines of one split."""
+    meta = F.col("_metadata")
     return spark.read.text(path).select(
-        F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line")
+        F.input_file_name().alias("file"), meta["file_modification_time"].alias("file_time"),
+        meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line")
     )
 
 
-def find_lines(df: DataFrame, text: str, limit: int | None = None, newest_first: bool = False) -> DataFrame:
+def find_lines(df: DataFrame, text: str, limit: int | None = None, newest_first: bool = False,
+               stamp: str | None = None) -> DataFrame:
     """Lines containing ``text``; ``limit`` keeps the first (or newest) N -
-    the limit is the feature here (``grep -m`` / ``tail``)."""
+    the limit is the feature here (``grep -m`` / ``tail``). Lines are in the
+    order of ``stamp``, a regular expression whose match in the line sorts by
+    time as text, if given; then of the files' modification times, the files'
+    names and the place in the file. Without a limit and ``newest_first`` no
+    order is asked for, and nothing is sorted."""
     out = df.where(F.col("line").contains(text))
-    out = out.orderBy(F.col("pos").desc() if newest_first else F.col("pos"))
+    if not limit and not newest_first:
+        return out
+    by = ([F.regexp_extract("line", stamp, 0)] if stamp else []) + [F.col(c) for c in ("file_time", "file", "block", "pos")]
+    out = out.orderBy(*[c.desc() if newest_first else c.asc() for c in by])
     return out.limit(limit) if limit else out
 
 
