@@ -24,37 +24,35 @@ from nimbusframe.llm.common import chunks, column, free_name, words
 #: Words in a passage that counts as a repeat (fixed by the task).
 LENGTH = 50
 #: Characters of texts hashed at once in a task, and words it remembers.
-CHUNK, REMEMBERED = 16_000_000, 500_000
+CHUNK, REMEMBERED = 4_000_000, 300_000
 #: Characters of text per bucket of hashes: a bucket is one task's unit and
 #: has about a window for every six of them.
 BUCKET = 12_000_000
 
 # Odd multipliers of the two rolling hashes.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_MASK = (1 << 64) - 1
-
 
 class _Hashes(dict):
-    """128-bit hashes of words as two numbers, kept when first asked for."""
+    """One of two 64-bit hashes of words, kept when first asked for."""
+
+    def __init__(self, seed: int):
+        super().__init__()
+        self.seed = seed
 
     def __missing__(self, word: str) -> int:
-        got = xxhash.xxh3_128_intdigest(word.encode("utf-8", "surrogatepass"))
+        got = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"), self.seed)
         if len(self) >= REMEMBERED:
             self.clear()
-        self[word] = got & _MASK, got >> 64
-        return self[word]
+        self[word] = got
+        return got
 
 
-_HASHES = _Hashes()
+_HASHES = [_Hashes(1), _Hashes(2)]
 
 
-def word_hashes(flat: list[str], second: bool) -> list[np.ndarray]:
-    """One or two 64-bit hashes of every word."""
-    pairs = [*map(_HASHES.__getitem__, flat)]
-    out = [np.fromiter((a for a, _ in pairs), dtype=np.uint64, count=len(pairs))]
-    if second:
-        out.append(np.fromiter((b for _, b in pairs), dtype=np.uint64, count=len(pairs)))
-    return out
+def word_hashes(flat: list[str], which: int) -> np.ndarray:
+    """A 64-bit hash of every word."""
+    return np.fromiter(map(_HASHES[which].__getitem__, flat), dtype=np.uint64, count=len(flat))
 
 
 def rolling(h: np.ndarray, size: int, base: int) -> np.ndarray:
@@ -98,7 +96,7 @@ def _packed(buckets: int, hashed: np.ndarray, doc: np.ndarray, place: np.ndarray
     """Entries dealt to buckets by their hash: a row per bucket with the
     entries in order of document and place. ``keys`` are numbers of a document."""
     bucket = (hashed >> np.uint64(40)) % np.uint64(buckets)
-    order = np.argsort(bucket, kind="stable")
+    order = np.argsort(bucket.astype(np.uint32), kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
     rows: list[list] = [[] for _ in range(7)]
     for b in range(buckets):
@@ -162,7 +160,7 @@ def _by_document(keys: list[np.ndarray], place: np.ndarray, names: list[str]) ->
 def _texts(batch: pa.RecordBatch, length: int) -> Iterator[tuple]:
     """(row numbers, words, document of each word, place of each word) of runs
     of the rows that have ``length`` words."""
-    texts = batch.column("text").to_pylist()
+    texts = batch.column("_text").to_pylist()
     for lo, hi in chunks([len(x or "") for x in texts], CHUNK):
         split = [words(x) for x in texts[lo:hi]]
         rows = [i for i, w in enumerate(split) if len(w) >= length]
@@ -175,12 +173,12 @@ def _texts(batch: pa.RecordBatch, length: int) -> Iterator[tuple]:
 
 
 def find_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
-    """``docs`` has ``id`` (long, not null) and ``text``. Returns it and (id,
+    """``docs`` has ``id`` (long, not null) and ``_text``. Returns it and (id,
     hits): per document the places where a window starts that is to go, as
     (text key, places) of each bucket; the text key tells apart texts of one id."""
     block = length // 2
     spark = docs.sparkSession
-    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    size = docs.agg(F.sum(F.length("_text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +187,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) ->
         for batch in batches:
             ids = batch.column("id").to_numpy()
             for rows, flat, doc, place in _texts(batch, length):
-                hashed = rolling(word_hashes(flat, False)[0], block, BASES[0])
+                hashed = rolling(word_hashes(flat, 0), block, BASES[0])
                 n = len(hashed)
                 whole = np.flatnonzero(doc[:n] == doc[block - 1 :])
                 yield from _packed(buckets, hashed[whole], doc[whole], place[whole], [ids[rows]], None)
@@ -213,7 +211,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) ->
         for batch in batches:
             ids = batch.column("id").to_numpy()
             hits = batch.column("places").to_pylist()
-            texts = batch.column("text").to_pylist()
+            texts = batch.column("_text").to_pylist()
             for rows, flat, doc, place in _texts(batch, length):
                 edge = np.zeros(len(flat) + 1, dtype=np.int32)
                 starts = np.flatnonzero(place == 0)
@@ -223,7 +221,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) ->
                     at = at[at < ends[i] - starts[i]]  # texts of one id share their hits
                     np.add.at(edge, starts[i] + np.maximum(at - (length - block), 0), 1)
                     np.add.at(edge, starts[i] + at + 1, -1)
-                one, two = (rolling(h, length, b) for h, b in zip(word_hashes(flat, True), BASES, strict=True))
+                one, two = (rolling(word_hashes(flat, k), length, b) for k, b in enumerate(BASES))
                 n = len(one)
                 near = np.flatnonzero((np.cumsum(edge)[:n] > 0) & (doc[:n] == doc[length - 1 :]))
                 keys = [ids[rows], np.array([_text_key(texts[r]) for r in rows], dtype=np.int64)]
@@ -286,13 +284,14 @@ def dedup_substrings(
     its bytes but no pairs. Texts are shuffled once: both joins on the id use
     the same exchange. Lost executors lead to recomputed stages only.
     """
-    named = docs.select(column(docs, doc_id).cast("long").alias("id"), column(docs, text).cast("string").alias("text"))
+    # New names for both: plans of both joins then are alike to the letter, and share their exchange.
+    named = docs.select(column(docs, doc_id).cast("long").alias("id"), column(docs, text).cast("string").alias("_text"))
     known, hits = find_repeats(named.where("id IS NOT NULL"), length, bucket)
     names = ["id", "n_words", "n_removed", "kept_sha256", "kept"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("id"), batch.column("text").to_pylist()
+            ids, texts = batch.column("id"), batch.column("_text").to_pylist()
             found = batch.column("hits").to_pylist()
             for lo, hi in chunks([len(x or "") for x in texts], CHUNK):
                 out: list[list] = [[], [], [], []]
@@ -318,7 +317,7 @@ def dedup_substrings(
                 )
 
     nothing = F.lit(None).cast("array<struct<key:bigint,places:binary>>").alias("hits")
-    rows = known.join(hits, "id", "left").unionByName(named.where("id IS NULL").select("id", "text", nothing))
+    rows = known.join(hits, "id", "left").unionByName(named.where("id IS NULL").select("id", "_text", nothing))
     done = rows.mapInArrow(cut, "id long, n_words long, n_removed long, kept_sha256 string, kept string")
     out = done.select(F.col("id").alias(doc_id), "n_words", "n_removed", "kept_sha256", "kept")
     return out.withColumnRenamed("kept", free_name(out, text)) if with_text else out.drop("kept")
