@@ -75,7 +75,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", salts: int = 8) ->
         low = pairs.groupBy("u").agg(F.min("v").alias("low"))
         low = low.withColumn("low", F.least("low", "u"))
         spread = low.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        return pairs.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int")).join(spread, ["u", "s"])
+        return pairs.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int")).join(
+            spread.hint("merge"), ["u", "s"]  # never gathered by the driver for a broadcast
+        )
 
     linked = F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))
     cur = edges.where(linked).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))

@@ -157,7 +157,7 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> float:
 
 
 def sketch_texts(docs: DataFrame) -> DataFrame:
-    """``docs`` has ``text`` (not null); adds ``node`` (16-byte digest of the
+    """``docs`` has ``text`` (not null); adds ``digest`` (16 bytes, of the
     text), ``n`` (shingles), ``sketch`` (array of long, empty without words)
     and drops the text."""
     at = docs.columns.index("text")
@@ -180,10 +180,10 @@ def sketch_texts(docs: DataFrame) -> DataFrame:
                         *(part.column(i) for i in range(part.num_columns) if i != at),
                         pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found))),
-                    ], names=[*rest, "node", "n", "sketch"],
+                    ], names=[*rest, "digest", "n", "sketch"],
                 )
 
-    schema = docs.select(*rest).limit(0).withColumn("node", F.lit(b"")).withColumn("n", F.lit(0))
+    schema = docs.select(*rest).limit(0).withColumn("digest", F.lit(b"")).withColumn("n", F.lit(0))
     schema = schema.withColumn("sketch", F.lit(None).cast("array<long>"))
     return docs.mapInArrow(run, schema.schema)
 
@@ -192,9 +192,9 @@ def texts_of(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
     """(node, text) of the nodes in ``pairs``, each once. A node's text is read
     from its row of the smallest id, so that copies stay where they are."""
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    asked = nodes.select("node", "id").join(asked, "node").select(F.col("node").alias("_n"), F.col("id").alias("_i"))
-    named = rows.where("text IS NOT NULL").withColumn("node", F.unhex(F.md5(F.col("text").cast("binary"))))
-    own = named.join(asked, (F.col("node") == F.col("_n")) & F.col("id").eqNullSafe(F.col("_i")))
+    asked = nodes.select("node", F.col("digest").alias("_n"), F.col("id").alias("_i")).join(asked, "node")
+    named = rows.where("text IS NOT NULL").withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
+    own = named.join(asked.hint("merge"), (F.col("digest") == F.col("_n")) & F.col("id").eqNullSafe(F.col("_i")))
     return checkpointed(own.dropDuplicates(["_n", "_i"]).select("node", "text"))
 
 
@@ -203,7 +203,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     text), one row a node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        remembered: dict[bytes, np.ndarray] = {}  # the node at which a star meets its leaves
+        remembered: dict[int, np.ndarray] = {}  # the node at which a star meets its leaves
         for batch in batches:
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             left, right = batch.column("left"), batch.column("right")
@@ -218,16 +218,16 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
     both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-    return both.select("a", "b", "left", "right").mapInArrow(run, "a binary, b binary")
+    return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
 def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(a, b): links between similar texts that connect every pair of similar
-    texts, if not each directly. ``nodes`` has (node, n, id, sketch), one row a node,
-    ``rows`` has (id, text).
+    texts, if not each directly. ``nodes`` has (node, digest, n, id, sketch), one row a
+    node, ``rows`` has (id, text).
 
     First every text is compared with one text of each of its tuples, the
-    smallest node; near copies are thereby linked in a star without pairs. Then
+    one of the smallest node; near copies are thereby linked in a star without pairs. Then
     the tuples that still hold more than one component are worked through:
     texts in different components are compared with each other. Tuples of more
     than ``crowd`` texts are cut by a second sketch and, where still larger, by
@@ -238,13 +238,13 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
         F.min("node").alias("b"), F.max("node").alias("top")
     ).where(F.col("b") != F.col("top"))
     star = (
-        tuples.join(shared.select("j", "h", "b"), ["j", "h"])
+        tuples.join(shared.select("j", "h", "b").hint("merge"), ["j", "h"])
         .where(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b").distinct()
     )
     star = checkpointed(star)
     links = checkpointed(verified(star, texts_of(star, nodes, rows)))
     labels = components(links).withColumnRenamed("component", "c")
-    placed = tuples.join(shared.select("j", "h"), ["j", "h"]).join(labels, "node", "left")
+    placed = tuples.join(shared.select("j", "h").hint("merge"), ["j", "h"]).join(labels.hint("merge"), "node", "left")
     placed = placed.withColumn("c", F.coalesce("c", "node")).withColumn("key", F.xxhash64("j", "h"))
     placed = checkpointed(placed.select("key", "j", "node", "n", "c"))
     sketch = nodes.select("node", "sketch")
@@ -254,7 +254,7 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
         mixed = placed.groupBy("key").agg(
             F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size")
         ).where(F.col("low") != F.col("high"))
-        open_ = checkpointed(placed.join(mixed.select("key", "size"), "key"))
+        open_ = checkpointed(placed.join(mixed.select("key", "size").hint("merge"), "key"))
         small = open_ if depth == 2 else open_.where(F.col("size") <= crowd)
         x, y = (small.select("key", F.col("node").alias(v), F.col("n").alias(f"n{v}"), F.col("c").alias(f"c{v}")) for v in "ab")
         near = x.join(y, "key").where(
@@ -275,8 +275,8 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, node, class_id, kept): one row per row of ``docs``; ``node`` is
-    the MD5 of the text (null where the text is alone by rule).
+    """(doc_id, digest, class_id, kept): one row per row of ``docs``; ``digest``
+    is the MD5 of the text (null where the text is alone by rule).
 
     Texts are linked if ``c / (n + m - c)`` is 0.8 or more, for shingle
     sequences of ``n`` and ``m`` whose longest common subsequence is ``c``.
@@ -299,30 +299,33 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     rows = docs.select(column(docs, doc_id).cast("long").alias("id"), column(docs, text).cast("string").alias("text"))
     sketched = checkpointed(sketch_texts(rows.where("text IS NOT NULL")))
-    nodes = sketched.where("n > 0").groupBy("node", "n").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"))
-    found = components(link_texts(checkpointed(nodes), rows))
-    member = sketched.where("n > 0").select("id", "node").join(
-        found, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    least = member.groupBy("c", F.lit(0).alias("z")).agg(F.min("id").alias("class_id")).drop("z")
-    done = member.join(least, "c").select(
-        "id", "node", "class_id", F.col("id").eqNullSafe(F.col("class_id")).alias("kept")
+    nodes = sketched.where("n > 0").groupBy("digest", "n").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"))
+    # Numbers for the nodes: fixed by the copy in the checkpoint folder.
+    nodes = checkpointed(nodes.withColumn("node", F.monotonically_increasing_id()))
+    found = components(link_texts(nodes, rows))
+    placed = nodes.select("node", "digest", "id").join(found.hint("merge"), "node", "left")
+    placed = checkpointed(placed.select("digest", "id", F.coalesce("component", "node").alias("c")))
+    least = placed.groupBy("c").agg(F.min("id").alias("class_id"))
+    classes = placed.join(least, "c").select("digest", "class_id")
+    done = sketched.where("n > 0").select("id", "digest").join(classes, "digest").select(
+        "id", "digest", "class_id", F.col("id").eqNullSafe(F.col("class_id")).alias("kept")
     )
     alone = sketched.where("n = 0").select("id").unionByName(rows.where("text IS NULL").select("id"))
-    nothing = F.lit(None).cast("binary").alias("node")
+    nothing = F.lit(None).cast("binary").alias("digest")
     out = done.unionByName(alone.select("id", nothing, F.col("id").alias("class_id"), F.lit(True).alias("kept")))
-    return out.select(F.col("id").alias(doc_id), "node", "class_id", "kept")
+    return out.select(F.col("id").alias(doc_id), "digest", "class_id", "kept")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without near duplicates: one of each class, that
     of the smallest id, and all rows whose text is null or has no word."""
-    kept = near_duplicates(docs, doc_id, text).where("kept AND node IS NOT NULL")
-    kept = kept.select(column(kept, doc_id).alias("_i"), F.col("node").alias("_n")).distinct()
+    kept = near_duplicates(docs, doc_id, text).where("kept AND digest IS NOT NULL")
+    kept = kept.select(column(kept, doc_id).alias("_i"), F.col("digest").alias("_n")).distinct()
     numbered = docs.select(*[column(docs, c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
     d, t = (F.col(f"c{docs.columns.index(c)}") for c in (doc_id, text))
     worded = F.coalesce(t.rlike(WORD_PATTERN), F.lit(False))
-    named = numbered.where(worded).withColumn("node", F.unhex(F.md5(t.cast("binary"))))
-    one = named.join(kept, (F.col("node") == F.col("_n")) & d.cast("long").eqNullSafe(F.col("_i")))
+    named = numbered.where(worded).withColumn("digest", F.unhex(F.md5(t.cast("binary"))))
+    one = named.join(kept, (F.col("digest") == F.col("_n")) & d.cast("long").eqNullSafe(F.col("_i")))
     one = one.dropDuplicates(["_n", "_i"]).select(*numbered.columns)
     out = one.unionByName(numbered.where(~worded))
     return out.toDF(*docs.columns)
