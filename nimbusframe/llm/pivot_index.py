@@ -32,8 +32,8 @@ BLOCK = 1024
 
 
 def unit_vectors(vectors: DataFrame) -> DataFrame:
-    """``vectors`` has ``id`` and ``v`` (array of double); adds ``node`` (digest
-    of the vector at length 1) and ``unit`` (its doubles as bytes), both null
+    """``vectors`` has ``id`` and ``v`` (array of double); adds ``digest`` (of
+    the vector at length 1) and ``unit`` (its doubles as bytes), both null
     for null or empty vectors, zero, and null or non-finite components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,16 +53,16 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
                     nodes.append(None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(nodes, pa.binary()), pa.array(units, pa.binary())],
-                names=["id", "node", "unit"],
+                names=["id", "digest", "unit"],
             )
 
-    return vectors.mapInArrow(run, "id long, node binary, unit binary")
+    return vectors.mapInArrow(run, "id long, digest binary, unit binary")
 
 
 def choose_pivots(nodes: DataFrame, count: int) -> dict[int, np.ndarray]:
     """Reference points by dimension: the ``count`` vectors with the smallest
     digests (a uniform sample), without those that are alike."""
-    rows = nodes.orderBy("node").select("unit").limit(count).collect()
+    rows = nodes.orderBy("digest").select("unit").limit(count).collect()
     out: dict[int, np.ndarray] = {}
     for width in sorted({len(r["unit"]) // 8 for r in rows}):
         x = np.stack([np.frombuffer(r["unit"]) for r in rows if len(r["unit"]) == width * 8])
@@ -149,7 +149,7 @@ def _compare(table: pa.Table, shared: int, cosine: float) -> pa.Table:
         root = low
     at = np.flatnonzero(links)
     return pa.table(
-        {"node": pa.array([nodes[k] for k in at], pa.binary()), "root": pa.array([nodes[root[k]] for k in at], pa.binary()),
+        {"node": pa.array([nodes[k] for k in at], pa.int64()), "root": pa.array([nodes[root[k]] for k in at], pa.int64()),
          "links": pa.array(links[at].astype(np.int64))}
     )
 
@@ -185,11 +185,13 @@ def link_vectors(
         column(vectors, vec_id).cast("long").alias("id"), column(vectors, vector).cast("array<double>").alias("v")
     )
     members = checkpointed(unit_vectors(rows))
-    nodes = members.where("node IS NOT NULL").groupBy("node", "unit").agg(F.count(F.lit(1)).alias("count"))
-    nodes = checkpointed(nodes)
+    nodes = members.where("digest IS NOT NULL").groupBy("digest", "unit").agg(
+        F.count(F.lit(1)).alias("count"), F.min("id").alias("id")
+    )
+    nodes = checkpointed(nodes.withColumn("node", F.monotonically_increasing_id()))
     many = nodes.count()
     pivots = choose_pivots(nodes, min(MOST_PIVOTS, max(16, many // PER_PIVOT)))
-    listed = checkpointed(describe(nodes, pivots, depth))
+    listed = checkpointed(describe(nodes.select("node", "unit", "count"), pivots, depth))
     postings = listed.select("node", "unit", "count", "near", F.explode("near").alias("pivot"))
     # One row a reference point: at most MOST_PIVOTS and the dimensions without.
     lengths = postings.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
@@ -202,19 +204,24 @@ def link_vectors(
     )
     found = checkpointed(
         paired.groupBy("pivot", "i", "j").applyInArrow(
-            lambda table: _compare(table, shared, cosine), "node binary, root binary, links long"
+            lambda table: _compare(table, shared, cosine), "node long, root long, links long"
         )
     )
     joined = components(found, "node", "root")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    per_node = nodes.select("node", "count").join(links, "node", "left").join(joined, "node", "left").select(
-        "node", (F.coalesce("links", F.lit(0)) + F.col("count") - 1).cast("long").alias("n_links"),
+    per_node = nodes.select("node", "digest", "count", "id").join(links.hint("merge"), "node", "left").join(
+        joined.hint("merge"), "node", "left"
+    )
+    per_node = checkpointed(per_node.select(
+        "digest", "id", (F.coalesce("links", F.lit(0)) + F.col("count") - 1).cast("long").alias("n_links"),
         F.coalesce("component", "node").alias("c"),
-    )
-    good = members.where("node IS NOT NULL").select("id", "node").join(per_node, "node")
-    least = good.groupBy("c", F.lit(0).alias("z")).agg(F.min("id").alias("component_id")).drop("z")
-    done = good.join(least, "c").select("id", "n_links", "component_id")
-    alone = members.where("node IS NULL").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    ))
+    least = per_node.groupBy("c").agg(F.min("id").alias("component_id"))
+    per_node = per_node.join(least, "c").select("digest", "n_links", "component_id")
+    done = members.where("digest IS NOT NULL").select("id", "digest").join(per_node, "digest").drop("digest")
+    alone = members.where("digest IS NULL").select(
+        "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")
+    )
     out = done.unionByName(alone)
     return out.select(
         F.col("id").alias(vec_id), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
