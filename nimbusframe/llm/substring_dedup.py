@@ -15,8 +15,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from nimbusframe.llm.common import chunks, column, free_name, words
@@ -143,21 +144,54 @@ def _unpacked(table: pa.Table, keys: int, wide: bool) -> tuple[np.ndarray, ...]:
     return tuple(map(np.concatenate, zip(*parts, strict=True)))
 
 
-def _by_document(keys: list[np.ndarray], place: np.ndarray, names: list[str]) -> pa.Table:
-    """A row per document with its places."""
-    order = np.lexsort((place, *reversed(keys)))
-    keys, place = [k[order] for k in keys], place[order]
-    new = np.zeros(len(place), dtype=bool)
-    new[:1] = True
-    for k in keys:
-        new[1:] |= k[1:] != k[:-1]
-    first = np.flatnonzero(new)
-    ends = np.append(first[1:], len(place))[: len(first)]
-    packed = [place[a:b].tobytes() for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
-    return pa.table([*(pa.array(k[first]) for k in keys), pa.array(packed, pa.binary())], names=[*names, "places"])
+MARKS = "dg int, docs binary, counts binary, places binary"
 
 
-def _texts(batch: pa.RecordBatch, length: int) -> Iterator[tuple]:
+def group_of(ids, groups: int):
+    """Group of documents by id, for numbers and, alike, for a column."""
+    if isinstance(ids, Column):
+        return F.pmod(ids.bitwiseXOR(F.shiftright(ids, 21)), F.lit(groups)).cast("int")
+    return ((ids ^ (ids >> 21)) % groups).astype(np.int32)
+
+
+def _marked(keys: list[np.ndarray], place: np.ndarray, groups: int) -> pa.Table:
+    """Places packed in a row per group of documents; ``keys`` are the id and
+    what else tells documents apart."""
+    group = group_of(keys[0], groups)
+    order = np.lexsort((place, *reversed(keys), group))
+    group, keys, place = group[order], [k[order] for k in keys], place[order]
+    rows: list[list] = [[], [], [], []]
+    edges = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, dtype=np.int64)
+    for lo, hi in zip(edges.tolist(), [*edges[1:].tolist(), len(group)], strict=False):
+        new = np.zeros(hi - lo, dtype=bool)
+        new[0] = True
+        for k in keys:
+            new[1:] |= k[lo + 1 : hi] != k[lo : hi - 1]
+        first = np.flatnonzero(new)
+        values = (
+            int(group[lo]), b"".join(_planes(k[lo:hi][first]) for k in keys),
+            _planes(np.diff(np.append(first, hi - lo)).astype(np.uint32)), _planes(place[lo:hi].astype(np.uint32)),
+        )
+        for r, v in zip(rows, values, strict=True):
+            r.append(v)
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.table([pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], names=["dg", "docs", "counts", "places"])
+
+
+def _places(marks: pa.Table, keys: int) -> dict[tuple, np.ndarray]:
+    """The marked places of every document of a group."""
+    out: dict[tuple, list] = {}
+    for r in marks.to_pylist():
+        docs = len(r["counts"]) // 4
+        ids = [_numbers(r["docs"][i * docs * 8 : (i + 1) * docs * 8], np.int64, docs).tolist() for i in range(keys)]
+        ends = np.cumsum(_numbers(r["counts"], np.uint32, docs).astype(np.int64))
+        place = _numbers(r["places"], np.uint32, int(ends[-1])).astype(np.int64)
+        for k, own in zip(zip(*ids, strict=True), np.split(place, ends[:-1]), strict=True):
+            out.setdefault(k, []).append(own)
+    return {k: np.concatenate(v) for k, v in out.items()}
+
+
+def _texts(batch: pa.RecordBatch | pa.Table, length: int) -> Iterator[tuple]:
     """(row numbers, words, document of each word, place of each word) of runs
     of the rows that have ``length`` words."""
     texts = batch.column("_text").to_pylist()
@@ -172,14 +206,16 @@ def _texts(batch: pa.RecordBatch, length: int) -> Iterator[tuple]:
             yield [lo + i for i in rows], flat, doc, place
 
 
-def find_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
-    """``docs`` has ``id`` (long, not null) and ``_text``. Returns it and (id,
-    hits): per document the places where a window starts that is to go, as
-    (text key, places) of each bucket; the text key tells apart texts of one id."""
+def find_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) -> tuple[GroupedData, GroupedData]:
+    """``docs`` has ``id`` (long, not null) and ``_text``. Returns it and the
+    places where a window starts that is to go, both grouped by ``dg``, a group
+    of documents; a place belongs to an id and a text key, as ids may repeat."""
     block = length // 2
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.length("_text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket))
+    groups = next(n for n in range(4 * buckets + 1, 16 * buckets + 16) if all(n % k for k in range(2, int(n**0.5) + 1)))
+    docs = docs.withColumn("dg", group_of(F.col("id"), groups))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Every window of a block's size of every document; those at multiples
@@ -204,30 +240,31 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) ->
         least = np.minimum.reduceat(np.where(index, ids, np.iinfo(np.int64).max), first)[group]
         most = np.maximum.reduceat(ids, first)[group]
         hit = (ids > least) | (index & (most > ids))
-        return _by_document([ids[hit]], place[hit], ["id"])
+        return _marked([ids[hit]], place[hit], groups)
 
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def extend(table: pa.Table, marks: pa.Table) -> pa.Table:
         """Hashes of the windows of ``length`` words that hold an anchor."""
-        for batch in batches:
-            ids = batch.column("id").to_numpy()
-            hits = batch.column("places").to_pylist()
-            texts = batch.column("_text").to_pylist()
-            for rows, flat, doc, place in _texts(batch, length):
-                edge = np.zeros(len(flat) + 1, dtype=np.int32)
-                starts = np.flatnonzero(place == 0)
-                ends = np.append(starts[1:], len(flat))
-                for i, r in enumerate(rows):
-                    at = np.concatenate([np.frombuffer(x, np.uint32) for x in hits[r]]).astype(np.int64)
-                    at = at[at < ends[i] - starts[i]]  # texts of one id share their hits
-                    np.add.at(edge, starts[i] + np.maximum(at - (length - block), 0), 1)
-                    np.add.at(edge, starts[i] + at + 1, -1)
-                one, two = (rolling(word_hashes(flat, k), length, b) for k, b in enumerate(BASES))
-                n = len(one)
-                near = np.flatnonzero((np.cumsum(edge)[:n] > 0) & (doc[:n] == doc[length - 1 :]))
-                keys = [ids[rows], np.array([_text_key(texts[r]) for r in rows], dtype=np.int64)]
-                yield from _packed(
-                    buckets, one[near], doc[near], place[near], keys, (two[near] >> np.uint64(32)).astype(np.uint32)
-                )
+        found = _places(marks, 1)
+        table = table.filter(pc.is_in(table.column("id"), pa.array([k for k, in found], pa.int64())))
+        ids, texts = table.column("id").to_numpy(), table.column("_text").to_pylist()
+        out = []
+        for rows, flat, doc, place in _texts(table, length):
+            edge = np.zeros(len(flat) + 1, dtype=np.int32)
+            starts = np.flatnonzero(place == 0)
+            ends = np.append(starts[1:], len(flat))
+            for i, r in enumerate(rows):
+                at = found[int(ids[r]),]
+                at = at[at < ends[i] - starts[i]]  # texts of one id share their anchors
+                np.add.at(edge, starts[i] + np.maximum(at - (length - block), 0), 1)
+                np.add.at(edge, starts[i] + at + 1, -1)
+            one, two = (rolling(word_hashes(flat, k), length, b) for k, b in enumerate(BASES))
+            n = len(one)
+            near = np.flatnonzero((np.cumsum(edge)[:n] > 0) & (doc[:n] == doc[length - 1 :]))
+            keys = [ids[rows], np.array([_text_key(texts[r]) for r in rows], dtype=np.int64)]
+            out += _packed(
+                buckets, one[near], doc[near], place[near], keys, (two[near] >> np.uint64(32)).astype(np.uint32)
+            )
+        return pa.Table.from_batches(out or [_entry_batch([[] for _ in range(7)])])
 
     def settle(table: pa.Table) -> pa.Table:
         """Windows whose words also start in a document with a smaller id."""
@@ -237,18 +274,12 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) ->
         first = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
         least = np.repeat(np.minimum.reduceat(ids, first), np.diff(np.append(first, len(one))))
         gone = ids > least
-        return _by_document([ids[gone], key[gone]], place[gone], ["id", "key"])
+        return _marked([ids[gone], key[gone]], place[gone], groups)
 
-    anchors = (
-        docs.mapInArrow(probe, ENTRY).groupBy("bucket").applyInArrow(anchor, "id long, places binary")
-        .groupBy("id").agg(F.collect_list("places").alias("places"))
-    )
-    hits = (
-        docs.join(anchors, "id").mapInArrow(extend, ENTRY)
-        .groupBy("bucket").applyInArrow(settle, "id long, key long, places binary")
-        .groupBy("id").agg(F.collect_list(F.struct("key", "places")).alias("hits"))
-    )
-    return docs, hits
+    own = docs.groupBy("dg")
+    anchors = docs.select("id", "_text").mapInArrow(probe, ENTRY).groupBy("bucket").applyInArrow(anchor, MARKS)
+    windows = own.cogroup(anchors.groupBy("dg")).applyInArrow(extend, ENTRY)
+    return own, windows.groupBy("bucket").applyInArrow(settle, MARKS).groupBy("dg")
 
 
 def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
@@ -281,43 +312,46 @@ def dedup_substrings(
     near an anchor for the exact comparison. Buckets are made by hash, their
     number grows with the input; in a bucket only the smallest and largest id
     of a hash matter, so a passage that a third of all documents hold costs
-    its bytes but no pairs. Texts are shuffled once: both joins on the id use
-    the same exchange. Lost executors lead to recomputed stages only.
+    its bytes but no pairs. Marks travel packed too, one row for each bucket and
+    group of documents. Texts are shuffled once: marks meet them twice, in the
+    same exchange by groups of documents of a few megabytes. Lost executors lead to recomputed stages only.
     """
-    # New names for both: plans of both joins then are alike to the letter, and share their exchange.
+    # New names for both: the plans of both meetings are then alike to the letter, and share the exchange.
     named = docs.select(column(docs, doc_id).cast("long").alias("id"), column(docs, text).cast("string").alias("_text"))
     known, hits = find_repeats(named.where("id IS NOT NULL"), length, bucket)
-    names = ["id", "n_words", "n_removed", "kept_sha256", "kept"]
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(ids: pa.ChunkedArray | pa.Array, texts: list[str | None], found: dict) -> Iterator[pa.RecordBatch]:
+        for lo, hi in chunks([len(x or "") for x in texts], CHUNK):
+            out: list[list] = [[], [], [], []]
+            for i, x in zip(ids[lo:hi].to_pylist(), texts[lo:hi], strict=True):
+                w = words(x)
+                n, gone = len(w), 0
+                starts = found.get((i, _text_key(x))) if found and n >= length else None
+                if starts is not None:
+                    mark = covered(n, starts, length)
+                    gone = int(mark.sum())
+                    w = [v for v, m in zip(w, mark.tolist(), strict=True) if not m]
+                kept = " ".join(w)
+                digest = hashlib.sha256(kept.encode("utf-8", "surrogatepass")).hexdigest()
+                for o, v in zip(out, (n, gone, digest, kept if with_text else None), strict=True):
+                    o.append(v)
+            own = ids[lo:hi]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    own.combine_chunks() if isinstance(own, pa.ChunkedArray) else own, pa.array(out[0], pa.int64()),
+                    pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], pa.string()),
+                ], names=["id", "n_words", "n_removed", "kept_sha256", "kept"],
+            )
+
+    def cut_group(table: pa.Table, marks: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([*cut(table.column("id"), table.column("_text").to_pylist(), _places(marks, 2))])
+
+    def cut_unnamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("id"), batch.column("_text").to_pylist()
-            found = batch.column("hits").to_pylist()
-            for lo, hi in chunks([len(x or "") for x in texts], CHUNK):
-                out: list[list] = [[], [], [], []]
-                for x, own in zip(texts[lo:hi], found[lo:hi], strict=True):
-                    w = words(x)
-                    n, gone = len(w), 0
-                    if own:
-                        key = _text_key(x or "")
-                        starts = [np.frombuffer(h["places"], np.uint32) for h in own if h["key"] == key]
-                        if starts:
-                            mark = covered(n, np.concatenate(starts).astype(np.int64), length)
-                            gone = int(mark.sum())
-                            w = [v for v, m in zip(w, mark.tolist(), strict=True) if not m]
-                    kept = " ".join(w)
-                    digest = hashlib.sha256(kept.encode("utf-8", "surrogatepass")).hexdigest()
-                    for o, v in zip(out, (n, gone, digest, kept if with_text else None), strict=True):
-                        o.append(v)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(lo, hi - lo), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                        pa.array(out[2], pa.string()), pa.array(out[3], pa.string()),
-                    ], names=names,
-                )
-
-    nothing = F.lit(None).cast("array<struct<key:bigint,places:binary>>").alias("hits")
-    rows = known.join(hits, "id", "left").unionByName(named.where("id IS NULL").select("id", "_text", nothing))
-    done = rows.mapInArrow(cut, "id long, n_words long, n_removed long, kept_sha256 string, kept string")
+            yield from cut(batch.column(0), batch.column(1).to_pylist(), {})
+
+    kind = "id long, n_words long, n_removed long, kept_sha256 string, kept string"
+    done = known.cogroup(hits).applyInArrow(cut_group, kind)
+    done = done.unionByName(named.where("id IS NULL").mapInArrow(cut_unnamed, kind))
     out = done.select(F.col("id").alias(doc_id), "n_words", "n_removed", "kept_sha256", "kept")
     return out.withColumnRenamed("kept", free_name(out, text)) if with_text else out.drop("kept")
