@@ -67,7 +67,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", salts: int = 8) ->
     ``(node, component)`` for every node with an edge, but for the smallest of
     each component, which names it: ``component`` is the smallest node reachable. Each step is one partial
     aggregation and one equi-join whose hot nodes are salted; every round is
-    written to the checkpoint folder, and the driver only sees two numbers a
+    written to the checkpoint folder, and the driver only sees one number a
     round. Null ends and self links are ignored.
     """
 
@@ -82,20 +82,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", salts: int = 8) ->
     linked = F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))
     cur = edges.where(linked).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     cur = checkpointed(cur.distinct())
-    seen = None
     while True:
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = lowest(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("low").alias("v"))
-        large = large.distinct()
-        small = lowest(large).select("u", "v", "low")
+        small = lowest(large.distinct()).select("u", "v", "low")
         cur = checkpointed(
             small.select(F.col("u"), F.col("low").alias("v"))
             .unionByName(small.where(F.col("v") != F.col("low")).select(F.col("v").alias("u"), F.col("low").alias("v")))
             .distinct()
         )
-        stat = cur.agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")
-        ).first()
-        if (stat["n"], stat["h"]) == seen:
+        # Done when every node hangs on one root: none has two rows, and no root hangs on another.
+        ends = cur.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            cur.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+        )
+        ends = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not ends.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).limit(1).count():
             return cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        seen = (stat["n"], stat["h"])

@@ -228,8 +228,8 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
 
     First every text is compared with one text of each of its tuples, the
     one of the smallest node; near copies are thereby linked in a star without pairs. Then
-    the tuples that still hold more than one component are worked through:
-    texts in different components are compared with each other. Tuples of more
+    the tuples whose texts do not all hang on one node are worked through:
+    texts on different nodes are compared with each other. Tuples of more
     than ``crowd`` texts are cut by a second sketch and, where still larger, by
     a third, before that.
     """
@@ -243,14 +243,16 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
     )
     star = checkpointed(star)
     links = checkpointed(verified(star, texts_of(star, nodes, rows)))
-    labels = components(links).withColumnRenamed("component", "c")
+    # One step is enough here: near copies hang on the smallest node they share a
+    # tuple with. Where it is not, more pairs are compared, none fewer.
+    labels = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("c"))
     placed = tuples.join(shared.select("j", "h").hint("merge"), ["j", "h"]).join(labels.hint("merge"), "node", "left")
     placed = placed.withColumn("c", F.coalesce("c", "node")).withColumn("key", F.xxhash64("j", "h"))
     placed = checkpointed(placed.select("key", "j", "node", "n", "c"))
     sketch = nodes.select("node", "sketch")
     pairs, depth = None, 0
     while True:
-        # Keys whose texts are in more than one component.
+        # Keys whose texts hang on more than one node.
         mixed = placed.groupBy("key").agg(
             F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size")
         ).where(F.col("low") != F.col("high"))
