@@ -94,22 +94,89 @@ def array_length(arr: Column | str) -> Column:
 
 # --- typed attributes (key-value item wire form) ----------------------------
 
-# The attribute type tags of the key-value wire format.
+# The attribute type tags of the key-value wire format are
+# S, N, BOOL, NULL, SS, NS, B, BS, M and L; items nest 32 levels at most.
 TYPED_VALUE_SCHEMA = "map<string, struct<S: string, N: string, BOOL: boolean, NULL: boolean, SS: array<string>, NS: array<string>>>"
+TYPED_DEPTH = 5
 
 
-def unmarshal(col: Column | str, is_json: bool = True) -> Column:
+def _quoted(text: Column) -> Column:
+    """JSON text of a string."""
+    one = F.to_json(F.array(text))
+    return F.when(text.isNotNull(), F.substring(one, F.lit(2), F.length(one) - 2))
+
+
+def _json_number(text: Column) -> Column:
+    """Number text as JSON writes it: no zeros after the last digit of a fraction."""
+    return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+
+
+def _typed_json(v: Column, depth: int) -> Column:
+    """JSON text of one typed value (a VARIANT such as ``{"N": "85"}``).
+
+    Maps and lists have one kind of children, (name, value), so that the
+    expression grows with the depth and not with its power; what lies deeper
+    raises an error instead of getting lost."""
+    get = lambda tag, kind: F.try_variant_get(v, f"$.{tag}", kind)
+    fields = F.map_entries(get("M", "map<string,variant>"))
+    elements = get("L", "array<variant>")
+    pairs = F.coalesce(
+        F.transform(fields, lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"))),
+        F.transform(elements, lambda x: F.struct(F.lit(None).cast("string").alias("k"), x.alias("v"))),
+    )
+    if depth:
+        one = lambda e: F.concat(
+            F.when(e["k"].isNotNull(), F.concat(_quoted(e["k"]), F.lit(":"))).otherwise(""), _typed_json(e["v"], depth - 1))
+        inner = F.array_join(F.transform(pairs, one), ",")
+    else:
+        inner = F.when(F.size(pairs) == 0, F.lit("")).otherwise(F.raise_error(F.lit("typed item nested too deeply")))
+    numbers = get("NS", "array<string>")
+    return F.coalesce(
+        _quoted(get("S", "string")),
+        _json_number(get("N", "string")),
+        get("BOOL", "boolean").cast("string"),
+        F.when(get("NULL", "boolean"), F.lit("null")),
+        F.to_json(get("SS", "array<string>")),
+        F.concat(F.lit("["), F.array_join(F.transform(numbers, _json_number), ","), F.lit("]")),
+        _quoted(get("B", "string")),
+        F.to_json(get("BS", "array<string>")),
+        F.concat(F.when(fields.isNotNull(), "{").otherwise("["), inner, F.when(fields.isNotNull(), "}").otherwise("]")),
+    )
+
+
+def _attributes(col: Column) -> Column:
+    return F.try_variant_get(F.try_parse_json(col), "$", "map<string,variant>")
+
+
+def plain_json(col: Column | str, depth: int = TYPED_DEPTH) -> Column:
+    """typed-attribute JSON text -> plain JSON text with the values' own
+    types: numbers, booleans, null, nested maps and lists; sets are arrays,
+    binary values their base64 text. NULL or invalid text gives NULL."""
+    pairs = F.map_entries(_attributes(_col(col)))
+    one = F.transform(pairs, lambda e: F.concat(_quoted(e["key"]), F.lit(":"), _typed_json(e["value"], depth)))
+    return F.concat(F.lit("{"), F.array_join(one, ","), F.lit("}"))
+
+
+def unmarshal(col: Column | str, is_json: bool = True, depth: int = TYPED_DEPTH) -> Column:
     """typed-attribute JSON text (``{"Grade": {"N": "85"}}``) or a parsed
     map of typed values -> ``map<string,string>`` of plain values.
 
     ``S`` and ``N`` keep their text (numbers stay exact text; cast per column
     with :func:`attribute`), ``BOOL`` becomes ``'true'``/``'false'``, ``NULL``
-    becomes SQL NULL, sets become JSON arrays. ``is_json=False`` takes an
-    already parsed ``map<string, struct<...>>`` column."""
+    becomes SQL NULL, binary values their base64 text; sets, maps and lists
+    become JSON text. ``is_json=False`` takes an already parsed
+    ``map<string, struct<...>>`` column of scalars and sets."""
     c = _col(col)
-    parsed = F.from_json(c, TYPED_VALUE_SCHEMA) if is_json else c
+    if is_json:
+        return F.transform_values(
+            _attributes(c),
+            lambda _k, v: F.coalesce(
+                F.try_variant_get(v, "$.S", "string"), F.try_variant_get(v, "$.N", "string"), F.try_variant_get(v, "$.B", "string"),
+                F.when(F.coalesce(F.try_variant_get(v, "$.NULL", "boolean"), F.lit(False)), F.lit(None)).otherwise(_typed_json(v, depth)),
+            ),
+        )
     return F.transform_values(
-        parsed,
+        c,
         lambda _k, v: F.coalesce(
             v.getField("S"),
             v.getField("N"),

@@ -208,10 +208,15 @@ def change_records(events: DataFrame) -> DataFrame:
         F.col("event_id").cast("string").alias("id"), F.col("user_id").alias("user"),
         F.get_json_object("props", "$.k").cast("bigint").alias("k"), name.alias("eventName"),
     )
+    # besides the columns, a boolean and a map that holds a number and a list
+    more = F.concat(
+        F.lit(',"late":{"BOOL":'), (F.col("value") > 25).cast("string"), F.lit('},"about":{"M":{"user":{"N":"'), F.col("user").cast("string"),
+        F.lit('"},"kinds":{"L":[{"S":"'), F.col("event_type"), F.lit('"},{"NULL":true}]}}}}'))
+    nested = lambda cols: F.concat(F.regexp_replace(marshal(base, cols), r"\}$", ""), more)
     return base.select(
         "event_id", "ts", "eventName",
-        F.when(F.col("eventName") != "INSERT", marshal(base, ["id", "user", "k"])).alias("OldImage"),
-        F.when(F.col("eventName") != "REMOVE", marshal(base, ["id", "user", "value"])).alias("NewImage"),
+        F.when(F.col("eventName") != "INSERT", nested(["id", "user", "k"])).alias("OldImage"),
+        F.when(F.col("eventName") != "REMOVE", nested(["id", "user", "value"])).alias("NewImage"),
     )
 
 

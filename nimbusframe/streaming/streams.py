@@ -8,10 +8,11 @@ micro-batch id, so a retried batch after an executor or driver loss
 overwrites its own output instead of duplicating it.
 
 Event time: the driver's ``ts`` columns are ``TIMESTAMP_NTZ``. Watermarks
-need ``TIMESTAMP``, so T3 casts the event-time column first (session zone);
+need ``TIMESTAMP``, so the event-time column is cast for them (session zone);
 T4/T5 keep the column's own type, so their run arithmetic is in wall-clock
 time for ``TIMESTAMP_NTZ``. Watermark policy (not fixed by the reference):
-2 x the period; later rows are dropped.
+2 x the period unless ``delay`` says otherwise; later rows are dropped and
+counted.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from nimbusframe.functions.nested import unmarshal
+from nimbusframe.functions.nested import plain_json, unmarshal
 from nimbusframe.functions.scalars import iso_timestamp, now_or
 
 # Event names of the change stream and the notification texts.
@@ -39,6 +40,10 @@ def _plain(img: Column, typed: bool) -> Column:
     return unmarshal(img) if typed else img
 
 
+def _json(img: Column, typed: bool) -> Column:
+    return plain_json(img) if typed else F.to_json(img)
+
+
 def to_notifications(
     changes: DataFrame,
     env: str,
@@ -53,9 +58,9 @@ def to_notifications(
 
     INSERT and REMOVE carry the new resp. old item, MODIFY both; any other
     event name gives no notification (filtered out). Images are typed
-    attribute JSON (unmarshalled, F19) or, with ``typed_images=False``, plain
-    ``map<string,string>`` columns. The message is compact JSON with the same
-    fields as the reference's (``event, environment, item | oldItem+newItem,
+    attribute JSON (F19; values keep their types in the message, nested ones
+    too) or, with ``typed_images=False``, plain ``map<string,string>`` columns.
+    The message is compact JSON with the same fields as the reference's (``event, environment, item | oldItem+newItem,
     timestamp``)."""
     old = _plain(F.col(old_image), typed_images)
     new = _plain(F.col(new_image), typed_images)
@@ -66,11 +71,12 @@ def to_notifications(
     kind = F.coalesce(*[F.when(ev == k, F.lit(v[0])) for k, v in CHANGE_EVENTS.items()])
     title = F.coalesce(*[F.when(ev == k, F.lit(v[1])) for k, v in CHANGE_EVENTS.items()])
     subject = F.concat(F.lit(f"[{env}] "), title, F.lit(": "), F.coalesce(item_id, F.lit("undefined")))
-    single = F.to_json(F.struct(kind.alias("event"), F.lit(env).alias("environment"), item.alias("item"), ts.alias("timestamp")))
-    both = F.to_json(
-        F.struct(kind.alias("event"), F.lit(env).alias("environment"), old.alias("oldItem"), new.alias("newItem"), ts.alias("timestamp"))
-    )
-    message = F.when(ev == "MODIFY", both).otherwise(single)
+    old_json, new_json = _json(F.col(old_image), typed_images), _json(F.col(new_image), typed_images)
+    head = F.to_json(F.struct(kind.alias("event"), F.lit(env).alias("environment")))
+    tail = F.to_json(F.struct(ts.alias("timestamp")))
+    items = F.when(ev == "MODIFY", F.concat(F.lit('"oldItem":'), F.coalesce(old_json, F.lit("{}")), F.lit(',"newItem":'), F.coalesce(new_json, F.lit("{}")))).otherwise(
+        F.concat(F.lit('"item":'), F.coalesce(F.when(ev == "REMOVE", old_json).otherwise(new_json), F.lit("{}"))))
+    message = F.concat(F.regexp_replace(head, r"\}$", ","), items, F.lit(","), F.substring(tail, F.lit(2), F.length(tail)))
     return changes.where(ev.isin(list(CHANGE_EVENTS))).select(
         ev.alias("event_name"), kind.alias("event"), item_id.alias("item_id"), subject.alias("subject"), message.alias("message")
     )
@@ -89,8 +95,8 @@ def to_audit_rows(changes: DataFrame, actor: str, event_col: str = "eventName",
         action.alias("action"),
         key.alias(key_field),
         F.lit(actor).alias("changed_by"),
-        F.when(ev != "INSERT", F.to_json(old)).alias("old_data"),
-        F.when(ev != "REMOVE", F.to_json(new)).alias("new_data"),
+        F.when(ev != "INSERT", _json(F.col(old_image), typed_images)).alias("old_data"),
+        F.when(ev != "REMOVE", _json(F.col(new_image), typed_images)).alias("new_data"),
     )
 
 
@@ -119,11 +125,93 @@ def _double(period: str) -> str:
     return f"{2 * int(n)} {unit}"
 
 
-# --- T4: stateful alarm -------------------------------------------------------
+# --- T4, T5: stateful rows in event-time order -----------------------------------
+#
+# Both operators hold a key's rows back until the watermark has passed them and
+# then step through them in order, so the result does not depend on how rows
+# fall into micro-batches. Rows later than the watermark are dropped by Spark
+# before the operator and counted in the query's progress
+# (``late_rows``). What is still held back when a query ends is in its state:
+# ``drain`` reads it from the checkpoint and steps through it as a batch.
 
 _OP_NAMES = {">": "gt", "GreaterThanThreshold": "gt", ">=": "ge", "GreaterThanOrEqualToThreshold": "ge",
              "<": "lt", "LessThanThreshold": "lt", "<=": "le", "LessThanOrEqualToThreshold": "le"}
 _NP_OPS = {"gt": np.greater, "ge": np.greater_equal, "lt": np.less, "le": np.less_equal}
+_MICROS = 1_000_000
+
+
+class OrderedStates:
+    """A step over the ordered rows of each key that carries state from row to
+    row: ``apply`` on a stream, ``drain`` for its held-back rest."""
+
+    def __init__(self, df: DataFrame, key: str, ts: str, cols: Sequence[str], out: str, state: str, step, delay: str):
+        self.df, self.key, self.ts, self.cols, self.step, self.delay = df, key, ts, list(cols), step, delay
+        types = dict(df.dtypes)
+        self.out = f"{key} {types[key]}, {ts} {types[ts]}, {out}"
+        self.pending = {"_p_ts": "array<bigint>", **{f"_p_{c}": f"array<{types[c]}>" for c in self.cols}}
+        self.carried = [x.strip().split()[0] for x in state.split(",")]
+        self.state = f"{state}, " + ", ".join(f"{k} {v}" for k, v in self.pending.items())
+
+    def apply(self) -> DataFrame:
+        """The stepped rows of a stream, in append mode."""
+        key, ts, cols, step, n, held = self.key, self.ts, self.cols, self.step, len(self.carried), len(self.pending)
+
+        def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+            before = state.get if state.exists else (None,) * n + ([],) * held
+            parts = [_frame(cols, before[n:])]
+            if not state.hasTimedOut:
+                for pdf in pdfs:
+                    t = pdf[ts].astype("datetime64[us]").astype("int64")
+                    parts.append(pd.DataFrame({"_t": t.to_numpy(), **{c: pdf[c].astype(object).to_numpy() for c in cols}}))
+            rows = pd.concat([x for x in parts if len(x)] or parts[:1], ignore_index=True)
+            ready = rows["_t"].to_numpy(dtype="int64") < state.getCurrentWatermarkMs() * 1000
+            carried, out = _stepped(key, ts, cols, step, k[0], before[:n], rows[ready])
+            rest = rows[~ready]
+            plain = lambda v: None if v is None or v is pd.NaT else v.item() if hasattr(v, "item") else v
+            state.update((*carried, [int(x) for x in rest["_t"]], *[[plain(v) for v in rest[c]] for c in cols]))
+            if len(rest):
+                state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs() + 1, int(rest["_t"].min()) // 1000 + 1))
+            if len(out):
+                yield out
+
+        src = self.df.select(key, F.col(ts), *cols, F.col(ts).cast("timestamp").alias("_event"))
+        src = src.withWatermark("_event", self.delay)
+        return src.groupBy(key).applyInPandasWithState(
+            fn, outputStructType=self.out, stateStructType=self.state, outputMode="append",
+            timeoutConf=GroupStateTimeout.EventTimeTimeout,
+        )
+
+    def drain(self, spark: SparkSession, checkpoint: str) -> DataFrame:
+        """The stepped rows that a stopped query still held back, from the
+        state in its checkpoint; a later run of the query would emit them once
+        the watermark has passed."""
+        key, ts, cols, step, n = self.key, self.ts, self.cols, self.step, len(self.carried)
+        held = spark.read.format("statestore").load(checkpoint).where("value IS NOT NULL")
+        held = held.select(F.col("key.*"), "value.groupState.*").where(F.size("_p_ts") > 0)
+        held = held.toDF(key, *self.carried, *self.pending)
+
+        def fn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in frames:
+                for r in pdf.itertuples(index=False):
+                    carried = [None if x is None or x is pd.NaT or (isinstance(x, float) and np.isnan(x)) else x for x in r[1 : 1 + n]]
+                    yield _stepped(key, ts, cols, step, r[0], carried, _frame(cols, r[1 + n :]))[1]
+
+        return held.mapInPandas(fn, self.out)
+
+
+def _frame(cols: Sequence[str], pend: Sequence) -> pd.DataFrame:
+    """Held-back rows of one key: ``_t`` (microseconds) and ``cols``."""
+    t = np.array(pend[0], dtype="int64")
+    return pd.DataFrame({"_t": t, **{c: pd.Series(list(v), dtype=object) for c, v in zip(cols, pend[1:], strict=True)}})
+
+
+def _stepped(key: str, ts: str, cols: Sequence[str], step, k, carried, rows: pd.DataFrame):
+    """Step through the rows of key ``k`` in order; the new state and the output."""
+    rows = rows.sort_values(["_t", cols[0]], kind="stable") if len(rows) else rows
+    carried, out = step(carried, rows)
+    out.insert(0, key, [k] * len(out))
+    out.insert(1, ts, pd.to_datetime(rows["_t"].to_numpy(), unit="us"))
+    return carried, out
 
 
 def stream_alarm(
@@ -135,51 +223,42 @@ def stream_alarm(
     op: str,
     threshold: float,
     n: int,
-) -> DataFrame:
+    delay: str | None = None,
+) -> OrderedStates:
     """T4: alarm state per key over a stream of period statistics (one row per
     key and period). State per key: last period seen and the length of the
-    current run of contiguous breaching periods. Output per period: ``state``
-    ALARM/OK - the same as :func:`windows.alarm_states` on in-order input.
-    A period older than the last one seen for its key is late and dropped."""
+    current run of contiguous breaching periods. Output per period:
+    ``breaching`` and ``state`` ALARM/OK - the same as
+    :func:`windows.alarm_states`, for any order of arrival within ``delay``
+    (default 2 periods). NULL does not breach; NaN compares as in Spark, where
+    it is larger than any number."""
     cmp = _OP_NAMES[op]
 
-    def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last_ts, run = state.get if state.exists else (None, 0)
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values(period_start, kind="stable")
-        t = rows[period_start].astype("datetime64[ns]").astype("int64").to_numpy() // 10**9
-        keep = np.ones(len(t), dtype=bool) if last_ts is None else t > last_ts
-        rows, t = rows[keep], t[keep]
-        if len(t) == 0:
-            return
-        v = rows[value].to_numpy(dtype="float64")
-        with np.errstate(invalid="ignore"):
-            breach = _NP_OPS[cmp](v, threshold) & ~np.isnan(v)
-        prev = np.concatenate([[last_ts if last_ts is not None else -(10**18)], t[:-1]])
-        contiguous = (t - prev) == period_seconds
-        # a run of breaching, contiguous periods continues; anything else restarts it
-        reset = ~(breach & contiguous)
-        pos = np.arange(len(t))
-        last_reset = np.maximum.accumulate(np.where(reset, pos, -1))
-        base = np.where(last_reset >= 0, breach[np.maximum(last_reset, 0)].astype("int64"), run)
-        # after a reset at r: base + (pos - r); with no reset yet: carried run + pos + 1
-        runs = np.where(breach, base + pos - np.where(last_reset >= 0, last_reset, -1), 0)
-        state.update((int(t[-1]), int(runs[-1])))
-        yield pd.DataFrame({
-            key: [k[0]] * len(t), period_start: pd.to_datetime(t, unit="s"), value: v,
-            "breaching": breach, "state": np.where(runs >= n, "ALARM", "OK"),
-        })
-
-    # the period column keeps its type (TIMESTAMP_NTZ stays wall-clock time in pandas)
-    ptype = dict(stats.dtypes)[period_start]
-    schema = f"{key} {dict(stats.dtypes)[key]}, {period_start} {ptype}, {value} double, breaching boolean, state string"
-    src = stats.select(key, F.col(period_start), F.col(value).cast("double").alias(value))
-    return src.groupBy(key).applyInPandasWithState(
-        fn, outputStructType=schema, stateStructType="last_ts long, run long",
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout,
-    )
-
-
-# --- T5: stateful health ------------------------------------------------------
+    def step(carried, rows: pd.DataFrame):
+        last, run = carried[0], carried[1] or 0
+        t = rows["_t"].to_numpy(dtype="int64") // _MICROS
+        v = rows[value].astype("float64").to_numpy()
+        v = np.where(np.isnan(v), np.inf, v)
+        breach = _NP_OPS[cmp](v, threshold) & ~rows["_null"].to_numpy(dtype=bool)
+        states = np.empty(len(t), dtype=object)
+        if len(t):
+            prev = np.concatenate([[last if last is not None else -(10**18)], t[:-1]])
+            # a run of breaching, contiguous periods continues; anything else restarts it
+            reset = ~(breach & ((t - prev) == period_seconds))
+            pos = np.arange(len(t))
+            last_reset = np.maximum.accumulate(np.where(reset, pos, -1))
+            base = np.where(last_reset >= 0, breach[np.maximum(last_reset, 0)].astype("int64"), run)
+            # after a reset at r: base + (pos - r); with no reset yet: carried run + pos + 1
+            runs = np.where(breach, base + pos - np.where(last_reset >= 0, last_reset, -1), 0)
+            states = np.where(runs >= n, "ALARM", "OK")
+            last, run = int(t[-1]), int(runs[-1])
+        values = pd.Series([None if x else y for x, y in zip(rows["_null"], rows[value], strict=True)], dtype=object)
+        return (last, run), pd.DataFrame({value: values, "breaching": breach, "state": states})
+
+    return OrderedStates(
+        # pandas has one NaN for NULL and NaN
+        stats.withColumn(value, F.col(value).cast("double")).withColumn("_null", F.col(value).isNull()), key, period_start, [value, "_null"],
+        f"{value} double, breaching boolean, state string", "last_ts bigint, run bigint", step, delay or f"{2 * period_seconds} seconds")
 
 
 def stream_health(
@@ -191,27 +270,20 @@ def stream_health(
     unhealthy_after: int,
     healthy_after: int,
     initial: str = "healthy",
-) -> DataFrame:
+    delay: str = "1 hour",
+) -> OrderedStates:
     """T5: health state per target over a stream of checks. State per key:
-    current health, the ok-value of the current run, its length and the last
-    (ts, tie) processed. Output per check: ``run_length``, ``state``,
-    ``changed`` - equal to :func:`windows.health_states` on in-order input.
-    A check ordered before the last processed one is late and dropped."""
-
-    def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            health, run_ok, run_len, last_ts, last_tie = state.get
-        else:
-            health, run_ok, run_len, last_ts, last_tie = initial, None, 0, None, None
-        rows = pd.concat(list(pdfs), ignore_index=True).sort_values([ts, tie], kind="stable")
-        t = rows[ts].astype("datetime64[ns]").astype("int64").to_numpy() // 1000
+    current health, the ok-value of the current run and its length. Output per
+    check: ``run_length``, ``state``, ``changed`` - equal to
+    :func:`windows.health_states` for any order of arrival within ``delay``."""
+
+    def step(carried, rows: pd.DataFrame):
+        health, run_ok, run_len = carried[0] or initial, carried[1], carried[2] or 0
+        okb = np.array([bool(x) if x is not None and x == x else False for x in rows[ok]], dtype=bool)
         tie_v = rows[tie].to_numpy()
-        if last_ts is not None:
-            keep = (t > last_ts) | ((t == last_ts) & (tie_v > last_tie))
-            rows, t, tie_v = rows[keep], t[keep], tie_v[keep]
-        if len(t) == 0:
-            return
-        okb = rows[ok].fillna(False).to_numpy(dtype=bool)
+        if not len(okb):
+            empty = pd.DataFrame({tie: tie_v, ok: okb, "run_length": [], "state": [], "changed": []})
+            return (health, run_ok, run_len), empty
         pos = np.arange(len(okb))
         change = np.empty(len(okb), dtype=bool)
         change[0] = run_ok is None or bool(okb[0]) != bool(run_ok)
@@ -222,66 +294,119 @@ def stream_health(
         dec = np.where(~okb & (runs == unhealthy_after), "unhealthy", np.where(okb & (runs == healthy_after), "healthy", None))
         states = pd.Series(dec, dtype="object").ffill().fillna(health).to_numpy()
         before = np.concatenate([[health], states[:-1]])
-        state.update((str(states[-1]), bool(okb[-1]), int(runs[-1]), int(t[-1]), tie_v[-1].item() if hasattr(tie_v[-1], "item") else tie_v[-1]))
-        yield pd.DataFrame({
-            key: [k[0]] * len(t), ts: pd.to_datetime(t, unit="us"), tie: tie_v, ok: okb,
-            "run_length": runs.astype("int64"), "state": states, "changed": states != before,
-        })
+        out = pd.DataFrame({tie: tie_v, ok: okb, "run_length": runs.astype("int64"), "state": states, "changed": states != before})
+        return (str(states[-1]), bool(okb[-1]), int(runs[-1])), out
 
     types = dict(checks.dtypes)
-    schema = (f"{key} {types[key]}, {ts} {types[ts]}, {tie} {types[tie]}, {ok} boolean, run_length long, "
-              f"state string, changed boolean")
-    state_schema = f"health string, run_ok boolean, run_len long, last_ts long, last_tie {types[tie]}"
-    src = checks.select(key, F.col(ts), tie, F.col(ok).cast("boolean").alias(ok))
-    return src.groupBy(key).applyInPandasWithState(
-        fn, outputStructType=schema, stateStructType=state_schema,
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout,
-    )
+    return OrderedStates(
+        checks.withColumn(ok, F.col(ok).cast("boolean")), key, ts, [tie, ok],
+        f"{tie} {types[tie]}, {ok} boolean, run_length bigint, state string, changed boolean",
+        "health string, run_ok boolean, run_len bigint", step, delay)
+
+
+def late_rows(query) -> int:
+    """Rows that a finished query dropped as later than its watermark."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
 
 
 # --- T2, T6: sinks ------------------------------------------------------------
 
 
-def notifications_sink(path: str, counts_path: str):
+def notifications_sink(path: str, counts_path: str, env: str = "stream", event_col: str = "eventName", now: object = None,
+                       typed_images: bool = True):
     """T2 + S10: ``foreachBatch`` function writing a batch's notifications to
     ``path/batch_id=N`` and its record counts (all records, with and without a
     message) to ``counts_path/batch_id=N``. Overwriting the batch's own folder
-    makes a retried batch idempotent."""
+    makes a retried batch idempotent; with ``now`` its texts are the same too.
+    The batch is read once: it is kept while both are written."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = batch.agg(
-            F.count(F.lit(1)).alias("records_processed"),
-            F.count_if(F.col("eventName").isin(list(CHANGE_EVENTS))).alias("notifications"),
-        ).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        counts.write.mode("overwrite").parquet(f"{counts_path}/batch_id={batch_id}")
-        notes = to_notifications(batch, env="stream")
-        notes.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch = batch.persist()
+        try:
+            counts = batch.agg(
+                F.count(F.lit(1)).alias("records_processed"),
+                F.count_if(F.col(event_col).isin(list(CHANGE_EVENTS))).alias("notifications"),
+            )
+            counts.write.mode("overwrite").parquet(f"{counts_path}/batch_id={batch_id}")
+            notes = to_notifications(batch, env=env, now=now, event_col=event_col, typed_images=typed_images)
+            notes.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 
 
-def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], initial: DataFrame | None = None):
-    """``foreachBatch`` function keeping the latest row per key as
-    versioned snapshots ``path/v=N`` (N = batch id). Batch N reads snapshot
-    N-1 (or ``initial``), applies the batch with last-by-``order`` per key
-    (M9 semantics without ids), and overwrites ``v=N``: a retried batch
-    rewrites the same snapshot."""
+def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], initial: DataFrame | None = None, buckets: int = 64):
+    """``foreachBatch`` function keeping the latest row per key (last by
+    ``order``), in ``buckets`` folders by a hash of the key. A batch rewrites
+    only the buckets of its keys, each as a new version ``bucket=B/v=N`` (N =
+    batch id; ``initial`` is version -1): it reads the newest earlier version,
+    so a retried batch writes the same files again, and removes the versions
+    before that one. Read the table with :func:`read_upserted`."""
     from nimbusframe.operators.changes import _pick_per_key
 
+    def bucketed(df: DataFrame) -> DataFrame:
+        return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+    def put(rows: DataFrame, version: int) -> None:
+        out = _pick_per_key(bucketed(rows), ["bucket", *keys], order).withColumn("v", F.lit(version))
+        out.write.partitionBy("bucket", "v").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id == 0:
-            prev = initial if initial is not None else spark.createDataFrame([], batch.schema)
-        else:
-            prev = spark.read.parquet(f"{path}/v={batch_id - 1}")
-        # last row per key by ``order`` over the snapshot and the batch together
-        both = prev.unionByName(batch.select(*prev.columns))
-        new_state = _pick_per_key(both, keys, order)
-        new_state.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        if batch_id == 0 and initial is not None:
+            put(initial, -1)
+        touched = bucketed(batch).select("bucket").distinct()  # at most ``buckets`` numbers
+        own = [r["bucket"] for r in touched.collect()]
+        if not own:
+            return
+        rows = batch
+        if _exists(spark, path):
+            before = _newest(spark.read.schema(_with_version(batch, initial)).parquet(path).where(
+                F.col("bucket").isin(own) & (F.col("v") < batch_id)))
+            rows = before.drop("bucket", "v").unionByName(batch.select(*[c for c in before.columns if c not in ("bucket", "v")]))
+        put(rows, batch_id)
+        _remove_older(spark, path, own, batch_id)
 
     return write
 
 
+def read_upserted(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The table that :func:`upsert_sink` keeps: the newest version of every
+    bucket. ``schema`` is that of its rows."""
+    full = spark.createDataFrame([], schema).withColumn("bucket", F.lit(0)).withColumn("v", F.lit(0)).schema
+    return _newest(spark.read.schema(full).parquet(path)).drop("bucket", "v")
+
+
+def _newest(df: DataFrame) -> DataFrame:
+    newest = df.groupBy("bucket").agg(F.max("v").alias("_v"))  # a row per bucket
+    return df.join(newest, "bucket").where(F.col("v") == F.col("_v")).drop("_v")
+
+
+def _with_version(batch: DataFrame, initial: DataFrame | None):
+    rows = batch if initial is None else initial
+    return rows.limit(0).withColumn("bucket", F.lit(0)).withColumn("v", F.lit(0)).schema
+
+
+def _files(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _files(spark, path)
+    return fs.exists(p) and len(fs.listStatus(p)) > 0
+
+
+def _remove_older(spark: SparkSession, path: str, own: list[int], batch_id: int) -> None:
+    """Delete the versions of the buckets that no retry of this batch reads."""
+    for b in own:
+        fs, p = _files(spark, f"{path}/bucket={b}")
+        versions = sorted(int(x.getPath().getName()[2:]) for x in fs.listStatus(p) if x.getPath().getName().startswith("v="))
+        for v in [v for v in versions if v < batch_id][:-1]:
+            fs.delete(_files(spark, f"{path}/bucket={b}/v={v}")[1], True)
+
+
 def run_available_now(stream_df: DataFrame, checkpoint: str, sink=None, output_mode: str = "append",
                       fmt: str = "parquet", path: str | None = None):
     """Run a streaming query over everything available, then stop (the
@@ -296,14 +421,15 @@ def run_available_now(stream_df: DataFrame, checkpoint: str, sink=None, output_m
     return q
 
 
-def file_stream(spark: SparkSession, path: str, like: DataFrame, max_files: int | None = 1,
-                name_glob: str | None = None) -> DataFrame:
-    """A parquet file stream over the folder ``path`` with the schema of
-    ``like``; ``name_glob`` keeps only matching file names (a file source
-    needs a folder, so a single table file is selected this way)."""
+def file_stream(spark: SparkSession, path: str, like: DataFrame, max_files: int | None = 1) -> DataFrame:
+    """A parquet file stream with the schema of ``like`` over a folder of part
+    files or a single file (a file source needs a folder, so a single file is
+    read through its own name in its folder). All files are picked up,
+    ``max_files`` per micro-batch."""
     r = spark.readStream.schema(like.schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    if name_glob:
-        r = r.option("pathGlobFilter", name_glob)
-    return r.parquet(path)
+    fs, p = _files(spark, path)
+    if fs.getFileStatus(p).isDirectory():
+        return r.parquet(path)
+    return r.option("pathGlobFilter", p.getName()).parquet(p.getParent().toString())

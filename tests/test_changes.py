@@ -2,6 +2,8 @@
 
 import random
 
+import json
+
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -235,3 +237,45 @@ def test_change_operators_with_duplicate_keys_in_batch(spark):
         out = op(s, dup).state
         assert out.count() == s.count(), name  # one row per key
         assert out.where("StudentID = 'S1001' AND CourseID = 'CS101'").first().Grade == 70, name  # last by seq wins
+
+
+def test_patches_of_one_key_apply_in_order(spark):
+    state = spark.createDataFrame([(1, "old", 1.0), (2, "two", 2.0)], "k int, name string, price double")
+    ch = spark.createDataFrame([(1, 1, {"name": "0"}), (1, 2, {"price": "7"}), (1, 3, {"price": ""}), (1, 4, {"x": "y"}), (9, 5, {"name": "n"})],
+                               "k int, seq int, f map<string,string>")
+    r = M.patch(state, ch, ["k"], "f", {"name": "truthy", "price": "truthy"}, require_any=True, order=["seq"])
+    assert rows(r.state) == [(1, "0", 7.0), (2, "two", 2.0)]
+    assert rows(r.rejected, "k", "status") == [(1, 400), (1, 400), (9, 404)]
+
+
+def test_null_keys_and_repeated_unknown_keys(spark):
+    state = spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string")
+    assert rows(M.put(state, spark.createDataFrame([(None, "c")], "k int, v string"), ["k"]).state, "v") == [("b",), ("c",)]
+    gone = M.delete(state, spark.createDataFrame([(7,), (7,), (1,)], "k int"), ["k"])
+    assert rows(gone.rejected, "k", "status") == [(7, 404)] and rows(gone.state, "v") == [("a",)]
+
+
+def test_requests_follow_their_order_and_roll_back(spark):
+    from nimbusframe.operators.requests import evaluate_requests
+
+    stores = spark.createDataFrame([(1, "Main", "1 Road")], "store_id long, name string, address string")
+    items = spark.createDataFrame([], "item_id long, store_id long, item_name string, quantity int, price decimal(10,2)")
+    prices = spark.createDataFrame([(5, 1, "diesel", 3.0)], "gas_price_id long, store_id long, fuel_type string, price double").select(
+        "*", F.lit("2023-01-01 00:00:00").cast("timestamp").alias("last_updated"))
+    p = lambda a, **f: json.dumps({"action": a, "payload": f})
+    bodies = [
+        p("updateItemQuantity", item_id=1, quantity=4), p("addItemToStore", store_id=1, item_name="x", quantity="x"),
+        p("addItemToStore", store_id=2, item_name="early"), '{"action":"addStore","store":{"name":"North","address":""}}',
+        p("addItemToStore", store_id=2, item_name="late", quantity="3", price=1.25), p("updateItemQuantity", item_id=1, quantity=9),
+        p("updateGasPrice", store_id=1, fuel_type="diesel", price="abc"), p("getGasPricesForStore", store_id=1),
+        p("updateGasPrice", store_id=1, fuel_type="diesel", price=3.1255), p("getStoreInventory", store_id=2),
+        p("getStore", store_id=2), '{"action":"addStore","store":{"name":null,"address":"a"}}', p("getStore", store_id="0"), "[1]",
+    ]
+    reqs = spark.createDataFrame([(f"r{i}", i, b) for i, b in enumerate(bodies)], "request_id string, seq int, body string")
+    r = evaluate_requests(reqs, stores, items, prices, now="2024-01-01 00:00:00")
+    got = {x.request_id: x.status for x in r.responses.collect()}
+    assert [got[f"r{i}"] for i in range(14)] == [404, 500, 404, 201, 200, 200, 500, 200, 200, 200, 200, 500, 404, 400]
+    assert [(x.item_id, x.item_name, x.quantity) for x in r.items.collect()] == [(1, "late", 9)]
+    assert [(x.gas_price_id, x.price) for x in r.prices.collect()] == [(5, 3.126)]
+    assert rows(r.bodies, "request_id", "line", "name", "quantity") == [("r10", 1, "North", None), ("r7", 1, "diesel", None), ("r9", 1, "late", 9)]
+    assert {x.request_id: float(x.price) for x in r.bodies.where("action = 'getGasPricesForStore'").collect()} == {"r7": 3.0}

@@ -44,7 +44,7 @@ def test_text_helpers(spark):
 
 def test_truthy_default(spark):
     df = spark.createDataFrame([("", "old"), ("new", "old"), (None, "old"), ("0", "old")], "a string, b string")
-    assert rows(df.select(S.truthy_or("a", "b").alias("v"))) == [("new",), ("old",), ("old",), ("old",)]
+    assert rows(df.select(S.truthy_or("a", "b").alias("v"))) == [("0",), ("new",), ("old",), ("old",)]
 
 
 def test_cidr_bounds_and_sub_block(spark):
@@ -90,3 +90,37 @@ def test_dense_ids_are_consecutive_in_order(spark):
     got = rows(out, "k", "rid")
     assert [r[1] for r in got] == list(range(1, 1001))
     assert all(a[0] < b[0] for a, b in zip(got, got[1:]))
+
+
+def test_dense_ids_on_many_wide_partitions(spark, tmpdir_path):
+    wide = F.concat(*[F.md5(F.concat(F.col("id").cast("string"), F.lit(str(i)))) for i in range(4)])
+    df = spark.range(300_000, numPartitions=7).select(F.xxhash64("id").alias("k"), wide.alias("x"), F.concat(wide, F.lit("y")).alias("y"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        S.with_dense_id(df, "rid", start=1, order=["k"]).write.parquet(f"{tmpdir_path}/out")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    out = spark.read.parquet(f"{tmpdir_path}/out")
+    r = out.agg(F.count("rid").alias("n"), F.countDistinct("rid").alias("d"), F.min("rid").alias("lo"), F.max("rid").alias("hi")).first()
+    assert (r.n, r.d, r.lo, r.hi) == (300_000, 300_000, 1, 300_000)
+    ks = [x.k for x in out.orderBy("rid").select("k").collect()]
+    assert ks == sorted(ks)
+
+
+def test_truth_by_type_and_utc_text(spark):
+    from decimal import Decimal
+
+    df = spark.createDataFrame([("0", "", "false", 0, -0.0, float("nan"), Decimal("0.00"), False)],
+                               "a string, b string, c string, d int, e double, f double, g decimal(5,2), h boolean")
+    got = df.select(*[S.is_truthy(c).alias(c) for c in df.columns], S.is_truthy(F.lit(None)).alias("n"),
+                    S.is_truthy(F.lit(7)).alias("p"), S.is_truthy(F.lit(True)).alias("q")).first()
+    assert [got[c] for c in "abcdefghnpq"] == [True, False, True] + [False] * 6 + [True, True]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        at = spark.range(1).select(S.iso_timestamp(F.timestamp_seconds(F.lit(0))).alias("x"),
+                                   S.iso_timestamp(F.lit("2024-01-01 05:00:00").cast("timestamp_ntz")).alias("y")).first()
+        assert tuple(at) == ("1970-01-01T00:00:00.000Z", "2024-01-01T05:00:00.000Z")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

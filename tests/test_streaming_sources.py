@@ -14,11 +14,13 @@ from nimbusframe.session import Tables
 from nimbusframe.sources import io as IO
 from nimbusframe.streaming import streams as T
 
+EVENTS = f"{SF_SMALL}/events.parquet"
+
 
 def test_notifications_stream_equals_batch(spark, tmpdir_path):
     ev = Tables(spark, SF_SMALL).events
     batch = T.to_notifications(SI.change_records(ev), env="test", now="2024-01-01 00:00:00")
-    stream = T.to_notifications(SI.change_records(T.file_stream(spark, SF_SMALL, ev, name_glob="events.parquet")),
+    stream = T.to_notifications(SI.change_records(T.file_stream(spark, EVENTS, ev)),
                                 env="test", now="2024-01-01 00:00:00")
     T.run_available_now(stream, f"{tmpdir_path}/ck", path=f"{tmpdir_path}/out")
     got = spark.read.parquet(f"{tmpdir_path}/out")
@@ -31,7 +33,7 @@ def test_notifications_stream_equals_batch(spark, tmpdir_path):
 
 def test_batch_counts_include_records_without_message(spark, tmpdir_path):
     ev = Tables(spark, SF_SMALL).events
-    src = SI.change_records(T.file_stream(spark, SF_SMALL, ev, name_glob="events.parquet"))
+    src = SI.change_records(T.file_stream(spark, EVENTS, ev))
     T.run_available_now(src, f"{tmpdir_path}/ck", sink=T.notifications_sink(f"{tmpdir_path}/n", f"{tmpdir_path}/c"))
     c = spark.read.parquet(f"{tmpdir_path}/c").agg(F.sum("records_processed").alias("r"), F.sum("notifications").alias("n")).first()
     assert c.r == ev.count() and c.n == ev.where(F.col("event_type").isin("signup", "purchase", "error")).count()
@@ -40,10 +42,12 @@ def test_batch_counts_include_records_without_message(spark, tmpdir_path):
 def test_stream_health_equals_window_health(spark, tmpdir_path):
     ev = Tables(spark, SF_SMALL).events.withColumn("ok", F.col("event_type") != "error")
     batch = W.health_states(ev, ["user_id"], ["ts", "event_id"], F.col("ok"), 3, 2).select("user_id", "event_id", "run_length", "state", "changed")
-    s = T.stream_health(T.file_stream(spark, SF_SMALL, ev.drop("ok"), name_glob="events.parquet").withColumn("ok", F.col("event_type") != "error"),
+    s = T.stream_health(T.file_stream(spark, EVENTS, ev.drop("ok")).withColumn("ok", F.col("event_type") != "error"),
                         "user_id", "ts", "event_id", "ok", 3, 2)
-    T.run_available_now(s, f"{tmpdir_path}/ck", path=f"{tmpdir_path}/out")
-    got = spark.read.parquet(f"{tmpdir_path}/out").select("user_id", "event_id", "run_length", "state", "changed")
+    T.run_available_now(s.apply(), f"{tmpdir_path}/ck", path=f"{tmpdir_path}/out")
+    emitted, held = spark.read.parquet(f"{tmpdir_path}/out"), s.drain(spark, f"{tmpdir_path}/ck")
+    assert emitted.count() > 0 and held.count() > 0
+    got = emitted.unionByName(held).select("user_id", "event_id", "run_length", "state", "changed")
     assert rows(got) == rows(batch)
 
 
@@ -53,9 +57,9 @@ def test_stream_alarm_equals_window_alarm(spark, tmpdir_path):
     batch = W.alarm_states(stats, ["event_type"], "window_start", "avg_value", 21600, ">", 50.0, 2)
     stats.write.parquet(f"{tmpdir_path}/stats")
     src = spark.readStream.schema(stats.schema).parquet(f"{tmpdir_path}/stats")
-    T.run_available_now(T.stream_alarm(src, "event_type", "window_start", "avg_value", 21600, ">", 50.0, 2),
-                        f"{tmpdir_path}/ck", path=f"{tmpdir_path}/out")
-    got = spark.read.parquet(f"{tmpdir_path}/out")
+    alarm = T.stream_alarm(src, "event_type", "window_start", "avg_value", 21600, ">", 50.0, 2)
+    T.run_available_now(alarm.apply(), f"{tmpdir_path}/ck", path=f"{tmpdir_path}/out")
+    got = spark.read.parquet(f"{tmpdir_path}/out").unionByName(alarm.drain(spark, f"{tmpdir_path}/ck"))
     assert rows(got, "event_type", "window_start", "state") == rows(batch, "event_type", "window_start", "state")
 
 
@@ -110,7 +114,7 @@ def test_tables_views_and_history(spark, tmpdir_path):
 def test_append_mode_windows_equal_batch_for_closed_windows(spark, tmpdir_path):
     ev = Tables(spark, SF_SMALL).events
     batch = A.metric_statistics(ev, "ts", "value", "6 hours", ["event_type"])
-    s = T.stream_statistics(T.file_stream(spark, SF_SMALL, ev, name_glob="events.parquet"), "ts", "value", "6 hours", ["event_type"])
+    s = T.stream_statistics(T.file_stream(spark, EVENTS, ev), "ts", "value", "6 hours", ["event_type"])
     T.run_available_now(s, f"{tmpdir_path}/ck", path=f"{tmpdir_path}/out")  # append: closed windows only
     got = spark.read.parquet(f"{tmpdir_path}/out")
     cols = ["event_type", "avg_value", "max_value"]
@@ -123,12 +127,64 @@ def test_append_mode_windows_equal_batch_for_closed_windows(spark, tmpdir_path):
 def test_sinks_are_idempotent_per_batch_id(spark, tmpdir_path):
     ev = Tables(spark, SF_SMALL).events.select("user_id", "event_type", "event_id", "ts", "value")
     sink = T.upsert_sink(f"{tmpdir_path}/state", ["user_id", "event_type"], ["ts", "event_id"])
+    read = lambda: rows(T.read_upserted(spark, f"{tmpdir_path}/state", ev.schema))
     sink(ev, 0)
-    first = rows(spark.read.parquet(f"{tmpdir_path}/state/v=0"))
+    first = read()
     sink(ev, 0)  # the same micro-batch replayed after a failure
-    assert rows(spark.read.parquet(f"{tmpdir_path}/state/v=0")) == first
+    assert read() == first
     sink(ev.where("event_type = 'view'"), 1)
-    assert rows(spark.read.parquet(f"{tmpdir_path}/state/v=1")) == first
+    sink(ev.where("event_type = 'view'"), 1)
+    assert read() == first
+    newer = ev.where("event_type = 'view' AND user_id < 3").withColumn("ts", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
+    sink(newer, 2)
+    assert len(read()) == len(first)
+    assert T.read_upserted(spark, f"{tmpdir_path}/state", ev.schema).where("ts > '2029-01-01'").count() == newer.select("user_id").distinct().count()
+    # a bucket keeps the newest version and the one a retry would read
+    for bucket in os.listdir(f"{tmpdir_path}/state"):
+        if bucket.startswith("bucket="):
+            assert sum(v.startswith("v=") for v in os.listdir(f"{tmpdir_path}/state/{bucket}")) <= 2
+
+
+def test_upserts_start_from_an_initial_table(spark, tmpdir_path):
+    old = spark.createDataFrame([(1, 5, "old"), (2, 5, "old")], "k int, t int, x string")
+    sink = T.upsert_sink(f"{tmpdir_path}/s", ["k"], ["t"], initial=old, buckets=3)
+    sink(spark.createDataFrame([(1, 6, "new"), (2, 4, "late"), (3, 1, "first")], old.schema), 0)
+    assert rows(T.read_upserted(spark, f"{tmpdir_path}/s", old.schema)) == [(1, 6, "new"), (2, 5, "old"), (3, 1, "first")]
+
+
+def test_streams_over_shuffled_files_lose_nothing(spark, tmpdir_path):
+    ev = Tables(spark, SF_SMALL).events
+    ev.repartition(5, "event_id").write.parquet(f"{tmpdir_path}/events")
+    ok = F.col("event_type") != "error"
+    src = T.file_stream(spark, f"{tmpdir_path}/events", ev, max_files=1).withColumn("ok", ok)
+    s = T.stream_health(src, "user_id", "ts", "event_id", "ok", 3, 2, delay="4000 days")
+    q = T.run_available_now(s.apply(), f"{tmpdir_path}/ck", path=f"{tmpdir_path}/out")
+    cols = ["user_id", "event_id", "run_length", "state", "changed"]
+    got = spark.read.schema(s.drain(spark, f"{tmpdir_path}/ck").schema).parquet(f"{tmpdir_path}/out").unionByName(s.drain(spark, f"{tmpdir_path}/ck"))
+    assert T.late_rows(q) == 0
+    assert rows(got, *cols) == rows(W.health_states(ev.withColumn("ok", ok), ["user_id"], ["ts", "event_id"], F.col("ok"), 3, 2), *cols)
+
+
+def test_rows_later_than_the_watermark_are_counted(spark, tmpdir_path):
+    for i, (n, t) in enumerate([(1, "2024-01-01 10:00:00"), (2, "2024-01-05 10:00:00"), (3, "2024-01-01 09:00:00"), (4, "2024-01-06 10:00:00")]):
+        spark.createDataFrame([("x", n, t, True)], "k string, n int, t string, ok boolean").withColumn(
+            "t", F.col("t").cast("timestamp")).coalesce(1).write.parquet(f"{tmpdir_path}/c/p={i}")
+    src = spark.readStream.schema("k string, n int, t timestamp, ok boolean").option("maxFilesPerTrigger", 1).parquet(f"{tmpdir_path}/c")
+    s = T.stream_health(src, "k", "t", "n", "ok", 3, 2)
+    q = T.run_available_now(s.apply(), f"{tmpdir_path}/ck", path=f"{tmpdir_path}/out")
+    got = spark.read.parquet(f"{tmpdir_path}/out").unionByName(s.drain(spark, f"{tmpdir_path}/ck"))
+    assert rows(got, "n") == [(1,), (2,), (4,)] and T.late_rows(q) == 1
+
+
+def test_alarm_on_nan_and_null_equals_batch(spark, tmpdir_path):
+    vals = [("m", 0, float("nan")), ("m", 1, float("nan")), ("m", 2, None), ("m", 3, 5.0), ("m", 4, float("nan"))]
+    stats = spark.createDataFrame(vals, "m string, h int, v double").select(
+        "m", F.timestamp_seconds(F.lit(1704067200) + F.col("h") * 3600).alias("t"), "v")
+    stats.coalesce(1).write.parquet(f"{tmpdir_path}/s")
+    alarm = T.stream_alarm(spark.readStream.schema(stats.schema).parquet(f"{tmpdir_path}/s"), "m", "t", "v", 3600, ">", 1.0, 2)
+    T.run_available_now(alarm.apply(), f"{tmpdir_path}/ck", path=f"{tmpdir_path}/out")
+    got = spark.read.parquet(f"{tmpdir_path}/out").unionByName(alarm.drain(spark, f"{tmpdir_path}/ck"))
+    assert rows(got, "t", "state") == rows(W.alarm_states(stats, ["m"], "t", "v", 3600, ">", 1.0, 2), "t", "state")
 
 
 def test_stateful_streams_carry_runs_across_micro_batches(spark, tmpdir_path):
@@ -140,8 +196,9 @@ def test_stateful_streams_carry_runs_across_micro_batches(spark, tmpdir_path):
     for i in range(len(ts)):
         stats.where(F.col("t") == F.lit(ts[i]).cast("timestamp")).coalesce(1).write.parquet(f"{tmpdir_path}/stats/p={i:02d}")
     src = spark.readStream.schema(stats.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmpdir_path}/stats")
-    T.run_available_now(T.stream_alarm(src, "m", "t", "v", 3600, ">", 1.0, 3), f"{tmpdir_path}/ck1", path=f"{tmpdir_path}/a")
-    got = rows(spark.read.parquet(f"{tmpdir_path}/a"), "t", "state")
+    alarm = T.stream_alarm(src, "m", "t", "v", 3600, ">", 1.0, 3)
+    T.run_available_now(alarm.apply(), f"{tmpdir_path}/ck1", path=f"{tmpdir_path}/a")
+    got = rows(spark.read.parquet(f"{tmpdir_path}/a").unionByName(alarm.drain(spark, f"{tmpdir_path}/ck1")), "t", "state")
     want = rows(W.alarm_states(stats, ["m"], "t", "v", 3600, ">", 1.0, 3), "t", "state")
     assert got == want and [s for _, s in got].count("ALARM") == 4
 
@@ -151,6 +208,8 @@ def test_stateful_streams_carry_runs_across_micro_batches(spark, tmpdir_path):
     for i in range(len(oks)):
         checks.where(F.col("seq") == i).coalesce(1).write.parquet(f"{tmpdir_path}/checks/p={i:02d}")
     csrc = spark.readStream.schema(checks.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmpdir_path}/checks")
-    T.run_available_now(T.stream_health(csrc, "tgt", "ts", "seq", "ok", 3, 2), f"{tmpdir_path}/ck2", path=f"{tmpdir_path}/h")
+    health = T.stream_health(csrc, "tgt", "ts", "seq", "ok", 3, 2, delay="3 minutes")
+    T.run_available_now(health.apply(), f"{tmpdir_path}/ck2", path=f"{tmpdir_path}/h")
     cols = ["seq", "run_length", "state", "changed"]
-    assert rows(spark.read.parquet(f"{tmpdir_path}/h"), *cols) == rows(W.health_states(checks, ["tgt"], ["ts", "seq"], F.col("ok"), 3, 2), *cols)
+    done = spark.read.parquet(f"{tmpdir_path}/h").unionByName(health.drain(spark, f"{tmpdir_path}/ck2"))
+    assert rows(done, *cols) == rows(W.health_states(checks, ["tgt"], ["ts", "seq"], F.col("ok"), 3, 2), *cols)

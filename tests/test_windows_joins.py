@@ -155,3 +155,10 @@ def test_alarm_contiguity_ignores_session_time_zone(spark):
         assert st == ["OK", "ALARM", "ALARM", "ALARM", "ALARM"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_overlap_counts_with_null_and_inverted_ranges(spark):
+    df = spark.createDataFrame([(1, "a", 0, 10), (2, "a", 5, 15), (3, "a", None, 20), (4, "a", 30, 20), (5, "a", 12, None)],
+                               "id int, k string, lo int, hi int")
+    got = J.overlap_counts(df, "id", "lo", "hi", ["k"], block=8)
+    assert rows(got, "id", "overlaps") == [(1, 1), (2, 1), (3, 0), (4, 0), (5, 0)]
