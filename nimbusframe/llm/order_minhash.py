@@ -29,7 +29,7 @@ SKETCHES, PICKED = 24, 4
 #: Texts of one tuple that are compared with each other outright. A larger
 #: group is first cut by what a second sketch says, which keeps its near
 #: duplicates together in one of the cuts with the same kind of probability.
-CROWD = 24
+CROWD = 4
 #: Characters of texts worked on at once, and words a task remembers.
 CHUNK, REMEMBERED = 8_000_000, 500_000
 
