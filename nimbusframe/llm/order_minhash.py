@@ -26,10 +26,12 @@ SHINGLE, SIMILAR = 5, 0.8
 #: shingles agree in one sketch with probability 0.8 ** 4 = 0.41, and in none
 #: of 24 with 0.000003.
 SKETCHES, PICKED = 24, 4
-#: Texts of one tuple that are compared with each other outright. A larger
-#: group is first cut by what a second sketch says, which keeps its near
-#: duplicates together in one of the cuts with the same kind of probability.
-CROWD = 4
+#: Texts of one tuple that are compared with each other outright. In a larger
+#: group two texts are candidates if they agree in this many sketches; at the
+#: threshold they do with probability 0.9995.
+CROWD, SHARED = 4, 3
+#: Texts in a block of a larger group, which is worked on block against block.
+BLOCK = 1024
 #: Characters of texts worked on at once, and words a task remembers.
 CHUNK, REMEMBERED = 8_000_000, 500_000
 
@@ -221,6 +223,29 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
+def _agreeing(table: pa.Table) -> pa.Table:
+    """Candidates within one pair of blocks of a tuple's texts: pairs on
+    different nodes, of fitting length, that agree in ``SHARED`` sketches or
+    more, this one being the first of them."""
+    j, lo, hi = (table.column(c)[0].as_py() for c in ("j", "lo", "hi"))
+    node, n, c, block = (table.column(x).to_numpy() for x in ("node", "n", "c", "block"))
+    sketch = np.array(table.column("sketch").to_pylist(), dtype=np.int64).reshape(len(node), SKETCHES)
+    a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+    agree = np.zeros((len(a), len(b)), dtype=np.uint8)
+    first = np.ones((len(a), len(b)), dtype=bool)
+    for k in range(SKETCHES):
+        same = sketch[a, k][:, None] == sketch[b, k][None, :]
+        agree += same
+        if k < j:
+            first &= ~same
+    fits = np.minimum.outer(n[a], n[b]) >= np.maximum.outer(n[a], n[b]) * SIMILAR
+    u, v = np.nonzero((agree >= SHARED) & first & fits & (c[a][:, None] != c[b][None, :]))
+    x, y = node[a[u]], node[b[v]]
+    if lo == hi:
+        x, y = x[x > y], y[x > y]
+    return pa.table({"a": pa.array(np.maximum(x, y), pa.int64()), "b": pa.array(np.minimum(x, y), pa.int64())})
+
+
 def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(a, b): links between similar texts that connect every pair of similar
     texts, if not each directly. ``nodes`` has (node, digest, n, id, sketch), one row a
@@ -229,9 +254,9 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
     First every text is compared with one text of each of its tuples, the
     one of the smallest node; near copies are thereby linked in a star without pairs. Then
     the tuples whose texts do not all hang on one node are worked through:
-    texts on different nodes are compared with each other. Tuples of more
-    than ``crowd`` texts are cut by a second sketch and, where still larger, by
-    a third, before that.
+    texts on different nodes are compared with each other. In tuples of more
+    than ``crowd`` texts these are the pairs that agree in more sketches, found
+    block against block on the sketches alone, before a text is moved.
     """
     tuples = checkpointed(nodes.select("node", "n", F.posexplode("sketch").alias("j", "h")))
     shared = tuples.withColumn("jh", F.xxhash64("j", "h")).groupBy("j", "h", "jh").agg(
@@ -249,29 +274,25 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
     placed = tuples.join(shared.select("j", "h").hint("merge"), ["j", "h"]).join(labels.hint("merge"), "node", "left")
     placed = placed.withColumn("c", F.coalesce("c", "node")).withColumn("key", F.xxhash64("j", "h"))
     placed = checkpointed(placed.select("key", "j", "node", "n", "c"))
-    sketch = nodes.select("node", "sketch")
-    pairs, depth = None, 0
-    while True:
-        # Keys whose texts hang on more than one node.
-        mixed = placed.groupBy("key").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size")
-        ).where(F.col("low") != F.col("high"))
-        open_ = checkpointed(placed.join(mixed.select("key", "size").hint("merge"), "key"))
-        small = open_ if depth == 2 else open_.where(F.col("size") <= crowd)
-        x, y = (small.select("key", F.col("node").alias(v), F.col("n").alias(f"n{v}"), F.col("c").alias(f"c{v}")) for v in "ab")
-        near = x.join(y, "key").where(
-            (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))
-            & (F.least("na", "nb") >= F.greatest("na", "nb") * SIMILAR)
-        ).select("a", "b")
-        pairs = near if pairs is None else pairs.unionByName(near)
-        if depth == 2 or not open_.where(F.col("size") > crowd).limit(1).count():
-            break
-        large = open_.where(F.col("size") > crowd).join(sketch, "node")
-        placed = large.select("key", "j", "node", "n", "c", F.posexplode("sketch").alias("k", "h"))
-        placed = placed.where(F.col("k") > F.col("j")).select(
-            F.xxhash64("key", "k", "h").alias("key"), F.col("k").alias("j"), "node", "n", "c"
-        )
-        depth += 1
+    # Tuples whose texts hang on more than one node.
+    mixed = placed.groupBy("key").agg(
+        F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size")
+    ).where(F.col("low") != F.col("high"))
+    open_ = checkpointed(placed.join(mixed.select("key", "size").hint("merge"), "key"))
+    small = open_.where(F.col("size") <= crowd)
+    x, y = (small.select("key", F.col("node").alias(v), F.col("n").alias(f"n{v}"), F.col("c").alias(f"c{v}")) for v in "ab")
+    near = x.join(y, "key").where(
+        (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))
+        & (F.least("na", "nb") >= F.greatest("na", "nb") * SIMILAR)
+    ).select("a", "b")
+    large = open_.where(F.col("size") > crowd).join(nodes.select("node", "sketch").hint("merge"), "node")
+    large = large.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    )
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", "j", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "n", "c", "sketch"
+    )
+    pairs = near.unionByName(large.groupBy("key", "lo", "hi").applyInArrow(_agreeing, "a long, b long"))
     rest = checkpointed(pairs.distinct().join(star, ["a", "b"], "left_anti"))
     return links.unionByName(checkpointed(verified(rest, texts_of(rest, nodes, rows))))
 
@@ -293,10 +314,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     id and text) are kept or dropped alike. Extra columns do not matter. Empty
     in, empty out. ``doc_id`` must be an integer.
 
-    Sketches find a pair at the threshold with probability 0.999997, more
-    similar ones more surely. Copies never form pairs: equal texts share a
-    node, near copies meet in stars, and only texts of a tuple that are not
-    yet connected are compared with each other. Texts are read three times and
+    Sketches find a pair at the threshold with probability 0.999997 (0.9995
+    where many other texts share its tuples), more similar ones more surely.
+    Copies never form pairs: equal texts share a node, near copies meet in
+    stars, and only texts of a tuple that hang on different nodes are compared. Texts are read three times and
     shuffled for the verification alone.
     """
     rows = docs.select(column(docs, doc_id).cast("long").alias("id"), column(docs, text).cast("string").alias("text"))
