@@ -30,6 +30,9 @@ SKETCHES, PICKED = 24, 4
 #: group two texts are candidates if they agree in this many sketches; at the
 #: threshold they do with probability 0.9995.
 CROWD, SHARED = 4, 3
+#: Times that the texts of a tuple that are not connected yet meet around a new
+#: centre before they are compared in pairs.
+ROUNDS = 4
 #: Texts in a block of a larger group, which is worked on block against block.
 BLOCK = 1024
 #: Characters of texts worked on at once, and words a task remembers.
@@ -253,10 +256,12 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
 
     First every text is compared with one text of each of its tuples, the
     one of the smallest node; near copies are thereby linked in a star without pairs. Then
-    the tuples whose texts do not all hang on one node are worked through:
-    texts on different nodes are compared with each other. In tuples of more
-    than ``crowd`` texts these are the pairs that agree in more sketches, found
-    block against block on the sketches alone, before a text is moved.
+    the tuples whose texts do not all hang on one node are worked through: in
+    a few rounds large ones meet around a new centre, which connects copies
+    that are too far from the first, and then texts on different nodes are
+    compared with each other. In tuples of more than ``crowd`` texts these are
+    the pairs that agree in more sketches, found block against block on the
+    sketches alone, before a text is moved.
     """
     tuples = checkpointed(nodes.select("node", "n", F.posexplode("sketch").alias("j", "h")))
     shared = tuples.withColumn("jh", F.xxhash64("j", "h")).groupBy("j", "h", "jh").agg(
@@ -274,11 +279,35 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
     placed = tuples.join(shared.select("j", "h").hint("merge"), ["j", "h"]).join(labels.hint("merge"), "node", "left")
     placed = placed.withColumn("c", F.coalesce("c", "node")).withColumn("key", F.xxhash64("j", "h"))
     placed = checkpointed(placed.select("key", "j", "node", "n", "c"))
-    # Tuples whose texts hang on more than one node.
-    mixed = placed.groupBy("key").agg(
-        F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size")
-    ).where(F.col("low") != F.col("high"))
-    open_ = checkpointed(placed.join(mixed.select("key", "size").hint("merge"), "key"))
+    seen, kept = star, None
+    for again in range(ROUNDS + 1):
+        # Tuples whose texts hang on more than one node, and of each a centre on the last of these.
+        mixed = placed.groupBy("key").agg(
+            F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size"),
+            F.max(F.struct("c", "node")).alias("centre"),
+        ).where(F.col("low") != F.col("high"))
+        open_ = checkpointed(placed.join(mixed.select("key", "size", "centre").hint("merge"), "key"))
+        if again == ROUNDS:
+            break
+        if kept is None:  # all later comparisons are among these texts
+            kept = texts_of(open_.select(F.col("node").alias("a"), F.col("node").alias("b")), nodes, rows)
+        ring = open_.where((F.col("c") != F.col("centre.c")) & (F.col("size") > crowd)).select(
+            F.greatest("node", "centre.node").alias("a"), F.least("node", "centre.node").alias("b")
+        )
+        ring = checkpointed(ring.distinct().join(seen, ["a", "b"], "left_anti"))
+        seen = seen.unionByName(ring)
+        more = checkpointed(verified(ring, kept))
+        links = links.unionByName(more)
+        # What hangs on linked nodes hangs on the smallest within two steps.
+        own = open_.select("node", "c").distinct()
+        ends = more.join(own.select(F.col("node").alias("a"), F.col("c").alias("l")), "a").join(
+            own.select(F.col("node").alias("b"), F.col("c").alias("r")), "b"
+        )
+        ends = ends.select("l", "r").unionByName(ends.select(F.col("r").alias("l"), F.col("l").alias("r"))).distinct()
+        one = ends.groupBy("l").agg(F.least(F.min("r"), "l").alias("m"))
+        two = ends.join(one.withColumnRenamed("l", "r"), "r").groupBy("l").agg(F.least(F.min("m"), "l").alias("m"))
+        moved = open_.select("key", "j", "node", "n", "c").join(two.hint("merge"), F.col("c") == F.col("l"), "left")
+        placed = moved.select("key", "j", "node", "n", F.coalesce("m", "c").alias("c"))
     small = open_.where(F.col("size") <= crowd)
     x, y = (small.select("key", F.col("node").alias(v), F.col("n").alias(f"n{v}"), F.col("c").alias(f"c{v}")) for v in "ab")
     near = x.join(y, "key").where(
@@ -293,8 +322,8 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
         "key", "j", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "n", "c", "sketch"
     )
     pairs = near.unionByName(large.groupBy("key", "lo", "hi").applyInArrow(_agreeing, "a long, b long"))
-    rest = checkpointed(pairs.distinct().join(star, ["a", "b"], "left_anti"))
-    return links.unionByName(checkpointed(verified(rest, texts_of(rest, nodes, rows))))
+    rest = checkpointed(pairs.distinct().join(seen, ["a", "b"], "left_anti"))
+    return links.unionByName(checkpointed(verified(rest, kept)))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
