@@ -94,10 +94,10 @@ def repeated_words(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
     top = int(ids.max()) + 1
     _, pair = np.unique(ids[:-1] * top + ids[1:], return_inverse=True)
     _, triple = np.unique(pair[:-1] * top + ids[2:], return_inverse=True)
-    whole = doc[:-2] == doc[2:]
-    key = doc[:-2] * (int(triple.max()) + 1) + triple
+    at = np.flatnonzero(doc[:-2] == doc[2:])  # windows that cross into the next document are none
+    key = doc[at] * (int(triple.max()) + 1) + triple[at]
     _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
-    at = np.flatnonzero(whole & (count[inverse] > 1))
+    at = at[count[inverse] > 1]
     for k in range(3):
         mark[at + k] = True
     return mark

@@ -49,6 +49,18 @@ def test_quality_base_features_by_hand(spark):
     assert quality.judge(awkward(spark, rows=[])).count() == 0
 
 
+def test_repeats_do_not_cross_documents(spark):
+    texts = ["a b c a b", "c d", "a b", "c a b c", "", "x y", "x y x y", "x", None, "a b c a b c", "a b c"]
+    want = [base_by_hand(x)[4] for x in texts]
+    assert want == [0, 0, 0, 0, 0, 0, 0, 0, 0, 6, 0]
+    assert quality.assess(texts, {})["n_repeat_words"].tolist() == want
+    assert [int(quality.assess([x], {})["n_repeat_words"][0]) for x in texts] == want
+    docs = spark.createDataFrame([(i, x, None) for i, x in enumerate(texts)], "doc_id long, text string, lang string")
+    for parts in (1, 4):
+        got = quality.judge(docs.coalesce(1) if parts == 1 else docs.repartition(parts)).collect()
+        assert [r["n_repeat_words"] for r in sorted(got, key=lambda r: r["doc_id"])] == want
+
+
 def test_quality_verdicts_by_hand(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     local = [(r["doc_id"], r["text"], r["lang"]) for r in docs.collect()]
