@@ -64,6 +64,31 @@ def test_blocks_of_a_coarse_schedule(spark):
     assert all(abs(copies[i] - x) <= 0.5 for i, x in taken.items())
 
 
+@pytest.mark.parametrize("weights", [(5, 2, 1), (4_000_000, 7, 1)])
+def test_small_sources_of_a_large_corpus(spark, weights):
+    """Sources of 1e-7 and more of all words, smaller than a block and a few
+    blocks, capped at three passes or below that."""
+    big = spark.range(100).select(
+        F.col("id").alias("doc_id"), F.expr("repeat('x ', 200000)").alias("text"), F.lit("a").alias("source")
+    )
+    small = [(1000 + i, "y " * n, source) for source, n in (("b", 1), ("c", 9), ("e", 43), ("f", 700)) for i in (0, 1)]
+    docs = big.unionByName(spark.createDataFrame(small, "doc_id long, text string, source string"))
+    sizes = {"a": 20_000_000, "b": 2, "c": 18, "e": 86, "f": 1400}
+    got = mixing.mix(docs, weights=weights).collect()
+    assert len(got) == 108 and all(0 <= r["taken"] <= 3 * r["size"] for r in got)
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert {s for s in sizes if target[s] < 3 * sizes[s]} > {"a"} or weights == (5, 2, 1)
+    for s in "bcef":
+        assert abs(taken[s] - target[s]) <= 0.5
+    assert abs(taken["a"] - target["a"]) <= 1e-4 * target["a"]
+    copies = Counter(r["source"] for r in mixing.mixed_documents(docs, weights=weights).select("source").collect())
+    if weights == (5, 2, 1):
+        assert all(copies[s] == 6 for s in "bcef")
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 @pytest.mark.parametrize("sf", ["0.001", "0.01"])
 def test_queries_like_their_sql(spark, name, sf):
