@@ -27,9 +27,12 @@ SHINGLE, SIMILAR = 5, 0.8
 #: of 24 with 0.000003.
 SKETCHES, PICKED = 24, 4
 #: Texts of one tuple that are compared with each other outright. In a larger
-#: group two texts are candidates if they agree in this many sketches; at the
-#: threshold they do with probability 0.9995.
-CROWD, SHARED = 4, 3
+#: group pairs that have too few shingles in common, by a bound that is never
+#: below their number, are left out before texts are moved.
+CROWD = 4
+#: Cells in which the shingles of a text are counted for that bound, and the
+#: greatest count; a cell that is full in both texts bounds nothing.
+CELLS, FULL = 128, 255
 #: Times that the texts of a tuple that are not connected yet meet around a new
 #: centre before they are compared in pairs.
 ROUNDS = 4
@@ -106,6 +109,29 @@ def sketches(x: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+def short_tuples(x: np.ndarray) -> np.ndarray:
+    """A hash of all shingles of a text of ``PICKED``, and of those of a text of
+    one more without each one in turn, so that similar texts of these two sizes
+    always share one; none for other sizes, which are never similar to a text
+    of another size below (fewer) or are found by :func:`sketches` (more)."""
+    if len(x) == PICKED:
+        parts = [x]
+    elif len(x) == PICKED + 1:
+        parts = [np.delete(x, i) for i in range(len(x))]
+    else:
+        return x[:0]
+    total = np.full(len(parts), SKETCHES, dtype=np.uint64)
+    for column_ in np.stack([labelled(y) for y in parts]).T:
+        total = (total ^ (total >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + column_
+    return np.unique(total)
+
+
+def counted(x: np.ndarray) -> bytes:
+    """How many of a text's shingles fall in each of ``CELLS`` cells, a byte each."""
+    cells = np.bincount((x >> np.uint64(40)).astype(np.int64) % CELLS, minlength=CELLS)
+    return np.minimum(cells, FULL).astype(np.uint8).tobytes()
+
+
 def aligned(a: list[int], b: list[int], band: int) -> int:
     """Length of the longest common subsequence whose matches lie within
     ``band`` of the diagonal: the rows of the table are bit strings (a zero bit
@@ -163,8 +189,9 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> float:
 
 def sketch_texts(docs: DataFrame) -> DataFrame:
     """``docs`` has ``text`` (not null); adds ``digest`` (16 bytes, of the
-    text), ``n`` (shingles), ``sketch`` (array of long, empty without words)
-    and drops the text."""
+    text), ``n`` (shingles), ``sketch`` (array of long, empty without words; of
+    a short text :func:`short_tuples` follow), ``cells`` (:func:`counted`) and
+    drops the text."""
     at = docs.columns.index("text")
     rest = [c for c in docs.columns if c != "text"]
 
@@ -172,12 +199,13 @@ def sketch_texts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts = batch.column(at).to_pylist()
             for lo, hi in chunks([len(x) for x in texts], CHUNK):
-                nodes, sizes, found = [], [], []
+                nodes, sizes, found, cells = [], [], [], []
                 for x in texts[lo:hi]:
                     s = shingles(hashed_words(x))
                     nodes.append(hashlib.md5(x.encode("utf-8", "surrogatepass")).digest())
                     sizes.append(len(s))
-                    found.append(sketches(s).view(np.int64) if len(s) else s.view(np.int64))
+                    found.append(np.append(sketches(s), short_tuples(s)).view(np.int64) if len(s) else s.view(np.int64))
+                    cells.append(counted(s))
                 offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
@@ -185,11 +213,12 @@ def sketch_texts(docs: DataFrame) -> DataFrame:
                         *(part.column(i) for i in range(part.num_columns) if i != at),
                         pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found))),
-                    ], names=[*rest, "digest", "n", "sketch"],
+                        pa.array(cells, pa.binary()),
+                    ], names=[*rest, "digest", "n", "sketch", "cells"],
                 )
 
     schema = docs.select(*rest).limit(0).withColumn("digest", F.lit(b"")).withColumn("n", F.lit(0))
-    schema = schema.withColumn("sketch", F.lit(None).cast("array<long>"))
+    schema = schema.withColumn("sketch", F.lit(None).cast("array<long>")).withColumn("cells", F.lit(b""))
     return docs.mapInArrow(run, schema.schema)
 
 
@@ -228,30 +257,36 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _agreeing(table: pa.Table) -> pa.Table:
     """Candidates within one pair of blocks of a tuple's texts: pairs on
-    different nodes, of fitting length, that agree in ``SHARED`` sketches or
-    more, this one being the first of them."""
+    different nodes, of fitting length, that this is the first tuple of and
+    that may have enough shingles in common."""
     j, lo, hi = (table.column(c)[0].as_py() for c in ("j", "lo", "hi"))
     node, n, c, block = (table.column(x).to_numpy() for x in ("node", "n", "c", "block"))
-    sketch = np.array(table.column("sketch").to_pylist(), dtype=np.int64).reshape(len(node), SKETCHES)
+    sketch = np.array([x[:SKETCHES] for x in table.column("sketch").to_pylist()], dtype=np.int64).reshape(len(node), SKETCHES)
+    cells = np.frombuffer(b"".join(table.column("cells").to_pylist()), dtype=np.uint8).reshape(len(node), CELLS)
     a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-    agree = np.zeros((len(a), len(b)), dtype=np.uint8)
-    first = np.ones((len(a), len(b)), dtype=bool)
-    for k in range(SKETCHES):
-        same = sketch[a, k][:, None] == sketch[b, k][None, :]
-        agree += same
-        if k < j:
-            first &= ~same
-    fits = np.minimum.outer(n[a], n[b]) >= np.maximum.outer(n[a], n[b]) * SIMILAR
-    u, v = np.nonzero((agree >= SHARED) & first & fits & (c[a][:, None] != c[b][None, :]))
-    x, y = node[a[u]], node[b[v]]
+    open_ = np.minimum.outer(n[a], n[b]) >= np.maximum.outer(n[a], n[b]) * SIMILAR
+    open_ &= c[a][:, None] != c[b][None, :]
     if lo == hi:
-        x, y = x[x > y], y[x > y]
+        open_ &= node[a][:, None] > node[b][None, :]
+    if j == SKETCHES:  # texts of one size here are similar only if all their sketches agree
+        open_ &= n[a][:, None] != n[b][None, :]
+    for k in range(j):
+        open_ &= sketch[a, k][:, None] != sketch[b, k][None, :]
+    u, v = np.nonzero(open_)
+    u, v = a[u], b[v]
+    keep = np.zeros(len(u), dtype=bool)
+    for i in range(0, len(u), 1 << 15):
+        x, y = u[i : i + (1 << 15)], v[i : i + (1 << 15)]
+        both = np.minimum(cells[x], cells[y])
+        need = np.ceil(SIMILAR * (n[x].astype(np.int64) + n[y]) / (1 + SIMILAR) - 1e-9)
+        keep[i : i + len(x)] = (both.sum(axis=1, dtype=np.int64) >= need) | (both == FULL).any(axis=1)
+    x, y = node[u[keep]], node[v[keep]]
     return pa.table({"a": pa.array(np.maximum(x, y), pa.int64()), "b": pa.array(np.minimum(x, y), pa.int64())})
 
 
 def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(a, b): links between similar texts that connect every pair of similar
-    texts, if not each directly. ``nodes`` has (node, digest, n, id, sketch), one row a
+    texts, if not each directly. ``nodes`` has (node, digest, n, id, sketch, cells), one row a
     node, ``rows`` has (id, text).
 
     First every text is compared with one text of each of its tuples, the
@@ -259,11 +294,13 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
     the tuples whose texts do not all hang on one node are worked through: in
     a few rounds large ones meet around a new centre, which connects copies
     that are too far from the first, and then texts on different nodes are
-    compared with each other. In tuples of more than ``crowd`` texts these are
-    the pairs that agree in more sketches, found block against block on the
-    sketches alone, before a text is moved.
+    compared with each other. One shared tuple makes a pair a candidate in groups
+    of any size. In tuples of more than ``crowd`` texts pairs meet block against
+    block, and those that cannot have enough shingles in common by their counts
+    go before a text is moved.
     """
     tuples = checkpointed(nodes.select("node", "n", F.posexplode("sketch").alias("j", "h")))
+    tuples = tuples.withColumn("j", F.least("j", F.lit(SKETCHES)))  # tuples of short texts are one kind
     shared = tuples.withColumn("jh", F.xxhash64("j", "h")).groupBy("j", "h", "jh").agg(
         F.min("node").alias("b"), F.max("node").alias("top")
     ).where(F.col("b") != F.col("top"))
@@ -314,12 +351,12 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
         (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))
         & (F.least("na", "nb") >= F.greatest("na", "nb") * SIMILAR)
     ).select("a", "b")
-    large = open_.where(F.col("size") > crowd).join(nodes.select("node", "sketch").hint("merge"), "node")
+    large = open_.where(F.col("size") > crowd).join(nodes.select("node", "sketch", "cells").hint("merge"), "node")
     large = large.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", "j", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "n", "c", "sketch"
+        "key", "j", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "n", "c", "sketch", "cells"
     )
     pairs = near.unionByName(large.groupBy("key", "lo", "hi").applyInArrow(_agreeing, "a long, b long"))
     rest = checkpointed(pairs.distinct().join(seen, ["a", "b"], "left_anti"))
@@ -343,15 +380,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     id and text) are kept or dropped alike. Extra columns do not matter. Empty
     in, empty out. ``doc_id`` must be an integer.
 
-    Sketches find a pair at the threshold with probability 0.999997 (0.9995
-    where many other texts share its tuples), more similar ones more surely.
+    One shared sketch makes a pair a candidate, whatever else shares its tuple.
+    By the hypergeometric draw a similar pair shares one with probability
+    0.99994 or more (the least: 5 shingles against 6, 9 against 9 with 8 in
+    common; 0.999997 in long texts), and 4 shingles against 5 always do.
     Copies never form pairs: equal texts share a node, near copies meet in
     stars, and only texts of a tuple that hang on different nodes are compared. Texts are read three times and
     shuffled for the verification alone.
     """
     rows = docs.select(column(docs, doc_id).cast("long").alias("id"), column(docs, text).cast("string").alias("text"))
     sketched = checkpointed(sketch_texts(rows.where("text IS NOT NULL")))
-    nodes = sketched.where("n > 0").groupBy("digest", "n").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch"))
+    nodes = sketched.where("n > 0").groupBy("digest", "n").agg(
+        F.min("id").alias("id"), F.first("sketch").alias("sketch"), F.first("cells").alias("cells")
+    )
     # Numbers for the nodes: fixed by the copy in the checkpoint folder.
     nodes = checkpointed(nodes.withColumn("node", F.monotonically_increasing_id()))
     found = components(link_texts(nodes, rows))

@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +158,54 @@ def classes_by_hand(rows):
     return sorted(out, key=str)
 
 
+def test_texts_of_eight_and_nine_words_share_a_tuple(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(3000):
+        w = [rng.choice("abcdefghij" if i % 2 else "ab") for _ in range(9)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[1:] if i % 3 else w[:-1]))]
+    got = order_minhash.sketch_texts(spark.createDataFrame(rows, "id long, text string").coalesce(1))
+    sketch = {r["id"]: (r["n"], r["sketch"]) for r in got.collect()}
+    shared = lambda x, y: any(a == b for a, b in zip(x, y)) or set(x[24:]) & set(y[24:])
+    pairs = [(sketch[2 * i], sketch[2 * i + 1]) for i in range(3000)]
+    assert {(x[0], y[0]) for x, y in pairs} == {(5, 4)}
+    assert all(shared(x[1], y[1]) for x, y in pairs)
+
+
+def test_one_shared_sketch_is_enough_in_a_crowd(spark):
+    rng = random.Random(12)
+    texts = []
+    for k in range(8):
+        own = sentence(rng, (8, 9, 12, 22, 40, 90, 160, 300)[k]).split() if k else ["same"] * 400
+        for _ in range(25):
+            w = list(own)
+            for _ in range(rng.randrange(0, 1 + len(w) // 30 + (len(w) > 8))):
+                w[rng.randrange(len(w))] = f"new{rng.randrange(1000)}"
+            texts.append(" ".join(w[: len(w) - rng.randrange(2)]))
+    rows = [(i, x) for i, x in enumerate(dict.fromkeys(texts))]
+    got = order_minhash.sketch_texts(spark.createDataFrame(rows, "id long, text string").coalesce(1)).collect()
+    texts = dict(rows)
+    s = {i: order_minhash.shingles(order_minhash.hashed_words(x)) for i, x in rows}
+    tuples = defaultdict(list)
+    for r in got:
+        for j, h in enumerate(r["sketch"]):
+            tuples[min(j, 24), h].append(r)
+    found, want = set(), set()
+    for (j, _), group in tuples.items():
+        at = {"j": [j], "lo": [0], "hi": [0], "block": [0]}
+        table = {k: v * len(group) for k, v in at.items()}
+        table |= {"node": [r["id"] for r in group], "c": [r["id"] for r in group]}
+        table |= {k: [r[k] for r in group] for k in ("n", "sketch") + (("cells",) if "cells" in got[0] else ())}
+        out = order_minhash._agreeing(pa.table(table))
+        found |= set(zip(*(out.column(c).to_pylist() for c in "ab")))
+        ids = [r["id"] for r in group]
+        want |= {(max(x, y), min(x, y)) for x in ids for y in ids if x < y and order_minhash.similarity(s[x], s[y])}
+    assert len(want) > 200
+    assert want <= found
+    few = [sum(p == q for p, q in zip(got[x]["sketch"][:24], got[y]["sketch"][:24])) < 3 for x, y in want]
+    assert any(few)
+
+
 @pytest.mark.parametrize("crowd", [24, 1])
 def test_near_duplicates_like_brute_force(spark, crowd, monkeypatch):
     rng = random.Random(11)
