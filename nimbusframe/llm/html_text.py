@@ -41,6 +41,19 @@ ASIDE_WORDS = set(
     "related recommended recommendations comment comments respond reply replies disqus discussion widget pagination "
     "pager skip copyright legal disclaimer form contentinfo complementary".split()
 )
+#: Those of them that name the words of others: such an element is no article
+#: however long it is.
+OTHERS = set(
+    "ad ads advert adverts advertisement advertising sponsor sponsored related recommended recommendations cookie "
+    "cookies consent gdpr comment comments respond reply replies disqus discussion".split()
+)
+#: Parts of a class that make it a remark on the layout, first or last in it.
+REMARK_FIRST = set("has with no without not is hide show".split())
+REMARK_LAST = set("open opened closed enabled disabled active visible".split())
+#: What a header may belong to that is part of the article.
+HEADED = set("article entry post page content story title".split())
+#: How sure it is that an element is not part of the article.
+NO, LOOSELY, SURELY, HIDDEN = range(4)
 #: Closing is optional for these; a new one ends the one before.
 LOOSE = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
          "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -50,33 +63,73 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S,
 )
-_HINT = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|\baria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+")
 
 
-def _beside(name: str, attrs: str, inside_main: bool) -> bool:
-    """Whether an element is not part of an article by its name and attributes."""
-    if name in ASIDE and not (name == "header" and inside_main):
-        return True
-    if not attrs or name in ("html", "body"):
-        return False
-    if _HIDDEN.search(attrs):
-        return True
-    for m in _HINT.finditer(attrs):
-        value = (m[1] or m[2] or m[3] or "").lower()
-        if not ASIDE_WORDS.isdisjoint(_PARTS.split(value)):
-            return name != "main" and not (name == "article" and "header" in value)
-    return False
+def _beside(name: str, attrs: str, inside_main: bool) -> int:
+    """How surely an element is not part of an article by its name and attributes."""
+    given: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attrs) if attrs else ():
+        given.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
+    if name not in ("html", "body"):
+        if given.get("hidden", "false") != "false" or given.get("aria-hidden") == "true":
+            return HIDDEN
+        if _UNSEEN.search(given.get("style", "")):
+            return HIDDEN
+    of_article = False
+    found = NO
+    for key in ("class", "id", "role"):
+        for one in given.get(key, "").split():
+            parts = [x for x in _PARTS.split(one) if x]
+            if len(parts) > 1 and (parts[0] in REMARK_FIRST or parts[-1] in REMARK_LAST):
+                continue
+            if len(parts) > 1 and parts[-1] == "header" and parts[-2] in HEADED:
+                of_article = True
+            elif not OTHERS.isdisjoint(parts):
+                found = SURELY
+            elif not ASIDE_WORDS.isdisjoint(parts):
+                found = max(found, LOOSELY)
+    if name in ASIDE and not (name == "header" and (inside_main or of_article)):
+        return LOOSELY if name == "form" and found != SURELY else SURELY
+    if name in ("html", "body", "main") or (name == "article" and "header" in given.get("class", "")):
+        return NO
+    return found
 
 
 def lines_of(page: str) -> list[tuple[str, int, tuple[int, ...]]]:
     """The blocks of a page outside menus and the like, in page order: (text,
-    code points of it in links, the open elements around it by number)."""
+    code points of it in links, the open elements around it by number).
+
+    An element that looks like a menu or the like stays if it holds the main
+    part: ``main``, the only articles of the page (if it is loosely marked), or
+    more than half of the page's text (the same). If no text is left by all
+    this, all text that is not hidden counts."""
+    lines, marked, within = _read(page, frozenset())
+    if marked:
+        keep = {k for k, (sure, most, holds) in marked.items() if holds == "main" or (sure == LOOSELY and (holds or most))}
+        if keep:
+            lines = _read(page, frozenset(keep))[0]
+        if not lines and within:
+            lines = _read(page, frozenset(marked))[0]
+    return lines
+
+
+def _read(page: str, keep: frozenset[int]) -> tuple[list, dict[int, tuple[int, bool, str]], bool]:
+    """One reading of a page: its lines; of each element that is left out but
+    not hidden and not in ``keep``, how surely, whether it has more than half
+    of the text, and what it holds; whether any text was left out."""
     out: list[tuple[str, int, tuple[int, ...]]] = []
-    stack: list[tuple[str, int, bool]] = []  # name, number, beside the article
+    stack: list[tuple[str, int, int]] = []  # name, number, how surely beside the article
     text: list[str] = []
     links = number = pos = beside = main = anchors = 0
+    sure = seen = 0  # elements open that are surely beside, text so far outside of these and of links
+    began: dict[int, int] = {}
+    size: dict[int, int] = {}
+    grade: dict[int, int] = {}
+    holds: dict[int, str] = {}
+    free_article = within = False
 
     def flush() -> None:
         nonlocal links
@@ -87,16 +140,23 @@ def lines_of(page: str) -> list[tuple[str, int, tuple[int, ...]]]:
         links = 0
 
     def take(piece: str) -> None:
-        nonlocal links
+        nonlocal links, seen, within
+        if not sure and not anchors:
+            seen += len("".join(piece.split()))
+        if beside and not within:
+            within = bool(piece.strip())
         if piece and not beside:
             text.append(piece)
             if anchors:
                 links += len(html.unescape(piece).strip())
 
     def close(upto: int) -> None:
-        nonlocal beside, main, anchors
-        for name, _, aside in stack[upto:]:
-            beside -= aside
+        nonlocal beside, main, anchors, sure
+        for name, k, aside in stack[upto:]:
+            beside -= aside > NO
+            sure -= aside >= SURELY
+            if k in began:
+                size[k] = seen - began[k]
             main -= name in MAIN
             anchors -= name == "a"
         del stack[upto:]
@@ -145,12 +205,30 @@ def lines_of(page: str) -> list[tuple[str, int, tuple[int, ...]]]:
                     break
         aside = _beside(name, attrs, main > 0)
         number += 1
-        stack.append((name, -number if name in MAIN else number, aside))
-        beside += aside
+        if number in keep and aside < HIDDEN:
+            aside = NO
+        me = -number if name in MAIN else number
+        stack.append((name, me, aside))
+        if aside in (LOOSELY, SURELY):
+            grade[me] = aside
+            began[me] = seen
+        if name in MAIN and aside < SURELY:
+            if name == "article" and not beside and not aside:
+                free_article = True
+            for _, k, _ in stack:
+                if k in grade and holds.get(k) != "main":
+                    holds[k] = name
+        beside += aside > NO
+        sure += aside >= SURELY
         main += name in MAIN
         anchors += name == "a"
     flush()
-    return out
+    close(0)
+    marked = {}
+    for k, g in grade.items():
+        held = holds.get(k, "")
+        marked[abs(k)] = (g, size.get(k, 0) * 2 > seen, "" if held == "article" and free_article else held)
+    return out, marked, within
 
 
 def surges(lengths: list[int], window: int = WINDOW, least: int = SURGE) -> tuple[int, int] | None:
@@ -208,8 +286,10 @@ def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
 
     Scripts, styles, comments and the head are cut; menus, headers, footers,
     sidebars, notices, adverts, forms and reader comments are known by element
-    names and by words in class, id and role. If the page has ``article`` or
-    ``main`` elements only these are looked at. Then the line-block
+    names and by words in class, id and role, other than remarks on the layout
+    (``has-sidebar``) and headers of the article; what holds the main part stays
+    (:func:`lines_of`). If the page has ``article`` or ``main`` elements only
+    these are looked at. Then the line-block
     distribution decides (:func:`surges`): the text runs from the first surge
     to the last dive, extended to the other lines of the element that holds
     both ends, so short paragraphs at its ends stay. Outside of an article,

@@ -222,6 +222,35 @@ def test_main_text_by_hand(page, text):
     assert html_text.main_text(page) == text
 
 
+BODY = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p><p>End</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        *(f"<body><div class='menu'>Home</div><div {a}>{BODY}</div><div class='footer'>f</div></body>" for a in (
+            'style="overflow:hidden"', 'class="overflow-hidden"', 'class="content has-sidebar"', 'class="with-sidebar"',
+            'class="post has-comments"', 'class="no-header menu-open"', "class=share", "class=form", "class=alert", "id=legal",
+            "data-x='hidden'", "class='post form'")),
+        f"<article class='post has-comments'>{BODY}</article><div class=comments><article>{LONG * 3}</article></div>",
+        f"<div class=post><header class='entry-header'><h1>T</h1></header><p>{LONG}</p><p>{LONG}</p><p>End</p></div>",
+        f"<article><div class='article-header'><h1>T</h1></div><p>{LONG}</p><p>{LONG}</p><p>End</p></article>",
+        f"<form id=aspnet><nav>Menu</nav><div class=widget><main>{BODY}</main></div><div class=ad>{LONG}</div></form>",
+        f"<div class='sidebar'><article>{BODY}</article></div>",
+        f"<div id=main>{BODY}</div><div class=comments><p>{LONG * 9}</p></div>",
+        f"<div id=main>{BODY}</div><div hidden>{LONG}</div><div style='display: none'>{LONG * 9}</div>",
+    ],
+)
+def test_main_text_in_containers_of_loose_names(page):
+    assert html_text.main_text(page) == f"T\n{LONG}\n{LONG}\nEnd"
+
+
+def test_something_is_left_of_a_page():
+    assert html_text.main_text(f"<nav>Menu</nav><div class=comments><p>{LONG}</p></div>") == LONG
+    assert html_text.main_text("<nav>Menu</nav>") == "Menu"
+    assert html_text.main_text(f"<div hidden><p>{LONG}</p></div>") == ""
+
+
 def test_pages_with_odd_rows(spark):
     df = spark.createDataFrame(
         [(1, None, None, "t"), (None, "u", "<p>" + "long text " * 30_000 + "</p>", "t"), (1, None, None, "t")],
