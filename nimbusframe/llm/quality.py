@@ -229,8 +229,11 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: dict |
     half its words lie in repeated three-word windows. Else it is rejected if
     its character classes (20 words or more) or its common words (50 or more)
     are farther than accepted from the reference of every language. References
-    come from all documents with a language (``refs`` passes them in); with
-    none, only the base rules hold.
+    come from all documents with a language and 50 words or more (``refs``
+    passes them in); with none, only the base rules hold. Shorter documents
+    stay out: they fail the base rules, so no reference is needed to judge
+    them, and menus and fragments would blur the references of whole texts. A
+    language found only in short texts has no reference.
 
     Null text counts as no words and fails the base rules, like an empty one.
     Null languages join no reference but are judged. Repeated rows are judged
