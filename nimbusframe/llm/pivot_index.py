@@ -164,7 +164,9 @@ def link_vectors(
     at least ``cosine`` and the index finds them: they share ``shared`` of
     their ``depth`` nearest reference points (or all, if they have fewer).
     Nothing below ``cosine`` is linked; what the index misses is measured in
-    the tests (recall of links 0.99 and more). ``n_links`` counts the other
+    the tests (recall of links 0.99 and more, with few reference points) and
+    was once on 205,128 vectors, embeddings and noisy copies of them (recall
+    1.0 on every 20th row against brute force). ``n_links`` counts the other
     rows linked directly, ``component_id`` is the smallest id reachable by
     links, itself included, ``kept`` whether it is the row's own.
 
