@@ -7,8 +7,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -23,9 +21,3 @@ def spark():
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="nimbus-test-")
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of the chosen columns."""
-    cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())

@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from nimbusframe.operators import aggregates as A
 from nimbusframe.operators import changes as M
 from nimbusframe.operators import windows as W

@@ -2,7 +2,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from nimbusframe.functions import nested as N
 from nimbusframe.functions import scalars as S
 from nimbusframe.operators import predicates as P

@@ -6,7 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from nimbusframe.plans.suite import QUERIES
 
 SCAN_FILTERS = {

@@ -9,7 +9,7 @@ database without ``StorageEncrypted`` and an instance without a public address.
 import json
 import os
 
-from conftest import rows
+from helpers import rows
 from nimbusframe.plans import posture as PO
 from nimbusframe.sources.io import read_documents
 

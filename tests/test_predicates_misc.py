@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from helpers import SF_SMALL, rows
 from nimbusframe.functions import nested as N
 from nimbusframe.functions import scalars as S
 from nimbusframe.operators import predicates as P

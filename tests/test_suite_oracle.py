@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from nimbusframe.plans.suite import ORACLE, QUERIES
 from oracle_check import compare, duck
 

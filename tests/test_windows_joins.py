@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from nimbusframe.operators import joins as J
 from nimbusframe.operators import windows as W
 
