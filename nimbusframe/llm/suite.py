@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nimbusframe.llm import (
+    conversation_repair,
     html_text,
     language,
     line_dedup,
@@ -207,3 +208,64 @@ counted AS (SELECT doc_id, pieces.place, start, sum((least(start + size, (b + 1)
 SELECT s.doc_id, s.size, s.s AS source_size, s.target, coalesce(c.taken, 0) AS taken
 FROM streamed s LEFT JOIN counted c ON s.size > 0 AND s.place = c.place AND s.start = c.start
 """
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired messages of all conversations, damaged first."""
+    given = read_table(spark, sf_dir, "conversations")
+    found = conversation_repair.digests(conversation_repair.damaged(given))
+    return conversation_repair.with_all(given, found)
+
+
+ORACLE["op12_conversation_repair"] = r"""
+WITH tab AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i::BIGINT)) AS t),
+given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(4294967295, list_reduce(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+        lambda x: ord(x)::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)) % 20 AS what
+    FROM conversations, tab),
+damaged AS (SELECT conv_id AS conv, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role,
+    CASE what WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN what = 3 THEN [0, 1] ELSE [0] END) AS copy FROM given WHERE what <> 0),
+placed AS (SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv
+        ORDER BY turn NULLS FIRST, role, md5(concat(length(role), chr(0), role, chr(0), text)), copy) AS i,
+    row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM damaged),
+faulty AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+    lag(initial) OVER (PARTITION BY conv ORDER BY i) || initial AS pair FROM placed),
+coded AS (SELECT *, (CASE initial WHEN 's' THEN 0 WHEN 'u' THEN 1 WHEN 'a' THEN 2 ELSE 3 END
+    + CASE WHEN fault IN ('blank', 'duplicate') THEN 4 WHEN fault = 'truncated' THEN 8 ELSE 0 END)::BIGINT AS code FROM faulty),
+counted AS (SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal,
+    list_append(flatten(list([-1, code] ORDER BY i)), -1) AS steps FROM coded GROUP BY conv),
+solved AS (SELECT *, list_reduce(steps, lambda s, r: CASE WHEN r = -1 THEN {
+        'p0': s.p0, 'p1': s.p1,
+        'p2': list_min([s.p2, {'c': s.p0.c + 2, 'a': s.p0.a || 'I'}, {'c': s.p1.c + 2, 'a': s.p1.a || 'I'}, {'c': s.p3.c + 2, 'a': s.p3.a || 'I'}]),
+        'p3': list_min([s.p3, {'c': s.p2.c + 2, 'a': s.p2.a || 'I'}, {'c': s.p0.c + 4, 'a': s.p0.a || 'II'}, {'c': s.p1.c + 4, 'a': s.p1.a || 'II'}])
+    } ELSE {
+        'p0': {'c': s.p0.c + 3, 'a': s.p0.a || 'D'},
+        'p1': list_min([{'c': s.p1.c + 3, 'a': s.p1.a || 'D'}, {'c': s.p0.c + CASE WHEN r & 7 = 0 THEN r >> 3 ELSE 1000000000 END, 'a': s.p0.a || 'K'}]),
+        'p2': list_min([{'c': s.p2.c + 3, 'a': s.p2.a || 'D'},
+            {'c': s.p0.c + CASE WHEN r & 4 = 4 THEN 1000000000 WHEN r & 3 = 1 THEN r >> 3 ELSE 2 + (r >> 3) END, 'a': s.p0.a || CASE WHEN r & 3 = 1 THEN 'K' ELSE 'R' END},
+            {'c': s.p1.c + CASE WHEN r & 4 = 4 THEN 1000000000 WHEN r & 3 = 1 THEN r >> 3 ELSE 2 + (r >> 3) END, 'a': s.p1.a || CASE WHEN r & 3 = 1 THEN 'K' ELSE 'R' END},
+            {'c': s.p3.c + CASE WHEN r & 4 = 4 THEN 1000000000 WHEN r & 3 = 1 THEN r >> 3 ELSE 2 + (r >> 3) END, 'a': s.p3.a || CASE WHEN r & 3 = 1 THEN 'K' ELSE 'R' END}]),
+        'p3': list_min([{'c': s.p3.c + 3, 'a': s.p3.a || 'D'},
+            {'c': s.p2.c + CASE WHEN r & 4 = 4 THEN 1000000000 WHEN r & 3 = 2 THEN r >> 3 ELSE 2 + (r >> 3) END, 'a': s.p2.a || CASE WHEN r & 3 = 2 THEN 'K' ELSE 'R' END}])
+    } END, {'p0': {'c': 0::BIGINT, 'a': ''}, 'p1': {'c': 1000000000::BIGINT, 'a': ''},
+        'p2': {'c': 1000000000::BIGINT, 'a': ''}, 'p3': {'c': 1000000000::BIGINT, 'a': ''}}) AS f FROM counted),
+best AS (SELECT *, list_min([f.p0, f.p3]) AS b FROM solved),
+letters AS (SELECT conv, j, b.a[j] AS letter, length(replace(b.a[:j], 'I', '')) AS i, length(replace(b.a[:j], 'D', '')) - 1 AS place,
+    length(replace(b.a, 'D', '')) % 2 AS odd FROM (SELECT conv, b, unnest(range(1, length(b.a) + 1)) AS j FROM best)),
+lines AS (SELECT l.conv, j, CASE WHEN letter = 'K' THEN c.role WHEN (place - odd) % 2 = 0 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN letter = 'I' THEN '' ELSE c.text END AS line
+    FROM letters l LEFT JOIN coded c ON l.conv IS NOT DISTINCT FROM c.conv AND l.i = c.i WHERE letter <> 'D'),
+texts AS (SELECT conv, string_agg(line, chr(10) ORDER BY j) AS s FROM lines GROUP BY conv)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost, coalesce(b.a, '') AS audit,
+    sha256(coalesce(s, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN best ON d.conv_id IS NOT DISTINCT FROM best.conv
+LEFT JOIN texts ON d.conv_id IS NOT DISTINCT FROM texts.conv
+"""
