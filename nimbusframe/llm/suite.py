@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from nimbusframe.llm import (
     conversation_repair,
+    hard_negatives,
     html_text,
     language,
     line_dedup,
@@ -269,3 +270,29 @@ SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN best ON d.conv_id IS NOT DISTINCT FROM best.conv
 LEFT JOIN texts ON d.conv_id IS NOT DISTINCT FROM texts.conv
 """
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh has the next label."""
+    given = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
+    seventh = F.col("vec_id") % 7 == 0
+    given = given.withColumn("label", F.when(seventh, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(given, F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op13_hard_negatives"] = """
+WITH v AS (SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.uid AS anchor, a.vec_id AS anchor_id, b.uid, b.vec_id, a.label = b.label AS same,
+    list_dot_product(a.v, b.v)::BIGINT AS score FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.uid <> b.uid AND len(a.v) = len(b.v)),
+positives AS (SELECT * FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, uid) <= 5),
+ranked AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.uid ORDER BY n.score DESC, n.vec_id NULLS LAST, n.uid)::INTEGER AS rank
+    FROM positives p JOIN scored n ON p.anchor = n.anchor AND NOT n.same
+        AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""
