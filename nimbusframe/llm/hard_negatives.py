@@ -28,7 +28,7 @@ POSITIVES, NEGATIVES, WINDOW = 5, 5, (80, 100)
 #: Components are scaled by this and rounded down (fixed by the task).
 SCALE = 256
 #: Vectors in a block (one tree, one task) and in a leaf, children of a node.
-BLOCK, LEAF, CHILDREN = 8192, 256, 16
+BLOCK, LEAF, CHILDREN = 8192, 512, 16
 #: Centres of the top level, at most, and vectors of the sample for each.
 MOST_CENTRES, SAMPLED = 1024, 8
 #: Anchors that meet a block in one task.
@@ -172,9 +172,9 @@ class Block:
         least = scale * np.cos(np.minimum(angle + reach, np.pi)) - slack
         return least, most
 
-    def scores(self, anchor: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    def scores(self, anchor: np.ndarray, fits: bool, lo: int, hi: int) -> np.ndarray:
         """Exact inner products with the rows of a leaf, at most what a long holds."""
-        if self._fits(anchor):
+        if fits:
             return (self.x[lo:hi] @ anchor).astype(np.int64)
         own = [int(c) for c in anchor]
         exact = [sum(int(a) * b for a, b in zip(row, own, strict=True)) for row in self.x[lo:hi]]
@@ -188,6 +188,7 @@ class Block:
         low = [-np.inf if lo is None else lo for lo, _ in windows]
         high = [np.inf if hi is None else hi for _, hi in windows]
         heap = [(-most[0], 0)]
+        fits, wanted = self._fits(anchor), wanted & (self.uids != uid)
         while heap:
             up, k = heappop(heap)
             up = -up
@@ -201,12 +202,15 @@ class Block:
                 for c in children:
                     heappush(heap, (-most[c], c))
                 continue
-            score = self.scores(anchor, lo, hi)
-            fit = wanted[lo:hi] & (self.uids[lo:hi] != uid)
+            score = self.scores(anchor, fits, lo, hi)
+            near = (score >= min(low[j] for j in open_)) & (score <= max(high[j] for j in open_)) & wanted[lo:hi]
+            own = [(-s, self.ids[lo + i] is None, self.ids[lo + i] or 0, int(self.uids[lo + i]))
+                   for i, s in zip(np.flatnonzero(near).tolist(), score[near].tolist(), strict=True)]
+            if not own:
+                continue
             for j in open_:
-                at = np.flatnonzero(fit & (score >= low[j]) & (score <= high[j]))
-                if len(at):
-                    more = [(-int(score[i]), self.ids[lo + i] is None, self.ids[lo + i] or 0, int(self.uids[lo + i])) for i in at.tolist()]
+                more = [r for r in own if low[j] <= -r[0] <= high[j]]
+                if more:
                     found[j] = sorted(found[j] + more)[:count]
                     if len(found[j]) == count:
                         low[j] = max(low[j], -found[j][-1][0])

@@ -100,7 +100,7 @@ def test_tree_covers_and_leaves_nodes_out():
         assert (scores[:, lo:hi].max(1) <= most[:, k]).all() and (scores[:, lo:hi].min(1) >= least[:, k]).all()
     scored = []
     exact = block.scores
-    block.scores = lambda a, lo, hi: scored.append(hi - lo) or exact(a, lo, hi)
+    block.scores = lambda a, fits, lo, hi: scored.append(hi - lo) or exact(a, fits, lo, hi)
     for i in range(50):
         best = block.search(x[i], i, block.labels == labels[i], [(None, None)], 5, least[i], most[i])[0]
         same = [j for j in range(len(x)) if labels[j] == labels[i] and j != i]
