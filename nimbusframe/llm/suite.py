@@ -24,6 +24,7 @@ from nimbusframe.llm import (
     pivot_index,
     quality,
     substring_dedup,
+    suffix_dedup,
     url_filter,
 )
 from nimbusframe.session import read_table
@@ -211,6 +212,30 @@ FROM streamed s LEFT JOIN counted c ON s.size > 0 AND s.place = c.place AND s.st
 """
 
 
+@query
+def op11_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents without strings that an earlier document has."""
+    return suffix_dedup.dedup_bytes(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLE["op11_suffix_array"] = """
+WITH t AS (SELECT doc_id, row_number() OVER () AS uid, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS b FROM documents),
+wins AS (SELECT uid, doc_id, i, array_to_string(b[i : i + 49], '') AS s
+    FROM (SELECT uid, doc_id, b, unnest(range(1, len(b) - 48)) AS i FROM t)),
+firsts AS (SELECT s, min(doc_id) AS d FROM wins GROUP BY s HAVING min(doc_id) <> max(doc_id)),
+starts AS (SELECT uid, i FROM wins JOIN firsts USING (s) WHERE doc_id > d),
+edges AS (SELECT *, lag(i) OVER (PARTITION BY uid ORDER BY i) AS before FROM starts),
+spans AS (SELECT uid, lo, max(i) + 49 AS hi FROM (SELECT uid, i, max(CASE WHEN before IS NULL OR i > before + 50 THEN i END)
+    OVER (PARTITION BY uid ORDER BY i) AS lo FROM edges) GROUP BY uid, lo),
+cut AS (SELECT uid, list([lo, hi] ORDER BY lo) AS runs, count(*) AS n_spans, sum(hi - lo + 1)::BIGINT AS n_removed FROM spans GROUP BY uid),
+kept AS (SELECT uid, b, n_spans, n_removed, flatten(list_transform(range(1, len(runs) + 2), lambda k:
+    b[CASE WHEN k = 1 THEN 1 ELSE runs[k - 1][2] + 1 END : CASE WHEN k > len(runs) THEN len(b) ELSE runs[k][1] - 1 END])) AS left_ FROM cut JOIN t USING (uid))
+SELECT t.doc_id, len(t.b)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(array_to_string(coalesce(left_, t.b), ''))) AS kept_sha256
+FROM t LEFT JOIN kept USING (uid)
+"""
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest edits and repaired messages of all conversations, damaged first."""
