@@ -7,6 +7,7 @@ data where it already is.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -95,84 +96,105 @@ def array_length(arr: Column | str) -> Column:
 # --- typed attributes (key-value item wire form) ----------------------------
 
 # The attribute type tags of the key-value wire format are
-# S, N, BOOL, NULL, SS, NS, B, BS, M and L; items nest 32 levels at most.
-TYPED_VALUE_SCHEMA = "map<string, struct<S: string, N: string, BOOL: boolean, NULL: boolean, SS: array<string>, NS: array<string>>>"
-TYPED_DEPTH = 5
-
-
-def _quoted(text: Column) -> Column:
-    """JSON text of a string."""
-    one = F.to_json(F.array(text))
-    return F.when(text.isNotNull(), F.substring(one, F.lit(2), F.length(one) - 2))
-
-
-def _json_number(text: Column) -> Column:
-    """Number text as JSON writes it: no zeros after the last digit of a fraction."""
-    return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+# S, N, BOOL, NULL, SS, NS, B, BS, M and L.
+#
+# A typed item is rewritten as text, from its innermost values outwards, so that
+# it may nest to any depth and numbers keep every digit. JSON text has no raw
+# control characters, so these stand for characters that must not be taken for
+# structure (inside strings) or that are finished (around converted values).
+_IN_STRINGS = ("{}[]:,", "\x12\x13\x14\x15\x16\x17")
+_BACKSLASH, _QUOTE = "\x10", "\x11"
+_DONE, _MAP, _LIST = "\x01", ("\x03", "\x04"), ("\x05", "\x06")
+
+_NUMBER = r"(-?(?:0|[1-9]\d*))(?:(\.\d*?[1-9])0*|\.0+)?([eE][+-]?\d+)?"
+_SCALARS = [
+    # the elements of sets become typed values of their own
+    *[(r'(?:(\{"' + many + r'":\[)|\G(?!\A)(,))("[^"]*")', r'$1$2{"' + one + '":$3}') for many, one in (("NS", "N"), ("SS", "S"), ("BS", "B"))],
+    (r'\{"N":"' + _NUMBER + r'"\}', _DONE + "$1$2$3"),  # no zeros at the end of a fraction
+    (r'\{"[SNB]":("[^"]*")\}', _DONE + "$1"),
+    (r'\{"BOOL":"?(true|false)"?\}', _DONE + "$1"),
+    (r'\{"NULL":"?(?:true|false)"?\}', _DONE + "null"),
+]
+_GROUPS = [
+    (r'\{"M":\{([^{}\[\]]*)\}\}', _MAP[0] + "$1" + _MAP[1]),
+    (r'\{"(?:L|SS|NS|BS)":\[([^{}\[\]]*)\]\}', _LIST[0] + "$1" + _LIST[1]),
+]
+_GROUP_TAG = r'\{"(?:M|L|SS|NS|BS)":'
+# A value that no rule has converted: after a name, or in a list.
+_UNTYPED = '[:,\x05][^\x01\x03\x05"\x06]|:"|[,\x05]"[^"]*"(?!:)'
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _replaced(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    for pattern, by in rules:
+        text = F.regexp_replace(text, pattern, by)
+    return text
+
+
+def _plain_text(typed: Column) -> Column:
+    """Plain JSON of the compact JSON text of a typed item, NULL if it is none."""
+    bare = F.replace(F.replace(typed, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    # every second part between quotes is the inside of a string
+    shielded = F.array_join(
+        F.transform(F.split(bare, '"', -1), lambda x, i: F.when(i % 2 == 1, F.translate(x, *_IN_STRINGS)).otherwise(x)), '"'
+    )
+    scalars = _replaced(shielded, _SCALARS)
 
+    def groups(text: Column) -> Column:
+        levels = F.array_repeat(F.lit(0), F.size(F.split(text, _GROUP_TAG, -1)) - 1)  # at least as many as there are
+        return F.aggregate(levels, text, lambda acc, _: F.when(acc.rlike(_GROUP_TAG), _replaced(acc, _GROUPS)).otherwise(acc))
 
-def _typed_json(v: Column, depth: int) -> Column:
-    """JSON text of one typed value (a VARIANT such as ``{"N": "85"}``).
+    def finished(text: Column) -> Column:
+        whole = text.rlike(r"\A\{[^{}\[\]]*\}\z") & ~text.rlike(_UNTYPED)
+        back = F.translate(text, "".join([_IN_STRINGS[1], *_MAP, *_LIST, _DONE]), _IN_STRINGS[0] + "{}[]")
+        return F.when(whole, F.replace(F.replace(back, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\")))
 
-    Maps and lists have one kind of children, (name, value), so that the
-    expression grows with the depth and not with its power; what lies deeper
-    raises an error instead of getting lost."""
-    get = lambda tag, kind: F.try_variant_get(v, f"$.{tag}", kind)
-    fields = F.map_entries(get("M", "map<string,variant>"))
-    elements = get("L", "array<variant>")
-    pairs = F.coalesce(
-        F.transform(fields, lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"))),
-        F.transform(elements, lambda x: F.struct(F.lit(None).cast("string").alias("k"), x.alias("v"))),
-    )
-    if depth:
-        one = lambda e: F.concat(
-            F.when(e["k"].isNotNull(), F.concat(_quoted(e["k"]), F.lit(":"))).otherwise(""), _typed_json(e["v"], depth - 1))
-        inner = F.array_join(F.transform(pairs, one), ",")
-    else:
-        inner = F.when(F.size(pairs) == 0, F.lit("")).otherwise(F.raise_error(F.lit("typed item nested too deeply")))
-    numbers = get("NS", "array<string>")
-    return F.coalesce(
-        _quoted(get("S", "string")),
-        _json_number(get("N", "string")),
-        get("BOOL", "boolean").cast("string"),
-        F.when(get("NULL", "boolean"), F.lit("null")),
-        F.to_json(get("SS", "array<string>")),
-        F.concat(F.lit("["), F.array_join(F.transform(numbers, _json_number), ","), F.lit("]")),
-        _quoted(get("B", "string")),
-        F.to_json(get("BS", "array<string>")),
-        F.concat(F.when(fields.isNotNull(), "{").otherwise("["), inner, F.when(fields.isNotNull(), "}").otherwise("]")),
-    )
+    return _let(_let(scalars, groups), finished)
 
 
-def _attributes(col: Column) -> Column:
-    return F.try_variant_get(F.try_parse_json(col), "$", "map<string,variant>")
+def _parsed(col: Column) -> Column:
+    return F.try_parse_json(col)
 
 
-def plain_json(col: Column | str, depth: int = TYPED_DEPTH) -> Column:
+def plain_json(col: Column | str) -> Column:
     """typed-attribute JSON text -> plain JSON text with the values' own
     types: numbers, booleans, null, nested maps and lists; sets are arrays,
-    binary values their base64 text. NULL or invalid text gives NULL."""
-    pairs = F.map_entries(_attributes(_col(col)))
-    one = F.transform(pairs, lambda e: F.concat(_quoted(e["key"]), F.lit(":"), _typed_json(e["value"], depth)))
-    return F.concat(F.lit("{"), F.array_join(one, ","), F.lit("}"))
+    binary values their base64 text.
+
+    Values may nest to any depth. Numbers keep their text (38 digits, exponents,
+    ``-0``), but for zeros at the end of a fraction; a number that JSON cannot
+    write is a string. NULL, invalid text and items with an untyped value give
+    NULL."""
+    return _plain_text(F.to_json(_parsed(_col(col))))
 
 
-def unmarshal(col: Column | str, is_json: bool = True, depth: int = TYPED_DEPTH) -> Column:
+def unmarshal(col: Column | str, is_json: bool = True) -> Column:
     """typed-attribute JSON text (``{"Grade": {"N": "85"}}``) or a parsed
     map of typed values -> ``map<string,string>`` of plain values.
 
     ``S`` and ``N`` keep their text (numbers stay exact text; cast per column
     with :func:`attribute`), ``BOOL`` becomes ``'true'``/``'false'``, ``NULL``
-    becomes SQL NULL, binary values their base64 text; sets, maps and lists
-    become JSON text. ``is_json=False`` takes an already parsed
-    ``map<string, struct<...>>`` column of scalars and sets."""
+    becomes SQL NULL, binary values their base64 text; sets, maps and lists of
+    any depth become JSON text as :func:`plain_json` writes it. ``is_json=False``
+    takes an already parsed ``map<string, struct<...>>`` column of scalars and
+    sets."""
     c = _col(col)
     if is_json:
+        get = lambda v, tag, kind="string": F.try_variant_get(v, f"$.{tag}", kind)
+
+        def group(v: Column) -> Column:
+            text = _plain_text(F.concat(F.lit('{"v":'), F.to_json(v), F.lit("}")))
+            return F.substring(text, F.lit(6), F.length(text) - 6)
+
         return F.transform_values(
-            _attributes(c),
+            F.try_variant_get(_parsed(c), "$", "map<string,variant>"),
             lambda _k, v: F.coalesce(
-                F.try_variant_get(v, "$.S", "string"), F.try_variant_get(v, "$.N", "string"), F.try_variant_get(v, "$.B", "string"),
-                F.when(F.coalesce(F.try_variant_get(v, "$.NULL", "boolean"), F.lit(False)), F.lit(None)).otherwise(_typed_json(v, depth)),
+                get(v, "S"), get(v, "N"), get(v, "B"), get(v, "BOOL", "boolean").cast("string"),
+                F.when(get(v, "NULL", "boolean").isNull(), group(v)),
             ),
         )
     return F.transform_values(
@@ -187,6 +209,17 @@ def unmarshal(col: Column | str, is_json: bool = True, depth: int = TYPED_DEPTH)
     )
 
 
+def typed_attribute(col: Column | str, name: str) -> Column:
+    """The text of one scalar attribute of a typed item, without converting the rest."""
+    quote = next((q for q in "'\"" if q not in name), None)
+    if quote:
+        item = F.try_variant_get(_parsed(_col(col)), f"$[{quote}{name}{quote}]", "variant")
+    else:  # a path cannot hold both quotes
+        item = F.try_variant_get(_parsed(_col(col)), "$", "map<string,variant>").getItem(name)
+    kinds = (("S", "string"), ("N", "string"), ("B", "string"), ("BOOL", "boolean"))
+    return F.coalesce(*[F.try_variant_get(item, f"$.{t}", k).cast("string") for t, k in kinds])
+
+
 def attribute(plain_map: Column | str, name: str, dtype: str = "string") -> Column:
     """One plain attribute out of an unmarshalled map, cast safely."""
     v = _col(plain_map).getItem(name)
@@ -201,20 +234,16 @@ def marshal(df: DataFrame, cols: Sequence[str]) -> Column:
     from pyspark.sql.types import BooleanType, NumericType
 
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    entries = []
+    pieces = []
     for c in cols:
-        t = kinds[c]
-        if isinstance(t, BooleanType):
-            val = F.struct(F.col(c).alias("BOOL"))
-        elif isinstance(t, NumericType):
-            val = F.struct(F.col(c).cast("string").alias("N"))
+        v = df["`" + c.replace("`", "``") + "`"]
+        if isinstance(kinds[c], BooleanType):
+            val = F.struct(v.alias("BOOL"))
+        elif isinstance(kinds[c], NumericType):
+            val = F.struct(v.cast("string").alias("N"))
         else:
-            val = F.struct(F.col(c).cast("string").alias("S"))
-        entries.append(F.when(F.col(c).isNotNull(), F.to_json(val)))
-    # build a JSON object text of the present attributes, in column order
-    pieces = [
-        F.when(F.col(c).isNotNull(), F.concat(F.lit(f'"{c}":'), e)) for c, e in zip(cols, entries)
-    ]
+            val = F.struct(v.cast("string").alias("S"))
+        pieces.append(F.when(v.isNotNull(), F.concat(F.lit(json.dumps(c, ensure_ascii=False) + ":"), F.to_json(val))))
     return F.concat(F.lit("{"), F.concat_ws(",", *pieces), F.lit("}"))
 
 

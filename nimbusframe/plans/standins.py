@@ -208,10 +208,13 @@ def change_records(events: DataFrame) -> DataFrame:
         F.col("event_id").cast("string").alias("id"), F.col("user_id").alias("user"),
         F.get_json_object("props", "$.k").cast("bigint").alias("k"), name.alias("eventName"),
     )
-    # besides the columns, a boolean and a map that holds a number and a list
+    # besides the columns, a boolean, a map that holds a number and a list, a number with an exponent that ends in 0,
+    # and for one user in sixteen a number 32 levels down
+    user = F.col("user").cast("string")
+    deep = F.when(F.col("user") % 16 == 0, F.concat(F.lit(',"deep":' + '{"M":{"d":' * 31 + '{"N":"'), user, F.lit('"}' + "}}" * 31))).otherwise("")
     more = F.concat(
-        F.lit(',"late":{"BOOL":'), (F.col("value") > 25).cast("string"), F.lit('},"about":{"M":{"user":{"N":"'), F.col("user").cast("string"),
-        F.lit('"},"kinds":{"L":[{"S":"'), F.col("event_type"), F.lit('"},{"NULL":true}]}}}}'))
+        F.lit(',"late":{"BOOL":'), (F.col("value") > 25).cast("string"), F.lit('},"big":{"N":"'), user, F.lit('.50E10"}'), deep,
+        F.lit(',"about":{"M":{"user":{"N":"'), user, F.lit('"},"kinds":{"L":[{"S":"'), F.col("event_type"), F.lit('"},{"NULL":true}]}}}}'))
     nested = lambda cols: F.concat(F.regexp_replace(marshal(base, cols), r"\}$", ""), more)
     return base.select(
         "event_id", "ts", "eventName",

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from nimbusframe.functions.nested import plain_json, unmarshal
+from nimbusframe.functions.nested import plain_json, typed_attribute
 from nimbusframe.functions.scalars import iso_timestamp, now_or
 
 # Event names of the change stream and the notification texts.
@@ -36,8 +36,8 @@ CHANGE_EVENTS = {
 }
 
 
-def _plain(img: Column, typed: bool) -> Column:
-    return unmarshal(img) if typed else img
+def _attribute(img: Column, typed: bool, name: str) -> Column:
+    return typed_attribute(img, name) if typed else img.getItem(name)
 
 
 def _json(img: Column, typed: bool) -> Column:
@@ -62,41 +62,41 @@ def to_notifications(
     too) or, with ``typed_images=False``, plain ``map<string,string>`` columns.
     The message is compact JSON with the same fields as the reference's (``event, environment, item | oldItem+newItem,
     timestamp``)."""
-    old = _plain(F.col(old_image), typed_images)
-    new = _plain(F.col(new_image), typed_images)
-    ev = F.col(event_col)
-    item = F.when(ev == "REMOVE", old).otherwise(new)
-    item_id = item.getItem(id_field)
+    ev, modified = F.col(event_col), F.col(event_col) == "MODIFY"
+    item = F.when(ev == "REMOVE", F.col(old_image)).otherwise(F.col(new_image))  # images are chosen before they are read
+    item_id = _attribute(item, typed_images, id_field)
     ts = iso_timestamp(now_or(now))
     kind = F.coalesce(*[F.when(ev == k, F.lit(v[0])) for k, v in CHANGE_EVENTS.items()])
     title = F.coalesce(*[F.when(ev == k, F.lit(v[1])) for k, v in CHANGE_EVENTS.items()])
-    subject = F.concat(F.lit(f"[{env}] "), title, F.lit(": "), F.coalesce(item_id, F.lit("undefined")))
-    old_json, new_json = _json(F.col(old_image), typed_images), _json(F.col(new_image), typed_images)
-    head = F.to_json(F.struct(kind.alias("event"), F.lit(env).alias("environment")))
+    subject = F.concat(F.lit(f"[{env}] "), title, F.lit(": "), F.coalesce(F.col("item_id"), F.lit("undefined")))
+    head = F.to_json(F.struct(F.col("event"), F.lit(env).alias("environment")))
     tail = F.to_json(F.struct(ts.alias("timestamp")))
-    items = F.when(ev == "MODIFY", F.concat(F.lit('"oldItem":'), F.coalesce(old_json, F.lit("{}")), F.lit(',"newItem":'), F.coalesce(new_json, F.lit("{}")))).otherwise(
-        F.concat(F.lit('"item":'), F.coalesce(F.when(ev == "REMOVE", old_json).otherwise(new_json), F.lit("{}"))))
-    message = F.concat(F.regexp_replace(head, r"\}$", ","), items, F.lit(","), F.substring(tail, F.lit(2), F.length(tail)))
-    return changes.where(ev.isin(list(CHANGE_EVENTS))).select(
-        ev.alias("event_name"), kind.alias("event"), item_id.alias("item_id"), subject.alias("subject"), message.alias("message")
+
+    def part(unless: str, name: str, image: str) -> Column:
+        text = F.coalesce(_json(F.col(image), typed_images), F.lit("{}"))
+        return F.when(ev != unless, F.concat(F.when(modified, f'"{name}":').otherwise('"item":'), text))
+
+    message = F.concat_ws(
+        ",", F.substring(head, F.lit(1), F.length(head) - 1), part("INSERT", "oldItem", old_image), part("REMOVE", "newItem", new_image),
+        F.substring(tail, F.lit(2), F.length(tail)),
     )
+    named = changes.where(ev.isin(list(CHANGE_EVENTS))).withColumns({"item_id": item_id, "event": kind})
+    return named.select(ev.alias("event_name"), "event", "item_id", subject.alias("subject"), message.alias("message"))
 
 
 def to_audit_rows(changes: DataFrame, actor: str, event_col: str = "eventName", old_image: str = "OldImage",
                   new_image: str = "NewImage", key_field: str = "id", typed_images: bool = True) -> DataFrame:
     """Change records -> audit rows (``action, key, changed_by, old_data,
     new_data``), same shape as M17. Stateless."""
-    old = _plain(F.col(old_image), typed_images)
-    new = _plain(F.col(new_image), typed_images)
     ev = F.col(event_col)
     action = F.when(ev == "INSERT", "INSERT").when(ev == "MODIFY", "UPDATE").when(ev == "REMOVE", "DELETE")
-    key = F.when(ev == "REMOVE", old.getItem(key_field)).otherwise(new.getItem(key_field))
+    key = _attribute(F.when(ev == "REMOVE", F.col(old_image)).otherwise(F.col(new_image)), typed_images, key_field)
     return changes.where(action.isNotNull()).select(
         action.alias("action"),
         key.alias(key_field),
         F.lit(actor).alias("changed_by"),
-        F.when(ev != "INSERT", _json(F.col(old_image), typed_images)).alias("old_data"),
-        F.when(ev != "REMOVE", _json(F.col(new_image), typed_images)).alias("new_data"),
+        _json(F.when(ev != "INSERT", F.col(old_image)), typed_images).alias("old_data"),
+        _json(F.when(ev != "REMOVE", F.col(new_image)), typed_images).alias("new_data"),
     )
 
 

@@ -1,3 +1,5 @@
+import json
+import random
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -71,6 +73,71 @@ def test_unmarshal_marshal_round_trip(spark):
     assert r.g == 85 and r.a == "true"
 
 
+def _typed(v):
+    if v is None:
+        return {"NULL": True}
+    if isinstance(v, bool):
+        return {"BOOL": v}
+    if isinstance(v, Decimal):
+        return {"N": str(v)}
+    if isinstance(v, str):
+        return {"S": v}
+    if isinstance(v, tuple):
+        return {"NS": [str(x) for x in v]} if isinstance(v[0], Decimal) else {"SS": list(v)}
+    if isinstance(v, list):
+        return {"L": [_typed(x) for x in v]}
+    return {"M": {k: _typed(x) for k, x in v.items()}}
+
+
+def _listed(v):
+    if isinstance(v, (tuple, list)):
+        return [_listed(x) for x in v]
+    return {k: _listed(x) for k, x in v.items()} if isinstance(v, dict) else v
+
+
+def test_typed_items_come_back_exact(spark):
+    rng = random.Random(1)
+    keys = ["S", "N", "M", "L", "a b", '"q"', "{x}", ":", ",", "\\", "BOOL", "NS", "[1]", "é", ""]
+    numbers = "1.5E10 1.0E+20 -0 2.50 100 12345678901234567890123456789012345678 0.000 1.0E-10 -1.50500e100".split()
+    leaves = [None, True, False, *map(Decimal, numbers), "x", "", '{"S":"x"}', 'a"b\\"c\\', '[{}]:,"', '{"M":{', "\n\t\x07 é", "\\",
+              (Decimal("1"), Decimal("2.50")), ("a,b", "]}"), ('{"N":"1"}',)]
+
+    def value(depth):
+        r = rng.random()
+        if depth and r < 0.3:
+            return {rng.choice(keys): value(depth - 1) for _ in range(rng.randrange(4))}
+        return [value(depth - 1) for _ in range(rng.randrange(4))] if depth and r < 0.5 else rng.choice(leaves)
+
+    items = [{rng.choice(keys): value(rng.choice([0, 1, 3, 6])) for _ in range(rng.randrange(5))} for _ in range(800)]
+    deep = Decimal("1.0E20")
+    for i in range(40):
+        deep = {"M": deep} if i % 2 else [deep]
+    items.append({"d": deep})
+    data = [(i, json.dumps({k: _typed(x) for k, x in v.items()}, ensure_ascii=i % 2 == 0)) for i, v in enumerate(items)]
+    df = spark.createDataFrame(data, "i int, j string").select("i", N.plain_json("j").alias("p"), N.unmarshal("j").alias("m"))
+    for r in df.collect():
+        read = lambda text: json.loads(text, parse_float=Decimal, parse_int=Decimal)
+        assert read(r.p) == _listed(items[r.i]), data[r.i]
+        for k, v in items[r.i].items():
+            got = r.m[k]
+            if isinstance(v, (dict, list, tuple)):
+                assert read(got) == _listed(v)
+            else:
+                assert got == (v if v is None or isinstance(v, str) else str(v).lower() if isinstance(v, bool) else str(v))
+
+
+def test_untyped_items_and_odd_names(spark):
+    bad = ["x", '{"a":"plain"}', '{"a":{"L":["x"]}}', '{"a":{"L":[{"S":"x"},"y"]}}', "[]", None, '{"a":1}', '{"M":{}}', '{"a":{"X":"1"}}']
+    df = spark.createDataFrame([(j,) for j in bad], "j string")
+    assert [r.p for r in df.select(N.plain_json("j").alias("p")).collect()] == [None] * len(bad)
+    df = spark.createDataFrame([(15000000000.5, "v", 7)], 'a double, `b"c.d` string, `e\'f` int')
+    typed = df.select(N.marshal(df, df.columns).alias("j"))
+    r = typed.select(N.plain_json("j").alias("p"), N.typed_attribute("j", 'b"c.d').alias("x"), N.typed_attribute("j", "e'f").alias("y"),
+                     N.unmarshal("j").alias("m")).first()
+    assert json.loads(r.p) == {"a": 15000000000.5, 'b"c.d': "v", "e'f": 7} and float(r.m["a"]) == 15000000000.5
+    assert (r.x, r.y) == ("v", "7")
+
+
 def test_split_overflow(spark):
     df = spark.createDataFrame([({"name": "n", "price": "1.5", "color": "red"},)], "m map<string,string>")
     cols, over = N.split_overflow("m", ["name", "price"])
