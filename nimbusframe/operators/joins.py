@@ -1,15 +1,16 @@
 """Joins (J1-J12).
 
-Broadcast policy: a side is hinted for broadcast only when its row count is
-bounded by construction (a literal list, a fixed rule table) and below
-``BROADCAST_MAX_ROWS``. Every other join is left to the planner: AQE turns a
-sort-merge join into a broadcast join at run time only when the measured
-shuffle output is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
-and splits skewed partitions (``skewJoin.enabled``) otherwise.
-
-Range and address joins never fall back to a nested loop: intervals are cut
-into buckets and equi-joined on (key, bucket); address blocks are matched by
-their 33 possible network prefixes.
+Broadcast policy: a side is hinted for broadcast only by
+:func:`bounded_broadcast`, when its row count is bounded by construction (a
+literal list, a fixed rule table) and that many rows stay below the session's
+``autoBroadcastJoinThreshold``. Every other join is left to the planner: AQE
+turns a sort-merge join into a broadcast join at run time only when the
+measured shuffle output is under its threshold, and splits skewed partitions
+(``skewJoin.enabled``) otherwise.
+
+Range and address joins never fall back to a nested loop: intervals are covered
+by dyadic cells and equi-joined on (key, level, cell); address blocks are
+matched by the prefix lengths that occur.
 """
 
 from __future__ import annotations
@@ -98,8 +99,33 @@ def match_with_default(
     return out.withColumn(out_col, F.coalesce(*picked, default)).drop(*[f"_rv{i}" for i in range(len(candidates))])
 
 
-def _bucket_ids(lo: Column, hi: Column, width: int) -> Column:
-    return F.sequence(F.floor(lo / F.lit(width)).cast("bigint"), F.floor(hi / F.lit(width)).cast("bigint"))
+def _cells(first: Column, last: Column) -> Column:
+    """The dyadic cells ``(level, cell)`` that make up the buckets ``first`` to
+    ``last``: at each level at most one at either end, so a range of L buckets
+    has at most 2 log2(L) + 2."""
+    shift = lambda x, k: F.call_function("shiftright", x, k)
+    after = last + 1
+    levels = F.sequence(F.lit(0), F.ceil(F.log2((after - first).cast("double"))).cast("int"))
+
+    def at(k: Column) -> Column:
+        lo, hi = -shift(-first, k), shift(after, k)  # whole cells of that level: lo to hi - 1
+        odd = lambda x: F.pmod(x, F.lit(2)) == 1
+        left = F.when((lo < hi) & odd(lo), F.struct(k.alias("level"), lo.alias("cell")))
+        right = F.when((lo < hi) & odd(hi), F.struct(k.alias("level"), (hi - 1).alias("cell")))
+        return F.filter(F.array(left, right), lambda c: c.isNotNull())
+
+    return F.flatten(F.transform(levels, at))
+
+
+def _stabbed(ranges: DataFrame, first: Column, last: Column, points: DataFrame, point: Column, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``ranges`` and ``points`` of equal keys whose bucket ``point``
+    is among the range's, each pair once: of a range's cells exactly one is an
+    ancestor of a point within."""
+    cells = ranges.withColumn("_c", F.explode(_cells(first, last))).select("*", "_c.level", "_c.cell").drop("_c")
+    levels = cells.agg(F.collect_set("level")).scalar()  # at most 64 numbers
+    up = points.withColumn("level", F.explode(levels))
+    up = up.withColumn("cell", F.call_function("shiftright", point, F.col("level")))
+    return cells.join(up, [*keys, "level", "cell"]).drop("level", "cell")
 
 
 def range_overlap_join(
@@ -112,28 +138,32 @@ def range_overlap_join(
 ) -> DataFrame:
     """J10 (general): pairs whose closed ranges overlap, optionally within equal keys.
 
-    Bounds must be numeric (for timestamps pass epoch seconds). Every range is
-    expanded to the fixed-width buckets it touches; the equi-join on
-    (keys, bucket) lets Spark hash-partition the work (a hot key is spread over
-    its buckets, and AQE splits what is still skewed). The exact overlap test
-    runs after the join, and each pair is kept only in the first bucket both
-    ranges share, so no DISTINCT is needed.
+    Bounds must be numeric (for timestamps pass epoch seconds). Two ranges
+    overlap if one starts within the other, so each pair is found once: starts
+    of the right side in left ranges, and starts of the left side in right
+    ranges that begin earlier. A range is covered by dyadic cells over buckets
+    of ``bucket_width`` (a segment tree's cover: 2 log2 of its length, so ranges
+    of a second and of years can share a table), a start has one cell at every
+    level that occurs, and the equi-join on (keys, level, cell) lets Spark
+    hash-partition the work; a hot key is spread over its cells, and AQE splits
+    what is still skewed. The exact overlap test runs after the join. Ranges
+    with a NULL bound or ``lo > hi`` overlap nothing.
 
-    The output is the set of overlapping pairs, so it is only bounded when
-    ranges are short relative to their density; when every range of a key
-    overlaps every other (long ranges, one hot key) use :func:`overlap_counts`.
+    The output is the set of overlapping pairs; when most ranges of a key
+    overlap each other use :func:`overlap_counts`.
 
     Column names of the two sides must be distinct apart from ``keys``."""
     llo, lhi = left_range
     rlo, rhi = right_range
-    # empty ranges (lo > hi) overlap nothing
-    lb = left.where(F.col(llo) <= F.col(lhi)).withColumn("_b", F.explode(_bucket_ids(F.col(llo), F.col(lhi), bucket_width)))
-    rb = right.where(F.col(rlo) <= F.col(rhi)).withColumn("_b", F.explode(_bucket_ids(F.col(rlo), F.col(rhi), bucket_width)))
-    joined = lb.join(rb, list(keys) + ["_b"], "inner")
-    first_shared = F.greatest(F.floor(F.col(llo) / bucket_width), F.floor(F.col(rlo) / bucket_width))
-    return joined.where(
-        (F.col(llo) <= F.col(rhi)) & (F.col(rlo) <= F.col(lhi)) & (F.col("_b") == first_shared)
-    ).drop("_b")
+    bucket = lambda c: F.floor(F.col(c) / F.lit(bucket_width)).cast("bigint")
+    lb = left.where(F.col(llo) <= F.col(lhi)).withColumns({"_l1": bucket(llo), "_l2": bucket(lhi)})
+    rb = right.where(F.col(rlo) <= F.col(rhi)).withColumns({"_r1": bucket(rlo), "_r2": bucket(rhi)})
+    names = [*keys, *[c for c in left.columns if c not in keys], *[c for c in right.columns if c not in keys]]
+    from_left = _stabbed(lb, F.col("_l1"), F.col("_l2"), rb, F.col("_r1"), keys)
+    later = rb.where(F.col("_r2") > F.col("_r1"))
+    from_right = _stabbed(later, F.col("_r1") + 1, F.col("_r2"), lb, F.col("_l1"), keys)
+    both = from_left.select(*names).unionByName(from_right.select(*names))
+    return both.where((F.col(llo) <= F.col(rhi)) & (F.col(rlo) <= F.col(lhi)))
 
 
 def overlapping_pairs(

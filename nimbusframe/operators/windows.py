@@ -70,13 +70,21 @@ def alarm_states(
     op: str,
     threshold: float,
     n: int,
+    block: int | None = None,
 ) -> DataFrame:
     """A period is in ``ALARM`` when it and the ``n-1`` periods before it
     all breach the threshold and are contiguous (no missing period in
     between - a missing period counts as not breaching); else ``OK``.
 
-    ``stats`` holds one row per key and period (the output of A16/T3)."""
+    ``stats`` holds one row per key and period (the output of A16/T3).
+
+    With ``block`` (seconds, at least ``n - 1`` periods) periods are windowed per
+    (key, time block): every block gets a copy of the periods that reach into its
+    first ``n - 1`` from the block before (a halo), so that a key with many
+    periods is spread over tasks. The result is the same."""
     breach = _OPS[op](F.col(value), F.lit(threshold))
+    if block:
+        return _alarm_states_blocked(stats, keys, period_start, value, period_seconds, op, threshold, n, block)
     frame = Window.partitionBy(*keys).orderBy(period_start).rowsBetween(-(n - 1), 0)
     first = F.min(F.col(period_start)).over(frame)
     breaching = F.count_if(F.coalesce(breach, F.lit(False))).over(frame)
@@ -89,6 +97,21 @@ def alarm_states(
     )
 
 
+def _alarm_states_blocked(stats, keys, period_start, value, period_seconds, op, threshold, n, block) -> DataFrame:
+    halo = (n - 1) * period_seconds
+    if halo > block:
+        raise ValueError("a block must be as long as n - 1 periods")
+    zero = "TIMESTAMP_NTZ'1970-01-01'" if dict(stats.dtypes)[period_start] == "timestamp_ntz" else "timestamp_seconds(0)"
+    at = F.expr(f"timestampdiff(SECOND, {zero}, `{period_start}`)")  # the column's own clock, whatever the session's zone
+    own = F.floor(at / F.lit(block)).cast("bigint")
+    reaches = F.pmod(at, F.lit(block)) >= block - halo
+    dealt = stats.withColumn("_own", own).withColumn(
+        "_blk", F.explode(F.when(reaches, F.array(F.col("_own"), F.col("_own") + 1)).otherwise(F.array("_own")))
+    )
+    marked = alarm_states(dealt, [*keys, "_blk"], period_start, value, period_seconds, op, threshold, n)
+    return marked.where(F.col("_own").eqNullSafe(F.col("_blk"))).drop("_own", "_blk")
+
+
 def _block_id(ts: str, block: int | str) -> Column:
     """Time block of width ``block`` seconds, or an existing block column when
     ``block`` is a column name (e.g. from :func:`volume_blocks`)."""

@@ -2,8 +2,8 @@
 
 The transforms here are written once and run unchanged on a batch DataFrame
 or a streaming one (T1, T3, T7). Per-key state that SQL cannot express (T4,
-T5) uses ``applyInPandasWithState``; its result equals the batch window
-operators (W2, W3) when rows arrive in order. Sinks are idempotent per
+T5) uses ``transformWithStateInPandas``; its result equals the batch window
+operators (W2, W3). Sinks are idempotent per
 micro-batch id, so a retried batch after an executor or driver loss
 overwrites its own output instead of duplicating it.
 
@@ -17,13 +17,15 @@ counted.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.listener import StreamingQueryListener
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from nimbusframe.functions.nested import plain_json, typed_attribute
 from nimbusframe.functions.scalars import iso_timestamp, now_or
@@ -108,16 +110,20 @@ def stream_statistics(
     keys: Sequence[str] = (),
     watermark: str | None = None,
     stats: Sequence[str] = ("avg", "max"),
+    event_time: bool = False,
 ) -> DataFrame:
     """Tumbling-window statistics on a stream (or batch). With a watermark
-    (default 2 x period) append mode emits each window once, after it closes."""
+    (default 2 x period) append mode emits each window once, after it closes.
+    ``event_time`` adds a column of that name that carries the watermark on, for
+    a stateful operator that follows in the same query."""
     fns = {"avg": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
     ev = df.withColumn("_ts", F.col(ts).cast("timestamp"))
     if df.isStreaming:
         ev = ev.withWatermark("_ts", watermark or _double(period))
     out = ev.groupBy(*keys, F.window("_ts", period).alias("_w")).agg(*[fns[s](value).alias(f"{s}_{value}") for s in stats])
+    time = [F.window_time("_w").alias("event_time")] if event_time else []
     return out.select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-                      *[f"{s}_{value}" for s in stats])
+                      *[f"{s}_{value}" for s in stats], *time)
 
 
 def _double(period: str) -> str:
@@ -127,76 +133,127 @@ def _double(period: str) -> str:
 
 # --- T4, T5: stateful rows in event-time order -----------------------------------
 #
-# Both operators hold a key's rows back until the watermark has passed them and
-# then step through them in order, so the result does not depend on how rows
-# fall into micro-batches. Rows later than the watermark are dropped by Spark
-# before the operator and counted in the query's progress
-# (``late_rows``). What is still held back when a query ends is in its state:
-# ``drain`` reads it from the checkpoint and steps through it as a batch.
+# Both operators hold a key's rows back in slots of event time until the watermark
+# has passed a slot, and then step through it in order, so the result does not
+# depend on how rows fall into micro-batches. A slot is a state row of its own
+# with an event-time timer at its end; a state row and the work of a call are
+# bounded by the rows of one key in one slot, whatever the size of the table.
+# Rows later than the watermark are dropped by Spark before the operator and
+# counted in the query's progress (``late_rows``). What is still held back when a
+# query ends is in its state: ``drain`` reads it from the checkpoint and steps
+# through it as a batch.
 
 _OP_NAMES = {">": "gt", "GreaterThanThreshold": "gt", ">=": "ge", "GreaterThanOrEqualToThreshold": "ge",
              "<": "lt", "LessThanThreshold": "lt", "<=": "le", "LessThanOrEqualToThreshold": "le"}
 _NP_OPS = {"gt": np.greater, "ge": np.greater_equal, "lt": np.less, "le": np.less_equal}
 _MICROS = 1_000_000
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+class _Slots(StatefulProcessor):
+    """Rows of a key by slot; a slot is stepped through when its timer fires."""
+
+    def __init__(self, key: str, ts: str, cols: list[str], step, state: str, pending: str, slot: int):
+        self.key, self.ts, self.cols, self.step = key, ts, cols, step
+        self.state, self.pending, self.slot = state, pending, slot
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.carried = handle.getValueState("carried", self.state)
+        self.rows = handle.getMapState("rows", "slot bigint", self.pending)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        plain = lambda v: None if v is None or v is pd.NaT or v is pd.NA else v.item() if hasattr(v, "item") else v
+        for pdf in rows:
+            t = pdf["t"].astype("datetime64[us]").astype("int64").to_numpy()
+            slots = t // self.slot
+            values = [pdf[f"c{i}"].astype(object).to_numpy() for i in range(len(self.cols))]
+            for slot in np.unique(slots).tolist():
+                at = np.flatnonzero(slots == slot)
+                new = [t[at].tolist(), *([plain(v) for v in c[at]] for c in values)]
+                if self.rows.containsKey((slot,)):
+                    new = [list(old) + more for old, more in zip(self.rows.getValue((slot,)), new, strict=True)]
+                else:
+                    self.handle.registerTimer((slot + 1) * self.slot // 1000)
+                self.rows.updateValue((slot,), tuple(new))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # A list, not a generator: that would run when the state is another key's.
+        last, out = expiredTimerInfo.getExpiryTimeInMs() * 1000 // self.slot - 1, []
+        for (slot,) in sorted(k for k in map(tuple, self.rows.keys()) if k[0] <= last):
+            before = self.carried.get() if self.carried.exists() else None
+            held = _frame(self.cols, self.rows.getValue((slot,)))
+            carried, done = _stepped(self.key, self.ts, self.cols, self.step, key[0], before, held)
+            self.carried.update(tuple(carried))
+            self.rows.removeKey((slot,))
+            out.append(done)
+        return iter(out)
+
+    def close(self) -> None:
+        pass
 
 
 class OrderedStates:
     """A step over the ordered rows of each key that carries state from row to
-    row: ``apply`` on a stream, ``drain`` for its held-back rest."""
+    row: ``apply`` on a stream, ``drain`` for its held-back rest. ``slot`` is the
+    seconds of a key's rows in one state row; ``event`` names the event-time
+    column of a stream that has its watermark already."""
 
-    def __init__(self, df: DataFrame, key: str, ts: str, cols: Sequence[str], out: str, state: str, step, delay: str):
+    def __init__(self, df: DataFrame, key: str, ts: str, cols: Sequence[str], out: str, state: str, step, delay: str,
+                 slot: int, event: str | None = None):
         self.df, self.key, self.ts, self.cols, self.step, self.delay = df, key, ts, list(cols), step, delay
+        self.slot, self.event = slot, event
         types = dict(df.dtypes)
+        self.key_type = types[key]
         self.out = f"{key} {types[key]}, {ts} {types[ts]}, {out}"
-        self.pending = {"_p_ts": "array<bigint>", **{f"_p_{c}": f"array<{types[c]}>" for c in self.cols}}
-        self.carried = [x.strip().split()[0] for x in state.split(",")]
-        self.state = f"{state}, " + ", ".join(f"{k} {v}" for k, v in self.pending.items())
+        self.state = state
+        self.pending = ", ".join(["_p_ts array<bigint>", *(f"_p_{c} array<{types[c]}>" for c in self.cols)])
 
     def apply(self) -> DataFrame:
-        """The stepped rows of a stream, in append mode."""
-        key, ts, cols, step, n, held = self.key, self.ts, self.cols, self.step, len(self.carried), len(self.pending)
-
-        def fn(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-            before = state.get if state.exists else (None,) * n + ([],) * held
-            parts = [_frame(cols, before[n:])]
-            if not state.hasTimedOut:
-                for pdf in pdfs:
-                    t = pdf[ts].astype("datetime64[us]").astype("int64")
-                    parts.append(pd.DataFrame({"_t": t.to_numpy(), **{c: pdf[c].astype(object).to_numpy() for c in cols}}))
-            rows = pd.concat([x for x in parts if len(x)] or parts[:1], ignore_index=True)
-            ready = rows["_t"].to_numpy(dtype="int64") < state.getCurrentWatermarkMs() * 1000
-            carried, out = _stepped(key, ts, cols, step, k[0], before[:n], rows[ready])
-            rest = rows[~ready]
-            plain = lambda v: None if v is None or v is pd.NaT else v.item() if hasattr(v, "item") else v
-            state.update((*carried, [int(x) for x in rest["_t"]], *[[plain(v) for v in rest[c]] for c in cols]))
-            if len(rest):
-                state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs() + 1, int(rest["_t"].min()) // 1000 + 1))
-            if len(out):
-                yield out
-
-        src = self.df.select(key, F.col(ts), *cols, F.col(ts).cast("timestamp").alias("_event"))
-        src = src.withWatermark("_event", self.delay)
-        return src.groupBy(key).applyInPandasWithState(
-            fn, outputStructType=self.out, stateStructType=self.state, outputMode="append",
-            timeoutConf=GroupStateTimeout.EventTimeTimeout,
+        """The stepped rows of a stream, in append mode. Sets the session's state
+        store to RocksDB, which keeps slots out of the executors' heaps."""
+        spark = self.df.sparkSession
+        spark.conf.set(_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        src = self.df
+        if not self.event:
+            src = src.withColumn("_event", F.col(self.ts).cast("timestamp")).withWatermark("_event", self.delay)
+        # plain names: the processor gets rows as named tuples, which change others
+        cols = [F.col(c).alias(f"c{i}") for i, c in enumerate(self.cols)]
+        src = src.select(F.col(self.key).alias("k"), F.col(self.ts).alias("t"), *cols, F.col(self.event or "_event").alias("event"))
+        slots = _Slots(self.key, self.ts, self.cols, self.step, self.state, self.pending, self.slot * _MICROS)
+        return src.groupBy("k").transformWithStateInPandas(
+            statefulProcessor=slots, outputStructType=self.out, outputMode="append", timeMode="EventTime"
         )
 
     def drain(self, spark: SparkSession, checkpoint: str) -> DataFrame:
         """The stepped rows that a stopped query still held back, from the
         state in its checkpoint; a later run of the query would emit them once
-        the watermark has passed."""
-        key, ts, cols, step, n = self.key, self.ts, self.cols, self.step, len(self.carried)
-        held = spark.read.format("statestore").load(checkpoint).where("value IS NOT NULL")
-        held = held.select(F.col("key.*"), "value.groupState.*").where(F.size("_p_ts") > 0)
-        held = held.toDF(key, *self.carried, *self.pending)
+        the watermark has passed. A key's held-back rows, which lie within the
+        watermark's delay and a slot, are one task's work."""
+        key, ts, cols, step = self.key, self.ts, self.cols, self.step
+        names = [x.strip().split()[0] for x in self.state.split(",")]
+        read = lambda var: spark.read.format("statestore").option("stateVarName", var).option(
+            "operatorId", _stateful_operator(spark, checkpoint)).load(checkpoint)
+        rows = read("rows").select(F.col("key.k").alias(key), "user_map_value.*")
+        carried = read("carried").select(F.col("key.k").alias("_k"), *[F.col(f"value.{n}").alias(f"_c_{n}") for n in names])
+        both = rows.join(carried, rows[key].eqNullSafe(carried["_k"]), "left").drop("_k")
 
-        def fn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in frames:
-                for r in pdf.itertuples(index=False):
-                    carried = [None if x is None or x is pd.NaT or (isinstance(x, float) and np.isnan(x)) else x for x in r[1 : 1 + n]]
-                    yield _stepped(key, ts, cols, step, r[0], carried, _frame(cols, r[1 + n :]))[1]
+        def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+            first = pdf.iloc[0]
+            before = [first[f"_c_{n}"] for n in names]
+            before = [None if x is None or x is pd.NaT or (isinstance(x, float) and np.isnan(x)) else x for x in before]
+            held = pd.concat([_frame(cols, r) for r in pdf[["_p_ts", *[f"_p_{c}" for c in cols]]].itertuples(index=False)])
+            k = first[key]
+            return _stepped(key, ts, cols, step, None if k is pd.NaT or k != k else k, before, held)[1]
 
-        return held.mapInPandas(fn, self.out)
+        return both.groupBy(key).applyInPandas(fn, self.out)
+
+
+def _stateful_operator(spark: SparkSession, checkpoint: str) -> int:
+    """The number of the operator of a query that steps through slots."""
+    found = spark.read.format("state-metadata").load(checkpoint)
+    return found.where("operatorName LIKE 'transformWithState%'").agg(F.max("operatorId")).first()[0]
 
 
 def _frame(cols: Sequence[str], pend: Sequence) -> pd.DataFrame:
@@ -214,6 +271,30 @@ def _stepped(key: str, ts: str, cols: Sequence[str], step, k, carried, rows: pd.
     return carried, out
 
 
+def land_in_order(df: DataFrame, ts: str, path: str, slices: int, heartbeat: str | None = None) -> None:
+    """Write a table as it would have arrived: ``slices`` batches of about equal
+    time, the oldest first, each appended to the folder ``path``. A file stream
+    takes them in this order, so that triggers can be bounded; the files of a
+    batch come in any order, so that a watermark's delay must be at least the
+    length of a batch for nothing to be late. With ``heartbeat`` (an
+    interval such as ``2 days``) a last batch holds one row of nulls that much
+    after the newest, which takes the watermark past all others."""
+    ends = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    if ends["lo"] is None:
+        df.write.mode("append").parquet(path)
+        return
+    kind, step = df.schema[ts].dataType, (ends["hi"] - ends["lo"]) / slices
+    cuts = [ends["lo"] + step * i for i in range(1, slices)]
+    for lo, hi in zip([None, *cuts], [*cuts, None], strict=True):
+        part = df if lo is None else df.where(F.col(ts) >= F.lit(lo).cast(kind))
+        (part if hi is None else part.where(F.col(ts) < F.lit(hi).cast(kind))).write.mode("append").parquet(path)
+    if heartbeat:
+        last = F.lit(ends["hi"]).cast(kind) + F.expr(f"INTERVAL {heartbeat}")
+        one = df.sparkSession.range(1)
+        row = [(last if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+        one.select(*row).write.mode("append").parquet(path)
+
+
 def stream_alarm(
     stats: DataFrame,
     key: str,
@@ -224,9 +305,12 @@ def stream_alarm(
     threshold: float,
     n: int,
     delay: str | None = None,
+    slot: int | None = None,
+    event: str | None = None,
 ) -> OrderedStates:
     """T4: alarm state per key over a stream of period statistics (one row per
-    key and period). State per key: last period seen and the length of the
+    key and period; the output of :func:`stream_statistics` can be used at once,
+    with ``event="event_time"``). State per key: last period seen and the length of the
     current run of contiguous breaching periods. Output per period:
     ``breaching`` and ``state`` ALARM/OK - the same as
     :func:`windows.alarm_states`, for any order of arrival within ``delay``
@@ -235,7 +319,7 @@ def stream_alarm(
     cmp = _OP_NAMES[op]
 
     def step(carried, rows: pd.DataFrame):
-        last, run = carried[0], carried[1] or 0
+        last, run = (carried[0], carried[1] or 0) if carried else (None, 0)
         t = rows["_t"].to_numpy(dtype="int64") // _MICROS
         v = rows[value].astype("float64").to_numpy()
         v = np.where(np.isnan(v), np.inf, v)
@@ -258,7 +342,8 @@ def stream_alarm(
     return OrderedStates(
         # pandas has one NaN for NULL and NaN
         stats.withColumn(value, F.col(value).cast("double")).withColumn("_null", F.col(value).isNull()), key, period_start, [value, "_null"],
-        f"{value} double, breaching boolean, state string", "last_ts bigint, run bigint", step, delay or f"{2 * period_seconds} seconds")
+        f"{value} double, breaching boolean, state string", "last_ts bigint, run bigint", step, delay or f"{2 * period_seconds} seconds",
+        slot or period_seconds, event)
 
 
 def stream_health(
@@ -271,6 +356,7 @@ def stream_health(
     healthy_after: int,
     initial: str = "healthy",
     delay: str = "1 hour",
+    slot: int = 3600,
 ) -> OrderedStates:
     """T5: health state per target over a stream of checks. State per key:
     current health, the ok-value of the current run and its length. Output per
@@ -278,7 +364,8 @@ def stream_health(
     :func:`windows.health_states` for any order of arrival within ``delay``."""
 
     def step(carried, rows: pd.DataFrame):
-        health, run_ok, run_len = carried[0] or initial, carried[1], carried[2] or 0
+        health, run_ok, run_len = carried or (None, None, None)
+        health, run_len = health or initial, run_len or 0
         okb = np.array([bool(x) if x is not None and x == x else False for x in rows[ok]], dtype=bool)
         tie_v = rows[tie].to_numpy()
         if not len(okb):
@@ -301,7 +388,7 @@ def stream_health(
     return OrderedStates(
         checks.withColumn(ok, F.col(ok).cast("boolean")), key, ts, [tie, ok],
         f"{tie} {types[tie]}, {ok} boolean, run_length bigint, state string, changed boolean",
-        "health string, run_ok boolean, run_len bigint", step, delay)
+        "health string, run_ok boolean, run_len bigint", step, delay, slot)
 
 
 def late_rows(query) -> int:
@@ -312,99 +399,98 @@ def late_rows(query) -> int:
 # --- T2, T6: sinks ------------------------------------------------------------
 
 
-def notifications_sink(path: str, counts_path: str, env: str = "stream", event_col: str = "eventName", now: object = None,
-                       typed_images: bool = True):
-    """T2 + S10: ``foreachBatch`` function writing a batch's notifications to
-    ``path/batch_id=N`` and its record counts (all records, with and without a
-    message) to ``counts_path/batch_id=N``. Overwriting the batch's own folder
-    makes a retried batch idempotent; with ``now`` its texts are the same too.
-    The batch is read once: it is kept while both are written."""
+def notifications_sink(path: str, env: str = "stream", event_col: str = "eventName", now: object = None, typed_images: bool = True):
+    """``foreachBatch`` function writing a batch's notifications to
+    ``path/batch_id=N``. Overwriting the batch's own folder makes a retried
+    batch idempotent; with ``now`` its texts are the same too. A batch is one
+    job; its records are counted on the way (:func:`counted`)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            counts = batch.agg(
-                F.count(F.lit(1)).alias("records_processed"),
-                F.count_if(F.col(event_col).isin(list(CHANGE_EVENTS))).alias("notifications"),
-            )
-            counts.write.mode("overwrite").parquet(f"{counts_path}/batch_id={batch_id}")
-            notes = to_notifications(batch, env=env, now=now, event_col=event_col, typed_images=typed_images)
-            notes.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        notes = to_notifications(batch, env=env, now=now, event_col=event_col, typed_images=typed_images)
+        notes.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
 
-def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], initial: DataFrame | None = None, buckets: int = 64):
-    """``foreachBatch`` function keeping the latest row per key (last by
-    ``order``), in ``buckets`` folders by a hash of the key. A batch rewrites
-    only the buckets of its keys, each as a new version ``bucket=B/v=N`` (N =
-    batch id; ``initial`` is version -1): it reads the newest earlier version,
-    so a retried batch writes the same files again, and removes the versions
-    before that one. Read the table with :func:`read_upserted`."""
-    from nimbusframe.operators.changes import _pick_per_key
+def counted(changes: DataFrame, event_col: str = "eventName") -> DataFrame:
+    """The same change records, whose number in every micro-batch, and the
+    number of those with a notification, are observed as they pass."""
+    return changes.observe(
+        "records", F.count(F.lit(1)).alias("records_processed"),
+        F.count_if(F.col(event_col).isin(list(CHANGE_EVENTS))).alias("notifications"),
+    )
 
-    def bucketed(df: DataFrame) -> DataFrame:
-        return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
-    def put(rows: DataFrame, version: int) -> None:
-        out = _pick_per_key(bucketed(rows), ["bucket", *keys], order).withColumn("v", F.lit(version))
-        out.write.partitionBy("bucket", "v").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+class RecordCounts(StreamingQueryListener):
+    """What :func:`counted` observed, micro-batch by micro-batch, for the
+    queries that run inside its ``with`` block. A batch that is retried replaces
+    its own counts. A row for each batch is kept, nothing of the data."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch_id == 0 and initial is not None:
-            put(initial, -1)
-        touched = bucketed(batch).select("bucket").distinct()  # at most ``buckets`` numbers
-        own = [r["bucket"] for r in touched.collect()]
-        if not own:
-            return
-        rows = batch
-        if _exists(spark, path):
-            before = _newest(spark.read.schema(_with_version(batch, initial)).parquet(path).where(
-                F.col("bucket").isin(own) & (F.col("v") < batch_id)))
-            rows = before.drop("bucket", "v").unionByName(batch.select(*[c for c in before.columns if c not in ("bucket", "v")]))
-        put(rows, batch_id)
-        _remove_older(spark, path, own, batch_id)
+    def __init__(self, spark: SparkSession):
+        self.spark, self.seen, self.ended = spark, {}, {}
 
-    return write
+    def __enter__(self) -> RecordCounts:
+        self.spark.streams.addListener(self)
+        return self
 
+    def __exit__(self, *_: object) -> None:
+        self.spark.streams.removeListener(self)
 
-def read_upserted(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The table that :func:`upsert_sink` keeps: the newest version of every
-    bucket. ``schema`` is that of its rows."""
-    full = spark.createDataFrame([], schema).withColumn("bucket", F.lit(0)).withColumn("v", F.lit(0)).schema
-    return _newest(spark.read.schema(full).parquet(path)).drop("bucket", "v")
+    def onQueryStarted(self, event) -> None:
+        self.ended[str(event.runId)] = threading.Event()
 
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get("records")
+        if row is not None:
+            self.seen[str(event.progress.runId), event.progress.batchId] = (row["records_processed"], row["notifications"])
 
-def _newest(df: DataFrame) -> DataFrame:
-    newest = df.groupBy("bucket").agg(F.max("v").alias("_v"))  # a row per bucket
-    return df.join(newest, "bucket").where(F.col("v") == F.col("_v")).drop("_v")
+    def onQueryTerminated(self, event) -> None:
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
 
+    def of(self, query, wait: float = 60.0) -> DataFrame:
+        """``batch_id, records_processed, notifications`` of a finished query."""
+        run = str(query.runId)
+        # Events come a little after the query; the last of them says that it has ended.
+        if not self.ended.setdefault(run, threading.Event()).wait(wait):
+            raise TimeoutError("the listener did not hear of the query's end")
+        rows = [(b, *n) for (r, b), n in sorted(self.seen.items()) if r == run]
+        return self.spark.createDataFrame(rows, "batch_id long, records_processed long, notifications long")
 
-def _with_version(batch: DataFrame, initial: DataFrame | None):
-    rows = batch if initial is None else initial
-    return rows.limit(0).withColumn("bucket", F.lit(0)).withColumn("v", F.lit(0)).schema
 
+def _order(order: Sequence[str]) -> Column:
+    return F.struct(*[F.struct(F.col(c).isNotNull(), F.col(c)) for c in order])
 
-def _files(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
 
+def stream_upsert(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The row of every key that is last by ``order`` (NULL first), on a
+    stream (update mode: the keys that a micro-batch changed) or a batch. One
+    ``max_by`` aggregate, partial on the map side; the streaming state is a row
+    for each key."""
+    rest = [c for c in df.columns if c not in keys]
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), _order(order)).alias("_row"))
+    return latest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _files(spark, path)
-    return fs.exists(p) and len(fs.listStatus(p)) > 0
 
+def changes_sink(path: str):
+    """``foreachBatch`` function appending a micro-batch's rows as
+    ``path/batch_id=N``; a retried batch replaces its own folder."""
 
-def _remove_older(spark: SparkSession, path: str, own: list[int], batch_id: int) -> None:
-    """Delete the versions of the buckets that no retry of this batch reads."""
-    for b in own:
-        fs, p = _files(spark, f"{path}/bucket={b}")
-        versions = sorted(int(x.getPath().getName()[2:]) for x in fs.listStatus(p) if x.getPath().getName().startswith("v="))
-        for v in [v for v in versions if v < batch_id][:-1]:
-            fs.delete(_files(spark, f"{path}/bucket={b}/v={v}")[1], True)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def read_upserted(spark: SparkSession, path: str, schema, keys: Sequence[str], order: Sequence[str], initial: DataFrame | None = None) -> DataFrame:
+    """The table that :func:`changes_sink` keeps: of the rows of each key, and
+    those of an ``initial`` table, the last by ``order``."""
+    rows = spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
+    return stream_upsert(rows if initial is None else rows.unionByName(initial), keys, order)
+
+
+def _files(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
 
 
 def run_available_now(stream_df: DataFrame, checkpoint: str, sink=None, output_mode: str = "append",

@@ -31,12 +31,19 @@ def test_notifications_stream_equals_batch(spark, tmpdir_path):
     assert one.subject.startswith("[test] Item Updated: ")
 
 
-def test_batch_counts_include_records_without_message(spark, tmpdir_path):
+def test_batch_counts_come_with_one_job_a_batch(spark, tmpdir_path):
     ev = Tables(spark, SF_SMALL).events
-    src = SI.change_records(T.file_stream(spark, EVENTS, ev))
-    T.run_available_now(src, f"{tmpdir_path}/ck", sink=T.notifications_sink(f"{tmpdir_path}/n", f"{tmpdir_path}/c"))
-    c = spark.read.parquet(f"{tmpdir_path}/c").agg(F.sum("records_processed").alias("r"), F.sum("notifications").alias("n")).first()
-    assert c.r == ev.count() and c.n == ev.where(F.col("event_type").isin("signup", "purchase", "error")).count()
+    ev.repartition(3).write.parquet(f"{tmpdir_path}/events")
+    src = T.counted(SI.change_records(T.file_stream(spark, f"{tmpdir_path}/events", ev)))
+    spark.sparkContext.setJobGroup("before", "")
+    with T.RecordCounts(spark) as counts:
+        q = T.run_available_now(src, f"{tmpdir_path}/ck", sink=T.notifications_sink(f"{tmpdir_path}/n", now="2024-01-01 00:00:00"))
+        per_batch = counts.of(q)
+    assert [r.batch_id for r in per_batch.orderBy("batch_id").collect()] == [0, 1, 2]
+    c = per_batch.agg(F.sum("records_processed").alias("r"), F.sum("notifications").alias("n")).first()
+    with_message = ev.where(F.col("event_type").isin("signup", "purchase", "error")).count()
+    assert (c.r, c.n) == (ev.count(), with_message) == (c.r, spark.read.parquet(f"{tmpdir_path}/n").count())
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(q.runId))) == 3
 
 
 def test_stream_health_equals_window_health(spark, tmpdir_path):
@@ -124,32 +131,65 @@ def test_append_mode_windows_equal_batch_for_closed_windows(spark, tmpdir_path):
     assert set(got_rows) <= set(all_rows)  # every emitted window is final and equals the batch window
 
 
-def test_sinks_are_idempotent_per_batch_id(spark, tmpdir_path):
+def test_upsert_sink_is_idempotent_per_batch_id(spark, tmpdir_path):
     ev = Tables(spark, SF_SMALL).events.select("user_id", "event_type", "event_id", "ts", "value")
-    sink = T.upsert_sink(f"{tmpdir_path}/state", ["user_id", "event_type"], ["ts", "event_id"])
-    read = lambda: rows(T.read_upserted(spark, f"{tmpdir_path}/state", ev.schema))
-    sink(ev, 0)
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    sink = T.changes_sink(f"{tmpdir_path}/state")
+    read = lambda: rows(T.read_upserted(spark, f"{tmpdir_path}/state", ev.schema, keys, order))
+    sink(T.stream_upsert(ev, keys, order), 0)
     first = read()
-    sink(ev, 0)  # the same micro-batch replayed after a failure
+    sink(T.stream_upsert(ev, keys, order), 0)  # the same micro-batch replayed after a failure
     assert read() == first
     sink(ev.where("event_type = 'view'"), 1)
-    sink(ev.where("event_type = 'view'"), 1)
     assert read() == first
     newer = ev.where("event_type = 'view' AND user_id < 3").withColumn("ts", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
     sink(newer, 2)
     assert len(read()) == len(first)
-    assert T.read_upserted(spark, f"{tmpdir_path}/state", ev.schema).where("ts > '2029-01-01'").count() == newer.select("user_id").distinct().count()
-    # a bucket keeps the newest version and the one a retry would read
-    for bucket in os.listdir(f"{tmpdir_path}/state"):
-        if bucket.startswith("bucket="):
-            assert sum(v.startswith("v=") for v in os.listdir(f"{tmpdir_path}/state/{bucket}")) <= 2
-
-
-def test_upserts_start_from_an_initial_table(spark, tmpdir_path):
-    old = spark.createDataFrame([(1, 5, "old"), (2, 5, "old")], "k int, t int, x string")
-    sink = T.upsert_sink(f"{tmpdir_path}/s", ["k"], ["t"], initial=old, buckets=3)
-    sink(spark.createDataFrame([(1, 6, "new"), (2, 4, "late"), (3, 1, "first")], old.schema), 0)
-    assert rows(T.read_upserted(spark, f"{tmpdir_path}/s", old.schema)) == [(1, 6, "new"), (2, 5, "old"), (3, 1, "first")]
+    assert sum(r[3].year == 2030 for r in read()) == newer.select("user_id").distinct().count()
+
+
+def test_stream_upsert_over_many_files_with_an_initial_table(spark, tmpdir_path):
+    old = spark.createDataFrame([(1, 5, "old"), (2, 5, "old"), (None, 1, "none")], "k int, t int, x string")
+    new = [(1, 6, "new"), (2, 4, "late"), (3, 1, "first"), (3, None, "no time"), (None, 2, None), (1, 6, "new")]
+    for i, r in enumerate(new):
+        spark.createDataFrame([r], old.schema).coalesce(1).write.mode("append").parquet(f"{tmpdir_path}/in")
+    stream = T.stream_upsert(T.file_stream(spark, f"{tmpdir_path}/in", old, max_files=1), ["k"], ["t"])
+    T.run_available_now(stream, f"{tmpdir_path}/ck", sink=T.changes_sink(f"{tmpdir_path}/s"), output_mode="update")
+    got = T.read_upserted(spark, f"{tmpdir_path}/s", old.schema, ["k"], ["t"], initial=old).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, 6, "new"), (2, 5, "old"), (3, 1, "first"), (None, 2, None)], key=str)
+
+
+def test_statistics_and_alarm_in_one_query(spark, tmpdir_path):
+    ev = Tables(spark, SF_SMALL).events.select("event_type", "ts", "value")
+    T.land_in_order(ev.repartition(3), "ts", f"{tmpdir_path}/in", 4, "12 days")
+    src = T.file_stream(spark, f"{tmpdir_path}/in", ev, max_files=1)
+    stats = T.stream_statistics(src, "ts", "value", "6 hours", ["event_type"], "8 days", ("avg",), event_time=True)
+    alarm = T.stream_alarm(stats, "event_type", "window_start", "avg_value", 21600, ">", 50.0, 2, event="event_time")
+    q = T.run_available_now(alarm.apply(), f"{tmpdir_path}/ck", path=f"{tmpdir_path}/out")
+    batch = A.metric_statistics(ev, "ts", "value", "6 hours", ["event_type"], ("avg",))
+    batch = W.alarm_states(batch, ["event_type"], "window_start", "avg_value", 21600, ">", 50.0, 2)
+    plain = lambda df: rows(df.withColumn("window_start", F.col("window_start").cast("string")), "event_type", "window_start", "state")
+    assert plain(spark.read.parquet(f"{tmpdir_path}/out")) == plain(batch) and T.late_rows(q) == 0
+
+
+def test_state_rows_do_not_grow_with_the_table(spark, tmpdir_path):
+    # one target holds most checks; a state row holds its checks of an hour, however many hours there are
+    def largest(hours):
+        base = f"{tmpdir_path}/{hours}"
+        checks = spark.range(hours * 30).select(
+            F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(99).alias("tgt"),
+            F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 120).alias("ts"), F.col("id").alias("n"), (F.col("id") % 9 < 6).alias("ok"))
+        T.land_in_order(checks, "ts", f"{base}/in", 3)
+        src = T.file_stream(spark, f"{base}/in", checks, max_files=1)
+        h = T.stream_health(src, "tgt", "ts", "n", "ok", 3, 2, delay="4000 days")  # nothing is stepped before the end
+        T.run_available_now(h.apply(), f"{base}/ck", path=f"{base}/out")
+        held = spark.read.format("statestore").option("stateVarName", "rows").load(f"{base}/ck")
+        cols = ["tgt", "n", "run_length", "state", "changed"]
+        batch = W.health_states(checks, ["tgt"], ["ts", "n"], F.col("ok"), 3, 2)
+        assert rows(h.drain(spark, f"{base}/ck"), *cols) == rows(batch, *cols)
+        return held.agg(F.max(F.size("user_map_value._p_ts"))).first()[0]
+
+    assert largest(8) == largest(40) <= 30
 
 
 def test_streams_over_shuffled_files_lose_nothing(spark, tmpdir_path):

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from helpers import rows
@@ -162,3 +164,37 @@ def test_overlap_counts_with_null_and_inverted_ranges(spark):
                                "id int, k string, lo int, hi int")
     got = J.overlap_counts(df, "id", "lo", "hi", ["k"], block=8)
     assert rows(got, "id", "overlaps") == [(1, 1), (2, 1), (3, 0), (4, 0), (5, 0)]
+
+
+def test_ranges_of_seconds_and_years_join_in_few_cells(spark):
+    rng = random.Random(8)
+    year = 365 * 86400
+    spans = [1, 1, 60, 3600, 86400, 30 * 86400, 10 * year]
+    data = []
+    for i in range(500):
+        lo = rng.randrange(-3 * year, 12 * year)
+        data.append((i, "hot" if rng.random() < 0.6 else f"k{i % 5}", lo, lo + rng.randrange(rng.choice(spans))))
+    data += [(500, "hot", 10, 5), (501, "hot", None, 5), (502, "hot", 5, None), (503, "hot", 7, 7), (504, "hot", 7, 7), (505, None, 7, 7)]
+    df = spark.createDataFrame(data, "id int, k string, lo long, hi long")
+    real = [r for r in data if None not in r and r[2] <= r[3]]
+    expected = sorted((a[0], b[0]) for a in real for b in real if a[0] < b[0] and a[1] == b[1] and a[2] <= b[3] and b[2] <= a[3])
+    for width in (1, 60, 86400):
+        assert rows(J.overlapping_pairs(df, "id", "lo", "hi", width, ["k"]), "id_a", "id_b") == expected
+    cells = df.where("lo <= hi").select(F.size(J._cells(F.col("lo"), F.col("hi"))).alias("n")).agg(F.max("n")).first()[0]
+    assert cells < 64
+
+
+def test_alarm_blocks_with_halos_equal_one_window(spark):
+    rng = random.Random(3)
+    data = [("hot" if rng.random() < 0.6 else f"k{i % 4}", i, rng.choice([None, float("nan"), 0.0, 2.0, 2.0, 2.0])) for i in range(2000) if rng.random() < 0.95]
+    for kind in ("timestamp", "timestamp_ntz"):
+        at = F.timestamp_seconds(F.lit(-40 * 3600) + F.col("h") * 3600).cast(kind)
+        stats = spark.createDataFrame(data, "k string, h int, v double").select("k", "h", at.alias("t"), "v")
+        for n in (1, 2, 5):
+            plain = W.alarm_states(stats, ["k"], "t", "v", 3600, ">", 1.0, n)
+            for block in (4 * 3600, 86400):
+                blocked = W.alarm_states(stats, ["k"], "t", "v", 3600, ">", 1.0, n, block=block)
+                assert blocked.columns == plain.columns
+                assert rows(blocked, "k", "h", "breaching", "state") == rows(plain, "k", "h", "breaching", "state")
+    with pytest.raises(ValueError):
+        W.alarm_states(stats, ["k"], "t", "v", 3600, ">", 1.0, 9, block=3600)
