@@ -26,18 +26,22 @@ SHINGLE, SIMILAR = 5, 0.8
 #: shingles agree in one sketch with probability 0.8 ** 4 = 0.41, and in none
 #: of 24 with 0.000003.
 SKETCHES, PICKED = 24, 4
-#: Texts of one tuple that are compared with each other outright. In a larger
-#: group pairs that have too few shingles in common, by a bound that is never
-#: below their number, are left out before texts are moved.
+#: Texts of one tuple that are compared with each other outright, as pairs. A
+#: larger group meets in blocks, where pairs that are connected by others, or
+#: have too few shingles in common by a bound that is never below their number,
+#: are left out.
 CROWD = 4
 #: Cells in which the shingles of a text are counted for that bound, and the
 #: greatest count; a cell that is full in both texts bounds nothing.
-CELLS, FULL = 128, 255
+CELLS, FULL = 1024, 255
+#: Shares that the rows of one label are dealt to.
+SALTS = 16
 #: Times that the texts of a tuple that are not connected yet meet around a new
 #: centre before they are compared in pairs.
 ROUNDS = 4
-#: Texts in a block of a larger group, which is worked on block against block.
-BLOCK = 1024
+#: Texts, and shingles, in a block of a larger group, which is worked on block
+#: against block; a task holds two blocks.
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 #: Characters of texts worked on at once, and words a task remembers.
 CHUNK, REMEMBERED = 8_000_000, 500_000
 
@@ -126,10 +130,10 @@ def short_tuples(x: np.ndarray) -> np.ndarray:
     return np.unique(total)
 
 
-def counted(x: np.ndarray) -> bytes:
+def counted(x: np.ndarray) -> np.ndarray:
     """How many of a text's shingles fall in each of ``CELLS`` cells, a byte each."""
     cells = np.bincount((x >> np.uint64(40)).astype(np.int64) % CELLS, minlength=CELLS)
-    return np.minimum(cells, FULL).astype(np.uint8).tobytes()
+    return np.minimum(cells, FULL).astype(np.uint8)
 
 
 def aligned(a: list[int], b: list[int], band: int) -> int:
@@ -190,8 +194,7 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> float:
 def sketch_texts(docs: DataFrame) -> DataFrame:
     """``docs`` has ``text`` (not null); adds ``digest`` (16 bytes, of the
     text), ``n`` (shingles), ``sketch`` (array of long, empty without words; of
-    a short text :func:`short_tuples` follow), ``cells`` (:func:`counted`) and
-    drops the text."""
+    a short text :func:`short_tuples` follow) and drops the text."""
     at = docs.columns.index("text")
     rest = [c for c in docs.columns if c != "text"]
 
@@ -199,13 +202,12 @@ def sketch_texts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts = batch.column(at).to_pylist()
             for lo, hi in chunks([len(x) for x in texts], CHUNK):
-                nodes, sizes, found, cells = [], [], [], []
+                nodes, sizes, found = [], [], []
                 for x in texts[lo:hi]:
                     s = shingles(hashed_words(x))
                     nodes.append(hashlib.md5(x.encode("utf-8", "surrogatepass")).digest())
                     sizes.append(len(s))
                     found.append(np.append(sketches(s), short_tuples(s)).view(np.int64) if len(s) else s.view(np.int64))
-                    cells.append(counted(s))
                 offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
@@ -213,13 +215,11 @@ def sketch_texts(docs: DataFrame) -> DataFrame:
                         *(part.column(i) for i in range(part.num_columns) if i != at),
                         pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found))),
-                        pa.array(cells, pa.binary()),
-                    ], names=[*rest, "digest", "n", "sketch", "cells"],
+                    ], names=[*rest, "digest", "n", "sketch"],
                 )
 
     schema = docs.select(*rest).limit(0).withColumn("digest", F.lit(b"")).withColumn("n", F.lit(0))
-    schema = schema.withColumn("sketch", F.lit(None).cast("array<long>")).withColumn("cells", F.lit(b""))
-    return docs.mapInArrow(run, schema.schema)
+    return docs.mapInArrow(run, schema.withColumn("sketch", F.lit(None).cast("array<long>")).schema)
 
 
 def texts_of(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
@@ -255,14 +255,23 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _agreeing(table: pa.Table) -> pa.Table:
-    """Candidates within one pair of blocks of a tuple's texts: pairs on
-    different nodes, of fitting length, that this is the first tuple of and
-    that may have enough shingles in common."""
+def _root(parent: dict[int, int], x: int) -> int:
+    while parent.setdefault(x, x) != x:
+        parent[x] = x = parent.setdefault(parent[x], parent[x])
+    return x
+
+
+def _linked(table: pa.Table) -> pa.Table:
+    """Links within one pair of blocks of a tuple's texts that connect what is
+    similar there. Candidates are pairs that are not connected, of fitting
+    length, that have this as their first tuple, and that may have enough
+    shingles in common by their counts in CELLS cells."""
     j, lo, hi = (table.column(c)[0].as_py() for c in ("j", "lo", "hi"))
+    table = table.sort_by("node")
     node, n, c, block = (table.column(x).to_numpy() for x in ("node", "n", "c", "block"))
     sketch = np.array([x[:SKETCHES] for x in table.column("sketch").to_pylist()], dtype=np.int64).reshape(len(node), SKETCHES)
-    cells = np.frombuffer(b"".join(table.column("cells").to_pylist()), dtype=np.uint8).reshape(len(node), CELLS)
+    texts = [shingles(hashed_words(x)) for x in table.column("text").to_pylist()]
+    cells = np.stack([counted(x) for x in texts])
     a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
     open_ = np.minimum.outer(n[a], n[b]) >= np.maximum.outer(n[a], n[b]) * SIMILAR
     open_ &= c[a][:, None] != c[b][None, :]
@@ -274,19 +283,24 @@ def _agreeing(table: pa.Table) -> pa.Table:
         open_ &= sketch[a, k][:, None] != sketch[b, k][None, :]
     u, v = np.nonzero(open_)
     u, v = a[u], b[v]
-    keep = np.zeros(len(u), dtype=bool)
-    for i in range(0, len(u), 1 << 15):
-        x, y = u[i : i + (1 << 15)], v[i : i + (1 << 15)]
+    parent: dict[int, int] = {}
+    links = []
+    for i in range(0, len(u), 1 << 12):
+        x, y = u[i : i + (1 << 12)], v[i : i + (1 << 12)]
         both = np.minimum(cells[x], cells[y])
         need = np.ceil(SIMILAR * (n[x].astype(np.int64) + n[y]) / (1 + SIMILAR) - 1e-9)
-        keep[i : i + len(x)] = (both.sum(axis=1, dtype=np.int64) >= need) | (both == FULL).any(axis=1)
-    x, y = node[u[keep]], node[v[keep]]
-    return pa.table({"a": pa.array(np.maximum(x, y), pa.int64()), "b": pa.array(np.minimum(x, y), pa.int64())})
+        keep = (both.sum(axis=1, dtype=np.int64) >= need) | (both == FULL).any(axis=1)
+        for k, m in zip(x[keep].tolist(), y[keep].tolist(), strict=True):
+            left, right = _root(parent, int(c[k])), _root(parent, int(c[m]))
+            if left != right and similarity(texts[k], texts[m]):
+                parent[left] = right
+                links.append((max(int(node[k]), int(node[m])), min(int(node[k]), int(node[m]))))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
 
 def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(a, b): links between similar texts that connect every pair of similar
-    texts, if not each directly. ``nodes`` has (node, digest, n, id, sketch, cells), one row a
+    texts, if not each directly. ``nodes`` has (node, digest, n, id, sketch), one row a
     node, ``rows`` has (id, text).
 
     First every text is compared with one text of each of its tuples, the
@@ -295,9 +309,9 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
     a few rounds large ones meet around a new centre, which connects copies
     that are too far from the first, and then texts on different nodes are
     compared with each other. One shared tuple makes a pair a candidate in groups
-    of any size. In tuples of more than ``crowd`` texts pairs meet block against
-    block, and those that cannot have enough shingles in common by their counts
-    go before a text is moved.
+    of any size. In tuples of more than ``crowd`` texts these meet block against
+    block: a text is sent once for each pair of blocks, pairs that other links
+    of the block connect are left out, and only the links that connect come back.
     """
     tuples = checkpointed(nodes.select("node", "n", F.posexplode("sketch").alias("j", "h")))
     tuples = tuples.withColumn("j", F.least("j", F.lit(SKETCHES)))  # tuples of short texts are one kind
@@ -320,10 +334,10 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
     for again in range(ROUNDS + 1):
         # Tuples whose texts hang on more than one node, and of each a centre on the last of these.
         mixed = placed.groupBy("key").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size"),
+            F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"),
             F.max(F.struct("c", "node")).alias("centre"),
         ).where(F.col("low") != F.col("high"))
-        open_ = checkpointed(placed.join(mixed.select("key", "size", "centre").hint("merge"), "key"))
+        open_ = checkpointed(placed.join(mixed.select("key", "size", "weight", "centre").hint("merge"), "key"))
         if again == ROUNDS:
             break
         if kept is None:  # all later comparisons are among these texts
@@ -343,7 +357,10 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
         ends = ends.select("l", "r").unionByName(ends.select(F.col("r").alias("l"), F.col("l").alias("r"))).distinct()
         one = ends.groupBy("l").agg(F.least(F.min("r"), "l").alias("m"))
         two = ends.join(one.withColumnRenamed("l", "r"), "r").groupBy("l").agg(F.least(F.min("m"), "l").alias("m"))
-        moved = open_.select("key", "j", "node", "n", "c").join(two.hint("merge"), F.col("c") == F.col("l"), "left")
+        # A large component is one label; its rows are salted.
+        two = two.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = open_.select("key", "j", "node", "n", "c", F.pmod(F.xxhash64("key", "node"), F.lit(SALTS)).cast("int").alias("s"))
+        moved = salted.join(two.hint("merge"), (F.col("c") == F.col("l")) & (F.col("s") == F.col("salt")), "left")
         placed = moved.select("key", "j", "node", "n", F.coalesce("m", "c").alias("c"))
     small = open_.where(F.col("size") <= crowd)
     x, y = (small.select("key", F.col("node").alias(v), F.col("n").alias(f"n{v}"), F.col("c").alias(f"c{v}")) for v in "ab")
@@ -351,16 +368,15 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
         (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))
         & (F.least("na", "nb") >= F.greatest("na", "nb") * SIMILAR)
     ).select("a", "b")
-    large = open_.where(F.col("size") > crowd).join(nodes.select("node", "sketch", "cells").hint("merge"), "node")
-    large = large.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    )
+    found = verified(checkpointed(near.distinct().join(seen, ["a", "b"], "left_anti")), kept)
+    large = open_.where(F.col("size") > crowd).join(nodes.select("node", "sketch").hint("merge"), "node")
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
+    large = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", "j", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "n", "c", "sketch", "cells"
+        "key", "j", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "n", "c", "sketch"
     )
-    pairs = near.unionByName(large.groupBy("key", "lo", "hi").applyInArrow(_agreeing, "a long, b long"))
-    rest = checkpointed(pairs.distinct().join(seen, ["a", "b"], "left_anti"))
-    return links.unionByName(checkpointed(verified(rest, kept)))
+    met = large.join(kept.hint("merge"), "node").groupBy("key", "lo", "hi").applyInArrow(_linked, "a long, b long")
+    return links.unionByName(checkpointed(found)).unionByName(checkpointed(met))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -391,7 +407,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows = docs.select(column(docs, doc_id).cast("long").alias("id"), column(docs, text).cast("string").alias("text"))
     sketched = checkpointed(sketch_texts(rows.where("text IS NOT NULL")))
     nodes = sketched.where("n > 0").groupBy("digest", "n").agg(
-        F.min("id").alias("id"), F.first("sketch").alias("sketch"), F.first("cells").alias("cells")
+        F.min("id").alias("id"), F.first("sketch").alias("sketch")
     )
     # Numbers for the nodes: fixed by the copy in the checkpoint folder.
     nodes = checkpointed(nodes.withColumn("node", F.monotonically_increasing_id()))

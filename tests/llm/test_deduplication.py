@@ -195,13 +195,20 @@ def test_one_shared_sketch_is_enough_in_a_crowd(spark):
         at = {"j": [j], "lo": [0], "hi": [0], "block": [0]}
         table = {k: v * len(group) for k, v in at.items()}
         table |= {"node": [r["id"] for r in group], "c": [r["id"] for r in group]}
-        table |= {k: [r[k] for r in group] for k in ("n", "sketch") + (("cells",) if "cells" in got[0] else ())}
-        out = order_minhash._agreeing(pa.table(table))
-        found |= set(zip(*(out.column(c).to_pylist() for c in "ab")))
+        table |= {k: [r[k] for r in group] for k in ("n", "sketch")} | {"text": [texts[r["id"]] for r in group]}
+        out = order_minhash._linked(pa.table(table))
+        own = set(zip(*(out.column(c).to_pylist() for c in "ab")))
+        assert len(own) < len(group)  # links that connect, not all
+        found |= own
         ids = [r["id"] for r in group]
         want |= {(max(x, y), min(x, y)) for x in ids for y in ids if x < y and order_minhash.similarity(s[x], s[y])}
     assert len(want) > 200
-    assert want <= found
+    assert found <= want
+    at = {i: i for i, _ in rows}
+    for a, b in found:  # what is similar is connected
+        old, new = at[a], at[b]
+        at = {i: new if c == old else c for i, c in at.items()}
+    assert all(at[a] == at[b] for a, b in want)
     few = [sum(p == q for p, q in zip(got[x]["sketch"][:24], got[y]["sketch"][:24])) < 3 for x, y in want]
     assert any(few)
 
