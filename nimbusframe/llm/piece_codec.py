@@ -17,18 +17,22 @@ import hashlib
 import math
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nimbusframe.llm.common import chunks, column, free_name
 
-#: Short parts of texts whose path a task remembers, and as many of their starts.
+#: Short parts of texts whose path a task remembers, and lengths of starts that
+#: share theirs.
 REMEMBERED = 400_000
 SHORT = 32
+STARTS = (12, 8, 5)
 #: Pairs of pieces whose weight a task remembers.
 PAIRS = 1_000_000
 #: Largest model file that is sent to the executors.
@@ -148,7 +152,9 @@ class _Paths(dict):
 
     def __missing__(self, part: str) -> tuple[int, ...]:
         got = self.machine.path(part)
-        if len(part) <= SHORT:
+        if self.machine.decoded(got) != part:
+            self.machine.lossy = True  # not remembered, so that every text hears of it
+        elif len(part) <= SHORT:
             if len(self) >= REMEMBERED:
                 self.clear()
             self[part] = got
@@ -204,8 +210,9 @@ class Codec:
         self.cuts = not any(SPACE in x.lstrip(SPACE) for x in self.ids)
         self.plain = [x if t not in (BYTE, UNKNOWN, CONTROL) else None for x, t in zip(self.text, self.type, strict=True)]
         self.pairs: dict[int, bool] = {}
-        self.prefixes: dict[str, tuple[float, int]] = {}
+        self.starts: dict[str, list[int]] = {}
         self.paths = _Paths(self)
+        self.lossy = False
         if kind == BPE:
             # Order of the merges: single characters are there from the start.
             order = sorted(usable, key=lambda i: -self.score[i])
@@ -295,37 +302,58 @@ class Codec:
                 yield at, k
             at -= 1
 
-    def path(self, text: str) -> tuple[int, ...]:
-        """Pieces of the shortest path through ``text``, already normalised.
-        Short texts share the (cost, last piece) of their common starts, as if
-        all inputs were one prefix tree composed with the machine."""
-        n, ranked, pairs = len(text), self.kind == BPE, self.pairs
-        short = n <= SHORT
-        known = self.prefixes if short else {}
-        if short and len(known) >= REMEMBERED:
-            known.clear()
+    def _lightest(self, text: str) -> list[int]:
+        """The last piece of the lightest path to every place of a text."""
+        n = len(text)
+        cost, last = [0.0] + [INF] * n, [-1] * (n + 1)
         for end in range(1, n + 1):
-            name = text[:end] if short else end
-            if name in known:
-                continue
-            best = (INF, -1)
             for at, k in self.arcs(text, end):
-                cost, prior = known[text[:at] if short else at] if at else (0.0, -1)
-                if not ranked:
-                    cost -= self.worst if k < 0 else self.score[k]
-                elif k >= 0 and prior >= 0:
-                    fits = pairs.get(prior << 32 | k)
-                    if not (self.follows(prior, k) if fits is None else fits):
-                        continue
-                if cost < best[0]:
-                    best = (cost, k)
-                    if ranked:  # every other path has an infinite weight
+                total = cost[at] - (self.worst if k < 0 else self.score[k])
+                if total < cost[end]:
+                    cost[end], last[end] = total, k
+        return last
+
+    def _weightless(self, text: str) -> list[int]:
+        """The same where weights are 0 or infinite: an arc counts if its piece
+        follows the last piece before it, and there is one such arc only."""
+        ends, pairs, ids, starts = self.ends, self.pairs, self.ids, self.starts
+        n, last = len(text), None
+        if n <= SHORT:  # texts with a common start share the paths through it
+            for size in STARTS:
+                if n > size and (last := starts.get(text[:size])) is not None:
+                    break
+        last = [-1] if last is None else last.copy()
+        for end in range(len(last), n + 1):
+            best, at = -1, end - 1
+            if text[at] in ids:
+                while at >= 0:
+                    k = ends.get(text[at:end])
+                    if k is None:
                         break
-            known[name] = best
+                    if k >= 0:
+                        prior = last[at]
+                        if prior < 0:
+                            best = k
+                            break
+                        fits = pairs.get(prior << 32 | k)
+                        if self.follows(prior, k) if fits is None else fits:
+                            best = k
+                            break
+                    at -= 1
+            last.append(best)
+            if end in STARTS and n <= SHORT:
+                if len(starts) >= REMEMBERED:
+                    starts.clear()
+                starts[text[:end]] = last.copy()
+        return last
+
+    def path(self, text: str) -> tuple[int, ...]:
+        """Pieces of the shortest path through ``text``, already normalised."""
+        last = self._weightless(text) if self.kind == BPE else self._lightest(text)
         out: list[int] = []
-        at = n
+        at = len(text)
         while at:
-            k = known[text[:at] if short else at][1]
+            k = last[at]
             if k >= 0:
                 out.append(k)
                 at -= len(self.text[k])
@@ -335,7 +363,8 @@ class Codec:
                 out.extend(self.bytes_[b] for b in reversed(text[at].encode("utf-8", "replace")))
             else:
                 out.append(self.unknown)
-        return tuple(reversed(out))
+        out.reverse()
+        return tuple(out)
 
     def parts(self, text: str) -> list[str]:
         """Cut a normalised text before the space marks that start a piece."""
@@ -343,32 +372,49 @@ class Codec:
 
     def encode(self, text: str | None) -> list[int]:
         """The ids of a text; none for null or empty."""
+        return self.encoded(text)[0]
+
+    def encoded(self, text: str | None) -> tuple[list[int], bool]:
+        """(ids, whether decoding them gives the normalised text again). Each
+        part is decoded when its path is found; where all give themselves again
+        the decoded text is the normalised one."""
         marked = self.normaliser(text) if text else ""
         if not marked:
-            return []
-        return [*chain.from_iterable(map(self.paths.__getitem__, self.parts(marked)))]
+            return [], True
+        self.lossy = False
+        ids = [*chain.from_iterable(map(self.paths.__getitem__, self.parts(marked)))]
+        if self.fallback and not self.lossy:
+            again = self._unmarked(marked)
+        else:
+            again = self.decode(ids)
+        return ids, again == text or self.normaliser(again) == marked
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids: pieces and bytes joined, marks to spaces, the mark
-        put before the text taken off; control pieces give nothing."""
+    def decoded(self, ids: tuple[int, ...] | list[int]) -> str:
+        """Pieces and bytes joined; control pieces give nothing."""
         pieces = [*map(self.plain.__getitem__, ids)]
-        if None in pieces:
-            out = bytearray()
-            for k in ids:
-                kind = self.type[k]
-                if kind == BYTE:
-                    out.append(self.byte_of[k])
-                elif kind == UNKNOWN:
-                    out += b" \xe2\x81\x87 "
-                elif kind != CONTROL:
-                    out += self.text[k].encode("utf-8")
-            text = out.decode("utf-8", "replace")
-        else:
-            text = "".join(pieces)
+        if None not in pieces:
+            return "".join(pieces)
+        out = bytearray()
+        for k in ids:
+            kind = self.type[k]
+            if kind == BYTE:
+                out.append(self.byte_of[k])
+            elif kind == UNKNOWN:
+                out += b" \xe2\x81\x87 "
+            elif kind != CONTROL:
+                out += self.text[k].encode("utf-8")
+        return out.decode("utf-8", "replace")
+
+    def _unmarked(self, text: str) -> str:
         if self.normaliser.mark:
             text = text.replace(SPACE, " ")
         return text[1:] if self.normaliser.prefix and text[:1] == " " else text
 
+    def decode(self, ids: list[int]) -> str:
+        """The text of ids: pieces and bytes joined, marks to spaces, the mark
+        put before the text taken off; control pieces give nothing."""
+        return self._unmarked(self.decoded(ids))
+
 
 _CODECS: dict[str, Codec] = {}
 
@@ -412,18 +458,21 @@ def encode_texts(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
         for batch in batches:
             texts = batch.column(at).to_pylist()
             for lo, hi in chunks([len(x or "") for x in texts], CHUNK):
-                part = texts[lo:hi]
-                ids = [None if x is None else machine.encode(x) for x in part]
-                same = [
-                    None if x is None else (y := machine.decode(k)) == x or machine.normaliser(y) == machine.normaliser(x)
-                    for x, k in zip(part, ids, strict=True)
-                ]
+                flat, ends, none, same = array("i"), [0], [], []
+                for x in texts[lo:hi]:
+                    ids, again = machine.encoded(x)
+                    flat.extend(ids)
+                    ends.append(len(flat))
+                    none.append(x is None)
+                    same.append(None if x is None else again)
+                offsets = np.array(ends, dtype=np.int32)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(offsets), pa.array(np.frombuffer(flat, dtype=np.int32)), mask=pa.array(none, pa.bool_())
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *batch.slice(lo, hi - lo).columns,
-                        pa.array(ids, pa.list_(pa.int32())),
-                        pa.array([len(k or ()) for k in ids], pa.int64()),
-                        pa.array(same, pa.bool_()),
+                        *batch.slice(lo, hi - lo).columns, lists,
+                        pa.array(np.diff(offsets).astype(np.int64)), pa.array(same, pa.bool_()),
                     ],
                     names=[*batch.schema.names, *names],
                 )
