@@ -3,7 +3,7 @@
 Markup is stripped to one line a block. Text lengths (without link text) are
 summed over sliding windows of lines; the text surges where a window passes a
 threshold and dives where it falls below. What lies between, extended to the
-element that holds it, is the main text.
+block that holds it, is the main text.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,6 +35,10 @@ BLOCKS = set(
     "section summary table tbody td tfoot th thead tr ul".split()
 )
 MAIN = {"article", "main"}
+HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
+WHOLE_PAGE = {"", "html", "body"}
+#: Stray end tags do not end these, other than those of ENDS_ALL.
+BARS, ENDS_ALL = MAIN | {"body"}, MAIN | {"body", "html"}
 #: Words in class, id and role that mark what is not the article.
 ASIDE_WORDS = set(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar aside menu nav "
@@ -50,6 +56,13 @@ OTHERS = set(
 #: Parts of a class that make it a remark on the layout, first or last in it.
 REMARK_FIRST = set("has with no without not is hide show".split())
 REMARK_LAST = set("open opened closed enabled disabled active visible".split())
+#: Inside an article a class or id counts only if it is all of such words and
+#: of these, which say where or how, and not for what an article may well hold.
+LAYOUT = set(
+    "area bar block blocks body bottom box button buttons column container content group icon icons inner item items left "
+    "link links list main module outer panel post posts right row section small text title top wrap wrapper".split()
+)
+IN_ARTICLES = set("legal disclaimer copyright discussion search header form alert".split())
 #: What a header may belong to that is part of the article.
 HEADED = set("article entry post page content story title".split())
 #: How sure it is that an element is not part of the article.
@@ -68,6 +81,11 @@ _UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+")
 
 
+@cache
+def _end_of(name: str) -> re.Pattern[str]:
+    return re.compile(rf"</{re.escape(name)}\s*>", re.I)
+
+
 def _beside(name: str, attrs: str, inside_main: bool) -> int:
     """How surely an element is not part of an article by its name and attributes."""
     given: dict[str, str] = {}
@@ -87,6 +105,8 @@ def _beside(name: str, attrs: str, inside_main: bool) -> int:
                 continue
             if len(parts) > 1 and parts[-1] == "header" and parts[-2] in HEADED:
                 of_article = True
+            elif inside_main and not (LAYOUT | ASIDE_WORDS - IN_ARTICLES).issuperset(parts):
+                continue
             elif not OTHERS.isdisjoint(parts):
                 found = SURELY
             elif not ASIDE_WORDS.isdisjoint(parts):
@@ -98,32 +118,79 @@ def _beside(name: str, attrs: str, inside_main: bool) -> int:
     return found
 
 
-def lines_of(page: str) -> list[tuple[str, int, tuple[int, ...]]]:
-    """The blocks of a page outside menus and the like, in page order: (text,
-    code points of it in links, the open elements around it by number).
+class _Line(NamedTuple):
+    """A block of a page: its text, code points of it in links, the innermost
+    open element, and whether it is a heading."""
+
+    text: str
+    links: int
+    at: int
+    heading: bool
+
+
+class _Tree:
+    """The elements of a page, numbered from 1 as they open; 0 is the page."""
+
+    def __init__(self) -> None:
+        self.parent, self.depth = [0], [0]
+        self.last = [0]  # the last number that opened inside
+        self.main = [0]  # the outermost ``main`` or ``article`` around it, itself included
+        self.name = [""]
+
+    def open(self, parent: int, name: str) -> int:
+        k = len(self.parent)
+        self.parent.append(parent)
+        self.depth.append(self.depth[parent] + 1)
+        self.last.append(k)
+        self.main.append(self.main[parent] or (k if name in MAIN else 0))
+        self.name.append(name)
+        return k
+
+    def shared(self, a: int, b: int) -> int:
+        """The innermost element around both."""
+        while a != b:
+            if self.depth[a] >= self.depth[b]:
+                a = self.parent[a]
+            else:
+                b = self.parent[b]
+        return a
+
+
+def lines_of(page: str) -> tuple[list[_Line], _Tree]:
+    """The blocks of a page outside menus and the like, in page order, and its
+    elements.
 
     An element that looks like a menu or the like stays if it holds the main
     part: ``main``, the only articles of the page (if it is loosely marked), or
     more than half of the page's text (the same). If no text is left by all
     this, all text that is not hidden counts."""
-    lines, marked, within = _read(page, frozenset())
+    lines, tree, marked, within = _read(page, frozenset())
     if marked:
         keep = {k for k, (sure, most, holds) in marked.items() if holds == "main" or (sure == LOOSELY and (holds or most))}
         if keep:
-            lines = _read(page, frozenset(keep))[0]
+            lines, tree = _read(page, frozenset(keep))[:2]
         if not lines and within:
-            lines = _read(page, frozenset(marked))[0]
-    return lines
+            lines, tree = _read(page, frozenset(marked))[:2]
+    return lines, tree
 
 
-def _read(page: str, keep: frozenset[int]) -> tuple[list, dict[int, tuple[int, bool, str]], bool]:
-    """One reading of a page: its lines; of each element that is left out but
-    not hidden and not in ``keep``, how surely, whether it has more than half
-    of the text, and what it holds; whether any text was left out."""
-    out: list[tuple[str, int, tuple[int, ...]]] = []
+def _read(page: str, keep: frozenset[int]) -> tuple[list[_Line], _Tree, dict[int, tuple[int, bool, str]], bool]:
+    """One reading of a page: its lines and elements; of each element that is
+    left out but not hidden and not in ``keep``, how surely, whether it has more
+    than half of the text, and what it holds; whether any text was left out.
+
+    Open elements are found by name without a walk over all of them, and a line
+    holds the number of its element only, so time and memory are linear in the
+    page, however deep or badly it is nested."""
+    out: list[_Line] = []
+    tree = _Tree()
     stack: list[tuple[str, int, int]] = []  # name, number, how surely beside the article
+    open_at: dict[str, list[int]] = {}  # places in the stack by name
+    bars: list[int] = []  # of articles and the body, which stray end tags do not end
+    blocks: list[int] = []
+    graded: list[int] = []  # open elements that are left out
     text: list[str] = []
-    links = number = pos = beside = main = anchors = 0
+    links = pos = beside = main = anchors = headings = 0
     sure = seen = 0  # elements open that are surely beside, text so far outside of these and of links
     began: dict[int, int] = {}
     size: dict[int, int] = {}
@@ -135,7 +202,7 @@ def _read(page: str, keep: frozenset[int]) -> tuple[list, dict[int, tuple[int, b
         nonlocal links
         line = " ".join(html.unescape("".join(text)).split())
         if line:
-            out.append((line, min(links, len(line)), tuple(k for _, k, _ in stack)))
+            out.append(_Line(line, min(links, len(line)), stack[-1][1] if stack else 0, headings > 0))
         text.clear()
         links = 0
 
@@ -151,14 +218,22 @@ def _read(page: str, keep: frozenset[int]) -> tuple[list, dict[int, tuple[int, b
                 links += len(html.unescape(piece).strip())
 
     def close(upto: int) -> None:
-        nonlocal beside, main, anchors, sure
-        for name, k, aside in stack[upto:]:
+        nonlocal beside, main, anchors, sure, headings
+        for name, k, aside in reversed(stack[upto:]):
+            open_at[name].pop()
+            if name in BARS:
+                bars.pop()
+            if name in BLOCKS:
+                blocks.pop()
             beside -= aside > NO
             sure -= aside >= SURELY
             if k in began:
                 size[k] = seen - began[k]
+                graded.pop()
             main -= name in MAIN
             anchors -= name == "a"
+            headings -= name in HEADINGS
+            tree.last[k] = len(tree.parent) - 1
         del stack[upto:]
 
     while True:
@@ -177,17 +252,14 @@ def _read(page: str, keep: frozenset[int]) -> tuple[list, dict[int, tuple[int, b
         elif name == "br" and not beside:
             text.append(" ")
         if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    close(i)
-                    break
-                if stack[i][0] in MAIN | {"body"} and name not in MAIN | {"body", "html"}:
-                    break  # a stray end tag does not end the article
+            at = open_at.get(name)
+            if at and (name in ENDS_ALL or not bars or bars[-1] <= at[-1]):
+                close(at[-1])
             continue
         if name in DROPPED:
             if attrs.endswith("/"):
                 continue
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, pos)
+            end = _end_of(name).search(page, pos)
             if end:
                 pos = end.end()
             elif name not in ("head", "title"):
@@ -197,38 +269,43 @@ def _read(page: str, keep: frozenset[int]) -> tuple[list, dict[int, tuple[int, b
             continue
         ends = LOOSE.get(name)
         if ends:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ends:
-                    close(i)
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
+            at = max((open_at[e][-1] for e in ends if open_at.get(e)), default=-1)
+            if at >= 0 and at >= blocks[-1]:
+                close(at)
         aside = _beside(name, attrs, main > 0)
-        number += 1
-        if number in keep and aside < HIDDEN:
+        k = tree.open(stack[-1][1] if stack else 0, name)
+        if k in keep and aside < HIDDEN:
             aside = NO
-        me = -number if name in MAIN else number
-        stack.append((name, me, aside))
+        open_at.setdefault(name, []).append(len(stack))
+        if name in BARS:
+            bars.append(len(stack))
+        if name in BLOCKS:
+            blocks.append(len(stack))
+        stack.append((name, k, aside))
         if aside in (LOOSELY, SURELY):
-            grade[me] = aside
-            began[me] = seen
+            grade[k] = aside
+            began[k] = seen
+            graded.append(k)
         if name in MAIN and aside < SURELY:
             if name == "article" and not beside and not aside:
                 free_article = True
-            for _, k, _ in stack:
-                if k in grade and holds.get(k) != "main":
-                    holds[k] = name
+            for g in reversed(graded):
+                if holds.get(g) in ("main", name):
+                    break  # so are all around it
+                holds[g] = name
         beside += aside > NO
         sure += aside >= SURELY
         main += name in MAIN
         anchors += name == "a"
+        headings += name in HEADINGS
     flush()
     close(0)
+    tree.last[0] = len(tree.parent) - 1
     marked = {}
     for k, g in grade.items():
         held = holds.get(k, "")
-        marked[abs(k)] = (g, size.get(k, 0) * 2 > seen, "" if held == "article" and free_article else held)
-    return out, marked, within
+        marked[k] = (g, size.get(k, 0) * 2 > seen, "" if held == "article" and free_article else held)
+    return out, tree, marked, within
 
 
 def surges(lengths: list[int], window: int = WINDOW, least: int = SURGE) -> tuple[int, int] | None:
@@ -243,7 +320,8 @@ def surges(lengths: list[int], window: int = WINDOW, least: int = SURGE) -> tupl
         total += lengths[i + window - 1] if i + window - 1 < n else 0
         sums.append(total)
         total -= lengths[i]
-    hot = [i for i, s in enumerate(sums) if s >= min(least, max(sums))]
+    bar = min(least, max(sums))
+    hot = [i for i, s in enumerate(sums) if s >= bar]
     lo, hi = hot[0], min(n - 1, hot[-1] + window - 1)
     part = min(least // window, max(lengths[lo : hi + 1]))  # the text starts and ends with a line of some length
     while lengths[lo] < part:
@@ -255,28 +333,28 @@ def surges(lengths: list[int], window: int = WINDOW, least: int = SURGE) -> tupl
 
 def main_text(page: str | None) -> str:
     """The main text of a page: blocks in page order joined by one ``\\n``."""
-    lines = lines_of(page) if page else []
-    article = any(k < 0 for _, _, path in lines for k in path)
-    if article:
-        lines = [x for x in lines if any(k < 0 for k in x[2])]
-    own = [0 if linked * 2 > len(x) and not article else len(x) - linked for x, linked, _ in lines]
+    if not page:
+        return ""
+    lines, tree = lines_of(page)
+    article = any(tree.main[x.at] for x in lines)
+    if article:  # the whole of all articles
+        lines = [x for x in lines if tree.main[x.at]]
+    own = [0 if x.links * 2 > len(x.text) and not article else len(x.text) - x.links for x in lines]
     found = surges(own)
-    if found is None:
-        return "\n".join(x for x, _, _ in lines)
+    if found is None or article:
+        return "\n".join(x.text for x in lines)
     lo, hi = found
-    if article:  # whole articles, from the one with the surge to the one with the dive
-        holder = {next(k for k in path if k < 0) for _, _, path in lines[lo : hi + 1]}
-    else:
-        shared = 0
-        for a, b in zip(lines[lo][2], lines[hi][2], strict=False):
-            if a != b:
-                break
-            shared += 1
-        holder = set(lines[lo][2][:shared][-1:])
+    while lo and lines[lo - 1].heading and not lines[lo - 1].links:
+        lo -= 1  # the title stands before the surge
+    holder = tree.shared(lines[lo].at, lines[hi].at)
+    while tree.parent[holder] and tree.name[holder] not in BLOCKS:
+        holder = tree.parent[holder]
+    if tree.name[holder] in WHOLE_PAGE:  # holds menus and footers as well: the distribution decides alone
+        return "\n".join(x.text for x in lines[lo : hi + 1])
     return "\n".join(
-        x
-        for i, (x, linked, path) in enumerate(lines)
-        if lo <= i <= hi or ((not holder or not holder.isdisjoint(path)) and (article or own[i] or linked * 2 <= len(x)))
+        x.text
+        for i, x in enumerate(lines)
+        if lo <= i <= hi or (holder <= x.at <= tree.last[holder] and (own[i] or x.links * 2 <= len(x.text)))
     )
 
 
@@ -288,12 +366,13 @@ def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
     sidebars, notices, adverts, forms and reader comments are known by element
     names and by words in class, id and role, other than remarks on the layout
     (``has-sidebar``) and headers of the article; what holds the main part stays
-    (:func:`lines_of`). If the page has ``article`` or ``main`` elements only
-    these are looked at. Then the line-block
-    distribution decides (:func:`surges`): the text runs from the first surge
-    to the last dive, extended to the other lines of the element that holds
-    both ends, so short paragraphs at its ends stay. Outside of an article,
-    lines of which more than half is link text count as empty.
+    (:func:`lines_of`). If the page has ``article`` or ``main`` elements their
+    lines are the text. Else the line-block distribution decides
+    (:func:`surges`): the text runs from the first surge, or the headings right
+    before it, to the last dive, and on to the other lines of the block that
+    holds both ends, so short paragraphs at its ends stay; if that is the whole
+    body, which holds menus and footers too, nothing is added. Lines of which
+    more than half is link text count as empty.
 
     White space inside a block becomes one space, also for ``<br>``; character
     references are decoded; cut-off and badly nested markup is read as far as
