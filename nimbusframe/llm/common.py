@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,36 @@ def chunks(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield lo, len(sizes)
 
 
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        return lambda _: None
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker process lives on for tasks
+    of other stages and operators."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator], forget: Callable[[], None] | None = None) -> Callable[[Iterator], Iterator]:
+    """A function over the batches of a partition that forgets what it has
+    remembered, and gives memory back, when the partition ends. ``forget`` is a
+    function of a module: a cache itself would travel as a copy."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            if forget:
+                forget()
+            give_back()
+
+    return wrapped
+
+
 def column(df: DataFrame, name: str):
     """A column by its exact name, whatever characters the name has."""
     return df["`" + name.replace("`", "``") + "`"]

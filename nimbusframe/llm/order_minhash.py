@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusframe.llm.common import WORD_PATTERN, checkpointed, chunks, column, components, words
+from nimbusframe.llm.common import WORD_PATTERN, checkpointed, chunks, column, components, give_back, tidy, words
 
 #: Words in a shingle and the least similarity of near duplicates (fixed by the task).
 SHINGLE, SIMILAR = 5, 0.8
@@ -43,7 +43,7 @@ ROUNDS = 4
 #: against block; a task holds two blocks.
 BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
 #: Characters of texts worked on at once, and words a task remembers.
-CHUNK, REMEMBERED = 8_000_000, 500_000
+CHUNK, REMEMBERED = 4_000_000, 150_000
 
 _MULTIPLIERS = np.random.default_rng(20240229).integers(1, 1 << 63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -62,6 +62,11 @@ class _Words(dict):
 _HASHES = _Words()
 
 
+def forget() -> None:
+    """Empty the remembered words."""
+    _HASHES.clear()
+
+
 def hashed_words(text: str | None) -> np.ndarray:
     """A 64-bit hash of every word of a text."""
     split = words(text)
@@ -219,7 +224,7 @@ def sketch_texts(docs: DataFrame) -> DataFrame:
                 )
 
     schema = docs.select(*rest).limit(0).withColumn("digest", F.lit(b"")).withColumn("n", F.lit(0))
-    return docs.mapInArrow(run, schema.withColumn("sketch", F.lit(None).cast("array<long>")).schema)
+    return docs.mapInArrow(tidy(run, forget), schema.withColumn("sketch", F.lit(None).cast("array<long>")).schema)
 
 
 def texts_of(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
@@ -252,7 +257,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
     both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-    return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "left", "right").mapInArrow(tidy(run, forget), "a long, b long")
 
 
 def _root(parent: dict[int, int], x: int) -> int:
@@ -272,29 +277,34 @@ def _linked(table: pa.Table) -> pa.Table:
     sketch = np.array([x[:SKETCHES] for x in table.column("sketch").to_pylist()], dtype=np.int64).reshape(len(node), SKETCHES)
     texts = [shingles(hashed_words(x)) for x in table.column("text").to_pylist()]
     cells = np.stack([counted(x) for x in texts])
-    a, b = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-    open_ = np.minimum.outer(n[a], n[b]) >= np.maximum.outer(n[a], n[b]) * SIMILAR
-    open_ &= c[a][:, None] != c[b][None, :]
-    if lo == hi:
-        open_ &= node[a][:, None] > node[b][None, :]
-    if j == SKETCHES:  # texts of one size here are similar only if all their sketches agree
-        open_ &= n[a][:, None] != n[b][None, :]
-    for k in range(j):
-        open_ &= sketch[a, k][:, None] != sketch[b, k][None, :]
-    u, v = np.nonzero(open_)
-    u, v = a[u], b[v]
+    first, second = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
     parent: dict[int, int] = {}
     links = []
-    for i in range(0, len(u), 1 << 12):
-        x, y = u[i : i + (1 << 12)], v[i : i + (1 << 12)]
-        both = np.minimum(cells[x], cells[y])
-        need = np.ceil(SIMILAR * (n[x].astype(np.int64) + n[y]) / (1 + SIMILAR) - 1e-9)
-        keep = (both.sum(axis=1, dtype=np.int64) >= need) | (both == FULL).any(axis=1)
-        for k, m in zip(x[keep].tolist(), y[keep].tolist(), strict=True):
-            left, right = _root(parent, int(c[k])), _root(parent, int(c[m]))
-            if left != right and similarity(texts[k], texts[m]):
-                parent[left] = right
-                links.append((max(int(node[k]), int(node[m])), min(int(node[k]), int(node[m]))))
+    for i in range(0, len(first), 64):
+        a, b = first[i : i + 64], second
+        open_ = np.minimum.outer(n[a], n[b]) >= np.maximum.outer(n[a], n[b]) * SIMILAR
+        open_ &= c[a][:, None] != c[b][None, :]
+        if lo == hi:
+            open_ &= node[a][:, None] > node[b][None, :]
+        if j == SKETCHES:  # texts of one size here are similar only if all their sketches agree
+            open_ &= n[a][:, None] != n[b][None, :]
+        for k in range(j):
+            open_ &= sketch[a, k][:, None] != sketch[b, k][None, :]
+        u, v = np.nonzero(open_)
+        u, v = a[u], b[v]
+        for k in range(0, len(u), 1 << 12):
+            x, y = u[k : k + (1 << 12)], v[k : k + (1 << 12)]
+            both = np.minimum(cells[x], cells[y])
+            need = np.ceil(SIMILAR * (n[x].astype(np.int64) + n[y]) / (1 + SIMILAR) - 1e-9)
+            keep = (both.sum(axis=1, dtype=np.int64) >= need) | (both == FULL).any(axis=1)
+            for p, q in zip(x[keep].tolist(), y[keep].tolist(), strict=True):
+                left, right = _root(parent, int(c[p])), _root(parent, int(c[q]))
+                if left != right and similarity(texts[p], texts[q]):
+                    parent[left] = right
+                    links.append((max(int(node[p]), int(node[q])), min(int(node[p]), int(node[q]))))
+    if len(node) > BLOCK:
+        forget()
+        give_back()
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
 

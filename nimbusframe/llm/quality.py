@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nimbusframe.llm.common import chunks, column, free_name, words
+from nimbusframe.llm.common import chunks, column, free_name, tidy, words
 
 #: Characters that count as symbols (fixed by the task).
 SYMBOLS = "#*$%&|<>"
@@ -112,7 +112,7 @@ def count_corpus(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in chunks([len(x) for x in texts], CHUNK * 6):
+            for lo, hi in chunks([len(x) for x in texts], CHUNK * 3):
                 char: dict[str, np.ndarray] = {}
                 word: dict[str, Counter] = {}
                 for lg, x in zip(langs[lo:hi], texts[lo:hi], strict=True):
@@ -142,7 +142,7 @@ def count_corpus(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
                         )
 
     known = docs.select(column(docs, lang).cast("string").alias("lang"), column(docs, text).alias("text")).dropna()
-    parts = known.mapInArrow(tally, "lang string, kind string, item string, n long")
+    parts = known.mapInArrow(tidy(tally), "lang string, kind string, item string, n long")
     return parts.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
 
 
@@ -249,7 +249,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: dict |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(at).to_pylist()
-            for lo, hi in chunks([len(x or "") for x in texts], CHUNK * 6):
+            for lo, hi in chunks([len(x or "") for x in texts], CHUNK * 3):
                 got = assess(texts[lo:hi], known.value)
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
@@ -259,7 +259,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: dict |
     schema = docs.limit(0)
     for k, kind in _TYPES.items():
         schema = schema.withColumn(names[k], F.lit(None).cast(kind))
-    return docs.mapInArrow(run, schema.schema)
+    return docs.mapInArrow(tidy(run), schema.schema)
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from nimbusframe.llm.common import chunks, column, free_name, words
+from nimbusframe.llm.common import chunks, column, free_name, tidy, words
 
 #: Words in a passage that counts as a repeat (fixed by the task).
 LENGTH = 50
@@ -51,6 +51,12 @@ class _Hashes(dict):
 _HASHES = [_Hashes(1), _Hashes(2)]
 
 
+def forget() -> None:
+    """Empty the remembered words."""
+    for known in _HASHES:
+        known.clear()
+
+
 def word_hashes(flat: list[str], which: int) -> np.ndarray:
     """A 64-bit hash of every word."""
     return np.fromiter(map(_HASHES[which].__getitem__, flat), dtype=np.uint64, count=len(flat))
@@ -277,7 +283,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) ->
         return _marked([ids[gone], key[gone]], place[gone], groups)
 
     own = docs.groupBy("dg")
-    anchors = docs.select("id", "_text").mapInArrow(probe, ENTRY).groupBy("bucket").applyInArrow(anchor, MARKS)
+    anchors = docs.select("id", "_text").mapInArrow(tidy(probe, forget), ENTRY).groupBy("bucket").applyInArrow(anchor, MARKS)
     windows = own.cogroup(anchors.groupBy("dg")).applyInArrow(extend, ENTRY)
     return own, windows.groupBy("bucket").applyInArrow(settle, MARKS).groupBy("dg")
 

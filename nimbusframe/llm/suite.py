@@ -179,8 +179,7 @@ ORACLE["op10_source_mix"] = r"""
 WITH sized AS (SELECT doc_id, source,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
     md5(coalesce(doc_id::VARCHAR, '')) AS shuffle FROM documents),
-total AS (SELECT coalesce(sum(size), 0)::BIGINT AS n,
-    greatest(1, ceil(coalesce(sum(size), 0) / 1048576.0))::BIGINT AS block FROM sized),
+total AS (SELECT coalesce(sum(size), 0)::BIGINT AS n FROM sized),
 src AS (SELECT source, sum(size)::BIGINT AS s,
     row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM sized GROUP BY source),
 weighed AS (SELECT *, 3 * s AS most, CASE place % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM src),
@@ -189,26 +188,26 @@ levels AS (SELECT *, ((SELECT n FROM total) - coalesce(sum(most) OVER (ORDER BY
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
     / sum(weight) OVER (ORDER BY fills, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM filled),
 lvl AS (SELECT first(level ORDER BY fills, place) AS level FROM levels WHERE level <= fills),
-shares AS (SELECT source, place, s, least(most::DOUBLE, coalesce(lvl.level * weight, most::DOUBLE)) AS target
-    FROM levels LEFT JOIN lvl ON true),
-edges AS (SELECT *, round(target)::BIGINT AS words, (s + (SELECT block FROM total) - 1) // (SELECT block FROM total) AS blocks,
-    sum(round(target)::BIGINT) OVER (ORDER BY place) AS hi, sum(round(target)::BIGINT) OVER () AS alls FROM shares),
-points AS (SELECT i, floor((i::DOUBLE * 0.6180339887498949::DOUBLE % 1::DOUBLE) * (SELECT max(alls)::DOUBLE FROM edges))::BIGINT AS pos
-    FROM (SELECT unnest(range(0, ((n + block - 1) // block)::BIGINT)) AS i FROM total)),
-slots AS (SELECT place, blocks, row_number() OVER (PARTITION BY place ORDER BY i) - 1 AS rank
-    FROM points JOIN edges ON pos >= hi - words AND pos < hi),
-times AS (SELECT place, rank % blocks AS block, count(*) AS times FROM slots WHERE rank < 3 * blocks GROUP BY ALL),
-streamed AS (SELECT doc_id, size, place, s, target, coalesce(sum(size) OVER (PARTITION BY place
+shares AS (SELECT source, place, s, least(most::DOUBLE, coalesce(lvl.level * weight, most::DOUBLE)) AS target,
+    least(s, 16384) AS blocks FROM levels LEFT JOIN lvl ON true),
+counted AS (SELECT *, CASE WHEN s > 0 THEN (2 * round(target)::BIGINT * blocks + s) // (2 * s) ELSE 0 END AS slots FROM shares),
+edges AS (SELECT *, sum(slots) OVER (ORDER BY place)::BIGINT AS hi, sum(slots) OVER ()::BIGINT AS alls FROM counted),
+points AS (SELECT i, ((i::HUGEINT * 173961102589771 % 281474976710656) * (SELECT max(alls) FROM edges) // 281474976710656)::BIGINT AS pos
+    FROM (SELECT unnest(range(0, 2 * coalesce(max(alls), 0))) AS i FROM edges)),
+ranked AS (SELECT place, blocks, slots, row_number() OVER (PARTITION BY place ORDER BY i) - 1 AS rank
+    FROM points JOIN edges ON pos >= hi - slots AND pos < hi),
+times AS (SELECT place, rank % blocks AS block, count(*) AS times FROM ranked WHERE rank < least(slots, 3 * blocks) GROUP BY ALL),
+streamed AS (SELECT doc_id, size, place, s, target, blocks, coalesce(sum(size) OVER (PARTITION BY place
     ORDER BY shuffle, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
     FROM sized JOIN edges ON sized.source IS NOT DISTINCT FROM edges.source),
-pieces AS (SELECT *, unnest(range(start // (SELECT block FROM total),
-    (start + size - 1) // (SELECT block FROM total) + 1)) AS b FROM streamed WHERE size > 0),
-counted AS (SELECT doc_id, pieces.place, start, sum((least(start + size, (b + 1) * (SELECT block FROM total))
-    - greatest(start, b * (SELECT block FROM total))) * coalesce(times, 0))::BIGINT AS taken
+pieces AS (SELECT *, unnest(range(((start + 1) * blocks - 1) // s, ((start + size) * blocks - 1) // s + 1)) AS b
+    FROM streamed WHERE size > 0),
+summed AS (SELECT doc_id, pieces.place, start,
+    sum((least(start + size, (b + 1) * s // blocks) - greatest(start, b * s // blocks)) * coalesce(times, 0))::BIGINT AS taken
     FROM pieces LEFT JOIN times ON pieces.place = times.place AND pieces.b = times.block
     GROUP BY doc_id, pieces.place, start)
-SELECT s.doc_id, s.size, s.s AS source_size, s.target, coalesce(c.taken, 0) AS taken
-FROM streamed s LEFT JOIN counted c ON s.size > 0 AND s.place = c.place AND s.start = c.start
+SELECT t.doc_id, t.size, t.s AS source_size, t.target, coalesce(c.taken, 0) AS taken
+FROM streamed t LEFT JOIN summed c ON t.size > 0 AND t.place = c.place AND t.start = c.start
 """
 
 

@@ -96,8 +96,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
         "short", F.substring("digest", 1, SHORT_BYTES)
     )
     host, path = url_parts(column(pages, url).cast("string"))
-    parted = pages.withColumn(names["host"], host).withColumn(names["path"], path)
-    asked = parted.select(F.col(names["host"]).alias("h"), F.col(names["path"]).alias("p")).distinct()
+    # Columns go under names of their own, by their places: none can clash with those below.
+    parted = pages.select(*[column(pages, c).alias(f"c{i}") for i, c in enumerate(pages.columns)], host.alias("host"), path.alias("path"))
+    asked = parted.select(F.col("host").alias("h"), F.col("path").alias("p")).distinct()
     said = (
         asked.withColumn("suffix", F.explode(host_suffixes(F.col("h"), deep["labels"] or 1)))
         .withColumn("stem", F.explode(path_stems(F.col("p"), deep["slashes"] or 0)))
@@ -120,11 +121,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     )
     out = parted.join(
         said.select("h", "p", "best"),
-        (F.col(names["host"]) == F.col("h")) & (F.col(names["path"]) == F.col("p")),
+        (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")),
         "left",
     )
-    return out.select(
-        *[column(parted, c) for c in parted.columns],
-        F.col("best.rule").alias(names["rule"]),
-        F.coalesce(F.col("best.verdict"), F.lit(default)).alias(names["verdict"]),
-    )
+    out = out.select(*parted.columns, F.col("best.rule"), F.coalesce(F.col("best.verdict"), F.lit(default)))
+    return out.toDF(*pages.columns, *names.values())

@@ -5,7 +5,11 @@ import re
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators would give their own columns.
-CLASHING = ["n_words", "kept", "text_", "n_lines", "n_removed", "ids", "node", "lang_pred", "score", "id", "h", "c0"]
+CLASHING = [
+    "n_words", "kept", "text_", "n_lines", "n_removed", "ids", "node", "lang_pred", "score", "id", "h", "c0", "p", "best", "_d", "_s",
+    "_n", "_i", "times", "size", "size_", "src", "n", "copy", "a.b", "a`b", "digest", "class_id", "host", "path", "rule", "verdict", "short",
+    "rule_host", "taken", "block", "start", "place", "js_chars", "decodes", "n_tokens", "raw", "dg", "_text", "held_out", "n_chars_",
+]
 
 
 def sentence(rng, n, words=None):
@@ -42,7 +46,7 @@ def awkward(spark, clash=False, rows=None):
         from pyspark.sql import functions as F
 
         for i, c in enumerate(CLASHING):
-            df = df.withColumn(c, F.lit(i))
+            df = df.withColumn(c, F.lit(i))  # dots and backquotes are part of a name here
     return df.repartition(3)
 
 
