@@ -86,6 +86,26 @@ def free_name(df: DataFrame, base: str) -> str:
     return name
 
 
+def with_computed(df: DataFrame, run: Callable[[Iterator], Iterator], added: dict[str, str]) -> DataFrame:
+    """The columns of ``df`` and what ``run`` adds to them. It gets Arrow batches
+    and yields batches of their columns and the new ones, in the order of
+    ``added`` (name: type). Inside, columns have plain names, whatever theirs
+    are; a clash gets an underscore before the new name. Batches are named by
+    :func:`batch_of`."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    schema = plain.limit(0)
+    for i, kind in enumerate(added.values()):
+        schema = schema.withColumn(f"x{i}", F.lit(None).cast(kind))
+    out = plain.mapInArrow(run, schema.schema)
+    return out.toDF(*df.columns, *[free_name(df, k) for k in added])
+
+
+def batch_of(own: list, new: list) -> pa.RecordBatch:
+    """A batch for :func:`with_computed`: given columns and new ones."""
+    names = [*(f"c{i}" for i in range(len(own))), *(f"x{i}" for i in range(len(new)))]
+    return pa.RecordBatch.from_arrays([*own, *new], names=names)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage by a copy in the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)

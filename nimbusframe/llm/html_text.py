@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusframe.llm.common import chunks, column, free_name
+from nimbusframe.llm.common import batch_of, chunks, column, free_name, tidy
 
 #: Lines in a sliding window, and the text (code points) that is a surge.
 WINDOW, SURGE = 3, 80
@@ -383,7 +383,9 @@ def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
     """
     at = pages.columns.index(html_column)
     rest = [c for c in pages.columns if c != html_column]
-    names = [free_name(pages.select(*[column(pages, c) for c in rest]) if rest else pages, k) for k in ("text", "n_chars")]
+    others = pages.select(*[column(pages, c) for c in rest])
+    # Inside, columns have plain names; the markup's own is free again.
+    plain = pages.toDF(*[f"c{i}" for i in range(len(pages.columns))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -391,15 +393,10 @@ def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
             for lo, hi in chunks([len(x or "") for x in texts], CHUNK):
                 got = [main_text(x) for x in texts[lo:hi]]
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(part.column(i) for i in range(part.num_columns) if i != at),
-                        pa.array(got, pa.string()),
-                        pa.array([len(x) for x in got], pa.int64()),
-                    ],
-                    names=[*rest, *names],
-                )
-
-    schema = pages.select(*[column(pages, c) for c in rest]).limit(0)
-    schema = schema.withColumn(names[0], F.lit("")).withColumn(names[1], F.lit(None).cast("long"))
-    return pages.mapInArrow(run, schema.schema)
+                own = [part.column(i) for i in range(part.num_columns) if i != at]
+                yield batch_of(own, [pa.array(got, pa.string()), pa.array([len(x) for x in got], pa.int64())])
+
+    schema = others.toDF(*[f"c{i}" for i in range(len(rest))]).limit(0)
+    schema = schema.withColumn("x0", F.lit("")).withColumn("x1", F.lit(None).cast("long"))
+    out = plain.mapInArrow(tidy(run), schema.schema)
+    return out.toDF(*rest, *[free_name(others, k) for k in ("text", "n_chars")])

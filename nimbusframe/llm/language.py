@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusframe.llm.common import chunks, column, free_name
+from nimbusframe.llm.common import batch_of, chunks, column, tidy, with_computed
 
 UNKNOWN = "und"
 #: Labelled documents per language that the model is fitted on, about (the
@@ -27,6 +27,10 @@ SAMPLE = 2_000
 #: Cells that letter groups of a word are hashed to; the model has this many
 #: rows for each language, whatever the sample.
 CELLS = 1 << 16
+#: Fewest documents of a language that is learned, and least share of all
+#: labelled documents, one in so many: a dirty label is none, and a model has
+#: at most so many languages.
+LEAST_DOCS, MOST_LANGUAGES = 10, 500
 #: Letters in a group, from one to this many.
 GROUP = 4
 #: What a language must gain on its neighbours for a span of its own.
@@ -199,13 +203,18 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", by: str = "do
     """Fit a model on rows with text and language: about ``sample`` documents
     of each language, chosen by a hash of ``by`` (whole texts).
 
-    Tasks add up cells and scripts; the driver gets at most ``CELLS`` numbers a
-    language. Without any labelled text the model knows no language."""
+    A language needs ``LEAST_DOCS`` labelled documents and one in
+    ``MOST_LANGUAGES`` of all. Tasks add up cells and scripts; the driver gets
+    at most ``CELLS`` numbers a language. Without any labelled text the model
+    knows no language."""
     rows = docs.select(
         column(docs, by).cast("string").alias("by"), column(docs, lang).cast("string").alias("lang"),
         column(docs, text).alias("text"),
     ).dropna(subset=["lang", "text"])
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    labels = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    total = labels.agg(F.sum("n")).scalar()
+    known = labels.where((F.col("n") >= LEAST_DOCS) & (F.col("n") * MOST_LANGUAGES >= total))  # MOST_LANGUAGES rows at most
+    sizes = {r["lang"]: r["n"] for r in known.collect()}
     draw = F.pmod(F.xxhash64(F.coalesce("by", F.lit(""))), F.lit(1 << 30))
     chosen = F.lit(False)
     for name, n in sizes.items():
@@ -255,15 +264,15 @@ def predict(docs: DataFrame, model: Model, text: str = "text", spans: bool = Fal
     number of spans. With ``spans``, also ``spans``: an array of (lang, first
     and last word, counted over runs of letters). Null texts, texts without a
     letter and models without a language give ``und``, score 0 and no span.
-    Only the text is looked at. Rows are independent, so repeats and ties do
-    not matter; other columns pass through, and clashing names get an
+    Only the text is looked at. Texts of any length are labelled whole, word by word.
+    Rows are independent, so repeats and ties do not matter; an empty table
+    gives an empty one; other columns pass through, and clashing names get an
     underscore before the new one. One pass without a shuffle.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # CELLS numbers a language
     kinds = {"lang_pred": "string", "score": "double", "n_spans": "int"}
     if spans:
         kinds["spans"] = "array<struct<lang:string,first:int,last:int>>"
-    names = [free_name(docs, k) for k in kinds]
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,14 +285,9 @@ def predict(docs: DataFrame, model: Model, text: str = "text", spans: bool = Fal
                 if spans:
                     kind = pa.struct([("lang", pa.string()), ("first", pa.int32()), ("last", pa.int32())])
                     arrays.append(pa.array(got[3], pa.list_(kind)))
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(lo, hi - lo).columns, *arrays], names=[*batch.schema.names, *names]
-                )
-
-    schema = docs.limit(0)
-    for name, kind in zip(names, kinds.values(), strict=True):
-        schema = schema.withColumn(name, F.lit(None).cast(kind))
-    return docs.mapInArrow(run, schema.schema)
+                yield batch_of(batch.slice(lo, hi - lo).columns, arrays)
+
+    return with_computed(docs, tidy(run), kinds)
 
 
 def label_texts(model: Model, texts: list[str | None], spans: bool = False) -> tuple[list, np.ndarray, np.ndarray, list]:

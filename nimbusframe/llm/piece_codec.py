@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusframe.llm.common import chunks, column, free_name
+from nimbusframe.llm.common import batch_of, chunks, column, with_computed
 
 #: Short parts of texts whose path a task remembers, and lengths of starts that
 #: share theirs.
@@ -444,13 +444,13 @@ def encode_texts(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
 
     ``model`` is the path of a model file. Null text has null ids, no tokens
     and null ``decodes``; an empty text has no ids and decodes. Whole texts are
-    encoded, of any length, cut only where no piece can cross. Rows are treated
+    encoded, of any length, cut only where no piece can cross; an empty table
+    gives an empty one. Rows are treated
     one by one, so ties, repeats and order do not matter; other columns pass
     through and clashing names get an underscore before the new one. One pass
     without a shuffle; a task remembers a bounded number of word paths.
     """
     sent = docs.sparkSession.sparkContext.broadcast(read_model(model))
-    names = [free_name(docs, k) for k in ("ids", "n_tokens", "decodes")]
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -469,33 +469,22 @@ def encode_texts(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
                 lists = pa.ListArray.from_arrays(
                     pa.array(offsets), pa.array(np.frombuffer(flat, dtype=np.int32)), mask=pa.array(none, pa.bool_())
                 )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *batch.slice(lo, hi - lo).columns, lists,
-                        pa.array(np.diff(offsets).astype(np.int64)), pa.array(same, pa.bool_()),
-                    ],
-                    names=[*batch.schema.names, *names],
-                )
+                new = [lists, pa.array(np.diff(offsets).astype(np.int64)), pa.array(same, pa.bool_())]
+                yield batch_of(batch.slice(lo, hi - lo).columns, new)
 
-    schema = docs.limit(0)
-    for name, kind in zip(names, ("array<int>", "long", "boolean"), strict=True):
-        schema = schema.withColumn(name, F.lit(None).cast(kind))
-    return docs.mapInArrow(run, schema.schema)
+    return with_computed(docs, run, {"ids": "array<int>", "n_tokens": "long", "decodes": "boolean"})
 
 
 def decode_ids(rows: DataFrame, model: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """The columns of ``rows`` with the text of their ids in ``into`` (null
     ids: null)."""
     sent = rows.sparkSession.sparkContext.broadcast(read_model(model))
-    name = free_name(rows, into)
     at = rows.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = codec(sent.value)
         for batch in batches:
             got = [None if k is None else machine.decode(k) for k in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(got, pa.string())], names=[*batch.schema.names, name]
-            )
+            yield batch_of(batch.columns, [pa.array(got, pa.string())])
 
-    return rows.mapInArrow(run, rows.limit(0).withColumn(name, F.lit(None).cast("string")).schema)
+    return with_computed(rows, run, {into: "string"})

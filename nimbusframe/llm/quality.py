@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nimbusframe.llm.common import chunks, column, free_name, tidy, words
+from nimbusframe.llm.common import batch_of, chunks, column, tidy, with_computed, words
 
 #: Characters that count as symbols (fixed by the task).
 SYMBOLS = "#*$%&|<>"
@@ -26,6 +26,10 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 COMMON = 40
 #: Shortest documents (words) for the character and the word comparison.
 GUARD_CHARS, GUARD_WORDS = 20, 50
+#: A language has a reference if it has so many documents that count for one,
+#: with so many words, and one in ``MOST_LANGUAGES`` of all such documents: else
+#: a rare or dirty label would be its own measure.
+LEAST_DOCS, LEAST_SIZE, MOST_LANGUAGES = 10, 2_000, 500
 #: Greatest distances accepted; 0 is equal, 1 has nothing in common. The word
 #: histogram of ``n`` words is off by chance by about 1 / sqrt(n), which is
 #: allowed for in this proportion.
@@ -105,8 +109,8 @@ def repeated_words(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 def count_corpus(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, kind, item, n) over all documents with a language and
-    ``LEAST_WORDS`` words: characters by class (kind ``char``) and words in
-    lower case (kind ``word``). Tasks sum what a chunk of documents has before
+    ``LEAST_WORDS`` words: characters by class (kind ``char``), words in lower
+    case (kind ``word``) and documents (kind ``doc``). Tasks sum what a chunk of documents has before
     rows leave Python; Spark sums the rest."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,19 +119,21 @@ def count_corpus(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
             for lo, hi in chunks([len(x) for x in texts], CHUNK * 3):
                 char: dict[str, np.ndarray] = {}
                 word: dict[str, Counter] = {}
+                count: Counter = Counter()
                 for lg, x in zip(langs[lo:hi], texts[lo:hi], strict=True):
                     w = words(x.lower())
                     if len(w) < LEAST_WORDS:
                         continue
                     if lg not in char:
                         char[lg], word[lg] = np.zeros(len(CLASSES)), Counter()
+                    count[lg] += 1
                     char[lg] += class_counts(x)
                     word[lg].update(w)
                 for lg, c in char.items():
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([lg] * len(CLASSES), pa.string()), pa.array(["char"] * len(CLASSES)),
-                            pa.array(CLASSES), pa.array(c.astype(np.int64)),
+                            pa.array([lg] * (len(CLASSES) + 1), pa.string()), pa.array(["char"] * len(CLASSES) + ["doc"]),
+                            pa.array([*CLASSES, ""]), pa.array([*c.astype(np.int64).tolist(), count[lg]], pa.int64()),
                         ], names=["lang", "kind", "item", "n"],
                     )
                     items = list(word[lg].items())
@@ -150,15 +156,22 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", common:
     """Language references from the whole corpus: ``{lang: (character counts,
     {common word: bin}, word counts with the rest in the last bin)}``.
 
-    Only the ``common`` most frequent words of each language (ties by the
-    word) and two sums come to the driver: common + 9 rows a language."""
+    A language needs ``LEAST_DOCS`` documents, ``LEAST_SIZE`` words and its
+    share of all documents (one in ``MOST_LANGUAGES``). Only the ``common`` most
+    frequent words of each such language (ties by the word) and two sums come
+    to the driver: common + 9 rows for at most ``MOST_LANGUAGES``."""
     counted = count_corpus(docs, text, lang)
+    sums = counted.groupBy("lang").agg(
+        F.sum(F.when(F.col("kind") == "word", F.col("n"))).alias("n"), F.sum(F.when(F.col("kind") == "doc", F.col("n"))).alias("docs")
+    )
+    # A row for each value of the language column.
+    sums = sums.withColumn("all", F.sum("docs").over(Window.partitionBy()))
+    known = sums.where((F.col("docs") >= LEAST_DOCS) & (F.col("n") >= LEAST_SIZE) & (F.col("docs") * MOST_LANGUAGES >= F.col("all")))
     top = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
-    ranked = counted.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= max(common, len(CLASSES)))
-    # Partial sums a task; the ranking above keeps ``common`` rows a task and language.
-    all_words = counted.where("kind = 'word'").groupBy("lang").agg(F.sum("n").alias("n"))
+    ranked = counted.where("kind <> 'doc'").withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= max(common, len(CLASSES)))
     rows = ranked.where((F.col("kind") == "char") | (F.col("rank") <= common)).select("lang", "kind", "item", "n")
-    rows = rows.unionByName(all_words.select("lang", F.lit("all").alias("kind"), F.lit("").alias("item"), "n"))
+    rows = rows.join(known.select("lang"), "lang")
+    rows = rows.unionByName(known.select("lang", F.lit("all").alias("kind"), F.lit("").alias("item"), "n"))
     out: dict[str, list] = {}
     for r in sorted(rows.collect(), key=lambda r: (r["lang"], r["kind"], -r["n"], r["item"])):
         char, bins, n, total = out.setdefault(r["lang"], [np.zeros(len(CLASSES)), {}, [], []])
@@ -233,7 +246,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: dict |
     passes them in); with none, only the base rules hold. Shorter documents
     stay out: they fail the base rules, so no reference is needed to judge
     them, and menus and fragments would blur the references of whole texts. A
-    language found only in short texts has no reference.
+    language found only in short texts, or in few (:func:`references`), has no
+    reference. Texts of any length are looked at whole.
 
     Null text counts as no words and fails the base rules, like an empty one.
     Null languages join no reference but are judged. Repeated rows are judged
@@ -243,7 +257,6 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: dict |
     """
     refs = references(docs, text, lang) if refs is None else refs
     known = docs.sparkSession.sparkContext.broadcast(refs)  # common + 9 numbers a language
-    names = {k: free_name(docs, k) for k in _TYPES}
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,18 +265,15 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", refs: dict |
             for lo, hi in chunks([len(x or "") for x in texts], CHUNK * 3):
                 got = assess(texts[lo:hi], known.value)
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *(pa.array(got[k]) for k in _TYPES)], names=[*batch.schema.names, *names.values()]
-                )
+                yield batch_of(part.columns, [pa.array(got[k]) for k in _TYPES])
 
-    schema = docs.limit(0)
-    for k, kind in _TYPES.items():
-        schema = schema.withColumn(names[k], F.lit(None).cast(kind))
-    return docs.mapInArrow(tidy(run), schema.schema)
+    return with_computed(docs, tidy(run), _TYPES)
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that :func:`judge` keeps, with their own columns only."""
+    """The rows of ``docs`` that :func:`judge` keeps, with their own columns
+    only, whatever these are called. Nulls, long texts, repeated rows and empty
+    tables are as there."""
     judged = judge(docs, text, lang)
     kept = judged.columns[len(docs.columns) + list(_TYPES).index("kept")]
     return judged.where(column(judged, kept)).select(*[column(judged, c) for c in docs.columns])

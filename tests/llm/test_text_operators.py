@@ -96,6 +96,35 @@ def test_quality_agrees_with_labels(spark):
     assert good.mean() >= 0.99 and bad.mean() <= 0.1
 
 
+def test_rare_labels_are_no_reference(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    junk = [(10_000 + i, " ".join(f"Zq{i}x#{k}" for k in range(80)), lang) for i, lang in enumerate(["xx", None, *["yy"] * 5])]
+    both = docs.unionByName(spark.createDataFrame(junk, docs.schema))
+    assert set(quality.references(both)) == set(quality.references(docs)) == {r["lang"] for r in docs.select("lang").dropna().distinct().collect()}
+    got = {r["doc_id"]: r["kept"] for r in quality.judge(both).where("doc_id >= 10000").collect()}
+    assert len(got) == 7 and not any(got.values())
+    dirty = docs.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("l"), "doc_id")).otherwise(F.col("lang")))
+    assert len(quality.references(dirty)) <= 5
+    model = language.learn(dirty)
+    assert not any(k[1:].isdigit() for k in model.languages) and model.languages
+
+
+def test_names_of_columns_do_not_matter(spark):
+    docs = awkward(spark, clash=True)
+    rows = len(awkward_rows())
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and kept.count() <= rows
+    coded = piece_codec.encode_texts(docs, PIECE_MODEL)
+    assert coded.columns == [*docs.columns, "_ids", "_n_tokens", "_decodes"]
+    assert piece_codec.decode_ids(coded, PIECE_MODEL, "_ids", "a.b").columns[-1] == "_a.b"
+    pages = docs.withColumn("url", F.lit("http://example.com/en/x")).withColumn("html", F.lit("<p>some text</p>"))
+    got = url_filter.filter_urls(pages, url_filter.rule_table(spark, URL_RULES))
+    assert got.columns == [*pages.columns, "_host", "_path", "_rule", "_verdict"]
+    assert {tuple(r[-4:]) for r in got.collect()} == {("example.com", "/en/x", "example.com/en/", "block")}
+    text = html_text.extract(pages)
+    assert text.count() == rows and {r["_text_"] if "_text_" in text.columns else r[-2] for r in text.collect()} == {"some text"}
+
+
 def test_quality_without_languages_keeps_the_base_rules(spark):
     docs = awkward(spark).withColumn("lang", F.lit(None).cast("string"))
     got = quality.judge(docs).toPandas()
