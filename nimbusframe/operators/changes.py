@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -375,6 +375,10 @@ def patch(
     return Change(new_state.drop("_applied"), accepted=accepted, rejected=missing.unionByName(invalid))
 
 
+#: Shares that rows are dealt to when they meet the keys of a violated rule.
+SALTS = 32
+
+
 def check_constraints(
     df: DataFrame,
     not_null: Sequence[str] = (),
@@ -387,9 +391,21 @@ def check_constraints(
     CHECK, ENUM and FOREIGN KEY rules. Returns the valid rows as ``state`` and
     one row per (row, violated rule) as ``rejected`` with a ``rule`` column.
 
-    UNIQUE is a grouped count joined back on the key (partial aggregation, no
-    window); a foreign key is a left join to the parent's distinct keys."""
+    UNIQUE and FOREIGN KEY work in two phases: first the keys that repeat, or
+    miss in the parent, are found by an aggregation (a hot key is one row a
+    task there), and only these are joined back. Rows are salted for that and
+    the found keys repeated for every salt, so that neither a hot key nor rows
+    with NULL keys, which match nothing, meet in one task."""
     flags: dict[str, Column] = {}
+
+    def marked(rows: DataFrame, found: DataFrame, cols: list[str], name: str) -> DataFrame:
+        found = found.select(*cols, F.lit(True).alias(name), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+        # Any salt gives the same result, so it need not be the same on a retry. Rows with a NULL key have salts of their own.
+        none = reduce(or_, [F.col(c).isNull() for c in cols])
+        at = F.monotonically_increasing_id()
+        dealt = rows.withColumn("_salt", F.when(none, SALTS + at % 4096).otherwise(at % SALTS).cast("int"))
+        return dealt.join(found, [*cols, "_salt"], "left").drop("_salt")
+
     for c in not_null:
         flags[f"not_null:{c}"] = F.col(c).isNull()
     for name, cond in (checks or {}).items():
@@ -399,17 +415,14 @@ def check_constraints(
         flags[f"enum:{c}"] = F.col(c).isNotNull() & ~F.col(c).isin(list(allowed))
     out = df
     for i, cols in enumerate(unique):
-        cnt = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(f"_u{i}"))
-        out = out.join(cnt, list(cols), "left")
-        # NULLs never collide in a UNIQUE constraint
-        nn = None
-        for c in cols:
-            nn = F.col(c).isNotNull() if nn is None else nn & F.col(c).isNotNull()
-        flags[f"unique:{','.join(cols)}"] = nn & (F.col(f"_u{i}") > 1)
+        whole = df.select(*cols).dropna()  # NULLs never collide in a UNIQUE constraint
+        again = whole.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+        out = marked(out, again, list(cols), f"_u{i}")
+        flags[f"unique:{','.join(cols)}"] = F.coalesce(F.col(f"_u{i}"), F.lit(False))
     for i, (fk, parent, pk) in enumerate(foreign):
-        pk_df = parent.select(F.col(pk).alias(f"_fk{i}")).distinct().withColumn(f"_fkok{i}", F.lit(True))
-        out = out.join(pk_df, out[fk] == pk_df[f"_fk{i}"], "left").drop(f"_fk{i}")
-        flags[f"foreign:{fk}"] = F.col(fk).isNotNull() & F.col(f"_fkok{i}").isNull()
+        missing = df.select(fk).dropna().distinct().join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
+        out = marked(out, missing, [fk], f"_f{i}")
+        flags[f"foreign:{fk}"] = F.coalesce(F.col(f"_f{i}"), F.lit(False))
     names = list(flags)
     viol = F.filter(
         F.array(*[F.when(flags[n], F.lit(n)) for n in names]), lambda x: x.isNotNull()

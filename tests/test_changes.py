@@ -279,3 +279,28 @@ def test_requests_follow_their_order_and_roll_back(spark):
     assert [(x.gas_price_id, x.price) for x in r.prices.collect()] == [(5, 3.126)]
     assert rows(r.bodies, "request_id", "line", "name", "quantity") == [("r10", 1, "North", None), ("r7", 1, "diesel", None), ("r9", 1, "late", 9)]
     assert {x.request_id: float(x.price) for x in r.bodies.where("action = 'getGasPricesForStore'").collect()} == {"r7": 3.0}
+
+
+def test_constraints_on_null_and_hot_keys_are_spread(spark):
+    # 30 % NULL keys, one key on 30 % of the rows that repeats and misses in the parent
+    n = 40_000
+    kind = F.col("id") % 10
+    df = spark.range(n, numPartitions=8).select(
+        F.col("id").alias("row"), F.when(kind < 3, None).when(kind < 6, -1).otherwise(F.col("id")).alias("k"),
+        F.when(kind < 3, None).when(kind < 6, -1).otherwise(F.col("id") % 100).alias("fk"))
+    parent = spark.range(99).withColumnRenamed("id", "pk")
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        for k, v in zip(keys, ("false", "-1", "20")):
+            spark.conf.set(k, v)
+        r = M.check_constraints(df, unique=[["k"]], foreign=[("fk", parent, "pk")])
+        whole = r.state.withColumn("p", F.spark_partition_id()).groupBy("p").count()
+        broken = r.rejected.withColumn("p", F.spark_partition_id()).groupBy("p").count()
+        sizes = sorted(x["n"] for x in whole.unionByName(broken).groupBy("p").agg(F.sum("count").alias("n")).collect())
+        rules = dict(r.rejected.groupBy("rule").count().collect())
+        assert r.state.count() == n * 7 // 10 - n // 100 and rules == {"unique:k": n * 3 // 10, "foreign:fk": n * 3 // 10 + n // 100}
+        assert max(sizes) <= 4 * sizes[len(sizes) // 2]
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
