@@ -11,21 +11,52 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from nimbusframe.functions.nested import unmarshal
 
 
-def read_documents(spark: SparkSession, path: str, schema: StructType | str | None = None, multiline: bool = True) -> DataFrame:
-    """Nested JSON documents. ``multiline=True`` reads one object per file
-    (the export format); ``False`` reads JSON Lines, which splits across tasks -
-    prefer it for large exports. Give ``schema`` to skip inference."""
-    r = spark.read.option("multiLine", multiline)
+def read_documents(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, multiline: bool = True, corrupt: str | None = None
+) -> DataFrame:
+    """Nested JSON documents. ``multiline=True`` reads one object, or one
+    array of objects, per file (the export format; a file is one task's work);
+    ``False`` reads JSON Lines, which splits across tasks - prefer it for large
+    exports. Give ``schema`` to skip inference.
+
+    Parsing is permissive: what is no JSON, or does not fit the schema, is a row
+    of nulls. With ``corrupt`` such a row has its text in a column of that name
+    (null in all others), for :func:`split_corrupt`; it needs a ``schema``."""
+    r = spark.read.option("multiLine", multiline).option("mode", "PERMISSIVE")
+    if corrupt is not None:
+        if schema is None:
+            raise ValueError("corrupt needs a schema")
+        kinds = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        r = r.option("columnNameOfCorruptRecord", corrupt)
+        schema = StructType([*kinds.fields, StructField(corrupt, StringType())])
     if schema is not None:
         r = r.schema(schema)
     return r.json(path)
 
 
+def split_corrupt(documents: DataFrame, corrupt: str) -> tuple[DataFrame, DataFrame]:
+    """(documents without the column, texts of the corrupt ones as ``record``)."""
+    # Spark reads that column only together with others, so the condition names them.
+    seen = F.size(F.array(*[F.col(c).isNull() for c in documents.columns if c != corrupt])) > 0
+    bad = documents.where(F.col(corrupt).isNotNull() & seen).select(F.col(corrupt).alias("record"))
+    return documents.where(F.col(corrupt).isNull()).drop(corrupt), bad
+
+
+def write_document_files(documents: DataFrame, path: str, docs_per_file: int = 10_000) -> None:
+    """Documents as multi-line files, each an indented JSON array of about
+    ``docs_per_file`` objects; the files are written in parallel. Documents are
+    dealt by a hash of their text; equal documents share a file."""
+    text = documents.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("doc"))
+    files = max(1, -(-documents.count() // docs_per_file))
+    dealt = text.groupBy(F.pmod(F.xxhash64("doc"), F.lit(files)).alias("file")).agg(F.array_join(F.collect_list("doc"), ",\n").alias("docs"))
+    dealt.select(F.concat(F.lit("[\n"), "docs", F.lit("\n]"))).write.option("maxRecordsPerFile", 1).text(path)
+
+
 def inline_table(spark: SparkSession, rows: Sequence[Sequence[object]], schema: StructType | str) -> DataFrame:
     """Rows given inline (seed data, ``VALUES``)."""
     return spark.createDataFrame(list(rows), schema=schema)
