@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nimbusframe.session import ensure_checkpoint_dir
@@ -112,6 +113,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cleaned(spark: SparkSession) -> None:
+    """Let Spark drop what earlier steps of an iterative job left: shuffle files
+    and checkpoints go when the driver's garbage collector finds that nothing
+    refers to them, which a mostly idle driver is slow to do by itself."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", salts: int = 8) -> DataFrame:
     """Connected components by alternating large-star and small-star steps.
 
@@ -148,5 +157,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", salts: int = 8) ->
             cur.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down"))
         )
         ends = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-        if not ends.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).limit(1).count():
+        open_ = ends.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).limit(1).count()
+        del both, large, small, ends
+        cleaned(cur.sparkSession)
+        if not open_:
             return cur.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusframe.llm.common import WORD_PATTERN, checkpointed, chunks, column, components, give_back, tidy, words
+from nimbusframe.llm.common import WORD_PATTERN, checkpointed, chunks, cleaned, column, components, give_back, tidy, words
 
 #: Words in a shingle and the least similarity of near duplicates (fixed by the task).
 SHINGLE, SIMILAR = 5, 0.8
@@ -334,12 +334,14 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
     )
     star = checkpointed(star)
     links = checkpointed(verified(star, texts_of(star, nodes, rows)))
+    cleaned(nodes.sparkSession)
     # One step is enough here: near copies hang on the smallest node they share a
     # tuple with. Where it is not, more pairs are compared, none fewer.
     labels = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("c"))
     placed = tuples.join(shared.select("j", "h").hint("merge"), ["j", "h"]).join(labels.hint("merge"), "node", "left")
     placed = placed.withColumn("c", F.coalesce("c", "node")).withColumn("key", F.xxhash64("j", "h"))
     placed = checkpointed(placed.select("key", "j", "node", "n", "c"))
+    del tuples, shared, labels
     seen, kept = star, None
     for again in range(ROUNDS + 1):
         # Tuples whose texts hang on more than one node, and of each a centre on the last of these.
@@ -359,6 +361,7 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
         seen = seen.unionByName(ring)
         more = checkpointed(verified(ring, kept))
         links = links.unionByName(more)
+        cleaned(nodes.sparkSession)
         # What hangs on linked nodes hangs on the smallest within two steps.
         own = open_.select("node", "c").distinct()
         ends = more.join(own.select(F.col("node").alias("a"), F.col("c").alias("l")), "a").join(
@@ -421,7 +424,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     # Numbers for the nodes: fixed by the copy in the checkpoint folder.
     nodes = checkpointed(nodes.withColumn("node", F.monotonically_increasing_id()))
-    found = components(link_texts(nodes, rows))
+    links = checkpointed(link_texts(nodes, rows))
+    cleaned(docs.sparkSession)
+    found = components(links)
     placed = nodes.select("node", "digest", "id").join(found.hint("merge"), "node", "left")
     placed = checkpointed(placed.select("digest", "id", F.coalesce("component", "node").alias("c")))
     least = placed.groupBy("c").agg(F.min("id").alias("class_id"))
