@@ -181,43 +181,6 @@ def overlapping_pairs(
     return pairs.where(F.col(f"{id_col}_a") < F.col(f"{id_col}_b")).select(*keys, f"{id_col}_a", f"{id_col}_b")
 
 
-def count_at_most(
-    points: DataFrame,
-    queries: DataFrame,
-    keys: Sequence[str],
-    t: str,
-    qid: str,
-    block: int,
-    strict: bool = False,
-) -> DataFrame:
-    """For every query row ``(keys, qid, t)``: how many point rows ``(keys, t)``
-    of the same keys have ``t <= query t`` (``< `` when ``strict``).
-
-    No pairs are formed. Time is cut into blocks of width ``block``: the
-    number of points in earlier blocks comes from a per-(keys, block) count
-    with a running sum over blocks (one row per key and block), and the points
-    inside the query's own block from a running count over that block's rows
-    only - so one hot key is spread over its blocks instead of one task."""
-    # kind orders points and queries that share a time: points first for <=, queries first for <
-    p_kind, q_kind = (1, 0) if strict else (0, 1)
-    pts = points.select(*keys, F.col(t).alias("_t"), F.lit(p_kind).alias("_kind"), F.lit(None).cast(queries.schema[qid].dataType).alias(qid))
-    qs = queries.select(*keys, F.col(t).alias("_t"), F.lit(q_kind).alias("_kind"), F.col(qid))
-    ev = pts.unionByName(qs).withColumn("_blk", F.floor(F.col("_t") / F.lit(block)).cast("bigint"))
-    is_pt = (F.col("_kind") == p_kind).cast("bigint")
-    per_block = ev.groupBy(*keys, "_blk").agg(F.sum(is_pt).alias("_n"))
-    before = per_block.withColumn(
-        "_before",
-        F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select(*keys, "_blk", "_before")
-    within = ev.withColumn(
-        "_within",
-        F.sum(is_pt).over(Window.partitionBy(*keys, "_blk").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)),
-    ).where(F.col("_kind") == q_kind)
-    return within.join(before, list(keys) + ["_blk"]).select(
-        *keys, qid, (F.col("_before") + F.col("_within")).cast("bigint").alias("n")
-    )
-
-
 def overlap_counts(
     df: DataFrame,
     id_col: str,
@@ -233,8 +196,7 @@ def overlap_counts(
     One sorted pass computes both counts: four event kinds per key - starts,
     "<" queries (at ``lo``), "<=" queries (at ``hi``) and ends, ordered in that
     sequence at equal times - carry a running count of starts and of ends.
-    As in :func:`count_at_most` the running counts are taken per (key, time
-    block) plus a carry from one row per earlier block, so the cost is a sort
+    The running counts are taken per (key, time block) plus a carry from one row per earlier block, so the cost is a sort
     and a few aggregations, never the number of overlapping pairs (which
     grows quadratically when ranges are long or one key is hot).
 
