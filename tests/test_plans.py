@@ -59,3 +59,58 @@ def test_exchanges_are_bounded(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert len(re.findall(r"\bExchange \w", plan)) <= EXCHANGES[name], plan
     assert name != "a4_distinct" or "Expand" not in plan
+
+
+def _rows_scanned(df):
+    """Rows that the file scans of an executed plan put out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.executedPlan().collectLeaves() if plan.nodeName().startswith("Adaptive") else plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_point_lookups_skip_row_groups(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+
+    from nimbusframe.sources import io as IO
+
+    # the second key has no order in the files: only its Bloom filter can tell row groups apart
+    df = spark.range(200_000).select(F.col("id").alias("a"), F.abs(F.xxhash64("id")).alias("b"), F.expr("repeat('x', 20)").alias("t"))
+    IO.write_keyed(df, f"{tmpdir_path}/keyed", ["a", "b"], distinct=20_000, row_group=256 << 10)
+    df.repartition(4).write.option("parquet.block.size", 256 << 10).parquet(f"{tmpdir_path}/plain")
+    b = df.where("a = 777").first()["b"]
+    keyed, plain = (spark.read.parquet(f"{tmpdir_path}/{x}") for x in ("keyed", "plain"))
+    for key, value in (("a", 777), ("b", b)):
+        hit = keyed.where(F.col(key) == value)
+        assert [r["a"] for r in hit.collect()] == [777]
+        assert 0 < _rows_scanned(hit) <= 20_000 and _rows_scanned(plain.where(F.col(key) == value)) >= 50_000
+    assert _rows_scanned(keyed.where(F.col("b") == b + 1)) == 0
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+
+    from nimbusframe.plans import reports as R
+    from nimbusframe.plans import standins as SI
+    from nimbusframe.session import Tables
+    from nimbusframe.sources import io as IO
+
+    t = Tables(spark, SF_SMALL)
+    roster = SI.roster(t.customer, t.part, t.lineitem, t.orders)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for name, df in (("bucketed_s", roster.students), ("bucketed_e", roster.enrollments)):
+            IO.drop_table(spark, name)
+            IO.save_table(df, name, path=f"{tmpdir_path}/{name}", buckets=4, bucket_by=["student_id"])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        students, rows = spark.table("bucketed_s"), spark.table("bucketed_e")
+        per = rows.groupBy("student_id").agg(F.count("*").alias("n"))
+        for df in (students.join(rows, "student_id", "left"), students.join(per, "student_id"), students.join(rows, "student_id").groupBy("student_id").count()):
+            assert "Exchange" not in _plan(df)
+        assert "Exchange" in _plan(roster.students.join(roster.enrollments, "student_id"))
+        joined = R.enrolment_list(R.Roster(students, roster.courses, rows, name_cols=("name",)))
+        assert joined.count() == R.enrolment_list(roster).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in ("bucketed_s", "bucketed_e"):
+            IO.drop_table(spark, name)
