@@ -29,6 +29,8 @@ PER_PIVOT, MOST_PIVOTS = 24, 8192
 APART = 0.9
 #: Vectors in a block of an inverted list; longer lists are compared block by block.
 BLOCK = 1024
+#: Vectors of a block pair that a point's own list counts as long with.
+LONG = 64
 
 
 def unit_vectors(vectors: DataFrame) -> DataFrame:
@@ -108,6 +110,41 @@ def describe(nodes: DataFrame, pivots: dict[int, np.ndarray], depth: int) -> Dat
     return nodes.mapInArrow(run, nodes.limit(0).withColumn("near", F.lit(None).cast("array<int>")).schema)
 
 
+def _common(near: list[list[int]], pivot: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many points before ``pivot``, and after it, each row of ``a`` shares
+    with each of ``b``. Points of few rows are intersected through their own
+    short lists, the others, which are few, by a product of incidence matrices;
+    so the work follows the rows and not the number of points there are."""
+    row = np.repeat(np.arange(len(near)), [len(r) for r in near])
+    point = np.fromiter((p for r in near for p in r), dtype=np.int64, count=len(row))
+    row, point = row[point != pivot], point[point != pivot]
+    order = np.argsort(point, kind="stable")
+    row, point = row[order], point[order]
+    first = np.flatnonzero(np.append(True, point[1:] != point[:-1]))[: len(point)]
+    count = np.diff(np.append(first, len(point)))
+    group = np.repeat(np.arange(len(first)), count)
+    out = np.zeros((2, len(a), len(b)), dtype=np.float32)
+    at_a, at_b = np.full((2, len(near)), -1)
+    at_a[a], at_b[b] = np.arange(len(a)), np.arange(len(b))
+    side = (point > pivot).astype(np.int64)
+    large = count > LONG
+    name = np.cumsum(large) - 1
+    for s in (0, 1):
+        own = np.flatnonzero(large[group] & (side == s))
+        has = np.zeros((len(near), int(large.sum())), dtype=np.float32)
+        has[row[own], name[group[own]]] = 1
+        out[s] = has[a] @ has[b].T
+    # Every entry of a short list with every other of it, in both orders.
+    entry = np.flatnonzero(~large[group])
+    many = count[group[entry]]
+    u = np.repeat(entry, many)
+    v = first[group[u]] + np.arange(len(u)) - np.repeat(np.cumsum(many) - many, many)
+    keep = (row[u] != row[v]) & (at_a[row[u]] >= 0) & (at_b[row[v]] >= 0)
+    u, v = u[keep], v[keep]
+    np.add.at(out, (side[u], at_a[row[u]], at_b[row[v]]), 1)
+    return out[0], out[1]
+
+
 def _compare(table: pa.Table, shared: int, cosine: float) -> pa.Table:
     """Links within one pair of blocks of an inverted list: per vector the rows
     linked to it, and edges that connect what is linked. A pair of vectors is
@@ -118,19 +155,11 @@ def _compare(table: pa.Table, shared: int, cosine: float) -> pa.Table:
     nodes = table.column("node").to_pylist()
     x = np.stack([np.frombuffer(u) for u in table.column("unit").to_pylist()])
     near = table.column("near").to_pylist()
-    number: dict[int, int] = {}
-    for row in near:
-        for p in row:
-            number.setdefault(p, len(number))
-    has, early = np.zeros((2, len(near), len(number)), dtype=np.float32)
-    for r, row in enumerate(near):
-        at = [number[p] for p in row]
-        has[r, at] = 1
-        early[r, [number[p] for p in row if p < pivot]] = 1
     a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
-    common = has[a] @ has[b].T
-    need = np.minimum(shared, np.minimum.outer(has[a].sum(1), has[b].sum(1)))
-    candidates = (common >= need) & (early[a] @ early[b].T == 0)
+    size = np.array([len(r) for r in near])
+    earlier, later = _common(near, pivot, a, b)
+    need = np.minimum(shared, np.minimum.outer(size[a], size[b]))
+    candidates = (earlier + later + 1 >= need) & (earlier == 0)
     if i == j:
         candidates &= np.triu(np.ones(candidates.shape, dtype=bool), 1)
     u, v = np.nonzero(candidates & (x[a] @ x[b].T >= cosine - 1e-9))
