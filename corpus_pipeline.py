@@ -1,7 +1,9 @@
 """A training corpus out of raw documents, in five stages.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor
-kept; all but the last return the columns of ``docs``.
+kept; all but the last return the columns of ``docs``, whatever else they are
+called. Nulls in any column, empty and very long texts, ties and repeated rows
+are as the operators' docstrings say; an empty table stays empty.
 """
 
 from __future__ import annotations
