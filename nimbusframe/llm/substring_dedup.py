@@ -15,20 +15,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from nimbusframe.llm.common import chunks, column, free_name, tidy, words
+from nimbusframe.llm.common import chunks, column, free_name, words
 
 #: Words in a passage that counts as a repeat (fixed by the task).
 LENGTH = 50
 #: Characters of texts hashed at once in a task, and words it remembers.
 CHUNK, REMEMBERED = 4_000_000, 300_000
-#: Characters of text per bucket of hashes: a bucket is one task's unit and
-#: has about a window for every six of them.
-BUCKET = 12_000_000
+#: Characters of text in a group of documents, and for a bucket of hashes: one
+#: task's units; there is about a window for every six characters.
+GROUP, BUCKET = 4_000_000, 12_000_000
 
 # Odd multipliers of the two rolling hashes.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -51,12 +50,6 @@ class _Hashes(dict):
 _HASHES = [_Hashes(1), _Hashes(2)]
 
 
-def forget() -> None:
-    """Empty the remembered words."""
-    for known in _HASHES:
-        known.clear()
-
-
 def word_hashes(flat: list[str], which: int) -> np.ndarray:
     """A 64-bit hash of every word."""
     return np.fromiter(map(_HASHES[which].__getitem__, flat), dtype=np.uint64, count=len(flat))
@@ -91,201 +84,204 @@ def _numbers(data: bytes, kind: type, count: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, count).T).view(kind).ravel()
 
 
-def _text_key(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
-
-
-ENTRY = "bucket int, n long, docs binary, counts binary, places binary, hashes binary, more binary"
-
-
-def _packed(buckets: int, hashed: np.ndarray, doc: np.ndarray, place: np.ndarray, keys: list[np.ndarray],
-            more: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Entries dealt to buckets by their hash: a row per bucket with the
-    entries in order of document and place. ``keys`` are numbers of a document."""
-    bucket = (hashed >> np.uint64(40)) % np.uint64(buckets)
-    order = np.argsort(bucket.astype(np.uint32), kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-    rows: list[list] = [[] for _ in range(7)]
-    for b in range(buckets):
-        at = order[edges[b] : edges[b + 1]]
-        if not len(at):
-            continue
-        own = doc[at]
-        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        values = (
-            b, len(at), b"".join(_planes(k[own[first]]) for k in keys),
-            _planes(np.diff(np.append(first, len(at))).astype(np.uint32)), _planes(place[at].astype(np.uint32)),
-            _planes((hashed[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32)) if more is None else _planes(hashed[at]),
-            b"" if more is None else _planes(more[at]),
-        )
-        for r, v in zip(rows, values, strict=True):
-            r.append(v)
-        if sum(map(len, rows[5][-64:])) > 4_000_000 or b == buckets - 1:
-            yield _entry_batch(rows)
-            rows = [[] for _ in range(7)]
-    if rows[0]:
-        yield _entry_batch(rows)
-
-
-def _entry_batch(rows: list[list]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 5)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(r, k) for r, k in zip(rows, kinds, strict=True)],
-        names=["bucket", "n", "docs", "counts", "places", "hashes", "more"],
-    )
-
-
-def _unpacked(table: pa.Table, keys: int, wide: bool) -> tuple[np.ndarray, ...]:
-    """(hash, more, keys..., place) of all entries of a bucket."""
-    parts: list[tuple] = []
-    for r in table.to_pylist():
-        n, docs = r["n"], len(r["counts"]) // 4
-        counts = _numbers(r["counts"], np.uint32, docs)
-        ids = [np.repeat(_numbers(r["docs"][i * docs * 8 : (i + 1) * docs * 8], np.int64, docs), counts) for i in range(keys)]
-        parts.append((
-            _numbers(r["hashes"], np.uint64 if wide else np.uint32, n),
-            _numbers(r["more"], np.uint32, n) if wide else np.zeros(0, dtype=np.uint32),
-            *ids, _numbers(r["places"], np.uint32, n),
-        ))
-    return tuple(map(np.concatenate, zip(*parts, strict=True)))
-
-
-MARKS = "dg int, docs binary, counts binary, places binary"
-
-
-def group_of(ids, groups: int):
-    """Group of documents by id, for numbers and, alike, for a column."""
-    if isinstance(ids, Column):
-        return F.pmod(ids.bitwiseXOR(F.shiftright(ids, 21)), F.lit(groups)).cast("int")
-    return ((ids ^ (ids >> 21)) % groups).astype(np.int32)
-
-
-def _marked(keys: list[np.ndarray], place: np.ndarray, groups: int) -> pa.Table:
-    """Places packed in a row per group of documents; ``keys`` are the id and
-    what else tells documents apart."""
-    group = group_of(keys[0], groups)
-    order = np.lexsort((place, *reversed(keys), group))
-    group, keys, place = group[order], [k[order] for k in keys], place[order]
-    rows: list[list] = [[], [], [], []]
-    edges = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, dtype=np.int64)
-    for lo, hi in zip(edges.tolist(), [*edges[1:].tolist(), len(group)], strict=False):
-        new = np.zeros(hi - lo, dtype=bool)
-        new[0] = True
-        for k in keys:
-            new[1:] |= k[lo + 1 : hi] != k[lo : hi - 1]
-        first = np.flatnonzero(new)
-        values = (
-            int(group[lo]), b"".join(_planes(k[lo:hi][first]) for k in keys),
-            _planes(np.diff(np.append(first, hi - lo)).astype(np.uint32)), _planes(place[lo:hi].astype(np.uint32)),
-        )
-        for r, v in zip(rows, values, strict=True):
-            r.append(v)
-    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    return pa.table([pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], names=["dg", "docs", "counts", "places"])
-
-
-def _places(marks: pa.Table, keys: int) -> dict[tuple, np.ndarray]:
-    """The marked places of every document of a group."""
-    out: dict[tuple, list] = {}
-    for r in marks.to_pylist():
-        docs = len(r["counts"]) // 4
-        ids = [_numbers(r["docs"][i * docs * 8 : (i + 1) * docs * 8], np.int64, docs).tolist() for i in range(keys)]
-        ends = np.cumsum(_numbers(r["counts"], np.uint32, docs).astype(np.int64))
-        place = _numbers(r["places"], np.uint32, int(ends[-1])).astype(np.int64)
-        for k, own in zip(zip(*ids, strict=True), np.split(place, ends[:-1]), strict=True):
-            out.setdefault(k, []).append(own)
-    return {k: np.concatenate(v) for k, v in out.items()}
-
-
-def _texts(batch: pa.RecordBatch | pa.Table, length: int) -> Iterator[tuple]:
-    """(row numbers, words, document of each word, place of each word) of runs
-    of the rows that have ``length`` words."""
-    texts = batch.column("_text").to_pylist()
+def _table(rows: list[tuple], schema: list[tuple[str, pa.DataType]]) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
+    return pa.table([pa.array(list(c), k) for c, (_, k) in zip(columns, schema, strict=True)], names=[n for n, _ in schema])
+
+
+def _schema(parts: list[tuple[str, pa.DataType]]) -> str:
+    return ", ".join(f"{n} {'int' if k == pa.int32() else 'binary'}" for n, k in parts)
+
+
+def _ordered(table: pa.Table) -> tuple[np.ndarray, list[str | None]]:
+    """Ids and texts of a group of documents in order of both, which is the
+    same whenever the group is read."""
+    ids, texts = table.column("id").to_pylist(), table.column("_text").to_pylist()
+    rows = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i] or ""))
+    return np.array([ids[i] for i in rows], dtype=np.int64), [texts[i] for i in rows]
+
+
+def _texts(texts: list[str | None], length: int) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """(words, document of each word, place of each word) of runs of the texts
+    that have ``length`` words."""
     for lo, hi in chunks([len(x or "") for x in texts], CHUNK):
         split = [words(x) for x in texts[lo:hi]]
         rows = [i for i, w in enumerate(split) if len(w) >= length]
         if rows:
             sizes = np.array([len(split[i]) for i in rows], dtype=np.int64)
             flat = [w for i in rows for w in split[i]]
-            doc = np.repeat(np.arange(len(rows)), sizes)
             place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            yield [lo + i for i in rows], flat, doc, place
+            yield flat, np.repeat(lo + np.array(rows), sizes), place
+
+
+def _dealt(key: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(number, indices) of the parts that keys are dealt to, in their order."""
+    number = ((key >> np.uint64(40)) % np.uint64(count)).astype(np.uint32)
+    order = np.argsort(number, kind="stable")
+    edges = np.flatnonzero(np.append(True, number[order][1:] != number[order][:-1]))[: len(key)]
+    for at in np.split(order, edges[1:]):
+        if len(at):
+            yield int(number[at[0]]), at
+
+
+def _firsts(*sorted_: np.ndarray) -> np.ndarray:
+    """Where a new value starts in sorted columns."""
+    new = np.ones(len(sorted_[0]), dtype=bool)
+    new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in sorted_])
+    return np.flatnonzero(new)
+
+
+PROBES = [("bucket", pa.int32()), ("dg", pa.int32()), ("codes", pa.binary()), ("several", pa.binary()), ("index", pa.binary())]
+MARKS = [("dg", pa.int32()), ("bucket", pa.int32()), ("codes", pa.binary())]
+WINDOWS = [("bucket", pa.int32()), ("dg", pa.int32()), ("one", pa.binary()), ("two", pa.binary()), ("least", pa.binary()),
+           ("count", pa.binary()), ("doc", pa.binary()), ("start", pa.binary())]
+GONE = [("dg", pa.int32()), ("doc", pa.binary()), ("start", pa.binary())]
 
 
 def find_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) -> tuple[GroupedData, GroupedData]:
     """``docs`` has ``id`` (long, not null) and ``_text``. Returns it and the
     places where a window starts that is to go, both grouped by ``dg``, a group
-    of documents; a place belongs to an id and a text key, as ids may repeat."""
+    of documents of some megabytes; a place belongs to a document's number in
+    the order of ids and texts of its group.
+
+    A group sends every hash once, with whether several of its documents have
+    it; so a passage that many documents hold comes to a bucket once a group."""
     block = length // 2
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.length("_text"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket))
-    groups = next(n for n in range(4 * buckets + 1, 16 * buckets + 16) if all(n % k for k in range(2, int(n**0.5) + 1)))
-    docs = docs.withColumn("dg", group_of(F.col("id"), groups))
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Every window of a block's size of every document; those at multiples
-        of the block size are the index."""
-        for batch in batches:
-            ids = batch.column("id").to_numpy()
-            for rows, flat, doc, place in _texts(batch, length):
-                hashed = rolling(word_hashes(flat, 0), block, BASES[0])
-                n = len(hashed)
-                whole = np.flatnonzero(doc[:n] == doc[block - 1 :])
-                yield from _packed(buckets, hashed[whole], doc[whole], place[whole], [ids[rows]], None)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, groups = max(least, -(-size // bucket)), max(least, -(-size // GROUP))
+    own = docs.withColumn("dg", F.pmod(F.xxhash64("id", "_text"), F.lit(groups)).cast("int")).groupBy("dg")
+
+    def windows_of(flat: list[str], doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, place in ``flat``) of every window of a block's size within a document."""
+        hashed = rolling(word_hashes(flat, 0), block, BASES[0])
+        whole = np.flatnonzero(doc[: len(hashed)] == doc[block - 1 :])
+        return hashed[whole], whole
+
+    def probe(table: pa.Table) -> pa.Table:
+        """Every window of a block's size, each hash once; those at multiples of
+        the block size are the index."""
+        ids, texts = _ordered(table)
+        parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool))]
+        for flat, doc, place in _texts(texts, length):
+            hashed, at = windows_of(flat, doc)
+            parts.append((hashed, ids[doc[at]], place[at] % block == 0))
+        hashed, of, index = map(np.concatenate, zip(*parts, strict=True))
+        order = np.argsort(hashed, kind="stable")
+        hashed, of, index = hashed[order], of[order], index[order]
+        out, dg = [], table.column("dg")[0].as_py()
+        if len(hashed):
+            first = _firsts(hashed)
+            several = np.minimum.reduceat(of, first) != np.maximum.reduceat(of, first)
+            index, hashed = np.logical_or.reduceat(index, first), hashed[first]
+            for b, at in _dealt(hashed, buckets):
+                codes = (hashed[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                at, codes = at[np.argsort(codes, kind="stable")], np.sort(codes)
+                bits = (np.packbits(x[at]).tobytes() for x in (several, index))
+                out.append((b, dg, _planes(np.diff(codes, prepend=np.uint32(0))), *bits))
+        return _table(out, PROBES)
 
     def anchor(table: pa.Table) -> pa.Table:
-        """Windows equal to a block of a document with a smaller id, and blocks
-        equal to a window of one with a larger id."""
-        hashed, _, ids, place = _unpacked(table, 1, False)
-        order = np.argsort(hashed, kind="stable")
-        hashed, ids, place = hashed[order], ids[order], place[order]
-        first = np.flatnonzero(np.append(True, hashed[1:] != hashed[:-1]))
-        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(hashed))))
-        index = place % block == 0
-        least = np.minimum.reduceat(np.where(index, ids, np.iinfo(np.int64).max), first)[group]
-        most = np.maximum.reduceat(ids, first)[group]
-        hit = (ids > least) | (index & (most > ids))
-        return _marked([ids[hit]], place[hit], groups)
+        """For each group of documents its hashes that several documents have,
+        one of them in the index."""
+        b, dgs = table.column("bucket")[0].as_py(), table.column("dg").to_numpy()
+        codes = [np.cumsum(_numbers(c, np.uint32, len(c) // 4), dtype=np.uint32) for c in table.column("codes").to_pylist()]
+        bits = [
+            np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(c)) for x, c in zip(table.column(k).to_pylist(), codes, strict=True)])
+            for k in ("several", "index")
+        ]
+        of = np.repeat(np.arange(len(codes), dtype=np.int32), [len(c) for c in codes])
+        code = np.concatenate(codes)
+        order = np.argsort(code, kind="stable")
+        first = _firsts(code[order])
+        count = np.diff(np.append(first, len(code)))
+        several, index = (np.maximum.reduceat(x[order], first) > 0 for x in bits)
+        hit = order[np.repeat(((count > 1) | several) & index, count)]
+        code, of = code[hit], of[hit]
+        by = np.argsort(of, kind="stable")
+        code, of = code[by], of[by]
+        out = []
+        for at in np.split(np.arange(len(of)), np.flatnonzero(of[1:] != of[:-1]) + 1):
+            if len(at):
+                out.append((int(dgs[of[at[0]]]), b, _planes(np.diff(code[at], prepend=np.uint32(0)))))
+        return _table(out, MARKS)
 
     def extend(table: pa.Table, marks: pa.Table) -> pa.Table:
-        """Hashes of the windows of ``length`` words that hold an anchor."""
-        found = _places(marks, 1)
-        table = table.filter(pc.is_in(table.column("id"), pa.array([k for k, in found], pa.int64())))
-        ids, texts = table.column("id").to_numpy(), table.column("_text").to_pylist()
-        out = []
-        for rows, flat, doc, place in _texts(table, length):
+        """Hashes of the windows of ``length`` words that hold an anchor, each
+        once, with the smallest id that has it and where that document does;
+        places in the group's later documents go whatever others have, and are
+        passed on through any bucket."""
+        if not table.num_rows or not marks.num_rows:
+            return _table([], WINDOWS)
+        keys = [
+            (np.uint64(r["bucket"]) << np.uint64(32)) | np.cumsum(_numbers(r["codes"], np.uint32, len(r["codes"]) // 4), dtype=np.uint32)
+            for r in marks.to_pylist()
+        ]
+        key = np.sort(np.concatenate(keys))
+        ids, texts = _ordered(table)
+        parts = []
+        for flat, doc, place in _texts(texts, length):
+            hashed, at = windows_of(flat, doc)
+            mine = ((hashed >> np.uint64(40)) % np.uint64(buckets) << np.uint64(32)) | (hashed & np.uint64(0xFFFFFFFF))
+            found = at[key[np.minimum(np.searchsorted(key, mine), len(key) - 1)] == mine]
             edge = np.zeros(len(flat) + 1, dtype=np.int32)
-            starts = np.flatnonzero(place == 0)
-            ends = np.append(starts[1:], len(flat))
-            for i, r in enumerate(rows):
-                at = found[int(ids[r]),]
-                at = at[at < ends[i] - starts[i]]  # texts of one id share their anchors
-                np.add.at(edge, starts[i] + np.maximum(at - (length - block), 0), 1)
-                np.add.at(edge, starts[i] + at + 1, -1)
+            np.add.at(edge, found - np.minimum(place[found], length - block), 1)
+            np.add.at(edge, found + 1, -1)
             one, two = (rolling(word_hashes(flat, k), length, b) for k, b in enumerate(BASES))
             n = len(one)
             near = np.flatnonzero((np.cumsum(edge)[:n] > 0) & (doc[:n] == doc[length - 1 :]))
-            keys = [ids[rows], np.array([_text_key(texts[r]) for r in rows], dtype=np.int64)]
-            out += _packed(
-                buckets, one[near], doc[near], place[near], keys, (two[near] >> np.uint64(32)).astype(np.uint32)
-            )
-        return pa.Table.from_batches(out or [_entry_batch([[] for _ in range(7)])])
+            parts.append((one[near], (two[near] >> np.uint64(32)).astype(np.uint32), doc[near].astype(np.uint32), place[near].astype(np.uint32)))
+        if not parts:
+            return _table([], WINDOWS)
+        one, two, doc, start = map(np.concatenate, zip(*parts, strict=True))
+        order = np.lexsort((start, doc, two, one))
+        one, two, doc, start = one[order], two[order], doc[order], start[order]
+        out, dg = [], table.column("dg")[0].as_py()
+        if not len(one):
+            return _table(out, WINDOWS)
+        first = _firsts(one, two)
+        count = np.diff(np.append(first, len(one)))
+        low = np.minimum.reduceat(ids[doc], first)
+        later = ids[doc] > np.repeat(low, count)
+        if later.any():
+            out.append((dg % buckets, dg, None, None, None, None, _planes(doc[later]), _planes(start[later])))
+        kept = np.flatnonzero(~later)
+        group = np.repeat(np.arange(len(first)), count)[kept]
+        edges = np.searchsorted(group, np.arange(len(first) + 1))
+        for b, at in _dealt(one[first], buckets):
+            many = edges[at + 1] - edges[at]
+            places = kept[np.repeat(edges[at], many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)]
+            head = first[at]
+            out.append((b, dg, _planes(one[head]), _planes(two[head]), _planes(low[at]), _planes(many.astype(np.uint32)), _planes(doc[places]), _planes(start[places])))
+        return _table(out, WINDOWS)
 
     def settle(table: pa.Table) -> pa.Table:
         """Windows whose words also start in a document with a smaller id."""
-        one, two, ids, key, place = _unpacked(table, 2, True)
+        rows = table.to_pylist()
+        out = [(r["dg"], r["doc"], r["start"]) for r in rows if r["one"] is None]
+        rows = [r for r in rows if r["one"] is not None]
+        if not rows:
+            return _table(out, GONE)
+        sizes = [len(r["two"]) // 4 for r in rows]
+        one, two, low = (
+            np.concatenate([_numbers(r[k], kind, n) for r, n in zip(rows, sizes, strict=True)])
+            for k, kind in (("one", np.uint64), ("two", np.uint32), ("least", np.int64))
+        )
         order = np.lexsort((two, one))
-        one, two, ids, key, place = (x[order] for x in (one, two, ids, key, place))
-        first = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
-        least = np.repeat(np.minimum.reduceat(ids, first), np.diff(np.append(first, len(one))))
-        gone = ids > least
-        return _marked([ids[gone], key[gone]], place[gone], groups)
+        first = _firsts(one[order], two[order])
+        smallest = np.empty(len(one), dtype=np.int64)
+        smallest[order] = np.repeat(np.minimum.reduceat(low[order], first), np.diff(np.append(first, len(one))))
+        gone = np.split(low > smallest, np.cumsum(sizes)[:-1])
+        for r, mark, n in zip(rows, gone, sizes, strict=True):
+            mark = np.repeat(mark, _numbers(r["count"], np.uint32, n))
+            if mark.any():
+                out.append((r["dg"], *(_planes(_numbers(r[k], np.uint32, len(mark))[mark]) for k in ("doc", "start"))))
+        return _table(out, GONE)
 
-    own = docs.groupBy("dg")
-    anchors = docs.select("id", "_text").mapInArrow(tidy(probe, forget), ENTRY).groupBy("bucket").applyInArrow(anchor, MARKS)
-    windows = own.cogroup(anchors.groupBy("dg")).applyInArrow(extend, ENTRY)
-    return own, windows.groupBy("bucket").applyInArrow(settle, MARKS).groupBy("dg")
+    marks = own.applyInArrow(probe, _schema(PROBES)).groupBy("bucket").applyInArrow(anchor, _schema(MARKS))
+    windows = own.cogroup(marks.groupBy("dg")).applyInArrow(extend, _schema(WINDOWS))
+    return own, windows.groupBy("bucket").applyInArrow(settle, _schema(GONE)).groupBy("dg")
 
 
 def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
@@ -313,48 +309,46 @@ def dedup_substrings(
     (each is judged by its own text). Empty in, empty out. Extra columns do not
     matter. ``doc_id`` must be an integer.
 
-    Nothing is sampled or capped. Hashes travel packed, one row for each run of
-    texts and bucket, about six bytes a window for the anchors and only windows
-    near an anchor for the exact comparison. Buckets are made by hash, their
-    number grows with the input; in a bucket only the smallest and largest id
-    of a hash matter, so a passage that a third of all documents hold costs
-    its bytes but no pairs. Marks travel packed too, one row for each bucket and
-    group of documents. Texts are shuffled once: marks meet them twice, in the
-    same exchange by groups of documents of a few megabytes. Lost executors lead to recomputed stages only.
+    Nothing is sampled or capped. Texts are shuffled once, by groups of
+    documents of a few megabytes, and read three times from that exchange. A
+    group sends each of its hashes once: four bytes for an anchor, and for the
+    exact comparison only windows near an anchor, with the places of the
+    group's first document that has them. So a passage that a third of all
+    documents hold comes to a bucket once a group, and makes no pairs. Buckets
+    and groups grow in number with the input. Lost executors lead to recomputed
+    stages only.
     """
     # New names for both: the plans of both meetings are then alike to the letter, and share the exchange.
     named = docs.select(column(docs, doc_id).cast("long").alias("id"), column(docs, text).cast("string").alias("_text"))
     known, hits = find_repeats(named.where("id IS NOT NULL"), length, bucket)
 
-    def cut(ids: pa.ChunkedArray | pa.Array, texts: list[str | None], found: dict) -> Iterator[pa.RecordBatch]:
-        for lo, hi in chunks([len(x or "") for x in texts], CHUNK):
-            out: list[list] = [[], [], [], []]
-            for i, x in zip(ids[lo:hi].to_pylist(), texts[lo:hi], strict=True):
-                w = words(x)
-                n, gone = len(w), 0
-                starts = found.get((i, _text_key(x))) if found and n >= length else None
-                if starts is not None:
-                    mark = covered(n, starts, length)
-                    gone = int(mark.sum())
-                    w = [v for v, m in zip(w, mark.tolist(), strict=True) if not m]
-                kept = " ".join(w)
-                digest = hashlib.sha256(kept.encode("utf-8", "surrogatepass")).hexdigest()
-                for o, v in zip(out, (n, gone, digest, kept if with_text else None), strict=True):
-                    o.append(v)
-            own = ids[lo:hi]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    own.combine_chunks() if isinstance(own, pa.ChunkedArray) else own, pa.array(out[0], pa.int64()),
-                    pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], pa.string()),
-                ], names=["id", "n_words", "n_removed", "kept_sha256", "kept"],
-            )
-
-    def cut_group(table: pa.Table, marks: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([*cut(table.column("id"), table.column("_text").to_pylist(), _places(marks, 2))])
+    kinds = [("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())]
+
+    def row(own: int | None, text: str | None, starts: np.ndarray | None) -> tuple:
+        w = words(text)
+        n, gone = len(w), 0
+        if starts is not None and len(starts):
+            mark = covered(n, starts, length)
+            gone = int(mark.sum())
+            w = [v for v, m in zip(w, mark.tolist(), strict=True) if not m]
+        kept = " ".join(w)
+        return own, n, gone, hashlib.sha256(kept.encode("utf-8", "surrogatepass")).hexdigest(), kept if with_text else None
+
+    def cut_group(table: pa.Table, gone: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _table([], kinds)
+        ids, texts = _ordered(table)
+        parts = [(np.zeros(0, np.uint32), np.zeros(0, np.uint32))]
+        parts += [tuple(_numbers(r[k], np.uint32, len(r[k]) // 4) for k in ("doc", "start")) for r in gone.to_pylist()]
+        doc, start = (np.concatenate(x).astype(np.int64) for x in zip(*parts, strict=True))
+        order = np.argsort(doc, kind="stable")
+        edges = np.searchsorted(doc[order], np.arange(len(ids) + 1)).tolist()
+        start = start[order]
+        return _table([row(int(i), x, start[a:b]) for i, x, a, b in zip(ids, texts, edges[:-1], edges[1:], strict=True)], kinds)
 
     def cut_unnamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from cut(batch.column(0), batch.column(1).to_pylist(), {})
+            yield from _table([row(None, x, None) for x in batch.column("_text").to_pylist()], kinds).to_batches()
 
     kind = "id long, n_words long, n_removed long, kept_sha256 string, kept string"
     done = known.cogroup(hits).applyInArrow(cut_group, kind)
