@@ -33,26 +33,28 @@ GROUP, BUCKET = 4_000_000, 12_000_000
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 class _Hashes(dict):
-    """One of two 64-bit hashes of words, kept when first asked for."""
-
-    def __init__(self, seed: int):
-        super().__init__()
-        self.seed = seed
+    """64-bit hashes of words, kept when first asked for."""
 
     def __missing__(self, word: str) -> int:
-        got = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"), self.seed)
+        got = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         if len(self) >= REMEMBERED:
             self.clear()
         self[word] = got
         return got
 
 
-_HASHES = [_Hashes(1), _Hashes(2)]
+_HASHES = _Hashes()
 
 
-def word_hashes(flat: list[str], which: int) -> np.ndarray:
+def word_hashes(flat: list[str]) -> np.ndarray:
     """A 64-bit hash of every word."""
-    return np.fromiter(map(_HASHES[which].__getitem__, flat), dtype=np.uint64, count=len(flat))
+    return np.fromiter(map(_HASHES.__getitem__, flat), dtype=np.uint64, count=len(flat))
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Other numbers for the same words, for a second rolling hash."""
+    x = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(27))
 
 
 def rolling(h: np.ndarray, size: int, base: int) -> np.ndarray:
@@ -153,9 +155,9 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) ->
     buckets, groups = max(least, -(-size // bucket)), max(least, -(-size // GROUP))
     own = docs.withColumn("dg", F.pmod(F.xxhash64("id", "_text"), F.lit(groups)).cast("int")).groupBy("dg")
 
-    def windows_of(flat: list[str], doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, place in ``flat``) of every window of a block's size within a document."""
-        hashed = rolling(word_hashes(flat, 0), block, BASES[0])
+    def windows_of(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, place in ``h``) of every window of a block's size within a document."""
+        hashed = rolling(h, block, BASES[0])
         whole = np.flatnonzero(doc[: len(hashed)] == doc[block - 1 :])
         return hashed[whole], whole
 
@@ -165,7 +167,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) ->
         ids, texts = _ordered(table)
         parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool))]
         for flat, doc, place in _texts(texts, length):
-            hashed, at = windows_of(flat, doc)
+            hashed, at = windows_of(word_hashes(flat), doc)
             parts.append((hashed, ids[doc[at]], place[at] % block == 0))
         hashed, of, index = map(np.concatenate, zip(*parts, strict=True))
         order = np.argsort(hashed, kind="stable")
@@ -219,27 +221,36 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, bucket: int = BUCKET) ->
             for r in marks.to_pylist()
         ]
         key = np.sort(np.concatenate(keys))
+        some = np.zeros(1 << 22, dtype=bool)  # most hashes that are no key fail here
+        some[key & np.uint64(len(some) - 1)] = True
         ids, texts = _ordered(table)
         parts = []
         for flat, doc, place in _texts(texts, length):
-            hashed, at = windows_of(flat, doc)
+            h = word_hashes(flat)
+            hashed, at = windows_of(h, doc)
+            maybe = np.flatnonzero(some[hashed & np.uint64(len(some) - 1)])
+            hashed, at = hashed[maybe], at[maybe]
             mine = ((hashed >> np.uint64(40)) % np.uint64(buckets) << np.uint64(32)) | (hashed & np.uint64(0xFFFFFFFF))
             found = at[key[np.minimum(np.searchsorted(key, mine), len(key) - 1)] == mine]
-            edge = np.zeros(len(flat) + 1, dtype=np.int32)
+            if not len(found):
+                continue
+            edge = np.zeros(len(h) + 1, dtype=np.int32)
             np.add.at(edge, found - np.minimum(place[found], length - block), 1)
             np.add.at(edge, found + 1, -1)
-            one, two = (rolling(word_hashes(flat, k), length, b) for k, b in enumerate(BASES))
-            n = len(one)
+            n = len(h) - length + 1
             near = np.flatnonzero((np.cumsum(edge)[:n] > 0) & (doc[:n] == doc[length - 1 :]))
-            parts.append((one[near], (two[near] >> np.uint64(32)).astype(np.uint32), doc[near].astype(np.uint32), place[near].astype(np.uint32)))
+            one, two = (rolling(x, length, b)[near] for x, b in zip((h, mixed(h)), BASES, strict=True))
+            parts.append((one, (two >> np.uint64(32)).astype(np.uint32), doc[near].astype(np.uint32), place[near].astype(np.uint32)))
         if not parts:
             return _table([], WINDOWS)
         one, two, doc, start = map(np.concatenate, zip(*parts, strict=True))
-        order = np.lexsort((start, doc, two, one))
-        one, two, doc, start = one[order], two[order], doc[order], start[order]
         out, dg = [], table.column("dg")[0].as_py()
         if not len(one):
             return _table(out, WINDOWS)
+        order = np.argsort(one, kind="stable")  # places stay in order of document and start
+        if ((one[order][1:] == one[order][:-1]) & (two[order][1:] != two[order][:-1])).any():
+            order = np.lexsort((two, one))
+        one, two, doc, start = one[order], two[order], doc[order], start[order]
         first = _firsts(one, two)
         count = np.diff(np.append(first, len(one)))
         low = np.minimum.reduceat(ids[doc], first)
