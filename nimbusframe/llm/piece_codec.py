@@ -23,22 +23,23 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusframe.llm.common import batch_of, chunks, column, with_computed
+from nimbusframe.llm.common import batch_of, chunks, column, tidy, with_computed
 
-#: Short parts of texts whose path a task remembers, and lengths of starts that
-#: share theirs.
-REMEMBERED = 400_000
+#: Short parts of texts, and starts of them, whose path a task remembers (up to
+#: twice as many; those not used for longest go first), and lengths of the starts.
+REMEMBERED, REMEMBERED_STARTS = 150_000, 100_000
 SHORT = 32
-STARTS = (12, 8, 5)
+STARTS = (8, 5)
 #: Pairs of pieces whose weight a task remembers.
 PAIRS = 1_000_000
 #: Largest model file that is sent to the executors.
 MOST_MODEL_BYTES = 64 << 20
-#: Characters worked on between two yields of a task.
-CHUNK = 4_000_000
+#: Bytes of text worked on between two yields of a task.
+CHUNK = 1_000_000
 SPACE = "\u2581"
 INF = math.inf
 _PARTS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -143,21 +144,44 @@ class Normaliser:
         return text.replace(" ", SPACE) if self.mark else text
 
 
-class _Paths(dict):
+class _Recent(dict):
+    """A bounded memory of two generations: a full one becomes the older, whose
+    entries come back when they are asked for."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.older: dict = {}
+        self.most = most
+
+    def keep(self, key, value) -> None:
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+    def __missing__(self, key):
+        got = self.older.get(key)
+        if got is not None:
+            self.keep(key, got)
+        return got
+
+
+class _Paths(_Recent):
     """The paths of short parts, found when first asked for."""
 
     def __init__(self, machine: Codec):
-        super().__init__()
+        super().__init__(REMEMBERED)
         self.machine = machine
 
     def __missing__(self, part: str) -> tuple[int, ...]:
+        got = super().__missing__(part)
+        if got is not None:
+            return got
         got = self.machine.path(part)
         if self.machine.decoded(got) != part:
             self.machine.lossy = True  # not remembered, so that every text hears of it
         elif len(part) <= SHORT:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[part] = got
+            self.keep(part, got)
         return got
 
 
@@ -210,7 +234,7 @@ class Codec:
         self.cuts = not any(SPACE in x.lstrip(SPACE) for x in self.ids)
         self.plain = [x if t not in (BYTE, UNKNOWN, CONTROL) else None for x, t in zip(self.text, self.type, strict=True)]
         self.pairs: dict[int, bool] = {}
-        self.starts: dict[str, list[int]] = {}
+        self.starts = _Recent(REMEMBERED_STARTS)  # lists of the last pieces up to every place
         self.paths = _Paths(self)
         self.lossy = False
         if kind == BPE:
@@ -256,6 +280,11 @@ class Codec:
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
+    def forget(self) -> None:
+        """Drop the remembered paths, starts and pairs."""
+        for kept in (self.paths, self.paths.older, self.starts, self.starts.older, self.pairs):
+            kept.clear()
+
     # -- weights ---------------------------------------------------------
     def follows(self, a: int, b: int) -> bool:
         """Whether piece ``b`` after piece ``a`` weighs 0 (else infinite).
@@ -320,7 +349,7 @@ class Codec:
         n, last = len(text), None
         if n <= SHORT:  # texts with a common start share the paths through it
             for size in STARTS:
-                if n > size and (last := starts.get(text[:size])) is not None:
+                if n > size and (last := starts[text[:size]]) is not None:
                     break
         last = [-1] if last is None else last.copy()
         for end in range(len(last), n + 1):
@@ -342,9 +371,7 @@ class Codec:
                     at -= 1
             last.append(best)
             if end in STARTS and n <= SHORT:
-                if len(starts) >= REMEMBERED:
-                    starts.clear()
-                starts[text[:end]] = last.copy()
+                starts.keep(text[:end], last.copy())
         return last
 
     def path(self, text: str) -> tuple[int, ...]:
@@ -428,6 +455,12 @@ def codec(model: bytes) -> Codec:
     return _CODECS[key]
 
 
+def _forget() -> None:
+    """Drop what the compiled model remembers of texts; the model itself stays."""
+    for machine in _CODECS.values():
+        machine.forget()
+
+
 def read_model(path: str) -> bytes:
     """The bytes of a model file on the driver; its size is checked, as it goes
     to every executor."""
@@ -456,10 +489,10 @@ def encode_texts(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = codec(sent.value)
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            for lo, hi in chunks([len(x or "") for x in texts], CHUNK):
+            texts = batch.column(at)
+            for lo, hi in chunks(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), CHUNK):
                 flat, ends, none, same = array("i"), [0], [], []
-                for x in texts[lo:hi]:
+                for x in texts.slice(lo, hi - lo).to_pylist():
                     ids, again = machine.encoded(x)
                     flat.extend(ids)
                     ends.append(len(flat))
@@ -472,7 +505,7 @@ def encode_texts(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
                 new = [lists, pa.array(np.diff(offsets).astype(np.int64)), pa.array(same, pa.bool_())]
                 yield batch_of(batch.slice(lo, hi - lo).columns, new)
 
-    return with_computed(docs, run, {"ids": "array<int>", "n_tokens": "long", "decodes": "boolean"})
+    return with_computed(docs, tidy(run, _forget), {"ids": "array<int>", "n_tokens": "long", "decodes": "boolean"})
 
 
 def decode_ids(rows: DataFrame, model: str, ids: str = "ids", into: str = "decoded") -> DataFrame:

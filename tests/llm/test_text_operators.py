@@ -151,12 +151,12 @@ def test_pieces_like_the_library_and_back(spark):
 def test_pieces_in_spark(spark):
     docs = awkward(spark, clash=True)
     got = piece_codec.encode_texts(docs, PIECE_MODEL)
-    assert got.columns[-3:] == ["_ids", "n_tokens", "decodes"]
+    assert got.columns[-3:] == ["_ids", "_n_tokens", "_decodes"]
     for r in got.collect():
         if r["text"] is None:
-            assert (r["_ids"], r["n_tokens"], r["decodes"]) == (None, 0, None)
+            assert (r["_ids"], r["_n_tokens"], r["_decodes"]) == (None, 0, None)
         else:
-            assert r["decodes"] and len(r["_ids"]) == r["n_tokens"]
+            assert r["_decodes"] and len(r["_ids"]) == r["_n_tokens"]
     back = piece_codec.decode_ids(got, PIECE_MODEL, ids="_ids")
     assert all(r["decoded"] == r["text"] for r in back.collect())
     assert piece_codec.encode_texts(awkward(spark, rows=[]), PIECE_MODEL).count() == 0
@@ -377,3 +377,18 @@ def test_viterbi_by_enumeration():
             best = max(map(cost, product(range(3), repeat=int(size))))
             assert cost(got[start : start + size].tolist()) == pytest.approx(best)
             start += size
+
+
+def test_remembered_paths_are_bounded(monkeypatch):
+    monkeypatch.setattr(piece_codec, "REMEMBERED", 20)
+    monkeypatch.setattr(piece_codec, "REMEMBERED_STARTS", 10)
+    model = piece_codec.read_model(PIECE_MODEL)
+    machine, rng = piece_codec.Codec(model), random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcdef") for _ in range(rng.randint(1, 11))) for _ in range(30)) for _ in range(20)]
+    first = [machine.encode(x) for x in texts]
+    for kept, most in ((machine.paths, 20), (machine.starts, 10)):
+        assert 0 < len(kept) <= most and 0 < len(kept.older) <= most
+    machine.forget()
+    assert not (machine.paths or machine.paths.older or machine.starts or machine.starts.older or machine.pairs)
+    monkeypatch.setattr(piece_codec, "REMEMBERED", 1000)
+    assert [machine.encode(x) for x in texts] == first == [piece_codec.Codec(model).encode(x) for x in reversed(texts)][::-1]
