@@ -304,3 +304,38 @@ def test_constraints_on_null_and_hot_keys_are_spread(spark):
     finally:
         for k, v in zip(keys, before):
             spark.conf.set(k, v)
+
+
+def test_bodies_are_numbered_over_several_lists(spark, monkeypatch):
+    from nimbusframe.operators import requests as RQ
+
+    monkeypatch.setattr(RQ, "LINES", 3)
+    stores = spark.createDataFrame([(1, "A", "a"), (2, "B", "b")], "store_id long, name string, address string")
+    items = spark.createDataFrame([(i, 1 + i % 2, None if i == 4 else f"n{i % 5}", i, 1.0) for i in range(1, 24)],
+                                  "item_id long, store_id long, item_name string, quantity int, price double")
+    items = items.withColumn("price", F.col("price").cast("decimal(10,2)"))
+    prices = spark.createDataFrame([], "gas_price_id long, store_id long, fuel_type string, price decimal(10,3), last_updated timestamp")
+    p = lambda a, **f: json.dumps({"action": a, "payload": f})
+    bodies = [("a", p("getStoreInventory", store_id=1)), ("b", p("updateItemQuantity", item_id=2, quantity=99)),
+              ("c", p("getStoreInventory", store_id=1)), ("d", p("getStoreInventory", store_id=2)),
+              ("c", p("getStore", store_id=2)), ("e", p("addItemToStore", store_id=2, item_name="n0")), ("f", p("getStoreInventory", store_id=2))]
+    reqs = spark.createDataFrame([(r, i, b) for i, (r, b) in enumerate(bodies)], "request_id string, seq int, body string")
+    got = RQ.evaluate_requests(reqs, stores, items, prices).bodies.collect()
+    order = lambda x: (x[0] is not None, x[0] or "", x[1])
+    held = {s: [(None if i == 4 else f"n{i % 5}", i, i) for i in range(1, 24) if 1 + i % 2 == s] for s in (1, 2)}
+    later = [(n, i, 99 if i == 2 else q) for n, i, q in held[1]]
+    want = {"a": held[1], "c": [*later, ("B", 2, None)], "d": held[2], "f": [*held[2], ("n0", 24, 0)]}
+    for rid, lines in want.items():
+        mine = sorted((x for x in got if x.request_id == rid), key=lambda x: x.line)
+        assert [(x.line, x.name, x.id, x.quantity) for x in mine] == [(k, *x) for k, x in enumerate(sorted(lines, key=order), 1)]
+    assert {x.request_id for x in got} == set(want)
+
+
+def test_wide_projections_are_split_for_the_jit(spark):
+    from nimbusframe.session import split_code
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    with split_code(spark):
+        assert int(spark.conf.get(key)) <= 8000
+    assert spark.conf.get(key) == before
