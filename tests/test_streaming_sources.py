@@ -253,3 +253,13 @@ def test_stateful_streams_carry_runs_across_micro_batches(spark, tmpdir_path):
     cols = ["seq", "run_length", "state", "changed"]
     done = spark.read.parquet(f"{tmpdir_path}/h").unionByName(health.drain(spark, f"{tmpdir_path}/ck2"))
     assert rows(done, *cols) == rows(W.health_states(checks, ["tgt"], ["ts", "seq"], F.col("ok"), 3, 2), *cols)
+
+
+def test_bytes_bound_a_micro_batch(spark, tmpdir_path):
+    df = spark.range(400, numPartitions=8).withColumnRenamed("id", "n")
+    df.write.parquet(f"{tmpdir_path}/in")
+    for most, batches in ((1 << 30, 1), (1, 8)):
+        base = f"{tmpdir_path}/{most}"
+        q = T.run_available_now(T.file_stream(spark, f"{tmpdir_path}/in", df, max_bytes=most), f"{base}/ckpt", path=f"{base}/out")
+        assert len([p for p in q.recentProgress if p["numInputRows"]]) == batches
+        assert spark.read.parquet(f"{base}/out").distinct().count() == 400
