@@ -263,3 +263,12 @@ def test_bytes_bound_a_micro_batch(spark, tmpdir_path):
         q = T.run_available_now(T.file_stream(spark, f"{tmpdir_path}/in", df, max_bytes=most), f"{base}/ckpt", path=f"{base}/out")
         assert len([p for p in q.recentProgress if p["numInputRows"]]) == batches
         assert spark.read.parquet(f"{base}/out").distinct().count() == 400
+
+
+def test_landed_files_follow_the_rows(spark, tmpdir_path):
+    df = spark.range(1200, numPartitions=8).select("id", F.timestamp_seconds(1_700_000_000 + F.col("id") * 60).alias("ts"))
+    for rows_a_file, files in ((2_000_000, 3), (100, 12)):
+        T.land_in_order(df, "ts", f"{tmpdir_path}/{files}", 3, file_rows=rows_a_file)
+        landed = spark.read.parquet(f"{tmpdir_path}/{files}")
+        assert landed.select(F.input_file_name()).distinct().count() == files
+        assert sorted(r.id for r in landed.collect()) == list(range(1200))
