@@ -43,6 +43,10 @@ CHUNK = 1_000_000
 SPACE = "\u2581"
 INF = math.inf
 _PARTS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+#: The same, cut between Latin letters and what is none, too.
+LETTERS = "A-Za-z\u00c0-\u024f"
+_LETTER_PARTS = re.compile(f"{SPACE}*(?:[{LETTERS}]+|[^{SPACE}{LETTERS}]+)|{SPACE}+")
+_ACROSS = re.compile(f"[{LETTERS}][^{LETTERS}]|[^{LETTERS}][{LETTERS}]")
 
 # Fixed values of the model file: kinds of models and of pieces.
 UNIGRAM, BPE = 1, 2
@@ -174,13 +178,13 @@ class _Paths(_Recent):
         self.machine = machine
 
     def __missing__(self, part: str) -> tuple[int, ...]:
-        got = super().__missing__(part)
-        if got is not None:
-            return got
-        got = self.machine.path(part)
-        if self.machine.decoded(got) != part:
-            self.machine.lossy = True  # not remembered, so that every text hears of it
-        elif len(part) <= SHORT:
+        got = self.older.get(part)
+        if got is None:
+            got, spelled = self.machine.traced(part)
+            if not spelled and self.machine.decoded(got) != part:
+                self.machine.lossy = True  # not remembered, so that every text hears of it
+                return got
+        if len(part) <= SHORT:
             self.keep(part, got)
         return got
 
@@ -223,6 +227,7 @@ class Codec:
         self.text = [p[0] for p in pieces]
         self.type = [p[2] for p in pieces]
         self.score = [p[1] for p in pieces]
+        self.sizes = [*map(len, self.text)]
         self.unknown = next((i for i, t in enumerate(self.type) if t == UNKNOWN), 0)
         usable = [i for i, t in enumerate(self.type) if t in (NORMAL, USER_DEFINED)]
         self.ids = {self.text[i]: i for i in usable}
@@ -232,6 +237,8 @@ class Codec:
         self.worst = min((self.score[i] for i in usable), default=0.0) - UNKNOWN_COST
         # Text may be cut before a space mark that no piece continues into.
         self.cuts = not any(SPACE in x.lstrip(SPACE) for x in self.ids)
+        # And between letters and other characters, if no piece has both (but for the marks it starts with).
+        self.cut = _PARTS if any(_ACROSS.search(x.lstrip(SPACE)) for x in self.ids) else _LETTER_PARTS
         self.plain = [x if t not in (BYTE, UNKNOWN, CONTROL) else None for x, t in zip(self.text, self.type, strict=True)]
         self.pairs: dict[int, bool] = {}
         self.starts = _Recent(REMEMBERED_STARTS)  # lists of the last pieces up to every place
@@ -376,26 +383,33 @@ class Codec:
 
     def path(self, text: str) -> tuple[int, ...]:
         """Pieces of the shortest path through ``text``, already normalised."""
+        return self.traced(text)[0]
+
+    def traced(self, text: str) -> tuple[tuple[int, ...], bool]:
+        """The same, and whether the pieces spell all of ``text``, none being
+        put for a character that is no piece."""
         last = self._weightless(text) if self.kind == BPE else self._lightest(text)
         out: list[int] = []
-        at = len(text)
+        at, sizes, spelled = len(text), self.sizes, True
         while at:
             k = last[at]
             if k >= 0:
                 out.append(k)
-                at -= len(self.text[k])
+                at -= sizes[k]
                 continue
             at -= 1
+            spelled = False
             if self.fallback:
                 out.extend(self.bytes_[b] for b in reversed(text[at].encode("utf-8", "replace")))
             else:
                 out.append(self.unknown)
         out.reverse()
-        return tuple(out)
+        return tuple(out), spelled
 
     def parts(self, text: str) -> list[str]:
-        """Cut a normalised text before the space marks that start a piece."""
-        return _PARTS.findall(text) if self.cuts else [text]
+        """Cut a normalised text where no piece can cross: before the space
+        marks that start a piece, between letters and other characters."""
+        return self.cut.findall(text) if self.cuts else [text]
 
     def encode(self, text: str | None) -> list[int]:
         """The ids of a text; none for null or empty."""

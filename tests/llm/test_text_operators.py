@@ -392,3 +392,17 @@ def test_remembered_paths_are_bounded(monkeypatch):
     assert not (machine.paths or machine.paths.older or machine.starts or machine.starts.older or machine.pairs)
     monkeypatch.setattr(piece_codec, "REMEMBERED", 1000)
     assert [machine.encode(x) for x in texts] == first == [piece_codec.Codec(model).encode(x) for x in reversed(texts)][::-1]
+
+
+def test_texts_are_cut_where_no_piece_crosses():
+    machine, rng = piece_codec.Codec(piece_codec.read_model(PIECE_MODEL)), random.Random(6)
+    assert machine.parts("▁one.\nTwo***▁▁3é") == ["▁one", ".\n", "Two", "***", "▁▁3", "é"]
+    for _ in range(300):
+        text = "▁" + "".join(rng.choice("abeéñß▁.,\n*3×中") for _ in range(rng.randint(1, 20)))
+        whole = machine.path(text)
+        assert [k for x in machine.parts(text) for k in machine.path(x)] == [*whole]
+        assert machine.traced(text)[1] == all(machine.plain[k] is not None for k in whole)
+    # a piece of a letter and another character: only the marks cut
+    plain = piece_codec.Normaliser(b"\x18\x00\x20\x00")
+    mixed = piece_codec.Codec.of([("<unk>", 0.0, 2), ("a", -1.0, 1), (".", -2.0, 1), ("a.", -0.5, 1)], piece_codec.UNIGRAM, plain)
+    assert mixed.parts("▁a.a▁a") == ["▁a.a", "▁a"] and [mixed.text[k] for k in mixed.encode("a.a")] == ["a.", "a"]
