@@ -80,6 +80,22 @@ def test_read_items_typed_export(spark, tmpdir_path):
     assert df.where("StudentID = 'S1003'").select(N.attribute("item", "Active")).first()[0] == "false"
 
 
+def test_read_items_parses_an_item_once(spark, tmpdir_path):
+    lines = ['{"Item":{"a":{"N":"1.50E10"},"b\'c":{"BOOL":true},"d":{"M":{"x":{"N":"2"}}},"e":{"NULL":true}}}', '{"a":{"S":"7"},"d":{"SS":["p","q"]}}',
+             '{"a":{"B":"eA=="},"b\'c":null,"d":{"S":null},"e":{"S":""}}', '{"Item":5}', '[1]', 'no json', '{"a":3,"d":{"N":4}}', '', '{"Item":{}}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{tmpdir_path}/items")
+    kinds = {"a": "string", "b'c": "boolean", "d": "string", "e": "string"}
+    df = IO.read_items(spark, f"{tmpdir_path}/items", kinds)
+    for r in df.collect():  # as the map has it
+        have = r["item"] or {}
+        assert [r["a"], r["d"], r["e"]] == [have.get(x) for x in "ade"]
+        assert r["b'c"] == (have["b'c"] == "true" if have.get("b'c") else None)
+    assert rows(df.where("a IS NOT NULL"), "a", "d")[:2] == [("1.50E10", '{"x":2}'), ("7", '["p","q"]')]
+    plan = df.drop("item").where("try_cast(a AS INT) < 80")._jdf.queryExecution().optimizedPlan().toString()
+    before_whole = plan.split("transform_values")[0]  # the map is for attributes that are no scalars
+    assert "Generate explode" in plan and "parseJson" not in before_whole.split("Generate explode")[0]
+
+
 def test_csv_quotes_every_field_and_dump_restore(spark, tmpdir_path):
     df = spark.createDataFrame([("S1001", 85)], "StudentID string, Grade string")
     IO.write_csv(df, f"{tmpdir_path}/csv")
