@@ -42,6 +42,9 @@ array(named_struct(
 )) AS SecurityGroups"""
 
 
+_SG_COLUMNS = ["l_orderkey", "l_suppkey", "l_discount", "l_returnflag", "l_extendedprice", "l_tax", "l_linestatus"]
+
+
 def security_group_docs(lineitem: DataFrame) -> DataFrame:
     """One document per lineitem row holding one group (id ``sg-<order>``) with
     zero or one permission (none when the discount is 0) and one or two
@@ -85,6 +88,9 @@ array(named_struct(
 )) AS Reservations"""
 
 
+_INSTANCE_COLUMNS = ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"]
+
+
 def instance_docs(orders: DataFrame) -> DataFrame:
     """One reservation per order row with one instance attached to group
     ``sg-<order>``; open orders have a public address; urgent ones carry a tag."""
@@ -96,17 +102,20 @@ def inventory_documents(lineitem: DataFrame, orders: DataFrame, customer: DataFr
     document has the groups of an order, a group the permissions of its lines; a
     document has the reservations of four customers, a reservation the instances
     of one, of which every second is attached to the next order's group too; ten
-    databases share a document. Spark groups the rows."""
+    databases share a document. Spark groups the rows: they are shuffled once, as
+    they are read, and nested where their document comes together."""
+    lineitem = lineitem.select(*_SG_COLUMNS).repartition("l_orderkey")
     lines = lineitem.selectExpr("l_orderkey AS doc", _SG_DOC_SQL).select("doc", F.col("SecurityGroups")[0].alias("g"))
     names = ["GroupId", "GroupName", "Description", "VpcId"]
     groups = lines.groupBy("doc", *[F.col(f"g.{n}").alias(n) for n in names]).agg(F.flatten(F.collect_list("g.IpPermissions")).alias("IpPermissions"))
     groups = groups.groupBy("doc").agg(F.collect_list(F.struct(*names, "IpPermissions")).alias("SecurityGroups"))
-    one = orders.selectExpr("o_custkey AS customer", "o_orderkey AS key", _INSTANCE_DOC_SQL).select("customer", "key", F.col("Reservations")[0].alias("r"))
+    orders = orders.select(*_INSTANCE_COLUMNS, F.floor(F.col("o_custkey") / 4).alias("doc")).repartition("doc")
+    one = orders.selectExpr("doc", "o_custkey AS customer", "o_orderkey AS key", _INSTANCE_DOC_SQL).select("doc", "customer", "key", F.col("Reservations")[0].alias("r"))
     i = F.col("r.Instances")[0]
     second = F.struct(F.concat(F.lit("sg-"), (F.col("key") + 1).cast("string")).alias("GroupId"))
     attached = F.when(F.col("key") % 2 == 0, F.concat(i["SecurityGroups"], F.array(second))).otherwise(i["SecurityGroups"])
-    held = one.groupBy("customer", F.col("r.ReservationId").alias("ReservationId")).agg(F.collect_list(i.withField("SecurityGroups", attached)).alias("Instances"))
-    held = held.groupBy(F.floor(F.col("customer") / 4).alias("doc")).agg(F.collect_list(F.struct("ReservationId", "Instances")).alias("Reservations"))
+    held = one.groupBy("doc", "customer", F.col("r.ReservationId").alias("ReservationId")).agg(F.collect_list(i.withField("SecurityGroups", attached)).alias("Instances"))
+    held = held.groupBy("doc").agg(F.collect_list(F.struct("ReservationId", "Instances")).alias("Reservations"))
     dbs = database_docs(customer).select(F.col("DBInstances")[0].alias("d"))
     number = F.try_to_number(F.regexp_extract("d.DBInstanceIdentifier", r"(\d+)$", 1), F.lit("999999999999")).cast("long")
     dbs = dbs.groupBy(F.floor(number / 10).alias("doc")).agg(F.collect_list("d").alias("DBInstances"))

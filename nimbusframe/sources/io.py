@@ -49,12 +49,12 @@ def split_corrupt(documents: DataFrame, corrupt: str) -> tuple[DataFrame, DataFr
 
 def write_document_files(documents: DataFrame, path: str, docs_per_file: int = 10_000) -> None:
     """Documents as multi-line files, each an indented JSON array of about
-    ``docs_per_file`` objects; the files are written in parallel. Documents are
-    dealt by a hash of their text; equal documents share a file."""
+    ``docs_per_file`` objects; the files are written in parallel, compressed.
+    Documents are dealt by a hash of their text; equal documents share a file."""
     text = documents.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("doc"))
     files = max(1, -(-documents.count() // docs_per_file))
     dealt = text.groupBy(F.pmod(F.xxhash64("doc"), F.lit(files)).alias("file")).agg(F.array_join(F.collect_list("doc"), ",\n").alias("docs"))
-    dealt.select(F.concat(F.lit("[\n"), "docs", F.lit("\n]"))).write.option("maxRecordsPerFile", 1).text(path)
+    dealt.select(F.concat(F.lit("[\n"), "docs", F.lit("\n]"))).write.option("maxRecordsPerFile", 1).text(path, compression="gzip")
 
 
 def inline_table(spark: SparkSession, rows: Sequence[Sequence[object]], schema: StructType | str) -> DataFrame:

@@ -114,3 +114,14 @@ def test_bucketed_tables_join_without_an_exchange(spark, tmpdir_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         for name in ("bucketed_s", "bucketed_e"):
             IO.drop_table(spark, name)
+
+
+def test_inventory_rows_are_shuffled_once_and_flat(spark):
+    from nimbusframe.plans import standins as SI
+    from nimbusframe.session import Tables
+
+    t = Tables(spark, SF_SMALL)
+    for docs in SI.inventory_documents(t.lineitem, t.orders, t.customer)[:2]:
+        plan = _plan(docs)
+        assert plan.count("Exchange hashpartitioning") == 1, plan
+        assert "named_struct" not in plan.split("Exchange hashpartitioning")[1]
