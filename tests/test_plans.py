@@ -125,3 +125,13 @@ def test_inventory_rows_are_shuffled_once_and_flat(spark):
         plan = _plan(docs)
         assert plan.count("Exchange hashpartitioning") == 1, plan
         assert "named_struct" not in plan.split("Exchange hashpartitioning")[1]
+
+
+def test_ordered_reports_join_once_and_number_their_subject(spark, monkeypatch):
+    from nimbusframe.plans import suite
+
+    seen, placed = [], suite._placed
+    monkeypatch.setattr(suite, "_placed", lambda df: (seen.append(df), placed(df))[1])
+    suite.QUERIES["o1_reports"](spark, SF_SMALL)
+    assert [df.columns for df in seen] == [["subject"]] * 6
+    assert not [f for df in seen for f in df.inputFiles() if "lineitem" in f or "orders" in f]
