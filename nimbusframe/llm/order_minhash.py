@@ -342,6 +342,7 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
     placed = placed.withColumn("c", F.coalesce("c", "node")).withColumn("key", F.xxhash64("j", "h"))
     placed = checkpointed(placed.select("key", "j", "node", "n", "c"))
     del tuples, shared, labels
+    cleaned(nodes.sparkSession)  # often, so that the driver's heap need not grow over plans that are done with
     seen, kept = star, None
     for again in range(ROUNDS + 1):
         # Tuples whose texts hang on more than one node, and of each a centre on the last of these.
@@ -350,6 +351,8 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
             F.max(F.struct("c", "node")).alias("centre"),
         ).where(F.col("low") != F.col("high"))
         open_ = checkpointed(placed.join(mixed.select("key", "size", "weight", "centre").hint("merge"), "key"))
+        del mixed
+        cleaned(nodes.sparkSession)
         if again == ROUNDS:
             break
         if kept is None:  # all later comparisons are among these texts
@@ -375,13 +378,17 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
         salted = open_.select("key", "j", "node", "n", "c", F.pmod(F.xxhash64("key", "node"), F.lit(SALTS)).cast("int").alias("s"))
         moved = salted.join(two.hint("merge"), (F.col("c") == F.col("l")) & (F.col("s") == F.col("salt")), "left")
         placed = moved.select("key", "j", "node", "n", F.coalesce("m", "c").alias("c"))
+        del own, ends, one, two, salted, moved
     small = open_.where(F.col("size") <= crowd)
     x, y = (small.select("key", F.col("node").alias(v), F.col("n").alias(f"n{v}"), F.col("c").alias(f"c{v}")) for v in "ab")
     near = x.join(y, "key").where(
         (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))
         & (F.least("na", "nb") >= F.greatest("na", "nb") * SIMILAR)
     ).select("a", "b")
-    found = verified(checkpointed(near.distinct().join(seen, ["a", "b"], "left_anti")), kept)
+    near = checkpointed(near.distinct().join(seen, ["a", "b"], "left_anti"))
+    found = checkpointed(verified(near, kept))
+    del small, x, y, near
+    cleaned(nodes.sparkSession)
     large = open_.where(F.col("size") > crowd).join(nodes.select("node", "sketch").hint("merge"), "node")
     blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
     large = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -389,7 +396,7 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
         "key", "j", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "n", "c", "sketch"
     )
     met = large.join(kept.hint("merge"), "node").groupBy("key", "lo", "hi").applyInArrow(_linked, "a long, b long")
-    return links.unionByName(checkpointed(found)).unionByName(checkpointed(met))
+    return links.unionByName(found).unionByName(checkpointed(met))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
