@@ -18,7 +18,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbusframe.llm.common import WORD_PATTERN, checkpointed, chunks, cleaned, column, components, give_back, tidy, words
+from nimbusframe.llm.common import (
+    WORD_PATTERN, both_ways, checkpointed, chunks, cleaned, column, components, give_back, tidy, words
+)
 
 #: Words in a shingle and the least similarity of near duplicates (fixed by the task).
 SHINGLE, SIMILAR = 5, 0.8
@@ -230,7 +232,7 @@ def sketch_texts(docs: DataFrame) -> DataFrame:
 def texts_of(pairs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
     """(node, text) of the nodes in ``pairs``, each once. A node's text is read
     from its row of the smallest id, so that copies stay where they are."""
-    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     asked = nodes.select("node", F.col("digest").alias("_n"), F.col("id").alias("_i")).join(asked, "node")
     named = rows.where("text IS NOT NULL").withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
     own = named.join(asked.hint("merge"), (F.col("digest") == F.col("_n")) & F.col("id").eqNullSafe(F.col("_i")))
@@ -366,19 +368,21 @@ def link_texts(nodes: DataFrame, rows: DataFrame, crowd: int = CROWD) -> DataFra
         links = links.unionByName(more)
         cleaned(nodes.sparkSession)
         # What hangs on linked nodes hangs on the smallest within two steps.
+        # Labels are few: copies of them keep the plan of the large rows, which holds every step twice, short.
         own = open_.select("node", "c").distinct()
         ends = more.join(own.select(F.col("node").alias("a"), F.col("c").alias("l")), "a").join(
             own.select(F.col("node").alias("b"), F.col("c").alias("r")), "b"
         )
-        ends = ends.select("l", "r").unionByName(ends.select(F.col("r").alias("l"), F.col("l").alias("r"))).distinct()
+        ends = checkpointed(both_ways(ends, "l", "r").distinct())
         one = ends.groupBy("l").agg(F.least(F.min("r"), "l").alias("m"))
         two = ends.join(one.withColumnRenamed("l", "r"), "r").groupBy("l").agg(F.least(F.min("m"), "l").alias("m"))
+        two = checkpointed(two)
         # A large component is one label; its rows are salted.
         two = two.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         salted = open_.select("key", "j", "node", "n", "c", F.pmod(F.xxhash64("key", "node"), F.lit(SALTS)).cast("int").alias("s"))
         moved = salted.join(two.hint("merge"), (F.col("c") == F.col("l")) & (F.col("s") == F.col("salt")), "left")
         placed = moved.select("key", "j", "node", "n", F.coalesce("m", "c").alias("c"))
-        del own, ends, one, two, salted, moved
+        del own, more, ends, one, two, salted, moved
     small = open_.where(F.col("size") <= crowd)
     x, y = (small.select("key", F.col("node").alias(v), F.col("n").alias(f"n{v}"), F.col("c").alias(f"c{v}")) for v in "ab")
     near = x.join(y, "key").where(
@@ -431,9 +435,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     # Numbers for the nodes: fixed by the copy in the checkpoint folder.
     nodes = checkpointed(nodes.withColumn("node", F.monotonically_increasing_id()))
-    links = checkpointed(link_texts(nodes, rows))
-    cleaned(docs.sparkSession)
-    found = components(links)
+    found = components(link_texts(nodes, rows))
     placed = nodes.select("node", "digest", "id").join(found.hint("merge"), "node", "left")
     placed = checkpointed(placed.select("digest", "id", F.coalesce("component", "node").alias("c")))
     least = placed.groupBy("c").agg(F.min("id").alias("class_id"))

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_data import awkward, awkward_rows, sentence, words
-from nimbusframe.llm import line_dedup, order_minhash, pivot_index, substring_dedup
+from nimbusframe.llm import common, line_dedup, order_minhash, pivot_index, substring_dedup
 from nimbusframe.llm.common import components
 
 key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
@@ -229,6 +230,30 @@ def test_near_duplicates_like_brute_force(spark, crowd, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=str) == classes_by_hand(rows)
 
 
+def test_no_plan_holds_the_steps_of_others(spark, monkeypatch):
+    rng = random.Random(21)
+    rows = []
+    for k in range(6):
+        own = "shared passage " * 10 + "of all " + sentence(rng, 60)
+        for j in range(4):
+            w = own.split()
+            w[rng.randrange(len(w))] = f"new{rng.randrange(1000)}"
+            rows.append((10 * k + j, " ".join(w), "en", "s", 1))
+    steps = []
+
+    def noted(df, run=common.checkpointed):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        steps.append(len(re.findall(r"\b(?:Join|Aggregate) ", plan)))
+        return run(df)
+
+    monkeypatch.setattr(common, "checkpointed", noted)
+    monkeypatch.setattr(order_minhash, "checkpointed", noted)
+    monkeypatch.setattr(order_minhash.link_texts, "__defaults__", (1,))
+    got = order_minhash.near_duplicates(awkward(spark, rows=rows)).select("doc_id", "class_id", "kept")
+    assert sorted(map(tuple, got.collect()), key=str) == classes_by_hand(rows)
+    assert max(steps) <= 8, steps  # the driver plans and keeps each of them
+
+
 def test_one_of_each_class_stays(spark):
     rows = awkward_rows()
     kept = order_minhash.keep_one(awkward(spark, clash=True, rows=rows))
