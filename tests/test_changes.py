@@ -331,6 +331,35 @@ def test_bodies_are_numbered_over_several_lists(spark, monkeypatch):
     assert {x.request_id for x in got} == set(want)
 
 
+def test_bodies_over_blocks_of_reads_take_little_disk(spark, monkeypatch):
+    import os
+
+    from nimbusframe.operators import requests as RQ
+    from nimbusframe.session import ensure_checkpoint_dir
+
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files)
+    n = 12_000  # one store that every fourth request adds to, and that is read 20 times
+    stores = spark.createDataFrame([(1, "A", "a")], "store_id long, name string, address string")
+    items = spark.createDataFrame([], "item_id long, store_id long, item_name string, quantity int, price decimal(10,2)")
+    prices = spark.createDataFrame([], "gas_price_id long, store_id long, fuel_type string, price decimal(10,3), last_updated timestamp")
+    kind = F.when(F.col("id") % 600 == 599, '"getStoreInventory"').when(F.col("id") % 4 == 0, '"addItemToStore"').otherwise('"updateGasPrice"')
+    text = F.concat(F.lit('{"action":'), kind, F.lit(',"payload":{"store_id":1,"quantity":2,"price":1.5,"fuel_type":"f"'),
+                    F.lit(',"item_name":"item-'), F.lpad((F.col("id") * 7 % n).cast("string"), 6, "0"), F.lit('"}}'))
+    reqs = spark.range(n, numPartitions=4).select(F.concat(F.lit("request-"), "id").alias("request_id"), F.col("id").alias("seq"), text.alias("body"))
+    want = {f"request-{i}": [(f"item-{j * 7 % n:06d}", j // 4 + 1) for j in sorted(range(0, i, 4), key=lambda j: j * 7 % n)] for i in range(599, n, 600)}
+    monkeypatch.setattr(RQ, "LINES", 700)
+    monkeypatch.setattr(RQ, "READS", 7, raising=False)
+    before = size()
+    bodies = RQ.evaluate_requests(reqs, stores, items, prices).bodies.select("request_id", "line", "name", "id").collect()
+    assert size() - before < 50 * n
+    got = {}
+    for r in sorted(bodies, key=lambda r: (r.request_id, r.line)):
+        got.setdefault(r.request_id, []).append((r.name, r.id))
+        assert r.line == len(got[r.request_id])
+    assert got == want
+
+
 def test_wide_projections_are_split_for_the_jit(spark):
     from nimbusframe.session import split_code
 
