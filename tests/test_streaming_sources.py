@@ -208,6 +208,25 @@ def test_state_rows_do_not_grow_with_the_table(spark, tmpdir_path):
     assert largest(8) == largest(40) <= 30
 
 
+def test_keys_of_a_group_share_state_rows(spark, tmpdir_path):
+    # 300 keys, one of them null, others beyond the whole numbers of a double; all checks have ties and arrive in 3 batches
+    user = F.when(F.col("id") % 300 > 0, F.lit((1 << 53) + 1) + F.col("id") % 300)
+    checks = spark.range(9000).select(
+        user.alias("tgt"), F.timestamp_seconds(F.lit(1704067200) + F.floor(F.col("id") / 2) * 4).alias("ts"), F.col("id").alias("n"),
+        F.when(F.col("id") % 11 > 0, F.xxhash64("id") % 3 != 0).alias("ok"))
+    T.land_in_order(checks, "ts", f"{tmpdir_path}/in", 3)
+    src = T.file_stream(spark, f"{tmpdir_path}/in", checks, max_files=1)
+    h = T.stream_health(src, "tgt", "ts", "n", "ok", 3, 2, delay="3 hours", groups=4)
+    T.run_available_now(h.apply(), f"{tmpdir_path}/ck", path=f"{tmpdir_path}/out")
+    held = spark.read.format("statestore").option("stateVarName", "rows").load(f"{tmpdir_path}/ck")
+    out, rest = spark.read.parquet(f"{tmpdir_path}/out"), h.drain(spark, f"{tmpdir_path}/ck")
+    assert 0 < held.count() <= 4 * 5 and out.count() > 1000 and rest.count() > 1000
+    cols = [F.col("tgt").cast("string").alias("k"), "n", "run_length", "state", "changed"]
+    want = W.health_states(checks, ["tgt"], ["ts", "n"], F.coalesce("ok", F.lit(False)), 3, 2)
+    read = lambda df: sorted(map(tuple, df.select(*cols).collect()), key=str)
+    assert read(out.unionByName(rest)) == read(want)
+
+
 def test_streams_over_shuffled_files_lose_nothing(spark, tmpdir_path):
     ev = Tables(spark, SF_SMALL).events
     ev.repartition(5, "event_id").write.parquet(f"{tmpdir_path}/events")
