@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -47,14 +47,21 @@ def split_corrupt(documents: DataFrame, corrupt: str) -> tuple[DataFrame, DataFr
     return documents.where(F.col(corrupt).isNull()).drop(corrupt), bad
 
 
-def write_document_files(documents: DataFrame, path: str, docs_per_file: int = 10_000) -> None:
+def write_document_files(documents: DataFrame, path: str, docs_per_file: int = 10_000, file_bytes: int = 16 << 20) -> None:
     """Documents as multi-line files, each an indented JSON array of about
-    ``docs_per_file`` objects; the files are written in parallel, compressed.
-    Documents are dealt by a hash of their text; equal documents share a file."""
+    ``docs_per_file`` objects, or of ``file_bytes`` of text if that is less (one
+    object at least): a reader holds all objects of such a file at once. The files
+    are written in parallel, document by document, compressed. Documents are dealt
+    by a hash of their text; equal documents share a file."""
     text = documents.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("doc"))
-    files = max(1, -(-documents.count() // docs_per_file))
-    dealt = text.groupBy(F.pmod(F.xxhash64("doc"), F.lit(files)).alias("file")).agg(F.array_join(F.collect_list("doc"), ",\n").alias("docs"))
-    dealt.select(F.concat(F.lit("[\n"), "docs", F.lit("\n]"))).write.option("maxRecordsPerFile", 1).text(path, compression="gzip")
+    docs, size = text.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("doc")), F.lit(0))).first()
+    files = max(1, -(-docs // docs_per_file), -(-size // file_bytes))
+    # a task is a file: an aggregation would hold the texts of all files of a task
+    dealt = text.withColumn("file", F.pmod(F.xxhash64("doc"), F.lit(files)).cast("int")).repartitionById(files, F.col("file"))
+    place = Window.partitionBy("file").orderBy("file")
+    first, last = F.lag("file").over(place).isNull(), F.lead("file").over(place).isNull()
+    line = F.concat(F.when(first, "[\n").otherwise(""), "doc", F.when(last, "\n]").otherwise(","))
+    dealt.select(line.alias("value")).write.text(path, compression="gzip")
 
 
 def inline_table(spark: SparkSession, rows: Sequence[Sequence[object]], schema: StructType | str) -> DataFrame:

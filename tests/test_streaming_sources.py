@@ -227,6 +227,19 @@ def test_keys_of_a_group_share_state_rows(spark, tmpdir_path):
     assert read(out.unionByName(rest)) == read(want)
 
 
+def test_document_files_are_bounded_in_bytes(spark, tmpdir_path):
+    docs = spark.range(40, numPartitions=3).select(F.expr("id % 20").alias("n"), F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    IO.write_document_files(docs, f"{tmpdir_path}/docs")
+    back = IO.read_documents(spark, f"{tmpdir_path}/docs", docs.schema)
+    per_file = back.select("*", F.input_file_name().alias("f")).groupBy("f").agg(F.count("*").alias("docs"), F.collect_set("n").alias("n")).collect()
+    assert sorted(r.n for r in back.select("n").collect()) == sorted(i % 20 for i in range(40))
+    assert len(per_file) > 1 and max(r.docs for r in per_file) < 40
+    assert sum(len(r.n) for r in per_file) == 20  # equal ones share a file
+    for i, df in enumerate((docs.limit(1), docs.limit(0))):
+        IO.write_document_files(df, f"{tmpdir_path}/{i}")
+        assert IO.read_documents(spark, f"{tmpdir_path}/{i}", docs.schema).count() == 1 - i
+
+
 def test_streams_over_shuffled_files_lose_nothing(spark, tmpdir_path):
     ev = Tables(spark, SF_SMALL).events
     ev.repartition(5, "event_id").write.parquet(f"{tmpdir_path}/events")
